@@ -15,6 +15,7 @@ from stratiform.llm.decontaminate import decontaminate
 from stratiform.llm.langid import identify, learn
 from stratiform.llm.near_dedup import near_dedup
 from stratiform.llm.quality import score_quality
+from stratiform.llm.repeats import remove_repeats
 from stratiform.llm.secrets import base_only, count_of, find_secrets, listed
 from stratiform.llm.url_rules import host_rule, judge, pattern_rule
 
@@ -76,6 +77,12 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + (s["end"] - s["start"]))
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = fold_bucket(F.col("doc_id"), 5) == 0
     scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
@@ -99,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op5_url_rules": op5_url_rules,
     "op6_near_dedup": op6_near_dedup,
     "op7_decontaminate": op7_decontaminate,
+    "op8_repeats": op8_repeats,
     "op9_quality": op9_quality,
     "op10_chat": op10_chat,
 }
