@@ -178,7 +178,10 @@ def near_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
     heads = classes.filter("doc_id = rep").select("doc_id", "n", "fp1", "fp2").distinct()
     bands = found.join(heads.drop("n"), ["doc_id", "fp1", "fp2"], "left_semi").select("doc_id", "n_shingles", F.explode("bands").alias("band"))
     stars = bands.groupBy("band").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).filter("lead < last").select("band", "lead")
-    pairs = bands.join(stars, "band").filter("doc_id <> lead").select(F.col("doc_id").alias("a"), F.col("lead").alias("b")).distinct()
+    # a document has a lead per band at most: its leads and itself are tied to the least of them, which leaves few edges
+    leads = bands.join(stars, "band").groupBy("doc_id").agg(F.collect_set("lead").alias("leads"))
+    tied = leads.select(F.explode(F.array_union("leads", F.array("doc_id"))).alias("a"), F.array_min(F.array_union("leads", F.array("doc_id"))).alias("b"))
+    pairs = tied.filter("a <> b").distinct()
     coarse = components(pairs, "near-coarse")
 
     sized = coarse.join(heads.groupBy(F.col("doc_id").alias("node")).agg(F.max("n").alias("n")), "node")
