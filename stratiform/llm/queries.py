@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from stratiform.llm import chat
+from stratiform.llm import ann, chat
 from stratiform.llm.bpe import decode, encode
 from stratiform.llm.common import fold_bucket
 from stratiform.llm.decontaminate import decontaminate
@@ -27,6 +27,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold_bucket(F.col("doc_id"), 4) == 2
@@ -100,6 +104,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ann": op1_ann,
     "op2_langid": op2_langid,
     "op3_bpe": op3_bpe,
     "op4_secrets": op4_secrets,
