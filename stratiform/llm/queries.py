@@ -14,6 +14,7 @@ from stratiform.llm.common import fold_bucket
 from stratiform.llm.decontaminate import decontaminate
 from stratiform.llm.langid import identify, learn
 from stratiform.llm.near_dedup import near_dedup
+from stratiform.llm.oracle import ORACLE_SQL
 from stratiform.llm.quality import score_quality
 from stratiform.llm.repeats import remove_repeats
 from stratiform.llm.secrets import base_only, count_of, find_secrets, listed
@@ -103,6 +104,8 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_turns(rows.unionByName(spoof), path, public_tokenizers.PATTERN), path)
 
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QUERIES: dict[str, Query] = {
     "op1_ann": op1_ann,
     "op2_langid": op2_langid,
@@ -115,4 +118,3 @@ QUERIES: dict[str, Query] = {
     "op9_quality": op9_quality,
     "op10_chat": op10_chat,
 }
-ORACLE_SQL: dict[str, str] = {}
