@@ -6,8 +6,8 @@
    of vectors at once, finds the lists of a vector.
 3. Every vector of the table goes to its nearest list and, on a boundary, to further lists within CLOSE of that distance, REPLICAS at most;
    the nearest always has it, so no row is lost.
-4. A query searches the lists whose centroid is within PRUNE times the distance of the nearest: on clustered data few, on evenly
-   spread data many.
+4. A query searches the lists whose centroid is within a ratio of the distance of the nearest: on clustered data few, on evenly
+   spread data many. The ratio is measured on the sample (SAMPLE_RECALL).
 5. Lists are counted, and both sides of a large one are split (rows by hash, queries by hash), so a list that holds
    a third of the table is searched by many tasks. A task finds the nearest of its part for its queries; a query's
    finds are reduced to the best k by a window over at most (lists x splits x k) rows.
@@ -34,10 +34,11 @@ SAMPLE = 20_000
 LIST_ROWS = 400  # aimed at; lists get longer where the sample's bound limits their number
 MAX_LISTS = 1024
 DEGREE = 24
-BEAM, ASSIGN_BEAM = 96, 16  # for queries, for rows
+BEAM, ASSIGN_BEAM = 192, 16  # for queries, for rows
 REPLICAS = 4
 CLOSE = 1.06
-PRUNE = 1.12
+#: The pruning ratio is set such that this share of a sample's own nearest pairs is found, within bounds.
+SAMPLE_RECALL, SAMPLE_QUERIES, RATIOS = 0.995, 256, (1.05, 4.0)
 SPLIT_ROWS = 50_000
 SPLIT_QUERIES = 2_000
 
@@ -115,6 +116,29 @@ class Graph:
         return ids, far
 
 
+def prune_ratio(sample: np.ndarray, centroids: np.ndarray, k: int = 10) -> float:
+    """How much further than the nearest centroid a list's may be, from bounded brute force within the sample.
+
+    Neighbours within a sample are further away than those in the whole table, so the ratio errs on the safe side.
+    """
+    if len(sample) < 2 or len(centroids) < 2:
+        return RATIOS[0]
+    q = np.linspace(0, len(sample) - 1, min(SAMPLE_QUERIES, len(sample))).astype(int)
+    dist = lambda a, b: np.sqrt(np.maximum((a**2).sum(axis=1)[:, None] - 2 * a @ b.T + (b**2).sum(axis=1), 0))
+    apart = dist(sample[q], sample)
+    apart[np.arange(len(q)), q] = np.inf
+    near = np.argsort(apart, axis=1)[:, : min(k, len(sample) - 1)]
+    to = dist(sample[q], centroids)
+    to = to / np.maximum(to.min(axis=1, keepdims=True), 1e-12)
+    needed = []
+    for i, row in enumerate(near):
+        d = dist(sample[row], centroids)
+        lists = np.argsort(d, axis=1)[:, :REPLICAS]
+        far = np.take_along_axis(d, lists, 1)
+        needed += list(np.where(far <= CLOSE * far[:, :1], to[i][lists], np.inf).min(axis=1))
+    return float(np.clip(np.quantile(needed, SAMPLE_RECALL), *RATIOS))
+
+
 def usable(vector: Column) -> Column:
     ok = F.forall(vector, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     return vector.isNotNull() & F.coalesce(ok, F.lit(False)) & F.exists(vector, lambda v: v != 0)
@@ -164,6 +188,7 @@ def search(table: DataFrame, queries: Column, k: int = 10, vector: str = "embedd
     if not len(sample):
         sample = np.zeros((1, width))
     graph = Graph(centroids_of(sample, max(1, min(MAX_LISTS, total // LIST_ROWS, len(sample) // 4))))
+    ratio = prune_ratio(sample, graph.centroids)
     shared = spark.sparkContext.broadcast(graph)
 
     def lists_of(x: np.ndarray, ratio: float, most: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
@@ -191,7 +216,7 @@ def search(table: DataFrame, queries: Column, k: int = 10, vector: str = "embedd
 
     postings = written(rows.mapInArrow(assign(CLOSE, REPLICAS, ASSIGN_BEAM), "list long, vec_id long, vector array<double>"), "postings")
     asked = rows.filter(queries).select(F.col("vec_id").alias("query_id"), "vector").dropDuplicates(["query_id"])
-    asked = written(asked.mapInArrow(assign(PRUNE, BEAM, BEAM), "list long, query_id long, vector array<double>"), "asked")
+    asked = written(asked.mapInArrow(assign(ratio, BEAM, BEAM), "list long, query_id long, vector array<double>"), "asked")
     sizes = postings.groupBy("list").agg(F.ceil(F.count("*") / SPLIT_ROWS).cast("int").alias("parts"))
     query_sizes = asked.groupBy("list").agg(F.ceil(F.count("*") / SPLIT_QUERIES).cast("int").alias("query_parts"))
     split = sizes.join(query_sizes, "list")  # a row per list

@@ -22,6 +22,7 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -286,7 +287,7 @@ def joined(lists: pa.Array, size: np.ndarray, start: np.ndarray, flat: np.ndarra
     width = np.where(ok, size[np.where(ok, values, 0)], 0)
     ends = np.cumsum(width)
     at = np.repeat(start[np.where(ok, values, 0)] - (ends - width), width) + np.arange(ends[-1] if len(ends) else 0)
-    counts = np.array([len(x) if x is not None else 0 for x in lists], np.int64)
+    counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     cut = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))].astype(np.int32)
     out = pa.BinaryArray.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(cut.tobytes()), pa.py_buffer(flat[at].tobytes())])
     return pa.array([None if n else b for n, b in zip(lists.is_null().to_pylist(), out.to_pylist())], pa.binary()) if lists.null_count else out
