@@ -63,6 +63,13 @@ def _scores(c: Column, table: Mapping[str, float], other: float) -> Column:
     return out
 
 
+def _with_evidence(df: DataFrame, texts: Sequence[str]) -> DataFrame:
+    """_evidence, the text that decides on the phase, and its durations: columns of their own, so that each is computed once."""
+    found = _texts(df, texts)
+    df = df.withColumn("_evidence", T.first_with(found, P.phase_evidence)["text"] if found else F.lit(None).cast("string"))
+    return df.withColumn("_seconds", F.when(F.col("_evidence").rlike("[0-9]"), durations(F.col("_evidence"))).otherwise(F.array().cast("array<double>")))
+
+
 def annotate_ct(df: DataFrame, texts: Sequence[str] = TEXT_COLUMNS) -> DataFrame:
     """rule_phase with confidence, applicability reason and CT features."""
     kind = _first(df, texts, lambda c: F.when(T.has(c, "localizer"), "LOCALIZER").when(T.has(c, "bolus_monitoring"), "BOLUS_MONITORING").when(P.phase_evidence(c) | T.plane(c).isNotNull(), "ACQUISITION"))
@@ -70,9 +77,8 @@ def annotate_ct(df: DataFrame, texts: Sequence[str] = TEXT_COLUMNS) -> DataFrame
     rows, cols = number(_col(df, "Rows")), number(_col(df, "Columns"))
     slices = F.coalesce(number(_col(df, "n_rows_in_volume")), number(_col(df, "n_files")))
     image_type = F.lower(F.coalesce(_col(df, "ImageType").cast("string"), F.lit("")))
-    evidence = T.first_with(_texts(df, texts), P.phase_evidence) if _texts(df, texts) else F.lit(None)
-    phase = P.phase_of(evidence["text"], rf"ct{SEP}a")
-    df = df.withColumns({
+    phase = P.phase_of(F.col("_evidence"), rf"ct{SEP}a", F.col("_seconds"))
+    df = _with_evidence(df, texts).withColumns({
         "_kind": kind, "is_axial": F.coalesce((plane == "AXIAL") | (plane.isNull() & (rows == cols)), F.lit(False)), "is_original": T.has(image_type, "original") & T.has(image_type, "primary"),
         "is_derived_low_value": _any(df, texts, T.token(T.VOCABULARY["derived"])), "_rows": rows, "_cols": cols, "_slices": slices, "_thickness": number(_col(df, "SliceThickness")), "_phase": phase,
     })
@@ -81,7 +87,7 @@ def annotate_ct(df: DataFrame, texts: Sequence[str] = TEXT_COLUMNS) -> DataFrame
         "is_localizer": F.coalesce(F.col("_kind") == "LOCALIZER", F.lit(False)), "phase_applicability_reason": reason,
         "rule_phase": F.when(reason.isNotNull(), "OTHER").otherwise(F.coalesce("_phase", F.lit("OTHER"))),
         "rule_phase_confidence": F.when(reason.isNotNull(), "not_applicable").when(F.col("_phase").isNotNull(), "high").otherwise("low"),
-    }).drop("_kind", "_phase")
+    }).drop("_kind", "_phase", "_evidence", "_seconds")
 
 
 def score_ct(df: DataFrame, phase: str = "phase") -> Column:
@@ -111,21 +117,20 @@ def annotate_mr(df: DataFrame, texts: Sequence[str] = TEXT_COLUMNS) -> DataFrame
     by_time = F.when((tr < 800) & (te < 35), "T1").when((tr > 1500) & (te > 60), "T2")
     seq = F.coalesce(by_text, F.when(modality == "KO", "KEY_IMAGES"), by_time, F.lit("OTHER"))
     family = _first(df, texts, lambda c: F.when(c.rlike(T.token(_T2_SINGLE)), "single_shot").when(c.rlike(T.token(_T2_MULTI)), "multi_shot"))
-    evidence = T.first_with(_texts(df, texts), P.phase_evidence) if _texts(df, texts) else F.lit(None)
-    df = df.withColumns({
+    df = _with_evidence(df, texts).withColumns({
         "mri_sequence": seq, "mri_sequence_confidence": F.when(by_text.isNotNull() | (modality == "KO"), "high").when(by_time.isNotNull(), "medium").otherwise("low"), "_family": family,
         "plane": _first(df, texts, T.plane), "is_3d_gre": _any(df, texts, T.token(_T1_GRE)), "is_dynamic_t1_text": _any(df, texts, T.token(T.VOCABULARY["dynamic"])),
         "is_breath_hold": _any(df, texts, T.token(T.VOCABULARY["breath_hold"])), "is_resp_triggered": _any(df, texts, T.token(T.VOCABULARY["respiratory"])),
         "is_subtraction": _any(df, texts, T.token(T.VOCABULARY["subtraction"])), "is_mip_mpr": _any(df, texts, T.token(T.VOCABULARY["mip_mpr"])), "is_quant_or_report": _any(df, texts, T.token(_QUANT)),
         "is_t2_fatsat": _any(df, texts, T.token(rf"fs|fat{SEP}sat(?:urated)?|spair|spir|stir")), "is_t2_mrcp_biliary": _any(df, texts, T.token(r"mrcp|cpre|bili(?:aire|ary)?")),
-        "dixon_component": dixon(df, texts), "_phase": P.phase_of(evidence["text"]), "_evidence": evidence["text"],
+        "dixon_component": dixon(df, texts), "_phase": P.phase_of(F.col("_evidence"), seconds=F.col("_seconds")),
     })
     return df.withColumns({
         "mri_t2_acquisition_family": F.when(F.col("mri_sequence") == "T2", F.col("_family")),
         "phase_applicability_reason": F.when(F.col("mri_sequence") == "LOCALIZER", "LOCALIZER").when(F.col("mri_sequence") != "T1", "NON_T1"),
         "rule_phase": F.when(F.col("mri_sequence") == "T1", F.coalesce("_phase", F.lit("OTHER"))).otherwise("OTHER"),
         "mri_perfusion_source": F.when((F.col("mri_sequence") == "T1") & F.col("_phase").isNotNull(), "explicit_text").otherwise("none"),
-    }).drop("_family", "_phase")
+    }).drop("_family", "_phase", "_seconds")
 
 
 #: Fixed: image-type tokens of Dixon components.
@@ -169,9 +174,10 @@ def preferred_delay(phase: Column, evidence: Column, elapsed: Column) -> Column:
 
 def select(df: DataFrame, exam: Sequence[str], slots: Sequence[str], volume: str, ties: Sequence[Column] = (), least: float = -500.0) -> tuple[DataFrame, DataFrame]:
     """Ranked candidates of the slots, and one wide row per exam with each slot's winner and the other candidates."""
-    ok = df.filter(F.col("selection_slot").isin(*slots) & (F.col("selection_score") > least))
-    by = W.partitionBy(*exam, "selection_slot").orderBy(F.desc("selection_score"), *ties, volume)
-    ranked = ok.withColumn("candidate_rank", F.row_number().over(by))
+    # the test is a column, kept above the window: as a filter it would be pushed down and compute the scores twice
+    ok = df.withColumn("_ok", F.coalesce(F.col("selection_slot").isin(*slots) & (F.col("selection_score") > least), F.lit(False)))
+    by = W.partitionBy(*exam, "selection_slot").orderBy(F.desc("_ok"), F.desc("selection_score"), *ties, volume)
+    ranked = ok.withColumn("candidate_rank", F.when(F.col("_ok"), F.row_number().over(by))).filter("candidate_rank is not null").drop("_ok")
     return ranked, wide(ranked, exam, "selection_slot", slots, F.col(volume), "candidate_rank", F.concat(F.col(volume).cast("string"), F.lit(" ("), F.format_string("%.1f", "selection_score"), F.lit(")")))
 
 

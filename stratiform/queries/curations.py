@@ -151,7 +151,7 @@ _STEPS = [
     {"type": "add_date", "candidates": ["StudyDate", "SeriesDate"]},
     {"type": "exclude_text", "column": "o_orderpriority", "words": ["low", "urgent"]},
     {"type": "volume_id", "columns": ["o_custkey", "o_orderkey"]},
-    {"type": "hook", "function": lambda c: F.round(c / 1000, 2), "inputs": ["o_totalprice"], "outputs": ["thousands"]},
+    {"type": "hook", "function": lambda c: F.floor(c / 1000), "inputs": ["o_totalprice"], "outputs": ["thousands"]},
     {"type": "visit_order", "patient": "o_custkey", "study": "o_orderkey", "date": "date"},
     {"type": "select", "columns": ["o_orderkey", "date_source", "visit_order", "delay_since_prev_exam", "thousands", "volume_id"]},
 ]
@@ -159,7 +159,7 @@ _STEPS = [
 
 @query("""WITH o AS (SELECT * FROM orders WHERE o_orderstatus IN ('F', 'O') AND NOT contains(lower(o_orderpriority), 'low') AND NOT contains(lower(o_orderpriority), 'urgent')), s AS (SELECT *, CAST(o_orderdate AS DATE) AS d FROM o),
 w AS (SELECT *, row_number() OVER v - 1 AS visit_order, coalesce(date_diff('day', lag(d) OVER v, d), 0) AS delay_since_prev_exam FROM s WINDOW v AS (PARTITION BY o_custkey ORDER BY d, o_orderkey))
-SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'StudyDate' ELSE 'SeriesDate' END AS date_source, visit_order, delay_since_prev_exam, round(o_totalprice / 1000, 2) AS thousands, sha1(o_custkey || '||' || o_orderkey) AS volume_id FROM w""")
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'StudyDate' ELSE 'SeriesDate' END AS date_source, visit_order, delay_since_prev_exam, CAST(floor(o_totalprice / 1000) AS BIGINT) AS thousands, sha1(o_custkey || '||' || o_orderkey) AS volume_id FROM w""")
 def l01_declared_steps(spark, sf_dir):
     o = table(spark, sf_dir, "orders").withColumns({"StudyDate": F.when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "yyyyMMdd")).otherwise("unknown"), "SeriesDate": F.date_format("o_orderdate", "yyyy-MM-dd")})
     return L.run(o, _STEPS)
