@@ -8,15 +8,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in spark.checkpoint.dir. Only a purely local session may do without the setting: it gets a temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        master = spark.sparkContext.master
+        master, app = spark.sparkContext.master, spark.sparkContext.applicationId
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if app not in _LOCAL:
+            _LOCAL[app] = "file://" + tempfile.mkdtemp(prefix="spark-")
+        base = _LOCAL[app]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
