@@ -12,6 +12,7 @@ from stratiform.functions import text as T
 from stratiform.functions.clock import durations
 from stratiform.functions.rules import number
 from stratiform.operators import phases as P
+from stratiform.operators.ordering import first_acquisition
 from stratiform.operators.rollup import wide
 from stratiform.shared import written
 
@@ -201,6 +202,21 @@ def missing_native(df: DataFrame, group: Sequence[str], acquisition: str, phase:
     return df.withColumn(phase, F.when(~has & enough & first & F.coalesce(candidate, F.lit(False)), "NATIVE").otherwise(F.col(phase)))
 
 
+def pre_post_native(df: DataFrame, group: Sequence[str], text: str, phase: str, orders: Sequence[str]) -> DataFrame:
+    """In groups with a text that says both before and after contrast, the first acquisition (ties are all first) becomes native.
+
+    Not if a first one has another phase, or a purely post-contrast text. Explicit phases of other rows stay.
+    """
+    c = F.coalesce(F.col(text), F.lit(""))
+    df = df.withColumns({"_mixed": P.mixed(c).cast("int"), "_post": (P.post_contrast(c) & ~T.has(c, "native") & ~P.mixed(c)).cast("int")})
+    df = first_acquisition(df, group, orders)
+    w = W.partitionBy(*group)
+    label = T.label_or_other(F.col(phase))
+    wrong = F.max((F.col("is_first") & (~label.isin("OTHER", "NATIVE") | (F.col("_post") == 1))).cast("int")).over(w) == 1
+    hit = F.col("is_first") & (F.max("_mixed").over(w) == 1) & ~wrong
+    return df.withColumn("_hit", hit).withColumn(phase, F.when(F.col("_hit"), "NATIVE").otherwise(F.col(phase))).drop("_mixed", "_post", "_hit", "is_first")
+
+
 #: The order of phases after injection, for the fold.
 TEMPLATE = ("NATIVE", "ARTERIAL", "PORTAL_VENOUS", "DELAYED")
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from stratiform.operators.ordering import benjamini_hochberg
+
 
 def unpivoted(df: DataFrame, names: Sequence[str], keys: Sequence[str] = (), name: str = "feature", value: str = "value") -> DataFrame:
     """Long form: a row per key and column, values as text unless all are numeric."""
@@ -95,6 +99,56 @@ def two_groups(df: DataFrame, names: Sequence[str], group: str, a, b, row: str)
     )
 
 
+def _incomplete_beta(a: float, b: float, x: float) -> float:
+    """Regularised, by its continued fraction."""
+    if x <= 0 or x >= 1:
+        return min(max(x, 0.0), 1.0)
+    if x > (a + 1) / (a + b + 2):
+        return 1 - _incomplete_beta(b, a, 1 - x)
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    f = c = 1.0
+    d = 0.0
+    for i in range(400):
+        m = i // 2
+        step = 1.0 if i == 0 else m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)) if i % 2 == 0 else -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        d = 1 / (1 + step * d or 1e-300)
+        c = 1 + step / c or 1e-300
+        f *= c * d
+        if abs(1 - c * d) < 1e-12:
+            break
+    return front * (f - 1) if f != 1 else front
+
+
+def student_p(t: float, df: float) -> float:
+    """Two-sided p-value of t with df degrees of freedom."""
+    return _incomplete_beta(df / 2, 0.5, df / (df + t * t))
+
+
+def normal_p(z: float) -> float:
+    return math.erfc(abs(z) / math.sqrt(2))
+
+
+def tested(groups: DataFrame) -> DataFrame:
+    """The result of two_groups (a row per feature) with p-values of both tests and their Benjamini-Hochberg q-values.
+
+    A Python function, as SQL has no distribution functions; it sees one row per feature.
+    """
+
+    @F.pandas_udf("struct<welch_p:double,mann_whitney_p:double>")
+    def p_values(rows: pd.DataFrame) -> pd.DataFrame:
+        ok = lambda *v: all(x is not None and math.isfinite(x) for x in v)
+        return pd.DataFrame({
+            "welch_p": [student_p(t, d) if ok(t, d) else None for t, d in zip(rows["welch_t"], rows["df"])],
+            "mann_whitney_p": [normal_p(z) if ok(z) else None for z in rows["z"]],
+        })
+
+    out = groups.withColumn("_p", p_values(F.struct("welch_t", "df", "z"))).select(*groups.columns, "_p.*")
+    for test in ("welch", "mann_whitney"):
+        out = benjamini_hochberg(out, f"{test}_p").withColumnRenamed("q_value", f"{test}_q")
+        out = out.withColumn(f"{test}_significant", F.col(f"{test}_q") < 0.05)
+    return out
+
+
 def path_like(c: Column) -> Column:
     return F.coalesce(c.rlike(r"^([A-Za-z]:)?[\\/]|\.(nii|dcm|gz|csv|parquet)$|^[a-z]+://"), F.lit(False))
 

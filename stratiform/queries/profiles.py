@@ -79,6 +79,12 @@ def q10_two_groups(spark, sf_dir):
     return out.withColumns({**{c: r6(F.col(c)) for c in out.columns if c not in ("feature", "n_a", "n_b", "df")}, "df": F.round("df", 4)})
 
 
+@query()
+def q10_p_values(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_type", F.col("p_size").cast("double").alias("p_size"), "p_retailprice", (F.col("p_partkey") % 50 / 2).alias("half"))
+    return Q.tested(Q.two_groups(p, _PART, "p_type", "ECONOMY", "SMALL", "p_partkey"))
+
+
 @query("SELECT o_custkey, year(o_orderdate) AS visit, round(avg(o_totalprice), 6) AS mean, round(stddev_samp(o_totalprice), 6) AS std FROM orders GROUP BY 1, 2")
 def q13_trajectory(spark, sf_dir):
     g = table(spark, sf_dir, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("visit"))

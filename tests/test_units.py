@@ -147,3 +147,19 @@ def test_files(spark, tmp_path):
         sources.save_selection({"a": both, "b": both}, {"a": "p", "b": "p"})
     with pytest.raises(ValueError):
         tables.require(both, ["b"])
+
+
+def test_p_values(spark):
+    from stratiform.operators import profile
+
+    assert abs(profile.student_p(2.228138852, 10) - 0.05) < 1e-8 and abs(profile.normal_p(1.959963985) - 0.05) < 1e-8 and profile.student_p(0, 5) == 1
+    df = spark.createDataFrame([(i, "a" if i < 20 else "b", float(i), float(i % 7)) for i in range(40)], "id int, g string, up double, same double")
+    out = {r["feature"]: r for r in profile.tested(profile.two_groups(df, ["up", "same"], "g", "a", "b", "id")).collect()}
+    assert out["up"]["welch_significant"] and not out["same"]["mann_whitney_significant"] and out["up"]["u"] == 0 and out["up"]["welch_q"] <= 2 * out["up"]["welch_p"]
+
+
+def test_pre_post_native(spark):
+    rows = [("g", "v1", "pre and post contrast", None, 1), ("g", "v2", "ax", None, 2), ("h", "v3", "with contrast", None, 1), ("h", "v4", "pre/post", None, 2), ("i", "v5", "w and w/o", "ARTERIAL", 1), ("i", "v6", "x", None, 2), ("j", "v7", "plain", None, 1)]
+    df = spark.createDataFrame(rows, "g string, id string, text string, phase string, t int")
+    out = {r["id"]: r["phase"] for r in curation.pre_post_native(df, ["g"], "text", "phase", ["t"]).collect()}
+    assert out == {"v1": "NATIVE", "v2": None, "v3": None, "v4": None, "v5": "ARTERIAL", "v6": None, "v7": None}
