@@ -11,10 +11,10 @@ first dealt out such that equal strings meet:
    hashes of its anchors, once each, to the bucket of the hash.
 3. A bucket answers to each pack which of its anchors also occur in another document; other strings cannot repeat.
 4. Each pack sends the segments of those anchors, again only distinct ones with the least doc_id that has them; later documents
-   in the same pack lose such a segment at once. In a bucket the LENGTH-byte suffixes that start in segments are sorted by bytes, then
-   by document; in a run of equal ones the first is the nearest smaller position of all others, so exactly
-   they have a longest previous factor of LENGTH. Suffixes are compared byte by byte; equal segments of one pack are told by a
-   64-bit hash of all their bytes and their length.
+   in the same pack lose such a segment at once, and in a bucket so do documents of other packs. Where the first segments of an
+   anchor differ, the LENGTH-byte suffixes that start in them are sorted by bytes, then by document; in a run of equal ones the first is the nearest smaller position of all others, so exactly
+   they have a longest previous factor of LENGTH. Suffixes are compared byte by byte; equal segments are told by a
+   64-bit hash of all their bytes, length and anchor.
 5. The verdicts go back to the packs, which cut the removed ranges.
 
 A passage in a third of all documents reaches a bucket once per pack, so no bucket grows with the number of copies; texts move
@@ -26,6 +26,7 @@ document and take nothing from each other. Texts under LENGTH bytes are kept. Ex
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,14 +37,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import U64, columns_of, mix64, offsets_of, powers, prefix_hash, written
+from stratiform.llm.common import U64, columns_of, mix64, offsets_of, powers, prefix_hash, scratch, written
 
 LENGTH = 50
 GRAM = 20
 SPAN = LENGTH - GRAM + 1  # places an anchor can have in a string
 PACK = 12_000_000
 SLICE = 1_000_000
-BUCKET_BYTES = 64_000_000
+BUCKET_BYTES = 8_000_000  # of the table's text per bucket
 NO_ID = np.iinfo(np.int64).min
 
 
@@ -179,6 +180,23 @@ def shared_anchors(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["pack", "bucket", "keys"])
 
 
+def contents(data: np.ndarray, begin: np.ndarray, count: np.ndarray, key: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each segment's bytes, length, anchor and the anchor's place."""
+    size = count + LENGTH - 1
+    h = np.zeros(len(begin), U64)
+    some, at = h, begin
+    for j in range(int(size.max()) if len(size) else 0):
+        if j >= LENGTH:  # all segments are that long
+            on = np.flatnonzero(size > j)
+            some, at = h[on], begin[on]
+        some = (some + data[at + j] + U64(1)) * U64(0x9E3779B97F4A7C15) ^ some >> U64(29)
+        if j >= LENGTH:
+            h[on] = some
+        else:
+            h = some
+    return mix64(h ^ mix64(key ^ (size.astype(U64) << U64(40)) ^ (shift.astype(U64) << U64(52))))
+
+
 def claims(pack: Pack, replies: list, buckets: int) -> tuple[list[tuple[int, np.ndarray, np.ndarray]], np.ndarray]:
     """Segments to be judged, by bucket (their numbers and bytes), and strings (starts, counts) that an earlier document of the pack has."""
     wanted = np.sort(np.concatenate([np.frombuffer(r["keys"], np.uint32).astype(U64) | U64(r["bucket"]) << U64(32) for r in replies])) if replies else np.zeros(0, U64)
@@ -193,13 +211,7 @@ def claims(pack: Pack, replies: list, buckets: int) -> tuple[list[tuple[int, np.
         return [], np.zeros((0, 2), np.int64)
     full, doc, place, count, shift = (np.concatenate(x) for x in zip(*rows))
     size = count + LENGTH - 1
-    # equal segments of the pack: hashed piecewise, since the prefix hash of a whole pack would be large
-    content = np.zeros(len(full), U64)
-    h = np.zeros(len(full), U64)
-    for j in range(int(size.max())):
-        on = j < size
-        h[on] = (h[on] + pack.data[place[on] + j] + U64(1)) * U64(0x9E3779B97F4A7C15) ^ h[on] >> U64(29)
-    content = mix64(h ^ mix64(full ^ (size.astype(U64) << U64(40)) ^ (shift.astype(U64) << U64(52))))
+    content = contents(pack.data, place, count, full, shift)
     order = np.lexsort((doc, content))
     c, d = content[order], doc[order]
     head = np.maximum.accumulate(np.where(np.concatenate(([True], c[1:] != c[:-1])), np.arange(len(c)), 0))
@@ -223,14 +235,27 @@ def verdicts(pdf: pd.DataFrame) -> pd.DataFrame:
     unzip = zstandard.ZstdDecompressor().decompress
     tables = [np.frombuffer(unzip(x), np.int64).reshape(5, -1) for x in pdf["claims"]]
     pack = np.repeat(pdf["pack"].to_numpy(), [t.shape[1] for t in tables])
-    _, doc, place, count, _ = np.concatenate(tables, axis=1)
+    key, doc, place, count, shift = np.concatenate(tables, axis=1)
     data = np.frombuffer(b"".join(unzip(x) for x in pdf["bytes"]), np.uint8)
     begin = np.concatenate(([0], np.cumsum(count + LENGTH - 1)[:-1]))
-    row = np.repeat(np.arange(len(doc)), count)
-    number = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    late = suffix_repeats(data, begin[row] + number, doc[row])
     mask = np.zeros(len(doc), np.int64)
+    # whole segments that an earlier document has too
+    content = contents(data, begin, count, key.view(U64), shift)
+    order = np.lexsort((doc, content))
+    head = np.maximum.accumulate(np.where(np.concatenate(([True], content[order][1:] != content[order][:-1])), np.arange(len(order)), 0))
+    later = doc[order] > doc[order][head]
+    mask[order[later]] = (np.int64(1) << count[order[later]]) - 1
+    # anchors whose first segments differ: their strings one by one
+    first = order[head == np.arange(len(order))]
+    _, at, n = np.unique(key[first], return_inverse=True, return_counts=True)
+    mixed = first[n[at] > 1]
+    row = np.repeat(mixed, count[mixed])
+    number = np.arange(len(row)) - np.repeat(np.cumsum(count[mixed]) - count[mixed], count[mixed])
+    late = suffix_repeats(data, begin[row] + number, doc[row])
     np.bitwise_or.at(mask, row[late], np.int64(1) << number[late])
+    # rows of one document with one segment share the verdict of the first
+    same = order[~later]
+    mask[same] |= mask[order[head[~later]]]
     hit = np.flatnonzero(mask)
     out = []
     for p in np.unique(pack[hit]):
@@ -292,9 +317,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, spans (removed byte ranges: maximal, in order), kept (the other bytes): a row for each row of docs."""
     spark = docs.sparkSession
     docs = columns_of(docs, doc_id="long", text="string")
-    packs = written(docs.mapInArrow(_packed, "pack long, ids binary, sizes binary, body binary"), "packs")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"packs_{uuid.uuid4().hex}"
+    # bucketed by pack: the two joins below read it in place instead of shuffling the texts
+    rows = docs.mapInArrow(_packed, "pack long, ids binary, sizes binary, body binary")
+    rows.write.bucketBy(parts, "pack").option("path", scratch(spark, "packs")).saveAsTable(name)
+    packs = spark.table(name)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
+    buckets = max(2 * parts, -(-total // BUCKET_BYTES))
 
     def send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
