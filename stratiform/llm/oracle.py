@@ -66,4 +66,39 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
-ORACLE_SQL = {"op5_url_rules": OP5, "op7_decontaminate": OP7, "op10_chat": OP10}
+OP6 = rf"""
+WITH RECURSIVE docs AS (SELECT doc_id, regexp_extract_all({_LOW.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * common >= 85 * (x.n + y.n - common)),
+ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a AS node, a AS other FROM ways UNION SELECT node, b FROM reach JOIN ways ON other = a),
+least AS (SELECT node, min(other) AS component FROM reach GROUP BY node)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, doc_id) AS component_id, coalesce(component, doc_id) = doc_id AS kept
+FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON doc_id = node
+"""
+
+OP8 = """
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+bytes AS (
+  SELECT doc_id, i, substr(x, 2 * i + 1, 2) AS byte, CASE WHEN 2 * i + 100 <= length(x) THEN substr(x, 2 * i + 1, 100) END AS string
+  FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2)) AS i FROM texts)
+),
+firsts AS (SELECT string, min(doc_id) AS first FROM bytes WHERE string IS NOT NULL GROUP BY string),
+hits AS (SELECT doc_id, i FROM bytes JOIN firsts USING (string) WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM hits, range(0, 50) AS t(k)),
+marked AS (SELECT b.doc_id, b.i, byte, g.i IS NOT NULL AS removed FROM bytes b LEFT JOIN gone g ON b.doc_id = g.doc_id AND b.i = g.i),
+edges AS (SELECT *, removed AND NOT coalesce(lag(removed) OVER (PARTITION BY doc_id ORDER BY i), false) AS starts FROM marked),
+done AS (
+  SELECT doc_id, count(*) AS n_bytes, count(*) FILTER (WHERE removed) AS n_removed, count(*) FILTER (WHERE starts) AS n_spans,
+         coalesce(string_agg(CASE WHEN NOT removed THEN byte END, '' ORDER BY i), '') AS kept FROM edges GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM texts LEFT JOIN done USING (doc_id)
+"""
+
+ORACLE_SQL = {"op8_repeats": OP8, "op6_near_dedup": OP6, "op5_url_rules": OP5, "op7_decontaminate": OP7, "op10_chat": OP10}
