@@ -173,7 +173,8 @@ def near_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
     docs = columns_of(docs, doc_id="long", text="string")
     signed = written(signatures(docs), "near-signatures")
     found = signed.filter("n_shingles > 0 and doc_id is not null")
-    reps = found.groupBy("n_shingles", "fp1", "fp2").agg(F.min("doc_id").alias("rep"))
+    # written, so that both sides of the join are exchanged for it and a hot group of copies can be split between tasks
+    reps = written(found.groupBy("n_shingles", "fp1", "fp2").agg(F.min("doc_id").alias("rep")), "near-reps")
     classes = written(found.select("doc_id", "n_shingles", "fp1", "fp2").join(reps, ["n_shingles", "fp1", "fp2"]), "near-classes").withColumnRenamed("n_shingles", "n")
     heads = classes.filter("doc_id = rep").select("doc_id", "n", "fp1", "fp2").distinct()
     bands = found.join(heads.drop("n"), ["doc_id", "fp1", "fp2"], "left_semi").select("doc_id", "n_shingles", F.explode("bands").alias("band"))
