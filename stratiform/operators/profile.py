@@ -35,21 +35,29 @@ def top_values(df: DataFrame, names: Sequence[str], n: int = 20) -> DataFrame:
     return counts.withColumn("rank", rank).filter(F.col("rank") <= n)
 
 
-def described(df: DataFrame, names: Sequence[str], points: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """Per feature: count, missing share, mean, deviation, min, exact percentiles, max, coefficient of variation; infinite is missing."""
+def percentiles(c: str, points: Sequence[float], exact: bool = True) -> Column:
+    """An array of percentiles in one aggregate. The exact one keeps a count per distinct value; `exact=False` keeps a bounded sketch."""
+    where = F.array(*(F.lit(float(p)) for p in points))
+    return F.percentile(c, where) if exact else F.percentile_approx(c, where, 10_000)
+
+
+def described(df: DataFrame, names: Sequence[str], points: Sequence[float], by: Sequence[str] = (), exact: bool = True) -> DataFrame:
+    """Per feature: count, missing share, mean, deviation, min, percentiles, max, coefficient of variation; infinite is missing."""
     long = unpivoted(df, names, by)
     v = F.when(F.abs("value") < float("inf"), F.col("value"))
-    return long.withColumn("value", v).groupBy(*by, "feature").agg(
+    out = long.withColumn("value", v).groupBy(*by, "feature").agg(
         F.count("value").alias("n"), (1 - F.count("value") / F.count("*")).alias("missing"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), *(F.percentile("value", p).alias(f"p{round(p * 100)}") for p in points), F.max("value").alias("max"),
+        F.min("value").alias("min"), percentiles("value", points, exact).alias("_p"), F.max("value").alias("max"),
         F.try_divide(F.stddev_samp("value"), F.avg("value")).alias("cv"),
     )
+    return out.withColumns({f"p{round(p * 100)}": F.col("_p")[i] for i, p in enumerate(points)}).drop("_p")
 
 
 def outliers(df: DataFrame, names: Sequence[str], factor: float = 1.5) -> DataFrame:
     """Values outside the quartiles by more than `factor` ranges, of features with four values or more."""
     long = unpivoted(df, names).filter(F.col("value").isNotNull())
-    q = long.groupBy("feature").agg(F.percentile("value", 0.25).alias("q1"), F.percentile("value", 0.75).alias("q3"), F.count("*").alias("n")).filter("n >= 4")
+    q = long.groupBy("feature").agg(percentiles("value", (0.25, 0.75)).alias("_q"), F.count("*").alias("n")).filter("n >= 4")
+    q = q.select("feature", "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"))
     out = (F.col("value") < F.col("q1") - factor * (F.col("q3") - F.col("q1"))) | (F.col("value") > F.col("q3") + factor * (F.col("q3") - F.col("q1")))
     hit = long.join(F.broadcast(q), "feature")  # a row per feature
     return hit.groupBy("feature").agg(F.first("n").alias("n"), F.count_if(out).alias("outliers"))

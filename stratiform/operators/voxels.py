@@ -186,7 +186,8 @@ def seams(coverage: DataFrame) -> DataFrame:
 def window_levels(voxels: DataFrame, low: float = 0.01, high: float = 0.99) -> DataFrame:
     """Percentiles of the finite values per scan; equal ones are set one apart."""
     v = F.when(F.abs("value") < float("inf"), F.col("value"))
-    p = voxels.groupBy("scan_id").agg(F.percentile(v, low).alias("low"), F.percentile(v, high).alias("high"))
+    p = voxels.groupBy("scan_id").agg(F.percentile(v, F.array(F.lit(low), F.lit(high))).alias("_p"))
+    p = p.select("scan_id", F.col("_p")[0].alias("low"), F.col("_p")[1].alias("high"))
     return p.withColumn("high", F.when(F.col("high") <= F.col("low"), F.col("low") + 1).otherwise(F.col("high")))
 
 
