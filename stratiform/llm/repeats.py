@@ -43,7 +43,7 @@ LENGTH = 50
 GRAM = 20
 SPAN = LENGTH - GRAM + 1  # places an anchor can have in a string
 PACK = 12_000_000
-SLICE = 1_000_000
+SLICE = 500_000
 BUCKET_BYTES = 8_000_000  # of the table's text per bucket
 NO_ID = np.iinfo(np.int64).min
 
@@ -201,10 +201,11 @@ def claims(pack: Pack, replies: list, buckets: int) -> tuple[list[tuple[int, np.
     """Segments to be judged, by bucket (their numbers and bytes), and strings (starts, counts) that an earlier document of the pack has."""
     wanted = np.sort(np.concatenate([np.frombuffer(r["keys"], np.uint32).astype(U64) | U64(r["bucket"]) << U64(32) for r in replies])) if replies else np.zeros(0, U64)
     rows = []
+    wanted_one = max(len(wanted) - 1, 0)
     for key, doc, place, count, shift in pack.segments():
         full = _short(key).astype(U64) | _bucket(key, buckets).astype(U64) << U64(32)
         at = np.searchsorted(wanted, full)
-        hit = np.flatnonzero(wanted[np.minimum(at, max(len(wanted) - 1, 0))] == full) if len(wanted) else np.zeros(0, np.int64)
+        hit = np.flatnonzero(wanted[np.minimum(at, wanted_one)] == full) if len(wanted) else np.zeros(0, np.int64)
         if len(hit):
             rows.append((full[hit], pack.ids[doc[hit]], place[hit], count[hit], shift[hit]))
     if not rows:
@@ -295,7 +296,8 @@ def cut_pack(pack: Pack, lost: np.ndarray, masks: list[np.ndarray]) -> pa.Record
             at = m[m[:, 1] >> bit & 1 == 1, 0] + bit
             np.add.at(cover, at, 1)
             np.add.at(cover, at + LENGTH, -1)
-    gone = np.cumsum(cover[:-1]) > 0
+    gone = np.cumsum(cover[:-1], dtype=np.int32) > 0
+    del cover
     bound = pack.offsets
     edge = np.zeros(n + 1, bool)
     edge[bound] = True
@@ -304,7 +306,7 @@ def cut_pack(pack: Pack, lost: np.ndarray, masks: list[np.ndarray]) -> pa.Record
     at = np.searchsorted(starts, bound)
     owner = np.searchsorted(bound, starts, "right") - 1
     spans = pa.StructArray.from_arrays([starts - bound[owner], stops - bound[owner]], ["start", "end"])
-    kept_before = np.concatenate(([0], np.cumsum(~gone)))[bound]
+    kept_before = np.concatenate(([0], np.cumsum(~gone, dtype=np.int32)))[bound]
     kept = pa.BinaryArray.from_buffers(pa.binary(), len(pack.ids), [None, pa.py_buffer(kept_before.astype(np.int32).tobytes()), pa.py_buffer(pack.data[~gone].tobytes())])
     ids = pa.array(pack.ids, mask=pack.ids == NO_ID)
     return pa.RecordBatch.from_arrays([ids, np.diff(bound), pa.ListArray.from_arrays(at.astype(np.int32), spans), kept], names=["doc_id", "n_bytes", "spans", "kept"])
