@@ -38,7 +38,7 @@ ROWS = 4  # of a band; 32 bands: a pair at 0.85 shares none with probability 6e-
 #: Agreeing slots below which a pair at 0.85 cannot be, but for a chance under 1e-6.
 LEAST_AGREE = 84
 #: Shingles that one verification block holds on average.
-BLOCK_SHINGLES = 1_000_000
+BLOCK_SHINGLES = 200_000
 _TURN = [U64(x | 1) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
 
