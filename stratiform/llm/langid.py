@@ -12,8 +12,9 @@ A text's score for a language is its cross-entropy per character; the lowest win
 regression of "was right" on the margin to the runner-up over a bounded sample of the training rows; `rejected` marks
 predictions whose calibrated score is below REJECT.
 
-The model is bounded: beyond MAX_CELLS (keys times languages) 4-grams of low counts are left out, the least threshold that fits.
-Counting covers all training rows, and predictions read whole texts.
+No count is left out. Up to MAX_CELLS (distinct 4-grams times languages) the model is broadcast; a larger one stays in written tables
+(`WrittenModel`): Spark takes continuation counts, discounts and totals by windows and groupings, and the texts' distinct 4-grams are
+joined with it. Both give the same probabilities. Counting covers all training rows, and predictions read whole texts.
 
 Defined cases: null texts and texts without a letter are `und` with score 0; so is everything if no language was learned.
 Repeated rows give a row each; extra columns are ignored. Ties go to the language first in the alphabet.
@@ -25,13 +26,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratiform.llm.calibrate import calibrated, isotonic
 from stratiform.llm.common import U64, columns_of, mix64, text_slices, written
 
 ORDER = 4
+#: Distinct 4-grams times languages of a model that is broadcast; a larger one is joined.
 MAX_CELLS = 8_000_000
 #: Training rows that calibrate the margin, about.
 CALIBRATION_ROWS = 20_000
@@ -143,6 +147,18 @@ class HashArray:
         return out
 
 
+def discount(n1: int, n2: int) -> float:
+    return min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 else 0.5
+
+
+def decided(h: np.ndarray, letters: np.ndarray, langs: list[str], points: tuple) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, calibrated score and margin of each text from its cross-entropies."""
+    best = h.argmin(axis=1)
+    margin = np.partition(h, 1, axis=1)[:, 1] - h.min(axis=1) if len(langs) > 1 else np.full(len(h), 1.0)
+    score = np.where(letters > 0, calibrated(margin, points), 0.0)
+    return [langs[b] if k else "und" for b, k in zip(best, letters)], score, np.where(letters > 0, margin, 0.0)
+
+
 class Model:
     """Log-probabilities of n-grams of each order and back-off weights of contexts, for all languages."""
 
@@ -166,7 +182,7 @@ class Model:
             for i, lang in enumerate(self.langs):
                 keys, n = per_order[order][lang]
                 n1, n2 = (n == 1).sum(), (n == 2).sum()
-                d = min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 else 0.5
+                d = discount(n1, n2)
                 at = np.searchsorted(contexts, keys >> U64(16))
                 total, types = np.bincount(at, weights=n, minlength=len(contexts)), np.bincount(at, minlength=len(contexts))
                 has = total > 0
@@ -214,42 +230,146 @@ class Model:
         """Language, calibrated score and margin of each text."""
         if not self.langs:
             return ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
-        h, letters = self.entropies(texts)
-        best = h.argmin(axis=1)
-        margin = np.partition(h, 1, axis=1)[:, 1] - h.min(axis=1) if len(self.langs) > 1 else np.full(len(texts), 1.0)
-        score = np.where(letters > 0, calibrated(margin, self.points), 0.0)
-        return [self.langs[b] if k else "und" for b, k in zip(best, letters)], score, np.where(letters > 0, margin, 0.0)
+        return decided(*self.entropies(texts), self.langs, self.points)
+
+
+def _dense(lists: pa.Array, width: int, absent: float) -> np.ndarray:
+    """A row for each list of (i, v) pairs, with v at place i."""
+    out = np.full((len(lists), width), absent)
+    i, v = lists.flatten().flatten()
+    out[np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy()), i.to_numpy()] = v.to_numpy()
+    return out
+
+
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (key, text) the distinct 4-grams of each text and how often they occur; a text without any gives one row with none."""
+    at = TaskContext.get().partitionId() << 33
+    for batch in batches:
+        for a, b in text_slices(batch, "text", 2_000_000):
+            part = batch.slice(a, b - a)
+            c, doc, letters = characters(part.column(1).to_pylist())
+            g = grams(c, doc)
+            n = np.bincount(doc[g != 0], minlength=len(part))
+            rows, keys, times = [np.flatnonzero(n == 0)], [np.zeros((n == 0).sum(), U64)], [np.zeros((n == 0).sum(), np.int64)]
+            edges = np.searchsorted(doc, np.arange(len(part) + 1))
+            for i in np.flatnonzero(n):
+                mine = g[edges[i] : edges[i + 1]]
+                u, k = np.unique(mine[mine != 0], return_counts=True)
+                rows.append(np.full(len(u), i))
+                keys.append(u)
+                times.append(k)
+            row, key, m = np.concatenate(rows), np.concatenate(keys), np.concatenate(times)
+            for i in range(0, len(row), 50_000):
+                r, k = row[i : i + 50_000], key[i : i + 50_000]
+                arrays = [part.column(0).take(pa.array(r)), r + at, letters[r], n[r], pa.array(k.view(np.int64), mask=k == 0), m[i : i + 50_000]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) if isinstance(x, np.ndarray) else x for x in arrays], names=["key", "row", "letters", "n", "gram", "m"])
+            at += len(part)
+
+
+class WrittenModel:
+    """The probabilities of Model for counts of any size, as tables in the shared folder: for each order the n-grams and the contexts,
+
+    each with a list of (language, value) of the languages that have it. A list is bounded by the languages, a window by the 16-bit characters.
+    """
+
+    def __init__(self, counts: DataFrame, langs: list[str]) -> None:
+        self.langs = langs
+        self.points = (np.array([0.0]), np.array([0.5]))
+        self.orders: list[tuple[DataFrame, DataFrame] | None] = [None] * (ORDER + 1)
+        for order in range(ORDER, 0, -1):
+            ones = {r["lang"]: (r["n1"], r["n2"]) for r in counts.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).collect()}
+            d = counts.sparkSession.createDataFrame([(lang, i, discount(*ones[lang])) for i, lang in enumerate(langs)], "lang string, i int, d double")
+            rows = counts.withColumn("context", F.shiftrightunsigned("gram", 16)).join(d, "lang")
+            pair = lambda v: F.collect_list(F.struct("i", v.alias("v")))
+            p = (F.col("n") - F.col("d")) / F.sum("n").over(W.partitionBy("lang", "context"))
+            seen = rows.withColumn("p", p).groupBy("gram").agg(pair(F.col("p")).alias("seen"))
+            back = rows.groupBy("i", "context", "d").agg((F.col("d") * F.count("*") / F.sum("n")).alias("back")).groupBy("context").agg(pair(F.col("back")).alias("back"))
+            self.orders[order] = (written(seen, "lang-grams"), written(back, "lang-contexts"))
+            # continuation counts: how many characters precede each shorter n-gram
+            counts = written(counts.groupBy("lang", F.col("gram").bitwiseAND((1 << 16 * (order - 1)) - 1).alias("gram")).agg(F.count("*").alias("n")), "lang-counts") if order > 1 else counts
+        self.floor = 1.0 / (counts.select("gram").distinct().count() + 1)
+
+    def logs(self, wanted: DataFrame) -> DataFrame:
+        """gram, logs (a log-probability for each language) of distinct 4-grams, seen or not: from the unigrams up, an order at a time."""
+        by_order = {ORDER: wanted}
+        for order in range(ORDER - 1, 0, -1):
+            by_order[order] = written(by_order[order + 1].select(F.col("gram").bitwiseAND((1 << 16 * order) - 1).alias("gram")).distinct(), "lang-wanted")
+        width, floor = len(self.langs), self.floor
+        out: DataFrame | None = None
+        for order in range(1, ORDER + 1):
+            seen, back = self.orders[order]
+            rows = by_order[order].withColumns({"context": F.shiftrightunsigned("gram", 16), "suffix": F.col("gram").bitwiseAND((1 << 16 * (order - 1)) - 1)})
+            rows = rows.join(seen, "gram", "left").join(back, "context", "left")
+            rows = rows.withColumn("p", F.lit(None).cast("array<double>")) if out is None else rows.join(out.select(F.col("gram").alias("suffix"), "p"), "suffix")
+
+            def run(batches: Iterator[pa.RecordBatch], last: bool = order == ORDER, first: bool = order == 1) -> Iterator[pa.RecordBatch]:
+                step = max(1, 1_000_000 // width)
+                for batch in batches:
+                    for a in range(0, batch.num_rows, step):
+                        part = batch.slice(a, step)
+                        lower = floor if first else part.column(3).flatten().to_numpy().reshape(-1, width)
+                        p = _dense(part.column(1), width, 0.0) + _dense(part.column(2), width, 1.0) * lower
+                        p = np.log(p) if last else p
+                        lists = pa.ListArray.from_arrays(np.arange(len(p) + 1, dtype=np.int32) * width, p.astype(np.float32 if last else np.float64).reshape(-1))
+                        yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["gram", "logs" if last else "p"])
+
+            out = rows.select("gram", "seen", "back", "p").mapInArrow(run, "gram long, logs array<float>" if order == ORDER else "gram long, p array<double>")
+        return out
+
+    def predicted(self, df: DataFrame) -> DataFrame:
+        kind = df.schema["key"].dataType.simpleString()
+        # written, so that a row keeps its number
+        parts = written(df.mapInArrow(_exploded, f"key {kind}, row long, letters long, n long, gram long, m long"), "lang-texts")
+        logs = self.logs(written(parts.filter("gram is not null").select("gram").distinct(), "lang-wanted"))
+        sums = [F.sum(F.col("m") * F.col("logs")[i].cast("double")).alias(f"s{i}") for i in range(len(self.langs))]
+        rows = parts.join(logs, "gram", "left").groupBy("row", "key", "letters", "n").agg(*sums)
+        langs, points = self.langs, self.points
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                letters, n = (batch.column(i).to_numpy() for i in (2, 3))
+                h = -np.stack([c.fill_null(0).to_numpy() for c in batch.columns[4:]], axis=1) / np.maximum(n, 1)[:, None]
+                lang, score, margin = decided(h, letters, langs, points)
+                yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(lang, pa.string()), pa.array(score), pa.array(margin)], names=["key", "lang_pred", "score", "margin"])
 
+        return rows.mapInArrow(run, f"key {kind}, lang_pred string, score double, margin double")
 
-def learn(train: DataFrame) -> Model:
+
+def predicted(df: DataFrame, model: Model | WrittenModel) -> DataFrame:
+    """key, lang_pred, score, margin for each row (key, text)."""
+    if isinstance(model, WrittenModel):
+        return model.predicted(df)
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in text_slices(batch, "text", 2_000_000):
+                part = batch.slice(a, b - a)
+                lang, score, margin = shared.value.predict(part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), score, margin], names=["key", "lang_pred", "score", "margin"])
+
+    return df.mapInArrow(run, f"key {df.schema['key'].dataType.simpleString()}, lang_pred string, score double, margin double")
+
+
+def learn(train: DataFrame) -> Model | WrittenModel:
     """A model of rows (text, lang)."""
     train = train.filter("lang is not null")
     counts = written(gram_counts(train), "grams")
-    langs = counts.select("lang").distinct().count()
-    least = 1
-    while langs and counts.filter(F.col("n") >= least).count() * langs > MAX_CELLS:
-        least *= 2
-    kept = counts.filter(F.col("n") >= least)
-    model_rows: dict[str, tuple] = {}
-    for lang in sorted(r["lang"] for r in kept.select("lang").distinct().collect()):
-        t = kept.filter(F.col("lang") == lang).select("gram", "n").toArrow()
-        keys, n = t.column(0).to_numpy().view(U64), t.column(1).to_numpy()
-        order = np.argsort(keys)
-        model_rows[lang] = (keys[order], n[order])
-    model = Model(model_rows)
+    langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    if counts.select("gram").distinct().count() * len(langs) > MAX_CELLS:
+        model: Model | WrittenModel = WrittenModel(counts, langs)
+    else:
+        model_rows: dict[str, tuple] = {}
+        for lang in langs:
+            t = counts.filter(F.col("lang") == lang).select("gram", "n").toArrow()
+            keys, n = t.column(0).to_numpy().view(U64), t.column(1).to_numpy()
+            order = np.argsort(keys)
+            model_rows[lang] = (keys[order], n[order])
+        model = Model(model_rows)
     if len(model.langs) > 1:
         sample = max(1, train.count() // CALIBRATION_ROWS)
-        shared = train.sparkSession.sparkContext.broadcast(model)
-
-        def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for a, b in text_slices(batch, "text", 2_000_000):
-                    part = batch.slice(a, b - a)
-                    lang, _, margin = shared.value.predict(part.column(0).to_pylist())
-                    right = [x == y for x, y in zip(lang, part.column(1).to_pylist())]
-                    yield pa.RecordBatch.from_arrays([np.minimum(margin * BINS / 2, BINS).astype(np.int64), pa.array(right)], names=["k", "right"])
-
-        some = train.filter(F.pmod(F.xxhash64("text"), F.lit(sample)) == 0).select("text", "lang").mapInArrow(margins, "k long, right boolean")
+        some = predicted(train.filter(F.pmod(F.xxhash64("text"), F.lit(sample)) == 0).select(F.col("lang").alias("key"), "text"), model)
+        some = some.select(F.least(F.col("margin") * BINS / 2, F.lit(float(BINS))).cast("long").alias("k"), (F.col("lang_pred") == F.col("key")).alias("right"))
         bins = sorted(some.groupBy("k").agg(F.sum(F.col("right").cast("long")), F.count("*")).collect())
         if bins:
             k, p, n = np.array(bins, float).T
@@ -257,15 +377,7 @@ def learn(train: DataFrame) -> Model:
     return model
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
+def identify(docs: DataFrame, model: Model | WrittenModel) -> DataFrame:
     """doc_id, lang_pred, score, rejected for each row of docs."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b in text_slices(batch, "text", 2_000_000):
-                part = batch.slice(a, b - a)
-                lang, score, _ = shared.value.predict(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), score, score < REJECT], names=["doc_id", "lang_pred", "score", "rejected"])
-
-    return columns_of(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, lang_pred string, score double, rejected boolean")
+    out = predicted(columns_of(docs, doc_id="long", text="string").select(F.col("doc_id").alias("key"), "text"), model)
+    return out.select(F.col("key").alias("doc_id"), "lang_pred", "score", (F.col("score") < REJECT).alias("rejected"))

@@ -209,6 +209,28 @@ def test_language_probabilities_sum_to_one(spark):
     assert np.all(model._probability(4, keys).sum(axis=0) <= 1 + 1e-9)
 
 
+def test_language_model_too_large_to_broadcast(spark, docs, empty, monkeypatch):
+    """A written model gives what a broadcast one gives, a rare language included."""
+    from stratiform.llm import langid
+
+    rng = random.Random(6)
+    train = [(prose(rng, 30), "en") for _ in range(60)] + [(" ".join(rng.choice(["und", "der", "nicht", "über", "weiß"]) for _ in range(30)), "de") for _ in range(60)] + [("qvaxi zzorn", "rare"), ("中文字符", "zh")]
+    train = spark.createDataFrame(train, "text string, lang string")
+    tests = docs.select("doc_id", "text").union(spark.createDataFrame([(100, "qvaxi zzorn"), (101, "nicht über der"), (102, "zzorn qvaxi"), (103, "中文"), (104, "12 34!"), (104, "the Ωmega"), (None, "ß")], "doc_id long, text string"))
+    rows = lambda model: sorted((str(r["doc_id"]), r["lang_pred"], round(r["score"], 6), r["rejected"]) for r in identify(tests, model).collect())
+    whole = learn(train)
+    want = rows(whole)
+    monkeypatch.setattr(langid, "MAX_CELLS", 100)
+    model = learn(train)
+    assert model.langs == ["de", "en", "rare", "zh"] and rows(model) == want
+    assert {r[1] for r in want if r[0] in ("100", "102")} == {"rare"} and {r[1] for r in want if r[0] == "103"} == {"zh"}
+    assert identify(empty, model).collect() == []
+    text = "a zzorn nicht"
+    keys = [int(k) for k in langid.grams(*langid.characters([text])[:2]).view("int64") if k]
+    got = {r["gram"]: r["logs"] for r in model.logs(spark.createDataFrame([(k,) for k in sorted(set(keys))], "gram long")).collect()}
+    assert -sum(got[k][2] for k in keys) / len(keys) == pytest.approx(whole.entropies([text])[0][0][2], abs=1e-5)
+
+
 def test_quality(spark, docs, empty):
     rng = random.Random(7)
     rows = [(i, prose(rng, 60) if i % 2 else " ".join(["###" + prose(rng, 1) + "!!"] * 40)) for i in range(300)]
