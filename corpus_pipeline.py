@@ -21,16 +21,22 @@ QUALITY = 0.3
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that the quality classifier does not reject."""
-    scored = score_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rejected = scored.filter(F.col("score") < QUALITY).select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(COLUMNS)
+    """Keeps the rows that the quality classifier does not reject; the score stands beside each row, whatever its id."""
+    scored = score_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), beside=COLUMNS)
+    return scored.filter(~(F.col("score") < QUALITY)).select([F.col(f"_{c}").alias(c) for c in COLUMNS])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group of near-duplicates; of repeated rows of an id one."""
-    copies = near_dedup(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(COLUMNS)
+    """Keeps the document with the least id of each group of near-duplicates; of rows that repeat an id and its text the least.
+
+    The verdict belongs to an id and a text. Rows without an id are not copies of each other: the operator keeps them all.
+    """
+    docs = docs.select(COLUMNS).withColumn("text_hash", F.xxhash64("text"))
+    copies = near_dedup(docs, beside=["text_hash"]).filter(~F.col("kept")).select("doc_id", F.col("_text_hash").alias("text_hash")).distinct()
+    rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    named = docs.filter("doc_id is not null").join(copies, ["doc_id", "text_hash"], "left_anti")
+    named = named.groupBy("doc_id", "text").agg(F.min(F.struct(rest)).alias("rest")).select("doc_id", "text", "rest.*")
+    return named.select(COLUMNS).union(docs.filter("doc_id is null").select(COLUMNS))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

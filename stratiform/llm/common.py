@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -14,9 +14,14 @@ from stratiform.shared import scratch, written  # noqa: F401  the operators take
 U64 = np.uint64
 
 
-def columns_of(df: DataFrame, **wanted: str) -> DataFrame:
-    """Only the wanted columns (name=type); a missing one is null. Other columns, whatever their names, stay out."""
-    return df.select([(F.col(f"`{c}`").cast(t) if c in df.columns else F.lit(None).cast(t)).alias(c) for c, t in wanted.items()])
+def columns_of(df: DataFrame, beside: Sequence[str] = (), **wanted: str) -> DataFrame:
+    """Only the wanted columns (name=type); a missing one is null. Other columns, whatever their names, stay out, but for those `beside`: as _<name>."""
+    return df.select([(F.col(f"`{c}`").cast(t) if c in df.columns else F.lit(None).cast(t)).alias(c) for c, t in wanted.items()] + [F.col(f"`{c}`").alias(f"_{c}") for c in beside])
+
+
+def types_of(df: DataFrame, beside: Sequence[str]) -> str:
+    """The columns `beside` as the end of a schema."""
+    return "".join(f", _{c} {df.schema[c].dataType.simpleString()}" for c in beside)
 
 
 def fold_bucket(column: Column, folds: int) -> Column:

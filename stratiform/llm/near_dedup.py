@@ -23,7 +23,7 @@ Repeated rows give one row each. Extra columns are ignored. An empty table gives
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import LOWER, SPACED, U64, columns_of, components, mix64, offsets_of, prefix_hash, range_hash, text_slices, words_of, written
+from stratiform.llm.common import LOWER, SPACED, U64, columns_of, components, mix64, offsets_of, prefix_hash, range_hash, text_slices, types_of, words_of, written
 
 SLOTS = 128
 ROWS = 4  # of a band; 32 bands: a pair at 0.85 shares none with probability 6e-11
@@ -121,12 +121,13 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = np.array(sums, np.int64).reshape(-1, 3)
             keys = band_keys(superminhash(sets))
             lists = pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * keys.shape[1], keys.reshape(-1))
-            yield pa.RecordBatch.from_arrays([part.column(0), sums[:, 0], sums[:, 1], sums[:, 2], lists], schema=_SIGNED)
+            beside = [part.schema.field(i) for i in range(2, part.num_columns)]
+            yield pa.RecordBatch.from_arrays([part.column(0), sums[:, 0], sums[:, 1], sums[:, 2], lists, *part.columns[2:]], schema=pa.schema([*_SIGNED, *beside]))
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, fp1, fp2 (fingerprint of the set), bands: one row for each row of docs."""
-    return columns_of(docs, doc_id="long", text="string").mapInArrow(_signatures, "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>")
+def signatures(docs: DataFrame, beside: Sequence[str] = ()) -> DataFrame:
+    """doc_id, n_shingles, fp1, fp2 (fingerprint of the set), bands, columns `beside`: one row for each row of docs."""
+    return columns_of(docs, beside, doc_id="long", text="string").mapInArrow(_signatures, "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>" + types_of(docs, beside))
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,14 +169,14 @@ def confirm(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame(edges, columns=["a", "b"]).astype("int64")
 
 
-def near_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id, kept. Links: 100 * intersection >= percent * union."""
-    docs = columns_of(docs, doc_id="long", text="string")
-    signed = written(signatures(docs), "near-signatures")
+def near_dedup(docs: DataFrame, percent: int = 85, beside: Sequence[str] = ()) -> DataFrame:
+    """One row per row of docs: doc_id, n_shingles, component_id, kept, and its columns `beside` as _<name>. Links: 100 * intersection >= percent * union."""
+    signed = written(signatures(docs, beside), "near-signatures")
+    docs, beside = columns_of(docs, doc_id="long", text="string"), [f"_{c}" for c in beside]
     found = signed.filter("n_shingles > 0 and doc_id is not null")
     # written, so that both sides of the join are exchanged for it and a hot group of copies can be split between tasks
     reps = written(found.groupBy("n_shingles", "fp1", "fp2").agg(F.min("doc_id").alias("rep")), "near-reps")
-    classes = written(found.select("doc_id", "n_shingles", "fp1", "fp2").join(reps, ["n_shingles", "fp1", "fp2"]), "near-classes").withColumnRenamed("n_shingles", "n")
+    classes = written(found.select("doc_id", "n_shingles", "fp1", "fp2", *beside).join(reps, ["n_shingles", "fp1", "fp2"]), "near-classes").withColumnRenamed("n_shingles", "n")
     heads = classes.filter("doc_id = rep").select("doc_id", "n", "fp1", "fp2").distinct()
     bands = found.join(heads.drop("n"), ["doc_id", "fp1", "fp2"], "left_semi").select("doc_id", "n_shingles", F.explode("bands").alias("band"))
     stars = bands.groupBy("band").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).filter("lead < last").select("band", "lead")
@@ -197,6 +198,6 @@ def near_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
     links = met.groupBy("component", "x", "y").applyInPandas(lambda pdf: confirm(pdf, percent), "a long, b long")
     linked = components(written(links, "near-links"), "near-final")
     # a link names a representative; every document of its class follows it
-    named = classes.select(F.col("doc_id"), F.col("n").alias("n_shingles"), "rep").join(linked, F.col("rep") == linked.node, "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    alone = signed.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return named.union(alone).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    named = classes.select(F.col("doc_id"), F.col("n").alias("n_shingles"), "rep", *beside).join(linked, F.col("rep") == linked.node, "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"), *beside)
+    alone = signed.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), *beside)
+    return named.union(alone).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), *beside)

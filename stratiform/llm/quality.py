@@ -13,7 +13,7 @@ labels count each. Without labels the score is 0.5. Repeated rows give a row eac
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.llm.calibrate import calibrated, isotonic
-from stratiform.llm.common import LOWER, SPACED, columns_of, offsets_of, prefix_hash, range_hash, text_slices, words_of, written
+from stratiform.llm.common import LOWER, SPACED, columns_of, offsets_of, prefix_hash, range_hash, text_slices, types_of, words_of, written
 
 FOURIER = 128
 WIDTH = 3.0
@@ -88,7 +88,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             offsets, data = offsets_of(part.column(1))
             x = statistics(data, offsets).astype(np.float32)
             lists = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], x.reshape(-1))
-            yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["doc_id", "x"])
+            yield pa.RecordBatch.from_arrays([part.column(0), lists, *part.columns[2:]], names=["doc_id", "x", *part.schema.names[2:]])
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -167,9 +167,9 @@ def fit(train: DataFrame) -> Model:
     return model
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> DataFrame:
-    """doc_id, score for each row of docs. labels: doc_id, quality (0 or 1); `learn` says which of them to learn from, by doc_id."""
-    stats = written(columns_of(docs, doc_id="long", text="string").mapInArrow(_statistics, "doc_id long, x array<float>"), "statistics")
+def score_quality(docs: DataFrame, labels: DataFrame, learn: Column | None = None, beside: Sequence[str] = ()) -> DataFrame:
+    """doc_id, score for each row of docs, with its columns `beside` as _<name>. labels: doc_id, quality (0 or 1); `learn` says which of them to learn from, by doc_id."""
+    stats = written(columns_of(docs, beside, doc_id="long", text="string").mapInArrow(_statistics, "doc_id long, x array<float>" + types_of(docs, beside)), "statistics")
     known = columns_of(labels, doc_id="long", quality="int").filter("quality in (0, 1)")
     known = known.filter(learn) if learn is not None else known
     train = written(stats.join(known, "doc_id").select("x", F.col("quality").alias("y")), "quality-train")
@@ -178,6 +178,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn: Column | None = Non
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), model.score(matrix(batch.column(1), len(NAMES)))], names=["doc_id", "score"])
+            score = pa.array(model.score(matrix(batch.column(1), len(NAMES))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), score, *batch.columns[2:]], names=["doc_id", "score", *batch.schema.names[2:]])
 
-    return stats.mapInArrow(run, "doc_id long, score double")
+    return stats.mapInArrow(run, "doc_id long, score double" + types_of(docs, beside))

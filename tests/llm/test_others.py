@@ -92,3 +92,56 @@ def test_pipeline(spark):
     assert counts[0] > counts[1] > counts[2] >= counts[3] == counts[4] > 0
     out = P.run(spark, sf)
     assert out.count() == counts[4] and out.filter(F.size("ids") != F.col("n_tokens")).count() == 0
+
+
+@pytest.fixture(scope="module")
+def odd_documents(spark):
+    """Good and bad texts by their kind, with null and repeated ids."""
+    import random
+
+    rng = random.Random(11)
+    word = lambda: rng.choice(["alpha", "beta", "gamma", "the", "of", "river", "stone", "walks", "green", "when", "over"])
+    good, bad = (lambda: " ".join(word() for _ in range(60))), (lambda: " ".join(f"###{word()}!!" for _ in range(40)))
+    rows = [(i, good() if i % 2 else bad(), "en", "web", 1) for i in range(300)]
+    rows += [(None, good(), "en", "web", 2), (None, good(), "de", "web", 3), (None, bad(), "en", "web", 4), (1, bad(), "en", "web", 5), (3, good(), "en", "web", 6), rows[5], (None, rows[7][1], None, None, None)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), rows
+
+
+def test_pipeline_quality_by_row(spark, odd_documents, tmp_path):
+    import corpus_pipeline as P
+
+    df, rows = odd_documents
+    spark.createDataFrame([(i, i % 2, 0) for i in range(300)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = sorted(map(str, map(tuple, P.quality(spark, df, str(tmp_path)).collect())))
+    assert got == sorted(str(r) for r in rows if "###" not in r[1])
+
+
+def test_pipeline_copies_by_row(spark, odd_documents):
+    import corpus_pipeline as P
+
+    df, rows = odd_documents
+    extra = [(400, rows[9][1], "en", "web", 7), (400, "quite another text of its own that nothing else here resembles at all", "en", "web", 8), (1, rows[1][1], "aa", "web", 9), (None, None, None, None, None), (None, None, None, None, None), (500, None, "en", "web", 0), (501, "", "en", "web", 0)]
+    rows = [r for r in rows if "###" not in r[1]] + extra
+    whole = df.filter(~F.col("text").contains("###")).union(spark.createDataFrame(extra, df.schema))
+    shingles = lambda t: {tuple((t or "").split()[i : i + 5]) for i in range(max(1, len((t or "").split()) - 4))} if (t or "").split() else set()
+    named = [r for r in rows if r[0] is not None]
+    like = lambda a, b: bool(a) and 100 * len(a & b) >= 85 * len(a | b)
+    sets = {r[1]: shingles(r[1]) for r in named}
+    first = {}
+    for r in named:
+        if not any(o[0] < r[0] and like(sets[o[1]], sets[r[1]]) for o in named):
+            first[r[:2]] = min(first.get(r[:2], r), r)
+    want = [*first.values(), *(r for r in rows if r[0] is None)]
+    assert sorted(map(str, map(tuple, P.near_duplicates(spark, whole, "").collect()))) == sorted(map(str, want))
+
+
+def test_pipeline_maps_by_row(spark, odd_documents, tmp_path):
+    import corpus_pipeline as P
+
+    df, rows = odd_documents
+    item = " ".join(rows[7][1].split()[10:30])
+    spark.createDataFrame([("i1", item)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = [r for r in rows if r[1] != rows[7][1]]
+    assert sorted(map(str, map(tuple, P.benchmark(spark, df, str(tmp_path)).collect()))) == sorted(map(str, clean))
+    assert sorted(map(str, map(tuple, P.secrets(spark, df, "").collect()))) == sorted(map(str, rows))
+    assert sorted(str(r["doc_id"]) for r in P.tokens(spark, df, "").collect()) == sorted(str(r[0]) for r in rows)
