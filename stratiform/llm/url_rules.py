@@ -1,9 +1,10 @@
 """URL filters (operator 5), DataFrame functions only.
 
 Two kinds of rules: host/path rules (`example.com/en/`, allow or block; the longest that fits wins) and patterns
-(regular expressions with a literal token) that decide the other URLs. Every rule is indexed by one literal token, the one that
+(regular expressions with a literal part) that decide the other URLs. Every rule is indexed by one literal token, the one that
 is rarest among the URLs' tokens: a frequency of the rules' own tokens over the whole table is counted first (one partially
-aggregated row per token). A URL's distinct tokens look up their candidate rules, and only those run their regular expression.
+aggregated row per token). A URL's distinct tokens look up their candidate rules, and only those run their regular expression. Tokens of host/path rules are
+whole runs of a-z and 0-9; a pattern's literal may lie inside a longer run, so its tokens are the tri-grams of the literal, and a URL's are those of its runs.
 
 Up to INLINE rules the index is a literal map inside the projection, and judging is a map over rows with no shuffle. More rules
 go through `judge_joined`: tokens are exploded and joined with the index (Spark broadcasts it only below its own size
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 INLINE = 500
 _TOKEN = "[a-z0-9]+"
+#: Before a tri-gram, so that it is no whole run.
+_PART = "*"
 
 
 @dataclass(frozen=True)
@@ -47,8 +50,11 @@ def host_rule(name: str, verdict: str) -> Rule:
 
 
 def pattern_rule(regex: str, tokens: tuple[str, ...], verdict: str = "block") -> Rule:
-    """A regular expression; every match contains all the tokens, each as a whole run of a-z and 0-9."""
-    return Rule(regex, verdict, regex, tokens, False)
+    """A regular expression; every match contains all the tokens (a-z and 0-9, one of three at least), inside longer runs too."""
+    parts = tuple(sorted({_PART + t[i : i + 3] for t in tokens for i in range(len(t) - 2)}))
+    if not parts:
+        raise ValueError(f"no literal of three characters: {regex}")
+    return Rule(regex, verdict, regex, parts, False)
 
 
 def host_of(url: Column) -> Column:
@@ -70,9 +76,13 @@ def _after(url: Column) -> Column:
     return F.substring(url, F.instr(url, "://") + 3, F.length(url))
 
 
-def tokens_of(target: Column) -> Column:
-    """The distinct runs of a-z and 0-9 of the lower-cased host and path."""
-    return F.array_distinct(F.regexp_extract_all(F.translate(target, UPPER, LOWER), F.lit(f"({_TOKEN})"), 1))
+def tokens_of(target: Column, parts: bool = True) -> Column:
+    """The distinct runs of a-z and 0-9 of the lower-cased host and path, and the marked tri-grams of these runs."""
+    low = F.translate(target, UPPER, LOWER)
+    runs = F.regexp_extract_all(low, F.lit(f"({_TOKEN})"), 1)
+    if parts:
+        runs = F.concat(runs, F.transform(F.regexp_extract_all(low, F.lit("(?=([a-z0-9]{3}))"), 1), lambda t: F.concat(F.lit(_PART), t)))
+    return F.array_distinct(runs)
 
 
 def token_counts(urls: DataFrame, rules: list[Rule]) -> dict[str, int]:
@@ -104,16 +114,16 @@ def _struct(rule: Rule) -> Column:
     return F.struct(*(F.lit(v).alias(n) for n, v in zip(_NAMES, _fields(rule))))
 
 
-def prepared(pages: DataFrame, url: str) -> DataFrame:
+def prepared(pages: DataFrame, url: str, parts: bool = True) -> DataFrame:
     drop = ("host", "path", "rule", "verdict", "tokens", "target")
     df = pages.select([f"`{c}`" for c in pages.columns if c not in drop]).withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
     df = df.withColumn("target", F.concat("host", "path"))
-    return df.withColumn("tokens", tokens_of(F.col("target")))
+    return df.withColumn("tokens", tokens_of(F.col("target"), parts))
 
 
 def judge(pages: DataFrame, rules: list[Rule], url: str = "url", inline: int = INLINE) -> DataFrame:
     """pages with host, path, rule (the winning host/path rule, else null) and verdict."""
-    df = prepared(pages, url)
+    df = prepared(pages, url, any(not r.host_rule for r in rules))
     counts = token_counts(df, rules)
     by_token = index(rules, counts)
     if len(rules) > inline:

@@ -57,6 +57,16 @@ def test_urls(spark, inline):
     assert judge(df.limit(0), URL_RULES, inline=inline).collect() == []
 
 
+@pytest.mark.parametrize("inline", [500, 0])
+def test_patterns_inside_longer_runs(spark, inline):
+    want = {
+        "http://bestcasino.net/promo/": "block", "http://x.mycasino.org/a/bonus/": "block", "http://casino.org/promo/": "block", "http://casinos.org/promo/": "allow", "http://x.org/casino.y/promo/": "allow",
+        "http://e.org/Xads-track.z": "block", "http://e.org/xads-track.z": "allow", "http://e.org/Afree-bets.z": "block", "http://e.org/Zcheap-pills.": "block", "http://e.org/éads-track.z": "block", "http://bestcasino.com/promo/": "allow",
+    }
+    df = spark.createDataFrame([(u,) for u in want], "url string")
+    assert {r["url"]: r["verdict"] for r in judge(df, URL_RULES, inline=inline).collect()} == want
+
+
 def test_chat(spark):
     rows = [(1, 1, "assistant", "yes </s> \\ <s>"), (1, 0, "user", SPOOF), (1, 1, "assistant", "yes </s> \\ <s>"), (2, 0, "user", None), (2, None, None, "é"), (None, 0, "assistant", ""), (3, 0, "assis<s>tant", "x" * 5000)]
     df = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, ids int")
