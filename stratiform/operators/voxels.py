@@ -60,23 +60,51 @@ def neighbours(connectivity: int) -> list[tuple[int, int, int]]:
     return [(i, j, k) for i in r for j in r for k in r if 0 < abs(i) + abs(j) + abs(k) <= connectivity]
 
 
-def labelled(mask: DataFrame, connectivity: int = 1, rounds: int = 200, write: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Connected components: each voxel takes the least label of its neighbours until nothing moves.
+def _components(edges: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Connected components of edges (a, b): rows (node, component), the least node that each can reach; nodes without an edge are absent.
 
-    Every round is written to the shared folder, so lineage stays short and lost executors do no harm. The number of rounds is that of the longest way through a component.
+    Every node takes its least neighbour, of two that take each other the lesser is a root, and pointers are doubled until all name a root. Then roots are
+    the nodes. A tree has two nodes at least, so a round leaves at most half of them, and a round's doublings are the logarithm of its deepest tree.
+    """
+    live = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct())
+    found: DataFrame | None = None
+    while found is None or live.limit(1).count():
+        pick = cut(live.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up")))
+        back = pick.select(F.col("node").alias("_n"), F.col("up").alias("_u"))
+        mutual = (F.col("_u") == F.col("node")) & (F.col("node") < F.col("up"))
+        tree = cut(pick.join(back, F.col("up") == F.col("_n")).select("node", F.when(mutual, F.col("node")).otherwise(F.col("up")).alias("up")))
+        moved = True
+        while moved:
+            step = tree.join(tree.select(F.col("node").alias("_n"), F.col("up").alias("_u")), F.col("up") == F.col("_n"))
+            step = cut(step.select("node", F.col("_u").alias("up"), (F.col("_u") != F.col("up")).alias("moved")))
+            moved = step.filter("moved").limit(1).count() > 0
+            tree = step.drop("moved")
+        root = tree.select(F.col("node").alias("_n"), F.col("up").alias("_u"))
+        found = tree if found is None else cut(found.join(root, F.col("up") == F.col("_n"), "left").select("node", F.coalesce("_u", "up").alias("up")))
+        live = live.join(root, F.col("a") == F.col("_n")).select(F.col("_u").alias("a"), "b").join(root, F.col("b") == F.col("_n")).select("a", F.col("_u").alias("b"))
+        live = cut(live.filter("a <> b").distinct())
+    least = found.groupBy(F.col("up").alias("_n")).agg(F.min("node").alias("component"))
+    return found.join(least, F.col("up") == F.col("_n")).select("node", "component")
+
+
+def labelled(mask: DataFrame, connectivity: int = 1, write: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Connected components: each voxel takes the least voxel of its component as label.
+
+    Runs along z come from a window; neighbouring voxels tie runs, and components of runs are contracted, so rounds grow with the logarithm of the runs,
+    not with the way through a component. Every round is written to the shared folder, so lineage stays short and lost executors do no harm.
     """
     cut = write or (lambda df: written(df, "labels"))
-    label = F.struct(*XYZ)
-    now = cut(mask.select(*VOXEL, label.alias("label")))
-    steps = neighbours(connectivity)
-    for _ in range(rounds):
-        near = F.explode(F.array(*(F.struct((F.col("x") + i).alias("x"), (F.col("y") + j).alias("y"), (F.col("z") + k).alias("z")) for i, j, k in [(0, 0, 0), *steps])))
-        sent = now.select("scan_id", "label", near.alias("_p")).select("scan_id", "label", "_p.*").groupBy(*VOXEL).agg(F.min("label").alias("_l"))
-        step = cut(now.join(sent, VOXEL).select(*VOXEL, F.col("_l").alias("label"), (F.col("_l") != F.col("label")).alias("moved")))
-        now = step.drop("moved")
-        if step.filter("moved").limit(1).count() == 0:
-            return now
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
+    along = W.partitionBy("scan_id", "x", "y").orderBy("z")
+    starts = F.coalesce(F.col("z") - F.lag("z").over(along) > 1, F.lit(True))
+    run = F.last(F.when(F.col("_s"), F.col("z")), True).over(along.rowsBetween(W.unboundedPreceding, 0))
+    now = mask.select(VOXEL).withColumn("_s", starts).withColumn("_z", run)
+    now = cut(now.select(*VOXEL, F.struct("scan_id", "x", "y", F.col("_z").alias("z")).alias("run")))
+    steps = [s for s in neighbours(connectivity) if s[:2] > (0, 0)]  # along z the runs have done it, and one of two directions is enough
+    near = F.explode(F.array(*(F.struct((F.col("x") + i).alias("x"), (F.col("y") + j).alias("y"), (F.col("z") + k).alias("z")) for i, j, k in steps)))
+    sent = now.select("scan_id", F.col("run").alias("a"), near.alias("_p")).select("scan_id", "a", "_p.*")
+    tied = _components(sent.join(now, VOXEL).select("a", F.col("run").alias("b")).distinct(), cut)
+    out = now.join(tied, F.col("run") == F.col("node"), "left").withColumn("_l", F.coalesce("component", "run"))
+    return cut(out.select(*VOXEL, F.struct(*(F.col(f"_l.{c}") for c in XYZ)).alias("label")))
 
 
 def largest_component(mask: DataFrame, connectivity: int = 1, **more) -> DataFrame:

@@ -126,6 +126,28 @@ def test_masks(spark):
     assert voxels.labelled(box.limit(0)).count() == 0
 
 
+def test_long_winding_components(spark):
+    """A way of over 200 voxels settles, and labels are those of a flood fill."""
+    import random
+
+    rng = random.Random(4)
+    snake = {(x, y, 0) for y in range(0, 24, 2) for x in range(25)} | {(24 if y % 4 == 1 else 0, y, 0) for y in range(1, 23, 2)}
+    masks = {1: snake, 2: {(x, y, z) for x in range(6) for y in range(6) for z in range(6) if rng.random() < 0.35}, 3: {(5, 5, 5)}}
+    df = spark.createDataFrame([(s, *v) for s, m in masks.items() for v in sorted(m)], "scan_id long, x int, y int, z int")
+    for connectivity in (1, 3):
+        steps, want = voxels.neighbours(connectivity), {}
+        for scan, mask in masks.items():
+            for v in sorted(mask):
+                todo = [] if (scan, v) in want else [v]
+                while todo:
+                    p = todo.pop()
+                    if p in mask and (scan, p) not in want:
+                        want[scan, p] = v
+                        todo += [(p[0] + i, p[1] + j, p[2] + k) for i, j, k in steps]
+        got = {(r["scan_id"], (r["x"], r["y"], r["z"])): tuple(r["label"]) for r in voxels.labelled(df, connectivity).collect()}
+        assert got == want
+
+
 def test_steps(spark):
     with pytest.raises(ValueError):
         steps.validated([{"type": "no"}])
