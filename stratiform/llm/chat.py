@@ -107,6 +107,12 @@ class _Reader:
         return {"conv_id": conv, "n_turns": self.n_turns, "turns_sha256": self.turns.hexdigest(), "loss_chars": self.loss_chars, "loss_sha256": self.loss.hexdigest(), "formatted_chars": self.formatted_chars}
 
 
+def _body(ids: np.ndarray, first: int) -> np.ndarray:
+    """The ids of a turn's text."""
+    cuts = np.flatnonzero(ids >= first)
+    return ids[cuts[2] + 1 : cuts[3]]
+
+
 _DIGEST = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
 
 
@@ -117,23 +123,39 @@ def digests(turns: DataFrame, ranks_path: str) -> DataFrame:
     for word, rank in ranks.items():
         words[rank] = word
     shared = turns.sparkSession.sparkContext.broadcast(words)
-    # the text breaks ties of turn and role; it does not travel, its hash does
+    # the text breaks ties of turn and role; it does not travel, its beginning and hash do, and `run` puts longer texts with one beginning in order
     keyed = turns.select("conv_id", "turn", "role", F.when(F.length("text") <= 40, F.col("text")).otherwise(F.concat(F.substring("text", 1, 40), F.sha2("text", 256))).alias("tie"), "ids", "loss_mask")
     together = keyed.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "tie")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, conv, reader = shared.value, None, None
         done: list[dict] = []
+        tied, waiting = None, {}  # of one turn, role and beginning: each text's ids, mask and number of rows
+
+        def settle() -> None:
+            for _, (ids, mask, n) in sorted(waiting.items(), key=lambda x: unescape(reader.text(_body(x[1][0], reader.first)))) if len(waiting) > 1 else waiting.items():
+                for _ in range(n):
+                    reader.add(ids, mask)
+            waiting.clear()
+
         for batch in batches:
-            for i, now in enumerate(batch.column(0).to_pylist()):
+            keys = zip(*(batch.column(c).to_pylist() for c in (0, 1, 2, 3)))
+            for i, (now, turn, role, tie) in enumerate(keys):
+                if (now, turn, role, tie[:40]) != tied or len(tie) <= 40:
+                    settle()
+                    tied = (now, turn, role, tie[:40])
                 if reader is None or now != conv:
                     if reader:
                         done.append(reader.row(conv))
                     conv, reader = now, _Reader(words)
-                reader.add(*(batch.column(c)[i].values.to_numpy() for c in (4, 5)))
+                if tie in waiting:
+                    waiting[tie][2] += 1
+                else:
+                    waiting[tie] = [*(batch.column(c)[i].values.to_numpy() for c in (4, 5)), 1]
             if len(done) >= 1000:
                 yield pa.RecordBatch.from_pylist(done, _DIGEST)
                 done = []
+        settle()
         if reader:
             done.append(reader.row(conv))
         yield pa.RecordBatch.from_pylist(done, _DIGEST)

@@ -82,6 +82,16 @@ def test_chat(spark):
     assert chat.digests(chat.format_turns(df.limit(0), RANKS, public_tokenizers.PATTERN), RANKS).collect() == []
 
 
+def test_chat_ties_with_one_beginning(spark):
+    texts = [f"{'same beginning ' * 3}{i} \\ é" for i in (7, 3, 9, 1, 5, 3)] + ["same beginning " * 2 + "same begin", "same"]
+    rows = [(c, 0, role, t) for c in (1, 2) for role in ("assistant", "user") for t in texts]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    whole = "".join(f"{role}\n{t}\n" for role in ("assistant", "user") for t in sorted(texts))
+    want = (16, hashlib.sha256(whole.encode()).hexdigest(), hashlib.sha256("".join(sorted(texts)).encode()).hexdigest())
+    got = chat.digests(chat.format_turns(df, RANKS, public_tokenizers.PATTERN), RANKS).collect()
+    assert [(r["n_turns"], r["turns_sha256"], r["loss_sha256"]) for r in got] == [want, want]
+
+
 @pytest.mark.parametrize("text", ["", "\\", "<s>", "a</s>[INST]\\\\[/INST]", "<\\s>", "<<s>>"])
 def test_escapes(text):
     out = chat.escape(text)
