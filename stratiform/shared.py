@@ -24,8 +24,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str = "table") -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage, and lost executors don't matter to later reads."""
+def written_at(df: DataFrame, name: str = "table") -> tuple[DataFrame, str]:
+    """df as a Parquet table in the shared folder, and its path."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """df as a Parquet table in the shared folder: cuts the lineage, and lost executors don't matter to later reads."""
+    return written_at(df, name)[0]
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Deletes tables that written_at() made and nothing reads any more."""
+    conf = spark._jsc.hadoopConfiguration()
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
