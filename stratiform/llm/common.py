@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import hashlib
+from collections.abc import Callable, Iterator, Sequence
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.shared import scratch, written  # noqa: F401  the operators take them from here
+from stratiform.shared import discard, scratch, written, written_at  # noqa: F401  the operators take them from here
 
 U64 = np.uint64
 
@@ -67,32 +69,25 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_POWERS: dict[str, np.ndarray] = {}
+def range_keys(data: np.ndarray, start: np.ndarray, stop: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each data[start:stop]: eight bytes after another are mixed in; ranges over LONG bytes go through BLAKE2b."""
+    size = (stop - start).astype(np.int64)
+    h = mix64((size.astype(U64) + U64(1)) * U64(0x9E3779B97F4A7C15) ^ U64(seed))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))  # the eight bytes from each place on
+    on, at = np.arange(len(size)), 0
+    while len(on := on[(size[on] > at) & (size[on] <= LONG)]):
+        part = eight[start[on] + at] & _FIRST[np.minimum(size[on] - at, 8)]
+        h[on] = mix64((h[on] ^ part) * U64(0x9FB21C651E98DF25) + (h[on] >> U64(32)))
+        at += 8
+    for i in np.flatnonzero(size > LONG):
+        h[i] ^= U64(int.from_bytes(hashlib.blake2b(data[start[i] : stop[i]], digest_size=8).digest(), "little"))
+    return mix64(h)
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers, modulo 2**64, of an odd base and of its inverse."""
-    if len(_POWERS.get("up", ())) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        for key, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            p = np.full(size, base, U64)
-            p[0] = 1
-            _POWERS[key] = np.cumprod(p, dtype=U64)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
-
-
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """H with H[b] - H[a], times the inverse power at a, the polynomial hash of data[a:b]."""
-    up, _ = powers(len(data) + 1)
-    h = np.zeros(len(data) + 1, U64)
-    np.cumsum((data.astype(U64) + U64(1)) * up[: len(data)], dtype=U64, out=h[1:])
-    return h
-
-
-def range_hash(h: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    _, down = powers(len(h))
-    return mix64((h[stop] - h[start]) * down[start])
+LONG = 256
+#: Masks of the first k of eight bytes.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -118,24 +113,54 @@ SPACED[[32, 9, 10, 11, 12, 13]] = False
 # ---------------------------------------------------------------- components
 
 
-def components(edges: DataFrame, name: str = "components", rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of `edges` (a long, b long): rows (node, component), the least node that each can reach.
 
     Every round each node takes the least label among its neighbours and then the label of its label,
     so the labels of a path of length n settle in about log n rounds. A round is three joins and
-    a partial aggregation; the labels are written to the shared folder, so lineage stays short.
-    Nothing is collected but one count.
+    a partial aggregation; the labels are written to the shared folder, so lineage stays short, and the tables of the round
+    before go. Nothing is collected but one count.
     """
-    both = written(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-edges")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), f"{name}-0")
-    for i in range(1, rounds + 1):
+    spark = edges.sparkSession
+    both, _ = written_at(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-edges")
+    labels, old = written_at(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), f"{name}-0")
+    for i in count(1):
         near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
         least = labels.join(near, labels.node == near.a).select("node", F.least("label", "near").alias("label"), F.col("label").alias("was"))
-        least = written(least, f"{name}-{i}a")
+        least, half = written_at(least, f"{name}-{i}a")
         up = least.select(F.col("node").alias("up"), F.col("label").alias("of_label"))
         hop = least.join(up, least.label == up.up).select("node", F.least("label", "of_label").alias("label"), (F.least("label", "of_label") != F.col("was")).alias("moved"))
-        hop = written(hop, f"{name}-{i}b")
-        labels = hop.select("node", "label")
+        hop, new = written_at(hop, f"{name}-{i}b")
+        discard(spark, old, half)
+        labels, old = hop.select("node", "label"), new
         if hop.filter("moved").limit(1).count() == 0:
             return labels.withColumnRenamed("label", "component")
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
+    raise AssertionError
+
+
+# ---------------------------------------------------------------- groups in sorted partitions
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """The rows of each run of equal values in the first `keys` (integer) columns, across batches: a group, where rows are sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(keys)])
+        cuts = np.flatnonzero((k[:, 1:] != k[:, :-1]).any(axis=0)) + 1
+        for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if held and tuple(k[:, a]) != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = tuple(k[:, a])
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def by_group(df: DataFrame, keys: Sequence[str], run: Callable[[Iterator[pa.Table]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """run() over the groups of df by `keys` (long), one at a time; the keys come first, the other columns in their order."""
+    rest = [c for c in df.columns if c not in keys]
+    return df.select(*keys, *rest).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda batches: run(runs(batches, len(keys))), schema)

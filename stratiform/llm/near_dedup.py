@@ -3,42 +3,49 @@
 Words are runs of anything but spaces and \\x09-\\x0D after lower-casing A-Z; a document's set holds its
 distinct 5-word shingles as 64-bit hashes (a shorter text is one shingle). Steps:
 
-1. `signatures`: per document the set's size, a 128-bit fingerprint of the set, a SuperMinHash signature.
-   In SuperMinHash each element goes through the slots in an order of its own and puts j + r (r uniform) into
+1. `signatures`: per document the set's size, its 128-bit BLAKE2b digest, a SuperMinHash signature as band keys and as
+   one byte per slot. In SuperMinHash each element goes through the slots in an order of its own and puts j + r (r uniform) into
    the j-th; a slot keeps the least value. Once a document's slots are all filled, no later step can
    lower one: it stops there. Documents of a batch go through the steps together.
-2. Equal sets (exact copies) become one representative by a partially aggregated minimum of the fingerprint;
+2. Equal sets (exact copies) become one representative by a partially aggregated minimum;
    a hot group of copies never meets in one task.
-3. Banding: representatives that share a band are joined, as a star with the least id, into coarse
-   components that hold every candidate pair.
-4. Verification: only representatives in a coarse component get their full sets read, once. A component goes to one
-   task if its sets are small; a larger one is cut into blocks and every two blocks meet in a task, so
-   memory is bounded and no pair is left out. In a task, pairs already joined are skipped, others are
-   estimated by signature and confirmed exactly; only the edges of a spanning forest come out.
+3. Banding: all members of a band are paired with its lead, the least of them: a pair per member, however large the band is.
+   Pairs whose sizes or signatures rule a link out go; the rest are confirmed on their full sets. The sets are those of the
+   representatives in shared bands only: a bitmap of fixed size says which texts to read for them, so the others aren't shuffled.
+4. A band with members in several components after that may hold links that don't touch its lead. Its members' signatures are
+   compared, in blocks of bounded size, across components only; members that have a possible partner get their sets and
+   the same blocks confirm them, skipping what is joined already. So a group of copies costs one pair per member, and only bands
+   with near but unlinked members are gone through.
 5. Components of the confirmed links; each document takes its representative's.
 
-Defined cases: null, empty and blank texts have an empty set, size 0, are linked with nothing and kept.
-Repeated rows give one row each. Extra columns are ignored. An empty table gives an empty result. Ids tie to the least.
+A link at 0.85 shares no band with probability 3e-7, and agrees in fewer slots than LEAST_AGREE with probability under 1e-8.
+
+Defined cases: null, empty and blank texts have an empty set, size 0, are linked with nothing and kept. So are rows without an id.
+Repeated rows give one row each; rows that share an id are one node of the links. Extra columns are ignored. An empty table gives
+an empty result. Ids tie to the least.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import LOWER, SPACED, U64, columns_of, components, mix64, offsets_of, prefix_hash, range_hash, text_slices, types_of, words_of, written
+from stratiform.llm.common import LOWER, SPACED, U64, by_group, columns_of, components, mix64, offsets_of, range_keys, text_slices, types_of, words_of, written
 
-SLOTS = 128
-ROWS = 4  # of a band; 32 bands: a pair at 0.85 shares none with probability 6e-11
-#: Agreeing slots below which a pair at 0.85 cannot be, but for a chance under 1e-6.
-LEAST_AGREE = 84
-#: Shingles that one verification block holds on average.
-BLOCK_SHINGLES = 200_000
+SLOTS = 192
+ROWS = 6  # of a band
+#: Agreeing slots below which a pair at 0.85 cannot be: six deviations under the mean.
+LEAST_AGREE = 133
+#: Members of a band, and shingles, that one block holds on average.
+BLOCK_ROWS, BLOCK_SHINGLES = 2_000, 500_000
+#: Bits of the map of wanted documents: 131,072 rows of it are broadcast, however many documents there are.
+MAP_BITS = 1 << 23
 _TURN = [U64(x | 1) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
 
@@ -46,16 +53,16 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = 5) -> list[n
     """For each document the sorted distinct hashes of its word shingles."""
     data = LOWER[data]
     starts, stops, first = words_of(data, offsets, SPACED)
-    w = range_hash(prefix_hash(data), starts, stops)
-    full = np.zeros(max(len(w) - size + 1, 0), U64)
+    w = range_keys(data, starts, stops)
+    n = max(len(w) - size + 1, 0)
+    full = np.zeros(n, U64)
     for i in range(size):
-        full += w[i : len(w) - size + 1 + i] * (_TURN[i % 5] + U64(2 * (i // 5)))
+        full += w[i : i + n] * (_TURN[i % 5] + U64(2 * (i // 5)))
     full = mix64(full)
     out = []
     for a, b in zip(first[:-1], first[1:]):
         if b - a >= size:
-            s = full[a : b - size + 1]
-            out.append(np.unique(s))
+            out.append(np.unique(full[a : b - size + 1]))
         elif b > a:
             k = np.array([sum(int(w[a + i]) * int(_TURN[i % 5]) for i in range(b - a)) + int(b - a) & (1 << 64) - 1], U64)
             out.append(mix64(mix64(k)))
@@ -108,65 +115,150 @@ def band_keys(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return key.view(np.int64)
 
 
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("bands", pa.list_(pa.int64()))])
+def _digests(sets: list[np.ndarray]) -> np.ndarray:
+    """(2, documents): 128 bits of each set's BLAKE2b digest."""
+    return np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), np.int64).reshape(-1, 2).T
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    """A cell for each row of a matrix of bytes."""
+    return pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(np.arange(len(rows) + 1, dtype=np.int32) * np.int32(rows.shape[1])), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+_SIGNED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    row = TaskContext.get().partitionId() << 33
     for batch in batches:
-        for a, b in text_slices(batch, "text", 2_000_000):
+        for a, b in text_slices(batch, "text", 1_500_000):
             part = batch.slice(a, b - a)
             offsets, data = offsets_of(part.column(1))
             sets = shingle_sets(data, offsets)
-            sums = [np.array([len(s), (s * _TURN[0]).sum(dtype=U64), mix64(s ^ _TURN[1]).sum(dtype=U64)], U64).view(np.int64) for s in sets]
-            sums = np.array(sums, np.int64).reshape(-1, 3)
-            keys = band_keys(superminhash(sets))
+            sig = superminhash(sets)
+            keys = band_keys(sig)
             lists = pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * keys.shape[1], keys.reshape(-1))
             beside = [part.schema.field(i) for i in range(2, part.num_columns)]
-            yield pa.RecordBatch.from_arrays([part.column(0), sums[:, 0], sums[:, 1], sums[:, 2], lists, *part.columns[2:]], schema=pa.schema([*_SIGNED, *beside]))
+            fp1, fp2 = _digests(sets)
+            n = np.array([len(s) for s in sets], np.int64)
+            columns = [np.arange(row, row + len(sets)), part.column(0), n, fp1, fp2, lists, _binary(mix64(sig).astype(np.uint8)), *part.columns[2:]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], schema=pa.schema([*_SIGNED, *beside]))
+            row += len(sets)
 
 
 def signatures(docs: DataFrame, beside: Sequence[str] = ()) -> DataFrame:
-    """doc_id, n_shingles, fp1, fp2 (fingerprint of the set), bands, columns `beside`: one row for each row of docs."""
-    return columns_of(docs, beside, doc_id="long", text="string").mapInArrow(_signatures, "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>" + types_of(docs, beside))
+    """row (its number), doc_id, n_shingles, fp1, fp2 (digest of the set), bands, sig, columns `beside`: one row for each row of docs."""
+    schema = "row long, doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>, sig binary" + types_of(docs, beside)
+    return columns_of(docs, beside, doc_id="long", text="string").mapInArrow(_signatures, schema)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    done: set[tuple[int, int]] = set()  # a repeated row gives its set once in a task
     for batch in batches:
         for a, b in text_slices(batch, "text", 2_000_000):
             part = batch.slice(a, b - a)
             offsets, data = offsets_of(part.column(1))
             sets = shingle_sets(data, offsets)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["rep", "shingles"])
+            fp1, fp2 = _digests(sets)
+            keys = list(zip(part.column(0).to_pylist(), fp1.tolist()))
+            new = [i for i, k in enumerate(keys) if not (k in done or done.add(k))]
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(new, pa.int64())), pa.array(fp1[new]), pa.array(fp2[new]), pa.array([sets[i].tobytes() for i in new], pa.binary())], names=["doc_id", "fp1", "fp2", "shingles"])
 
 
-def confirm(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Edges of a spanning forest of the links in one group of sets (columns rep, side, shingles).
+def sets_of(docs: DataFrame, heads: DataFrame) -> DataFrame:
+    """node, shingles: the full sets of representatives (doc_id, fp1, fp2, node), from their texts.
 
-    side 0 and 1 are two blocks of a large component: links within a block come out of the group that holds it alone.
+    A bitmap of their ids of MAP_BITS bits, as rows of 64, is broadcast; the texts that it lets through are read, their sets joined.
     """
-    pdf = pdf.sort_values("rep", kind="stable").reset_index(drop=True)
-    sets = [np.frombuffer(x, U64) for x in pdf["shingles"]]
-    sig = mix64(superminhash(sets)).astype(np.uint16)
-    size, side, reps = np.array([len(s) for s in sets]), pdf["side"].to_numpy(), pdf["rep"].to_numpy()
-    two = side.min() != side.max()
-    root = np.arange(len(sets))
-    edges = []
-    for i in range(len(sets) - 1):
-        rest = np.arange(i + 1, len(sets))
-        small, large = np.minimum(size[rest], size[i]), np.maximum(size[rest], size[i])
-        ok = (root[rest] != root[i]) & (100 * small >= percent * large)
-        if two:
-            ok &= side[rest] != side[i]
-        rest = rest[ok]
-        rest = rest[(sig[rest] == sig[i]).sum(axis=1) >= LEAST_AGREE]
-        for j in rest:
-            if root[j] == root[i]:
-                continue
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 100 * both >= percent * (size[i] + size[j] - both):
-                edges.append((reps[i], reps[j]))
-                root[root == root[j]] = root[i]
-    return pd.DataFrame(edges, columns=["a", "b"]).astype("int64")
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(MAP_BITS))
+    bits = heads.select(F.shiftright(slot, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {MAP_BITS}) % 64 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    near = docs.withColumns({"word": F.shiftright(slot, 6), "at": (slot % 64).cast("int")}).join(F.broadcast(bits), "word").filter(F.expr("(shiftright(bits, at) & 1) = 1"))
+    return near.select("doc_id", "text").mapInArrow(_sets, "doc_id long, fp1 long, fp2 long, shingles binary").join(heads, ["doc_id", "fp1", "fp2"]).select("node", "shingles")
+
+
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """The signatures of a column, a row each."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
+def possible(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+    """a, a_id, b, b_id: the pairs (a, b) of nodes whose sizes and signatures don't rule a link out."""
+    of = lambda end: heads.select(F.col("node").alias(end), *(F.col(c).alias(f"{end}_{c}") for c in ("doc_id", "n", "sig")))
+    met = pairs.join(of("a"), "a").join(of("b"), "b").filter(100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                ok = (_matrix(batch.column(4)) == _matrix(batch.column(5))).sum(axis=1) >= LEAST_AGREE
+                yield batch.select([0, 1, 2, 3]).filter(pa.array(ok))
+
+    return met.select("a", F.col("a_doc_id").alias("a_id"), "b", F.col("b_doc_id").alias("b_id"), "a_sig", "b_sig").mapInArrow(run, "a long, a_id long, b long, b_id long")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: ids of the pairs that are links by their full sets. A set goes to each of its pairs; a hot lead's pairs are split by the adaptive join."""
+    met = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = [linked(np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64), percent) for x, y in zip(batch.column(2), batch.column(3))]
+            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+
+    return met.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "x", "y").mapInArrow(run, "a long, b long")
+
+
+def in_blocks(rows: DataFrame, size: Column, block: int) -> DataFrame:
+    """rows (band, node, ...) with x, y, side: members of a band by pairs of blocks that hold about `block` of size. A block meets itself and every other once."""
+    blocks = rows.groupBy("band").agg(F.ceil(F.sum(size) / block).cast("long").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    met = rows.join(blocks, "band").select(*rows.columns, own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    return met.select(*rows.columns, F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), (F.col("own") > F.col("other")).cast("long").alias("side"))
+
+
+def partners(tables: Iterator[pa.Table], percent: int) -> Iterator[pa.RecordBatch]:
+    """Of groups (band, x, y, node, doc_id, component, n, side, sig): members with a possible partner in another component."""
+    for t in tables:
+        node, doc_id, component, n, side = (t.column(i).to_numpy() for i in range(3, 8))
+        sig, two = _matrix(t.column(8)), t.column(1)[0] != t.column(2)[0]
+        found = np.zeros(len(node), bool)
+        for i in range(len(node) - 1):
+            rest = np.arange(i + 1, len(node))
+            ok = (component[rest] != component[i]) & (100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i]))
+            if two:
+                ok &= side[rest] != side[i]
+            rest = rest[ok]
+            if len(rest):
+                rest = rest[(sig[rest] == sig[i]).sum(axis=1) >= LEAST_AGREE]
+                found[rest] = True
+                found[i] |= bool(len(rest))
+        if found.any():
+            yield pa.RecordBatch.from_arrays([pa.array(c[found]) for c in (t.column(0).to_numpy(), node, doc_id, component, n)] + [_binary(sig[found])], names=["band", "node", "doc_id", "component", "n", "sig"])
+
+
+def forest(tables: Iterator[pa.Table], percent: int) -> Iterator[pa.RecordBatch]:
+    """Of groups (band, x, y, node, doc_id, component, n, side, sig, shingles): edges (ids) of a spanning forest of the links between components."""
+    for t in tables:
+        doc_id, component, n, side = (t.column(i).to_numpy() for i in range(4, 8))
+        sig, two = _matrix(t.column(8)), t.column(1)[0] != t.column(2)[0]
+        sets = [np.frombuffer(x.as_buffer(), U64) for x in t.column(9)]
+        root, edges = component.copy(), []
+        for i in range(len(sets) - 1):
+            rest = np.arange(i + 1, len(sets))
+            ok = (root[rest] != root[i]) & (100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i]))
+            if two:
+                ok &= side[rest] != side[i]
+            rest = rest[ok]
+            for j in rest[(sig[rest] == sig[i]).sum(axis=1) >= LEAST_AGREE]:
+                if root[j] != root[i] and linked(sets[i], sets[j], percent):
+                    edges.append((doc_id[i], doc_id[j]))
+                    root[root == root[j]] = root[i]
+        if edges:
+            yield pa.RecordBatch.from_arrays([np.array(x, np.int64) for x in zip(*edges)], names=["a", "b"])
 
 
 def near_dedup(docs: DataFrame, percent: int = 85, beside: Sequence[str] = ()) -> DataFrame:
@@ -174,30 +266,35 @@ def near_dedup(docs: DataFrame, percent: int = 85, beside: Sequence[str] = ()) -
     signed = written(signatures(docs, beside), "near-signatures")
     docs, beside = columns_of(docs, doc_id="long", text="string"), [f"_{c}" for c in beside]
     found = signed.filter("n_shingles > 0 and doc_id is not null")
+    key = ["n_shingles", "fp1", "fp2"]
     # written, so that both sides of the join are exchanged for it and a hot group of copies can be split between tasks
-    reps = written(found.groupBy("n_shingles", "fp1", "fp2").agg(F.min("doc_id").alias("rep")), "near-reps")
-    classes = written(found.select("doc_id", "n_shingles", "fp1", "fp2", *beside).join(reps, ["n_shingles", "fp1", "fp2"]), "near-classes").withColumnRenamed("n_shingles", "n")
-    heads = classes.filter("doc_id = rep").select("doc_id", "n", "fp1", "fp2").distinct()
-    bands = found.join(heads.drop("n"), ["doc_id", "fp1", "fp2"], "left_semi").select("doc_id", "n_shingles", F.explode("bands").alias("band"))
-    stars = bands.groupBy("band").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).filter("lead < last").select("band", "lead")
-    # a document has a lead per band at most: its leads and itself are tied to the least of them, which leaves few edges
-    leads = bands.join(stars, "band").groupBy("doc_id").agg(F.collect_set("lead").alias("leads"))
-    tied = leads.select(F.explode(F.array_union("leads", F.array("doc_id"))).alias("a"), F.array_min(F.array_union("leads", F.array("doc_id"))).alias("b"))
-    pairs = tied.filter("a <> b").distinct()
-    coarse = components(pairs, "near-coarse")
-
-    sized = coarse.join(heads.groupBy(F.col("doc_id").alias("node")).agg(F.max("n").alias("n")), "node")
-    blocks = sized.groupBy("component").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    member = sized.join(blocks, "component").select("node", "component", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
-    texts = docs.join(member.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").mapInArrow(_sets, "rep long, shingles binary")
-    sets = texts.join(member, texts.rep == member.node)
-    # a block meets itself (once) and every other block of its component
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    met = sets.select("rep", "shingles", "component", "block", other.alias("other"))
-    met = met.select("rep", "shingles", "component", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), (F.col("block") > F.col("other")).cast("int").alias("side"))
-    links = met.groupBy("component", "x", "y").applyInPandas(lambda pdf: confirm(pdf, percent), "a long, b long")
-    linked = components(written(links, "near-links"), "near-final")
+    reps = written(found.groupBy(key).agg(F.min(F.struct("doc_id", "row")).alias("head")).select(*key, F.col("head.doc_id").alias("rep"), F.col("head.row").alias("node")), "near-reps")
+    classes = written(found.select("doc_id", *key, *beside).join(reps.drop("node"), key).drop("fp1", "fp2"), "near-classes")
+    heads = written(found.join(reps.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "doc_id", F.col("n_shingles").alias("n"), "fp1", "fp2", "sig", "bands"), "near-heads")
+
+    bands = heads.select("node", F.explode("bands").alias("band"))
+    leads = bands.groupBy("band").agg(F.min("node").alias("lead"), F.count("*").alias("members")).filter("members > 1")
+    met = written(bands.join(leads, "band"), "near-bands")
+    heads = written(heads.drop("bands").join(met.select("node").distinct(), "node", "left_semi"), "near-shared")
+    pairs = met.filter("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
+    pairs = written(possible(pairs, heads, percent), "near-pairs")
+    sets = written(sets_of(docs, heads.select("node", "doc_id", "fp1", "fp2")), "near-sets")
+    links = written(confirmed(pairs, sets, percent), "near-links")
+    joined = components(links, "near-coarse")
+
+    # bands whose members, without the lead, are in several components
+    rest = met.filter("members > 2 and node <> lead").select("band", "node").join(heads.select("node", "doc_id", "n"), "node")
+    rest = rest.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    open_ = rest.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("band")
+    rest = written(rest.join(open_, "band").select("band", "node", "doc_id", "component", "n"), "near-rest")
+    signs = in_blocks(rest, F.lit(1), BLOCK_ROWS).join(heads.select("node", "sig"), "node")
+    some = by_group(signs.select("band", "x", "y", "node", "doc_id", "component", "n", "side", "sig"), ["band", "x", "y"], lambda t: partners(t, percent), "band long, node long, doc_id long, component long, n long, sig binary")
+    some = written(some.dropDuplicates(["band", "node"]), "near-some")
+    full = in_blocks(some, F.col("n"), BLOCK_SHINGLES).join(sets, "node")
+    more = written(by_group(full.select("band", "x", "y", "node", "doc_id", "component", "n", "side", "sig", "shingles"), ["band", "x", "y"], lambda t: forest(t, percent), "a long, b long"), "near-more")
+    if more.limit(1).count():
+        joined = components(links.union(more), "near-final")
     # a link names a representative; every document of its class follows it
-    named = classes.select(F.col("doc_id"), F.col("n").alias("n_shingles"), "rep", *beside).join(linked, F.col("rep") == linked.node, "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"), *beside)
+    named = classes.join(joined, F.col("rep") == joined.node, "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"), *beside)
     alone = signed.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), *beside)
     return named.union(alone).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), *beside)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.llm.calibrate import calibrated, isotonic
-from stratiform.llm.common import LOWER, SPACED, columns_of, offsets_of, prefix_hash, range_hash, text_slices, types_of, words_of, written
+from stratiform.llm.common import LOWER, SPACED, columns_of, offsets_of, range_keys, text_slices, types_of, words_of, written
 
 FOURIER = 128
 WIDTH = 3.0
@@ -52,7 +52,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     out = [np.log1p(n), np.log1p(words)]
     out += [_sums(table[data], offsets) / size for table in _TABLES.values()]
     length = stops - starts
-    h = range_hash(prefix_hash(LOWER[data]), starts, stops)
+    h = range_keys(LOWER[data], starts, stops)
     letters = _TABLES["upper"] | _TABLES["lower"] | _TABLES["high"]
     upper = np.concatenate(([0], np.cumsum(_TABLES["upper"][data])))
     caps = (length > 1) & (upper[stops] - upper[starts] >= 0.8 * length) if len(starts) else np.zeros(0, bool)
@@ -63,8 +63,8 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         heads = first[:-1][first[:-1] < len(h)]
         same[heads] = False
     out += [_sums(length, first) / w / 10, _sums(length > 14, first) / w, _sums(caps, first) / w, _sums(marked, first) / w]
-    lines, _, line_first = words_of(data, offsets, _NOT_NEWLINE)
-    line_hash = range_hash(prefix_hash(data), lines, _) if len(lines) else np.zeros(0, np.uint64)
+    lines, line_ends, line_first = words_of(data, offsets, _NOT_NEWLINE)
+    line_hash = range_keys(data, lines, line_ends)
     distinct, top, distinct_lines = np.zeros(len(n)), np.zeros(len(n)), np.zeros(len(n))
     for i in range(len(n)):
         if words[i]:

@@ -1,21 +1,20 @@
 """Suffix-array dedup across documents (operator 8): later copies of LENGTH-byte strings go, the first stays.
 
-A byte is removed if a LENGTH-byte string that covers it also starts in a document with a smaller doc_id. In a suffix array of the whole
-corpus those are the suffixes whose longest previous factor, taken over earlier documents, reaches LENGTH: the neighbour with an
-earlier document before or after it in suffix order shares LENGTH bytes. No task holds such an array, so suffixes are
-first dealt out such that equal strings meet:
+A byte is removed if a LENGTH-byte string that covers it also starts in a document with a smaller doc_id: the string starts a suffix whose
+longest previous factor, over earlier documents, reaches LENGTH. No task can hold a suffix array of the whole corpus, so suffixes are
+first dealt out such that those with equal beginnings meet, and each bucket has a suffix array of its own:
 
-1. Documents are packed (PACK bytes of compressed text in a row of a written table).
+1. Documents are packed (PACK bytes of text, compressed, in a row of a written table).
 2. Each LENGTH-byte string is given an anchor: the GRAM-byte substring of least hash in it, the leftmost of equals. Equal strings
    have equal anchors at equal places. A run of strings with one anchor is a segment. Each pack sends the distinct
    hashes of its anchors, once each, to the bucket of the hash.
 3. A bucket answers to each pack which of its anchors also occur in another document; other strings cannot repeat.
-4. Each pack sends the segments of those anchors, again only distinct ones with the least doc_id that has them; later documents
-   in the same pack lose such a segment at once, and in a bucket so do documents of other packs. Where the first segments of an
-   anchor differ, the LENGTH-byte suffixes that start in them are sorted by bytes, then by document; in a run of equal ones the first is the nearest smaller position of all others, so exactly
-   they have a longest previous factor of LENGTH. Suffixes are compared byte by byte; equal segments are told by a
-   64-bit hash of all their bytes, length and anchor.
-5. The verdicts go back to the packs, which cut the removed ranges.
+4. Each pack sends the segments of those anchors, equal ones once, with the least doc_id that has them; later documents
+   in the same pack lose such a segment at once, and in a bucket so do documents of other packs (`copies`: found by a hash, compared byte by byte).
+5. For anchors with several different segments the bucket sorts the suffixes that start in them (`suffix_array`), takes the LCP of
+   neighbours, finds for each suffix the nearest one before and after it in suffix order that belongs to a smaller document, and from the LCPs on the way
+   the longest previous factor (`longest_previous`). Where it reaches LENGTH, the string goes.
+6. The verdicts go back to the packs, which cut the removed ranges.
 
 A passage in a third of all documents reaches a bucket once per pack, so no bucket grows with the number of copies; texts move
 compressed, and other messages are arrays. Nothing is collected but the sum of text lengths.
@@ -37,14 +36,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import U64, columns_of, mix64, offsets_of, powers, prefix_hash, scratch, written
+from stratiform.llm.common import U64, columns_of, mix64, offsets_of, scratch, written
 
 LENGTH = 50
 GRAM = 20
 SPAN = LENGTH - GRAM + 1  # places an anchor can have in a string
-PACK = 12_000_000
+LONGEST = LENGTH + SPAN - 1  # of a segment's bytes
+PACK = 8_000_000
 SLICE = 500_000
 BUCKET_BYTES = 8_000_000  # of the table's text per bucket
+#: Text in one bucket of the written packs, and the most buckets that Spark takes.
+STORED_BYTES, MOST_STORED = 64_000_000, 100_000
 NO_ID = np.iinfo(np.int64).min
 
 
@@ -104,9 +106,9 @@ def segments(data: np.ndarray, offsets: np.ndarray, use: np.ndarray) -> tuple[np
     n = len(data)
     if n < LENGTH:
         return None
-    h = prefix_hash(data)
-    _, down = powers(n + 1)
-    gram = mix64((h[GRAM:] - h[:-GRAM]) * down[: n - GRAM + 1])
+    eight = np.ndarray((n - 7,), "<u8", data, 0, (1,))  # the eight bytes from each place on
+    m = n - GRAM + 1
+    gram = mix64(eight[:m] * U64(0x9E3779B97F4A7C15) + eight[8 : 8 + m] * U64(0xC2B2AE3D27D4EB4F) + eight[GRAM - 8 : GRAM - 8 + m] * U64(0x9FB21C651E98DF25))
     value, at = gram, np.arange(len(gram), dtype=np.int32)
     width = 1
     while width < SPAN:
@@ -197,6 +199,29 @@ def contents(data: np.ndarray, begin: np.ndarray, count: np.ndarray, key: np.nda
     return mix64(h ^ mix64(key ^ (size.astype(U64) << U64(40)) ^ (shift.astype(U64) << U64(52))))
 
 
+def equal_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether data[a:a + size] and data[b:b + size] are equal, for each row; sizes up to LONGEST."""
+    windows = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(LONGEST, np.uint8)]), LONGEST)
+    out = np.zeros(len(a), bool)
+    for i in range(0, len(a), 50_000):
+        j = slice(i, i + 50_000)
+        out[j] = ((windows[a[j]] == windows[b[j]]) | (np.arange(LONGEST) >= size[j, None])).all(axis=1)
+    return out
+
+
+def copies(data: np.ndarray, begin: np.ndarray, count: np.ndarray, content: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """For each segment the one of the least document with equal bytes (itself, if there is none). A segment that only shares the hash stands alone."""
+    order = np.lexsort((doc, content))
+    new = np.concatenate(([True], content[order][1:] != content[order][:-1]))[: len(order)]
+    first = np.empty(len(order), np.int64)
+    first[order] = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))] if len(order) else order
+    size = count + LENGTH - 1
+    some = np.flatnonzero(first != np.arange(len(first)))
+    other = some[(size[some] != size[first[some]]) | ~equal_bytes(data, begin[some], begin[first[some]], size[some])]
+    first[other] = other
+    return first
+
+
 def claims(pack: Pack, replies: list, buckets: int) -> tuple[list[tuple[int, np.ndarray, np.ndarray]], np.ndarray]:
     """Segments to be judged, by bucket (their numbers and bytes), and strings (starts, counts) that an earlier document of the pack has."""
     wanted = np.sort(np.concatenate([np.frombuffer(r["keys"], np.uint32).astype(U64) | U64(r["bucket"]) << U64(32) for r in replies])) if replies else np.zeros(0, U64)
@@ -212,13 +237,9 @@ def claims(pack: Pack, replies: list, buckets: int) -> tuple[list[tuple[int, np.
         return [], np.zeros((0, 2), np.int64)
     full, doc, place, count, shift = (np.concatenate(x) for x in zip(*rows))
     size = count + LENGTH - 1
-    content = contents(pack.data, place, count, full, shift)
-    order = np.lexsort((doc, content))
-    c, d = content[order], doc[order]
-    head = np.maximum.accumulate(np.where(np.concatenate(([True], c[1:] != c[:-1])), np.arange(len(c)), 0))
-    later = d > d[head]
-    lost = order[later]
-    own = np.sort(order[~later])
+    first = copies(pack.data, place, count, contents(pack.data, place, count, full, shift), doc)
+    later = doc > doc[first]
+    lost, own = np.flatnonzero(later), np.flatnonzero(~later)
     out = []
     bucket = (full[own] >> U64(32)).astype(np.int64)
     by = np.argsort(bucket, kind="stable")
@@ -241,22 +262,20 @@ def verdicts(pdf: pd.DataFrame) -> pd.DataFrame:
     begin = np.concatenate(([0], np.cumsum(count + LENGTH - 1)[:-1]))
     mask = np.zeros(len(doc), np.int64)
     # whole segments that an earlier document has too
-    content = contents(data, begin, count, key.view(U64), shift)
-    order = np.lexsort((doc, content))
-    head = np.maximum.accumulate(np.where(np.concatenate(([True], content[order][1:] != content[order][:-1])), np.arange(len(order)), 0))
-    later = doc[order] > doc[order][head]
-    mask[order[later]] = (np.int64(1) << count[order[later]]) - 1
-    # anchors whose first segments differ: their strings one by one
-    first = order[head == np.arange(len(order))]
-    _, at, n = np.unique(key[first], return_inverse=True, return_counts=True)
-    mixed = first[n[at] > 1]
+    first = copies(data, begin, count, contents(data, begin, count, key.view(U64), shift), doc)
+    later = doc > doc[first]
+    mask[later] = (np.int64(1) << count[later]) - 1
+    # anchors with several different segments: the suffixes that start in them
+    own = np.flatnonzero(first == np.arange(len(first)))
+    _, at, n = np.unique(key[own], return_inverse=True, return_counts=True)
+    mixed = own[n[at] > 1]
     row = np.repeat(mixed, count[mixed])
     number = np.arange(len(row)) - np.repeat(np.cumsum(count[mixed]) - count[mixed], count[mixed])
-    late = suffix_repeats(data, begin[row] + number, doc[row])
+    late = longest_previous(data, begin[row] + number, begin[row] + count[row] + LENGTH - 1, doc[row]) >= LENGTH
     np.bitwise_or.at(mask, row[late], np.int64(1) << number[late])
     # rows of one document with one segment share the verdict of the first
-    same = order[~later]
-    mask[same] |= mask[order[head[~later]]]
+    same = np.flatnonzero(~later)
+    mask[same] |= mask[first[same]]
     hit = np.flatnonzero(mask)
     out = []
     for p in np.unique(pack[hit]):
@@ -265,24 +284,45 @@ def verdicts(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["pack", "masks"])
 
 
-def suffix_repeats(data: np.ndarray, start: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Whether the longest previous factor of each suffix over smaller documents reaches LENGTH (all suffixes are that long)."""
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    word = np.zeros(len(data) + 1, U64)
-    for j in range(8):
-        word |= padded[j : j + len(word)].astype(U64) << U64(56 - 8 * j)
-    steps = [*range(0, LENGTH - 7, 8)]
-    if steps[-1] + 8 < LENGTH:
-        steps.append(LENGTH - 8)
-    columns = [word[start + s] for s in steps]
-    order = np.lexsort([doc, *columns[::-1]])  # suffix order, then document
-    equal = np.ones(max(len(order) - 1, 0), bool)
-    for c in columns:
-        s = c[order]
-        equal &= s[1:] == s[:-1]
-    head = np.maximum.accumulate(np.where(np.concatenate(([True], ~equal)), np.arange(len(order)), 0)) if len(order) else order
-    out = np.zeros(len(order), bool)
-    out[order] = doc[order] > doc[order][head]
+def suffix_array(data: np.ndarray, start: np.ndarray, stop: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes data[start:stop] (LONGEST bytes at most) in order of their bytes, then of document; and the LCP of each with the one before it."""
+    size = stop - start
+    rows = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(LONGEST, np.uint8)]), LONGEST)[start]
+    rows[np.arange(LONGEST) >= size[:, None]] = 0
+    order = np.argsort(doc, kind="stable")
+    order = order[np.argsort(rows.view(f"S{LONGEST}")[order, 0], kind="stable")]
+    lcp = np.zeros(len(order), np.int64)
+    for i in range(1, len(order), 50_000):
+        a, b = order[i - 1 : i + 49_999], order[i : i + 50_000]
+        differ = rows[a[: len(b)]] != rows[b]
+        same = np.where(differ.any(axis=1), differ.argmax(axis=1), LONGEST)
+        lcp[i : i + 50_000] = np.minimum(same, np.minimum(size[a[: len(b)]], size[b]))
+    return order, lcp
+
+
+def to_smaller(doc: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    """For each place the LCP with the nearest place before it that has a smaller document; 0 where it is under LENGTH.
+
+    Each place looks at the one before it; where that has no smaller document, it jumps to where that one looks, as all between are no smaller either.
+    """
+    at, low = np.arange(len(doc)) - 1, lcp.copy()
+    todo = np.flatnonzero((low >= LENGTH) & (doc[at] >= doc))
+    while len(todo):
+        j = at[todo]
+        low[todo], at[todo] = np.minimum(low[todo], low[j]), at[j]
+        todo = todo[(low[todo] >= LENGTH) & (doc[at[todo]] >= doc[todo])]
+    return np.where(low >= LENGTH, low, 0)
+
+
+def longest_previous(data: np.ndarray, start: np.ndarray, stop: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """The longest previous factor of each suffix data[start:stop] over the suffixes of smaller documents; 0 for one under LENGTH."""
+    if not len(start):
+        return np.zeros(0, np.int64)
+    order, lcp = suffix_array(data, start, stop, doc)
+    before = to_smaller(doc[order], lcp)
+    after = to_smaller(doc[order][::-1], np.append(0, lcp[:0:-1]))[::-1]
+    out = np.zeros(len(order), np.int64)
+    out[order] = np.maximum(before, after)
     return out
 
 
@@ -320,13 +360,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = columns_of(docs, doc_id="long", text="string")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"packs_{uuid.uuid4().hex}"
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(2 * parts, -(-total // BUCKET_BYTES))
     # bucketed by pack: the two joins below read it in place instead of shuffling the texts
+    name = f"packs_{uuid.uuid4().hex}"
     rows = docs.mapInArrow(_packed, "pack long, ids binary, sizes binary, body binary")
-    rows.write.bucketBy(parts, "pack").option("path", scratch(spark, "packs")).saveAsTable(name)
+    rows.write.bucketBy(min(MOST_STORED, max(parts, -(-total // STORED_BYTES))), "pack").option("path", scratch(spark, "packs")).saveAsTable(name)
     packs = spark.table(name)
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(2 * parts, -(-total // BUCKET_BYTES))
+    spark.sql(f"drop table {name}")  # the name alone: the files are outside the warehouse and stay
 
     def send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):

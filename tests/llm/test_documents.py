@@ -12,7 +12,7 @@ from stratiform.llm import repeats
 from stratiform.llm.bpe import Encoder, decode, encode, merge_long, merge_short, read_ranks
 from stratiform.llm.decontaminate import decontaminate, words
 from stratiform.llm.langid import identify, learn
-from stratiform.llm.near_dedup import near_dedup, superminhash
+from stratiform.llm.near_dedup import SLOTS, near_dedup, shingle_sets, superminhash
 from stratiform.llm.quality import score_quality
 from stratiform.llm.repeats import remove_repeats
 from stratiform.llm.secrets import KINDS, find_secrets, redacted, scan
@@ -60,6 +60,15 @@ def shingles(text):
 def test_near_dedup(docs, texts, empty):
     got = {r["doc_id"]: r for r in near_dedup(docs).collect() if r["doc_id"] is not None}
     sets = {i: shingles(t) for i, t in texts.items()}
+    root = components_of(sets)
+    for i, s in sets.items():
+        assert (got[i]["n_shingles"], got[i]["component_id"], got[i]["kept"]) == (len(s), root[i], root[i] == i)
+    assert near_dedup(docs).count() == docs.count()
+    assert near_dedup(empty).collect() == []
+
+
+def components_of(sets):
+    """Brute force: the least id that each document reaches by links."""
     root = {i: i for i in sets}
 
     def find(x):
@@ -70,18 +79,79 @@ def test_near_dedup(docs, texts, empty):
             if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
-    for i, s in sets.items():
-        assert (got[i]["n_shingles"], got[i]["component_id"], got[i]["kept"]) == (len(s), find(i), find(i) == i)
-    assert near_dedup(docs).count() == docs.count()
-    assert near_dedup(empty).collect() == []
+    return {i: find(i) for i in sets}
 
 
-def test_blocks_of_a_large_component(docs, monkeypatch):
+def test_links_that_do_not_touch_a_lead(spark, monkeypatch):
+    """Texts that drift word by word are one component though few are linked with the least of a band; a second drift is another."""
     from stratiform.llm import near_dedup as module
 
-    whole = sorted(map(str, near_dedup(docs).collect()))
+    rng = random.Random(8)
+    texts = {}
+    for start in (0, 100):
+        w = [f"{rng.choice('abcdefgh')}{rng.randint(0, 99)}" for _ in range(120)]
+        for i in range(40):
+            texts[start + (i * 17) % 40] = " ".join(w)
+            w[(i * 7) % 120] = f"new{start}x{i}"
+    words = texts[3].split()
+    texts |= {200 + i: " ".join(words[: 20 * i] + [f"own{i}w{k}" for k in range(120 - 20 * i)]) for i in range(6)}
+    want = components_of({i: shingles(t) for i, t in texts.items()})
+    assert len({want[i] for i in range(40)}) == 1 and len(set(want.values())) > 4
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    monkeypatch.setattr(module, "BLOCK_ROWS", 7)
     monkeypatch.setattr(module, "BLOCK_SHINGLES", 500)
-    assert sorted(map(str, near_dedup(docs).collect())) == whole
+    assert {r["doc_id"]: r["component_id"] for r in near_dedup(df).collect()} == want
+
+
+def test_groups_are_confirmed_in_blocks(spark):
+    """The part for bands with several components, on its own: any links at all, in blocks of four."""
+    import numpy as np
+    from stratiform.llm.common import by_group, mix64
+    from stratiform.llm.near_dedup import forest, in_blocks, partners
+
+    rng = random.Random(9)
+    texts = []
+    for _ in range(5):
+        base = [f"w{rng.randint(0, 999)}" for _ in range(80)]
+        for i in range(4):
+            texts.append(" ".join([f"x{rng.randint(0, 9)}", *base[i:]]))
+    raw = [t.encode() for t in texts]
+    sets = shingle_sets(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    sig = mix64(superminhash(sets)).astype(np.uint8)
+    rows = spark.createDataFrame([(1, i, i, i, len(s), bytearray(sig[i].tobytes())) for i, s in enumerate(sets)], "band long, node long, doc_id long, component long, n long, sig binary")
+    columns = ["band", "x", "y", "node", "doc_id", "component", "n", "side", "sig"]
+    some = by_group(in_blocks(rows, F.lit(1), 4).select(columns), ["band", "x", "y"], lambda t: partners(t, 85), "band long, node long, doc_id long, component long, n long, sig binary").dropDuplicates(["node"])
+    assert some.count() == 20
+    full = in_blocks(some, F.lit(1), 4).join(spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sets)], "node long, shingles binary"), "node")
+    edges = by_group(full.select(*columns, "shingles"), ["band", "x", "y"], lambda t: forest(t, 85), "a long, b long").collect()
+    reach = components_of({i: {i} for i in range(20)})
+    for e in edges:
+        low, high = sorted((reach[e["a"]], reach[e["b"]]))
+        reach = {k: low if v == high else v for k, v in reach.items()}
+    assert reach == components_of({i: shingles(t) for i, t in enumerate(texts)})
+
+
+@pytest.mark.parametrize("docs", [1, 2, 3, 4])
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6])
+def test_sets_of_few_words(n, docs):
+    import numpy as np
+
+    raw = [" ".join(f"w{i}{k}" for k in range(n)).encode() for i in range(docs)]
+    sets = shingle_sets(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    assert [len(s) for s in sets] == [max(1, n - 4)] * docs and len({int(x) for s in sets for x in s}) == docs * max(1, n - 4)
+
+
+def test_unlike_words_have_unlike_keys():
+    import numpy as np
+    from stratiform.llm.common import range_keys
+
+    a = bytes(97 + bin(i).count("1") % 2 for i in range(2048))
+    words = [a, a.translate(bytes.maketrans(b"ab", b"ba")), a[:200], a[:256], a[:257], b"a" * 8, b"a" * 9, b"a" * 16, b"", b"\0", b"\0\0"]
+    stops = np.cumsum([len(w) for w in words])
+    keys = range_keys(np.frombuffer(b"".join(words), np.uint8), stops - [len(w) for w in words], stops)
+    assert len(set(keys.tolist())) == len(words)
+    again = range_keys(np.frombuffer(a, np.uint8), np.array([0, 0]), np.array([2048, 200]))
+    assert again.tolist() == [keys[0], keys[2]]
 
 
 def test_superminhash_estimates_similarity():
@@ -93,7 +163,7 @@ def test_superminhash_estimates_similarity():
     sig = superminhash([np.unique(a), np.unique(b), np.unique(a), a[:1]])
     assert abs((sig[0] == sig[1]).mean() - 700 / 1300) < 0.15
     assert (sig[0] == sig[2]).all()
-    assert sorted(int(x) >> 32 for x in sig[3]) == list(range(128))
+    assert sorted(int(x) >> 32 for x in sig[3]) == list(range(SLOTS))
 
 
 @pytest.mark.parametrize("size", [20_000, 12_000_000])
@@ -117,6 +187,34 @@ def test_remove_repeats(docs, texts, empty, size, monkeypatch):
     assert remove_repeats(empty).collect() == []
 
 
+def test_longest_previous_factors():
+    import numpy as np
+    from stratiform.llm.repeats import LENGTH, LONGEST, copies, longest_previous
+
+    rng = np.random.default_rng(4)
+    data = rng.integers(0, 2, 6000).astype(np.uint8)
+    for _ in range(40):  # passages that stand in several places
+        a, b = rng.integers(0, 5800, 2)
+        data[b : b + 120] = data[a : a + 120]
+    start = rng.integers(0, 5900, 800)
+    stop = start + rng.integers(LENGTH, LONGEST + 1, 800)
+    doc = rng.integers(0, 12, 800)
+    got = longest_previous(data, start, stop, doc)
+    text = [data[a:b].tobytes() for a, b in zip(start, stop)]
+
+    def lcp(x, y):
+        return next((i for i, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
+
+    for i in range(800):
+        want = max((lcp(text[i], text[j]) for j in range(800) if doc[j] < doc[i]), default=0)
+        assert got[i] == (want if want >= LENGTH else 0)
+    assert (got >= LENGTH).sum() > 50
+    # a hash that says that all are equal changes nothing
+    count = stop - start - LENGTH + 1
+    first = copies(data, start, count, np.zeros(800, np.uint64), doc)
+    assert all(text[i] == text[f] and doc[f] <= doc[i] for i, f in enumerate(first))
+
+
 def test_bpe_against_tiktoken():
     ranks = read_ranks(RANKS)
     other = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
