@@ -6,6 +6,9 @@ one bucket of list positions per rank, a bit per full bucket, a bit per 256 buck
 rank without a heap over all pairs. An entry whose neighbours have changed is stale and skipped when it
 comes up. Work is n log n in the length of a pre-token, so megabytes without a space are fine.
 
+Ranks of pairs come from a table by two bytes at first and by two ids later, so no bytes are cut while merging (`Merges`).
+A bucket is a bitmap of positions too for a pre-token of up to SHORT bytes, a heap for a longer one.
+
 Texts are encoded whole, each row on its own, with no shuffle. A worker remembers the pieces it has merged, up to
 `REMEMBER` of them. The rank file is read where the query is built and broadcast (bounded: a vocabulary).
 
@@ -19,6 +22,7 @@ import base64
 import uuid
 from collections.abc import Iterator
 from heapq import heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -84,146 +88,186 @@ class RankQueue:
         return rank, position
 
 
-def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The ids of one pre-token. A byte that the vocabulary lacks is an error."""
-    whole = ranks.get(piece)
-    if whole is not None:
-        return [whole]
-    return merge_short(piece, ranks) if len(piece) <= SHORT else merge_long(piece, ranks)
-
-
-def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    n = len(piece)
-    part: list[bytes | None] = [piece[i : i + 1] for i in range(n)]
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    queue = RankQueue()
-    for i in range(n - 1):
-        rank = ranks.get(piece[i : i + 2])
-        if rank is not None:
-            queue.push(rank, i)
-    while queue.top:
-        rank, i = queue.pop()
-        left = part[i]
-        if left is None or (j := after[i]) >= n:
-            continue
-        merged = left + part[j]
-        if ranks.get(merged) != rank:
-            continue
-        part[i], part[j] = merged, None
-        after[i] = k = after[j]
-        if k < n:
-            before[k] = i
-            rank = ranks.get(merged + part[k])
-            if rank is not None:
+class Merges:
+    """The ranks of a vocabulary by pairs, and the queue's arrays, which are all zero between two pieces."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        self.ranks = ranks
+        last = max(ranks.values(), default=0)
+        self.shift = last.bit_length()
+        self.single = [ranks.get(bytes([b]), -1) for b in range(256)]
+        self.first = [ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
+        get, shift = ranks.get, self.shift
+        self.first = [NONE if r < 0 else r for r in self.first]
+        self.pairs: dict[int, int] = {}
+        for word, rank in ranks.items():
+            for i in range(1, len(word)):
+                left = get(word[:i])
+                if left is not None and (right := get(word[i:])) is not None:
+                    self.pairs[left << shift | right] = rank
+        self.at = [0] * (last + 1)
+        self.leaves = [0] * ((last >> 8) + 1)
+        self.up = list(range(-1, SHORT + 1))
+
+    def piece(self, piece: bytes) -> list[int]:
+        """The ids of one pre-token. A byte that the vocabulary lacks is an error."""
+        whole = self.ranks.get(piece)
+        if whole is not None:
+            return [whole]
+        return self.short(piece) if len(piece) <= SHORT else self.long(piece)
+
+    def _start(self, piece: bytes) -> tuple[list[int], list[int]]:
+        """The ids of the bytes and the ranks of neighbours (NONE: no merge), with two more at the end."""
+        single, first = self.single, self.first
+        ids = [single[b] for b in piece]
+        if -1 in ids:
+            raise KeyError(piece)
+        want = [first[a << 8 | b] for a, b in zip(piece, piece[1:])]
+        want += _ENDS
+        return ids, want
+
+    def long(self, piece: bytes) -> list[int]:
+        n, pairs, shift = len(piece), self.pairs, self.shift
+        ids, want = self._start(piece)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        queue = RankQueue()
+        for i, rank in enumerate(want):
+            if rank != NONE:
                 queue.push(rank, i)
-        h = before[i]
-        if h >= 0:
-            rank = ranks.get(part[h] + merged)
-            if rank is not None:
-                queue.push(rank, h)
-    return [ranks[p] for p in part if p is not None]
-
-
-def merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same queue with its positions as a third level of bits: bits of positions per rank, of ranks per leaf, of leaves.
-
-    live has a bit for each position at which a part still starts; the neighbours of a part are its next set bits.
-    """
-    n = len(piece)
-    get = ranks.get
-    at: dict[int, int] = {}
-    leaves: dict[int, int] = {}
-    top = 0
-    for i in range(n - 1):
-        rank = get(piece[i : i + 2])
-        if rank is not None:
-            if rank in at:
-                at[rank] |= 1 << i
-            else:
-                at[rank] = 1 << i
-                leaf = rank >> 8
-                leaves[leaf] = leaves.get(leaf, 0) | 1 << (rank & 255)
-                top |= 1 << leaf
-    end = list(range(1, n + 1))  # of the part that starts here
-    start = list(range(-1, n))  # of the part that ends here
-    live = (1 << n) - 1
-    while top:
-        leaf = (top & -top).bit_length() - 1
-        bits = leaves[leaf]
-        rank = leaf << 8 | (bits & -bits).bit_length() - 1
-        spots = at[rank]
-        i = (spots & -spots).bit_length() - 1
-        spots &= spots - 1
-        if spots:
-            at[rank] = spots
-        else:
-            del at[rank]
-            bits &= bits - 1
-            if bits:
-                leaves[leaf] = bits
-            else:
-                del leaves[leaf]
-                top &= top - 1
-        if not live >> i & 1 or (j := end[i]) >= n:
-            continue
-        k = end[j]
-        if get(piece[i:k]) != rank:
-            continue
-        live ^= 1 << j
-        end[i], start[k] = k, i
-        if k < n:
-            rank = get(piece[i : end[k]])
-            if rank is not None:
-                if rank in at:
-                    at[rank] |= 1 << i
-                else:
-                    at[rank] = 1 << i
+        while queue.top:
+            rank, i = queue.pop()
+            if want[i] != rank:
+                continue
+            j, h = after[i], before[i]
+            after[i] = k = after[j]
+            ids[i] = rank
+            want[j] = want[i] = NONE
+            if k < n:
+                before[k] = i
+                want[i] = new = pairs.get(rank << shift | ids[k], NONE)
+                if new != NONE:
+                    queue.push(new, i)
+            if h >= 0:
+                want[h] = new = pairs.get(ids[h] << shift | rank, NONE)
+                if new != NONE:
+                    queue.push(new, h)
+        return _listed(ids, after)
+
+    def short(self, piece: bytes) -> list[int]:
+        """The same with three levels of bits: positions per rank, ranks per leaf, leaves. Every bit that is set is popped, so the arrays end as they began.
+
+        Only a pair below the one on its left and not above the one on its right can be next among them, so only such pairs enter the queue; a pair that one
+        of them kept out enters when that one's rank has changed.
+        """
+        n, get, shift, at, leaves = len(piece), self.pairs.get, self.shift, self.at, self.leaves
+        ids, want = self._start(piece)
+        top, bit, left = 0, 1, NONE
+        for rank, right in zip(want, want[1:-1]):
+            if left > rank <= right and rank != NONE:
+                if not at[rank]:
                     leaf = rank >> 8
-                    leaves[leaf] = leaves.get(leaf, 0) | 1 << (rank & 255)
+                    leaves[leaf] |= _BIT[rank & 255]
                     top |= 1 << leaf
-        if i:
-            h = start[i]
-            rank = get(piece[h:k])
-            if rank is not None:
-                if rank in at:
-                    at[rank] |= 1 << h
-                else:
-                    at[rank] = 1 << h
-                    leaf = rank >> 8
-                    leaves[leaf] = leaves.get(leaf, 0) | 1 << (rank & 255)
-                    top |= 1 << leaf
-    out = []
-    i = 0
+                at[rank] |= bit
+            left = rank
+            bit += bit
+        before, after = self.up[:n], self.up[2 : n + 2]
+        while top:
+            leaf = (top & -top).bit_length() - 1
+            bits = leaves[leaf]
+            low = bits & -bits
+            rank = (leaf << 8) + low.bit_length() - 1
+            spots = at[rank]
+            bit = spots & -spots
+            if spots == bit:
+                at[rank] = 0
+                leaves[leaf] = bits = bits ^ low
+                if not bits:
+                    top &= top - 1
+            else:
+                at[rank] = spots ^ bit
+            i = bit.bit_length() - 1
+            if want[i] != rank:
+                continue
+            # pairs from left to right: g, h, i (merges), j (goes), k
+            j, h = after[i], before[i]
+            after[i] = k = after[j]
+            ids[i] = rank
+            was_j, want[j] = want[j], NONE
+            if k < n:
+                before[k] = i
+                want[i] = right = get(rank << shift | ids[k], NONE)
+                beyond = want[k]
+            else:
+                want[i] = right = beyond = NONE
+            if h >= 0:
+                was_h, g = want[h], before[h]
+                want[h] = left = get(ids[h] << shift | rank, NONE)
+                behind = want[g]
+                if behind > was_h and left >= behind < want[before[g]] and g >= 0:
+                    top = self._push(top, behind, g)
+                if behind > left <= right and left != NONE:
+                    top = self._push(top, left, h)
+            else:
+                left = NONE
+            if left > right <= beyond and right != NONE:
+                top = self._push(top, right, i)
+            if was_j <= beyond < right and beyond <= want[after[k]]:
+                top = self._push(top, beyond, k)
+        return _listed(ids, after)
+
+    def _push(self, top: int, rank: int, position: int) -> int:
+        at = self.at
+        if at[rank]:
+            at[rank] |= 1 << position
+            return top
+        at[rank] = 1 << position
+        leaf = rank >> 8
+        self.leaves[leaf] |= _BIT[rank & 255]
+        return top | 1 << leaf
+
+
+#: The rank of neighbours that don't merge, and what stands at both ends of a piece.
+NONE = 1 << 60
+_ENDS = [NONE, NONE, NONE]
+_BIT = [1 << i for i in range(256)]
+
+
+def _listed(ids: list[int], after: list[int]) -> list[int]:
+    out, i, n = [], 0, len(ids)
     while i < n:
-        out.append(ranks[piece[i : end[i]]])
-        i = end[i]
+        out.append(ids[i])
+        i = after[i]
     return out
 
 
-class Encoder:
-    """Whole texts to ids, remembering pieces in two generations of bounded size."""
+class _Memory(dict):
+    """Ids of the pieces merged so far, in two generations of bounded size."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        self.ranks, self.find = ranks, splitter(pattern).findall
-        self.young: dict[str, list[int]] = {}
-        self.old: dict[str, list[int]] = {}
+    def __init__(self, merges: Merges) -> None:
+        super().__init__()
+        self.merge, self.old = merges.piece, {}
 
-    def piece(self, piece: str) -> list[int]:
+    def __missing__(self, piece: str) -> list[int]:
         ids = self.old.get(piece)
         if ids is None:
-            ids = merge_piece(piece.encode(), self.ranks)
+            ids = self.merge(piece.encode())
         if len(piece) <= REMEMBER_CHARS:
-            if len(self.young) >= REMEMBER:
-                self.old, self.young = self.young, {}
-            self.young[piece] = ids
+            if len(self) >= REMEMBER:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = ids
         return ids
 
+
+class Encoder:
+    """Whole texts to ids."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
+        self.find, self.ids = splitter(pattern).findall, _Memory(Merges(ranks)).__getitem__
+
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        add, slow = out.extend, self.piece
-        for piece in self.find(text):
-            add(self.young.get(piece) or slow(piece))
-        return out
+        return list(chain.from_iterable(map(self.ids, self.find(text))))
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -9,7 +9,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from stratiform.llm import repeats
-from stratiform.llm.bpe import Encoder, decode, encode, merge_long, merge_short, read_ranks
+from stratiform.llm.bpe import SHORT, Encoder, Merges, decode, encode, read_ranks
 from stratiform.llm.decontaminate import decontaminate, words
 from stratiform.llm.langid import identify, learn
 from stratiform.llm.near_dedup import SLOTS, near_dedup, shingle_sets, superminhash
@@ -226,9 +226,14 @@ def test_bpe_against_tiktoken():
         assert encoder.encode(text) == other.encode_ordinary(text)
     long = "".join(rng.choice("abcde") for _ in range(20_000))
     assert encoder.encode(long) == other.encode_ordinary(long)
-    for n in (2, 9, 40, 200):
-        piece = long[:n].encode()
-        assert merge_short(piece, ranks) == merge_long(piece, ranks)
+    merges = Merges(ranks)
+    for n in (2, 3, 9, 40, 200, SHORT - 1, SHORT):
+        for text in (long[:n], "a" * n, "é" * (n // 2)):
+            assert merges.short(text.encode()) == merges.long(text.encode())
+    for n in (SHORT - 1, SHORT, SHORT + 1):
+        for text in (long[:n], "a" * n, "ab" * (n // 2)):
+            assert encoder.encode(text) == other.encode_ordinary(text)
+    assert not any(merges.at) and not any(merges.leaves)
 
 
 def test_bpe_columns(docs, texts, empty):
