@@ -266,7 +266,7 @@ def test_secret_columns(spark, docs, empty):
     assert find_secrets(docs).count() == docs.count() and find_secrets(empty).collect() == []
 
 
-@pytest.mark.parametrize("block", [20_000, 7])
+@pytest.mark.parametrize("block", [500_000, 7])
 def test_decontaminate(spark, docs, texts, empty, block):
     items = {"i1": " ".join(texts[13].split(" ")[5:40]), "i2": "one two, three FOUR", "i3": "", "i4": None, "i5": "never ever seen"}
     frame = spark.createDataFrame([*items.items(), ("i2", items["i2"])], "item_id string, text string")
@@ -290,6 +290,44 @@ def test_decontaminate(spark, docs, texts, empty, block):
     assert all(r["hits"] == [] for r in decontaminate(docs, frame.limit(0)).collect())
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_automaton_against_brute_force(seed):
+    """Few words, so that windows overlap and are suffixes of each other; texts longer than several lanes; over 20,000 windows."""
+    import numpy as np
+    import pyarrow as pa
+    from stratiform.llm.decontaminate import Automaton, word_keys
+
+    rng = random.Random(seed)
+    some = lambda n, k: " ".join(f"w{rng.randint(0, k)}" for _ in range(n))
+    items = {f"i{i}": some(rng.choice([1, 2, 3, 5, 9, 10, 11, 14]), 2 if i < 60 else 40) for i in range(120)}
+    if seed == 3:
+        items |= {f"long{i}": some(2_100, 5_000) for i in range(10)}
+    texts = [some(rng.choice([0, 1, 5, 64, 65, 130, 400]), 3) for _ in range(60)] + [items["i70"] + " x " + items["i71"], "", items.get("long3", "")]
+    wins = {}
+    for name, t in items.items():
+        w = words(t)
+        n = min(10, len(w))
+        for k in range(len(w) - n + 1):
+            wins.setdefault(tuple(w[k : k + n]), set()).add(name)
+    key = lambda win: word_keys(pa.array([b" ".join(win).decode()]))[0].tobytes()
+    rows = [(name, key(win)) for win, names in wins.items() for name in names]
+    automaton = Automaton(pa.table({"item_id": [r[0] for r in rows], "window": pa.array([r[1] for r in rows], pa.binary())}))
+    assert len(automaton.length) == len(wins) and (seed < 3 or len(wins) > 20_000)
+    keys, _, _, first, _ = word_keys(pa.array(texts))
+    ends, window = automaton.scan(keys, first)
+    got = sorted(zip(ends.tolist(), automaton.length[window].tolist()))
+    want = []
+    for f, t in zip(first, texts):
+        w = words(t)
+        want += [(int(f) + e, n) for e in range(len(w)) for n in range(1, 11) if n <= e + 1 and tuple(w[e - n + 1 : e + 1]) in wins]
+    assert got == sorted(want)
+    doc = np.searchsorted(first, ends, "right") - 1
+    named = automaton.items_of(doc, window, len(texts))
+    for t, names in zip(texts, named):
+        w = words(t)
+        assert names == sorted(set().union(*(wins.get(tuple(w[i : i + n]), set()) for n in range(1, 11) for i in range(len(w) - n + 1))))
+
+
 def test_language(spark, docs, empty):
     rng = random.Random(5)
     train = [(prose(rng, 30), "en") for _ in range(30)] + [(" ".join(rng.choice(["und", "der", "nicht", "über", "weiß"]) for _ in range(30)), "de") for _ in range(30)]
