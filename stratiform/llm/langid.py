@@ -1,7 +1,8 @@
 """Language identification (operator 2): interpolated Kneser-Ney character models in sorted hash arrays.
 
 A text is lower-cased, every run of non-letters becomes one space, and characters are folded to 16 bits, so that four
-characters make one 64-bit n-gram key. Training counts the 4-grams of every training text by language: tasks add up counts locally and Spark
+characters make one 64-bit n-gram key. Letters beyond the first 65,536 code points (rare ideographs, historic scripts) share the
+8,448 places of surrogates and private characters, which no other letter has. Training counts the 4-grams of every training text by language: tasks add up counts locally and Spark
 sums them by key. From the distinct 4-grams follow the continuation counts of all lower orders, and
 
     p(w|h) = max(c(hw) - D, 0) / c(h) + D * types(h) / c(h) * p(w|h')        D = n1 / (n1 + 2 n2) for each order
@@ -9,8 +10,8 @@ sums them by key. From the distinct 4-grams follow the continuation counts of al
 The model is, for each order, an array of hashed keys in sorted order (the hash is spread evenly, so the top bits index it) with a row of
 log-probabilities, one per language, of each n-gram that any language has, and another with the back-off weights of contexts.
 A text's score for a language is its cross-entropy per character; the lowest wins. Whether to trust it is calibrated: isotonic
-regression of "was right" on the margin to the runner-up over a bounded sample of the training rows; `rejected` marks
-predictions whose calibrated score is below REJECT.
+regression of "was right" on the margin to the runner-up over a fold of the training rows (by hash of the text, bounded), which
+a model of the other rows predicts; `rejected` marks predictions whose calibrated score is below REJECT.
 
 No count is left out. Up to MAX_CELLS (distinct 4-grams times languages) the model is broadcast; a larger one stays in written tables
 (`WrittenModel`): Spark takes continuation counts, discounts and totals by windows and groupings, and the texts' distinct 4-grams are
@@ -37,8 +38,10 @@ from stratiform.llm.common import U64, columns_of, mix64, text_slices, written
 ORDER = 4
 #: Distinct 4-grams times languages of a model that is broadcast; a larger one is joined.
 MAX_CELLS = 8_000_000
-#: Training rows that calibrate the margin, about.
-CALIBRATION_ROWS = 20_000
+#: Training rows that calibrate the margin: one in FOLDS, but about CALIBRATION_ROWS at most.
+FOLDS, CALIBRATION_ROWS = 10, 20_000
+#: Characters times languages whose log-probabilities are held at once.
+HELD_CELLS = 4_000_000
 REJECT = 0.5
 BINS = 400
 SPACE = 32
@@ -52,8 +55,8 @@ def fold() -> np.ndarray:
         for c in range(0x110000):
             s = chr(c)
             if s.isalpha():
-                low = ord(s.lower()[0]) & 0xFFFF
-                table[c] = low if low != SPACE else 1
+                low = ord(s.lower()[0])
+                table[c] = low if low < 0x10000 else 0xD800 + (low - 0x10000) % 8448
         _FOLD.append(table)
     return _FOLD[0]
 
@@ -91,30 +94,33 @@ def _merge(old: tuple, new: list) -> tuple:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[str, tuple] = {}
-    waiting: dict[str, list] = {}
+    sums: dict[tuple[str, bool], tuple] = {}
+    waiting: dict[tuple[str, bool], list] = {}
+    none = (np.zeros(0, U64), np.zeros(0, np.int64))
     for batch in batches:
         for a, b in text_slices(batch, "text", 2_000_000):
             part = batch.slice(a, b - a)
-            langs = np.array(part.column(1).to_pylist(), object)
+            kinds = list(zip(part.column(1).to_pylist(), part.column(2).to_pylist()))
+            number = {k: i for i, k in enumerate(sorted(set(kinds)))}
+            of = np.array([number[k] for k in kinds])
             c, doc, _ = characters(part.column(0).to_pylist())
             g = grams(c, doc)
-            for lang in sorted(set(langs)):
-                mine = (langs == lang)[doc] & (g != 0)
-                waiting.setdefault(lang, []).append(np.unique(g[mine], return_counts=True))
-                if sum(len(k) for k, _ in waiting[lang]) > 1_000_000:
-                    sums[lang] = _merge(sums.get(lang, (np.zeros(0, U64), np.zeros(0, np.int64))), waiting.pop(lang))
-    for lang in sorted({*waiting, *sums}):
-        keys, counts = _merge(sums.pop(lang, (np.zeros(0, U64), np.zeros(0, np.int64))), waiting.pop(lang, []))
+            for kind, i in number.items():
+                mine = (of == i)[doc] & (g != 0)
+                waiting.setdefault(kind, []).append(np.unique(g[mine], return_counts=True))
+                if sum(len(k) for k, _ in waiting[kind]) > 1_000_000:
+                    sums[kind] = _merge(sums.get(kind, none), waiting.pop(kind))
+    for lang, held in sorted({*waiting, *sums}):
+        keys, counts = _merge(sums.pop((lang, held), none), waiting.pop((lang, held), []))
         for i in range(0, len(keys), 50_000):
-            k = keys[i : i + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k), pa.string()), k.view(np.int64), counts[i : i + 50_000]], names=["lang", "gram", "n"])
+            k, n = keys[i : i + 50_000], counts[i : i + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k), pa.string()), pa.array(k.view(np.int64)), pa.array(n), pa.array(n * (not held))], names=["lang", "gram", "n", "rest"])
 
 
 def gram_counts(train: DataFrame) -> DataFrame:
-    """lang, gram, n over all rows of train (text, lang)."""
-    rows = train.select("text", "lang").mapInArrow(_counted, "lang string, gram long, n long")
-    return rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    """lang, gram, n over all rows of train (text, lang, held), rest over those that are not held."""
+    rows = train.select("text", "lang", "held").mapInArrow(_counted, "lang string, gram long, n long, rest long")
+    return rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("rest").alias("rest"))
 
 
 class HashArray:
@@ -216,14 +222,19 @@ class Model:
         """Cross-entropy per character, a row for each text and a column for each language; and letters of each text."""
         c, doc, letters = characters(texts)
         g = grams(c, doc)
-        at = np.flatnonzero(g)
-        row = self.logs.find(g[at])
-        logs = self.logs.values[row]
-        gone = np.flatnonzero(row < 0)
-        if len(gone):
-            logs[gone] = np.log(self._probability(ORDER, g[at[gone]]))
-        n = np.bincount(doc[at], minlength=len(texts))
-        sums = np.stack([np.bincount(doc[at], weights=logs[:, i], minlength=len(texts)) for i in range(len(self.langs))], axis=1)
+        every = np.flatnonzero(g)
+        sums = np.zeros((len(texts), len(self.langs)))
+        step = max(1, HELD_CELLS // len(self.langs))
+        for i in range(0, len(every), step):
+            at = every[i : i + step]
+            row = self.logs.find(g[at])
+            logs = self.logs.values[row]
+            gone = np.flatnonzero(row < 0)
+            if len(gone):
+                logs[gone] = np.log(self._probability(ORDER, g[at[gone]]))
+            low, high = doc[at[0]], doc[at[-1]] + 1
+            sums[low:high] += np.stack([np.bincount(doc[at] - low, weights=logs[:, k], minlength=high - low) for k in range(len(self.langs))], axis=1)
+        n = np.bincount(doc[every], minlength=len(texts))
         return -sums / np.maximum(n, 1)[:, None], letters
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -351,24 +362,30 @@ def predicted(df: DataFrame, model: Model | WrittenModel) -> DataFrame:
     return df.mapInArrow(run, f"key {df.schema['key'].dataType.simpleString()}, lang_pred string, score double, margin double")
 
 
+def model_of(counts: DataFrame) -> Model | WrittenModel:
+    """A model of counts (lang, gram, n)."""
+    langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    if counts.select("gram").distinct().count() * len(langs) > MAX_CELLS:
+        return WrittenModel(counts, langs)
+    rows: dict[str, tuple] = {}
+    for lang in langs:
+        t = counts.filter(F.col("lang") == lang).select("gram", "n").toArrow()
+        keys, n = t.column(0).to_numpy().view(U64), t.column(1).to_numpy()
+        order = np.argsort(keys)
+        rows[lang] = (keys[order], n[order])
+    return Model(rows)
+
+
 def learn(train: DataFrame) -> Model | WrittenModel:
-    """A model of rows (text, lang)."""
+    """A model of rows (text, lang), calibrated on a fold by one of the other rows."""
     train = train.filter("lang is not null")
+    folds = max(FOLDS, train.count() // CALIBRATION_ROWS)
+    train = train.withColumn("held", F.pmod(F.xxhash64("text"), F.lit(folds)) == 0)
     counts = written(gram_counts(train), "grams")
-    langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
-    if counts.select("gram").distinct().count() * len(langs) > MAX_CELLS:
-        model: Model | WrittenModel = WrittenModel(counts, langs)
-    else:
-        model_rows: dict[str, tuple] = {}
-        for lang in langs:
-            t = counts.filter(F.col("lang") == lang).select("gram", "n").toArrow()
-            keys, n = t.column(0).to_numpy().view(U64), t.column(1).to_numpy()
-            order = np.argsort(keys)
-            model_rows[lang] = (keys[order], n[order])
-        model = Model(model_rows)
+    model = model_of(counts.select("lang", "gram", "n"))
     if len(model.langs) > 1:
-        sample = max(1, train.count() // CALIBRATION_ROWS)
-        some = predicted(train.filter(F.pmod(F.xxhash64("text"), F.lit(sample)) == 0).select(F.col("lang").alias("key"), "text"), model)
+        other = model_of(counts.filter("rest > 0").select("lang", "gram", F.col("rest").alias("n")))
+        some = predicted(train.filter("held").select(F.col("lang").alias("key"), "text"), other).filter("lang_pred <> 'und'")
         some = some.select(F.least(F.col("margin") * BINS / 2, F.lit(float(BINS))).cast("long").alias("k"), (F.col("lang_pred") == F.col("key")).alias("right"))
         bins = sorted(some.groupBy("k").agg(F.sum(F.col("right").cast("long")), F.count("*")).collect())
         if bins:

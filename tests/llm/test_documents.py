@@ -341,13 +341,77 @@ def test_language(spark, docs, empty):
     assert {r["lang_pred"] for r in identify(tests, nothing).collect()} == {"und"}
 
 
-def test_language_probabilities_sum_to_one(spark):
+def kneser_ney(texts):
+    """Brute force: p(character | three before) of one language's texts; `floor` stands below the unigrams."""
+    grams = {}
+    for t in texts:
+        t = "   " + t
+        for i in range(3, len(t)):
+            grams[t[i - 3 : i + 1]] = grams.get(t[i - 3 : i + 1], 0) + 1
+    orders = [grams]
+    for n in (3, 2, 1):
+        before = {}
+        for g in orders[0]:
+            before[g[-n:]] = before.get(g[-n:], 0) + 1
+        orders.insert(0, before)
+
+    def p(context, c, floor, n=4):
+        if n == 0:
+            return floor
+        counts = orders[n - 1]
+        lower = p(context, c, floor, n - 1)
+        h = context[len(context) - n + 1 :] if n > 1 else ""
+        mine = {g: k for g, k in counts.items() if g[:-1] == h}
+        if not mine:
+            return lower
+        n1, n2 = (sum(k == x for k in counts.values()) for x in (1, 2))
+        d = min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 else 0.5
+        total = sum(mine.values())
+        return max(mine.get(h + c, 0) - d, 0) / total + d * len(mine) / total * lower
+
+    return p
+
+
+@pytest.mark.parametrize("cells", [8_000_000, 10])
+def test_language_against_brute_force(spark, monkeypatch, cells):
     import numpy as np
+    from stratiform.llm import langid
 
-    model = learn(spark.createDataFrame([("abab abba baab", "x"), ("bbbb aaaa", "y")], "text string, lang string"))
-    context = np.uint64(ord("a") << 32 | ord("b") << 16 | ord("a"))
-    keys = np.array([int(context) << 16 | ord(c) for c in "ab "], np.uint64)
-    assert np.all(model._probability(4, keys).sum(axis=0) <= 1 + 1e-9)
+    monkeypatch.setattr(langid, "MAX_CELLS", cells)
+    monkeypatch.setattr(langid, "HELD_CELLS", 20)
+    texts = {"x": ["abab abba baab", "cab bac", "aaa aab"], "y": ["bbbb aaaa", "cc ab cc"]}
+    model = learn(spark.createDataFrame([(t, lang) for lang, ts in texts.items() for t in ts], "text string, lang string"))
+    vocabulary = sorted(set("".join(t for ts in texts.values() for t in ts)) | {" "})
+    plain = {lang: kneser_ney(ts) for lang, ts in texts.items()}
+    unknown = "q"
+    contexts = ["aba", " ba", "  c", "ccc", "qqq", "b q"]
+    pack = lambda s: sum(ord(c) << 16 * (3 - i) for i, c in enumerate(s))
+    keys = [h + c for h in contexts for c in [*vocabulary, unknown]]
+    if cells == 10:
+        rows = {r["gram"]: r["logs"] for r in model.logs(spark.createDataFrame([(pack(k),) for k in keys], "gram long")).collect()}
+        got = np.exp(np.array([rows[pack(k)] for k in keys]))
+    else:
+        got = model._probability(4, np.array([pack(k) for k in keys], np.uint64))
+    floor = 1 / (len(vocabulary) + 1)
+    want = np.array([[plain[lang](k[:3], k[3], floor) for lang in model.langs] for k in keys])
+    assert np.allclose(got, want, rtol=1e-5)
+    assert np.allclose(got.reshape(len(contexts), -1, 2).sum(axis=1), 1, rtol=1e-5)
+    if cells > 10:
+        many = ["cab", "abba ab", None, "bb" * 40, "cab"]
+        found = model.entropies(many)[0]
+        for t, row in zip(many, found):
+            if t:
+                s = "   " + t
+                h = [-sum(np.log(plain[lang](s[i - 3 : i], s[i], floor)) for i in range(3, len(s))) / len(t) for lang in model.langs]
+                assert np.allclose(row, h, rtol=1e-4)
+
+
+def test_language_long_texts_ties_and_far_letters(spark):
+    rows = [("alpha beta gamma " * 20, "en"), ("und der nicht " * 20, "de"), ("\U00020000\U00020001\U00020003 " * 20, "rare"), ("alpha beta gamma " * 20, "xx")] * 5
+    model = learn(spark.createDataFrame(rows, "text string, lang string"))
+    tests = spark.createDataFrame([(1, "und der nicht " * 60_000), (2, "alpha " * 5), (3, "\U00020001\U00020003"), (4, "x" * 300_000)], "doc_id long, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in identify(tests, model).collect()}
+    assert got[1] == "de" and got[2] == "en" and got[3] == "rare" and got[4] in model.langs
 
 
 def test_language_model_too_large_to_broadcast(spark, docs, empty, monkeypatch):
