@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import LOWER, SPACED, U64, by_group, columns_of, components, mix64, offsets_of, range_keys, text_slices, types_of, words_of, written
+from stratiform.llm.common import LOWER, SPACED, U64, by_group, columns_of, components, marked, mix64, offsets_of, range_keys, text_slices, types_of, words_of, written
 
 SLOTS = 192
 ROWS = 6  # of a band
@@ -44,8 +44,6 @@ ROWS = 6  # of a band
 LEAST_AGREE = 133
 #: Members of a band, and shingles, that one block holds on average.
 BLOCK_ROWS, BLOCK_SHINGLES = 2_000, 500_000
-#: Bits of the map of wanted documents: 131,072 rows of it are broadcast, however many documents there are.
-MAP_BITS = 1 << 23
 _TURN = [U64(x | 1) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
 
@@ -166,13 +164,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sets_of(docs: DataFrame, heads: DataFrame) -> DataFrame:
-    """node, shingles: the full sets of representatives (doc_id, fp1, fp2, node), from their texts.
-
-    A bitmap of their ids of MAP_BITS bits, as rows of 64, is broadcast; the texts that it lets through are read, their sets joined.
-    """
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(MAP_BITS))
-    bits = heads.select(F.shiftright(slot, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {MAP_BITS}) % 64 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    near = docs.withColumns({"word": F.shiftright(slot, 6), "at": (slot % 64).cast("int")}).join(F.broadcast(bits), "word").filter(F.expr("(shiftright(bits, at) & 1) = 1"))
+    """node, shingles: the full sets of representatives (doc_id, fp1, fp2, node), from their texts; texts that are surely none of them aren't shuffled."""
+    near = marked(docs, heads).filter("maybe")
     return near.select("doc_id", "text").mapInArrow(_sets, "doc_id long, fp1 long, fp2 long, shingles binary").join(heads, ["doc_id", "fp1", "fp2"]).select("node", "shingles")
 
 
