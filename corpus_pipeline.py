@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform.llm.bpe import encode
-from stratiform.llm.common import written
+from stratiform.llm.common import marked, written
 from stratiform.llm.decontaminate import decontaminate
 from stratiform.llm.near_dedup import near_dedup
 from stratiform.llm.quality import score_quality
@@ -32,11 +32,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     The verdict belongs to an id and a text. Rows without an id are not copies of each other: the operator keeps them all.
     """
     docs = docs.select(COLUMNS).withColumn("text_hash", F.xxhash64("text"))
-    copies = near_dedup(docs, beside=["text_hash"]).filter(~F.col("kept")).select("doc_id", F.col("_text_hash").alias("text_hash")).distinct()
+    decided = near_dedup(docs, beside=["text_hash"]).filter("doc_id is not null").groupBy("doc_id", F.col("_text_hash").alias("text_hash"))
+    # what can't stay as it is: copies and repeated rows; only texts with their ids are shuffled
+    special = written(decided.agg(F.min("kept").alias("kept"), F.count("*").alias("n")).filter("not kept or n > 1"), "pipeline-special")
+    named = marked(docs.filter("doc_id is not null"), special)
     rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
-    named = docs.filter("doc_id is not null").join(copies, ["doc_id", "text_hash"], "left_anti")
-    named = named.groupBy("doc_id", "text").agg(F.min(F.struct(rest)).alias("rest")).select("doc_id", "text", "rest.*")
-    return named.select(COLUMNS).union(docs.filter("doc_id is null").select(COLUMNS))
+    others = named.filter("maybe").join(special.filter("not kept"), ["doc_id", "text_hash"], "left_anti")
+    others = others.groupBy("doc_id", "text").agg(F.min(F.struct(rest)).alias("rest")).select("doc_id", "text", "rest.*")
+    return named.filter("not maybe").select(COLUMNS).union(others.select(COLUMNS)).union(docs.filter("doc_id is null").select(COLUMNS))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
