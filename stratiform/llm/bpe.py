@@ -20,9 +20,9 @@ from __future__ import annotations
 
 import base64
 import uuid
+from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from stratiform.llm.common import text_slices
 
 #: Pieces a worker keeps, in each of two generations.
-REMEMBER = 300_000
+REMEMBER = 250_000
 #: Longer pieces are not kept.
 REMEMBER_CHARS = 64
 #: Bytes up to which a piece's positions are bits of one integer.
@@ -242,16 +242,16 @@ def _listed(ids: list[int], after: list[int]) -> list[int]:
 
 
 class _Memory(dict):
-    """Ids of the pieces merged so far, in two generations of bounded size."""
+    """Ids, as the bytes of 32-bit numbers, of the pieces merged so far, in two generations of bounded size."""
 
     def __init__(self, merges: Merges) -> None:
         super().__init__()
         self.merge, self.old = merges.piece, {}
 
-    def __missing__(self, piece: str) -> list[int]:
+    def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
-            ids = self.merge(piece.encode())
+            ids = array("i", self.merge(piece.encode())).tobytes()
         if len(piece) <= REMEMBER_CHARS:
             if len(self) >= REMEMBER:
                 self.old = dict(self)
@@ -266,8 +266,8 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.find, self.ids = splitter(pattern).findall, _Memory(Merges(ranks)).__getitem__
 
-    def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.ids, self.find(text))))
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.ids, self.find(text))), np.int32)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -291,9 +291,9 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(key, shared, pattern)
         for batch in batches:
-            for a, b in text_slices(batch, text, 2_000_000):
+            for a, b in text_slices(batch, text, 1_000_000):
                 part = batch.slice(a, b - a)
-                found = [np.array(encoder.encode(t), np.int32) if t else _EMPTY for t in part.column(part.schema.get_field_index(text)).to_pylist()]
+                found = [encoder.encode(t) if t else _EMPTY for t in part.column(part.schema.get_field_index(text)).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, int_lists(found)], names=[*part.schema.names, ids])
 
     return df.select([f"`{c}`" for c in kept]).mapInArrow(run, schema)

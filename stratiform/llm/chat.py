@@ -60,15 +60,15 @@ def format_turns(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         for batch in batches:
             for a, b in text_slices(batch, "text", 2_000_000):
                 part = batch.slice(a, b - a)
-                tokens: list[list[int]] = []
+                tokens: list[np.ndarray] = []
                 marks = []
                 at = 0
                 for role, text in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
-                    head = [first + BEGIN, first + HEAD, *encoder.encode(escape(role)), first + BODY]
+                    head = np.concatenate([[first + BEGIN, first + HEAD], encoder.encode(escape(role)), [first + BODY]])
                     body = encoder.encode(escape(text))
                     if role == "assistant":
                         marks += [(at + len(head), 1), (at + len(head) + len(body), -1)]
-                    tokens.append(np.array([*head, *body, first + END], np.int32))
+                    tokens.append(np.concatenate([head, body, [first + END]]).astype(np.int32))
                     at += len(tokens[-1])
                 step = np.zeros(at + 1, np.int32)
                 for place, d in marks:

@@ -199,7 +199,7 @@ def _block(docs: DataFrame, pairs: pa.Table, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = shared.value
         for batch in batches:
-            for a, b in text_slices(batch, text, 2_000_000):
+            for a, b in text_slices(batch, text, 1_000_000):
                 part = batch.slice(a, b - a)
                 get = lambda c: part.column(part.schema.get_field_index(c))  # noqa: B023, E731
                 keys, starts, stops, first, offsets = word_keys(get(text))

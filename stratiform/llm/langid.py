@@ -98,7 +98,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     waiting: dict[tuple[str, bool], list] = {}
     none = (np.zeros(0, U64), np.zeros(0, np.int64))
     for batch in batches:
-        for a, b in text_slices(batch, "text", 2_000_000):
+        for a, b in text_slices(batch, "text", 1_000_000):
             part = batch.slice(a, b - a)
             kinds = list(zip(part.column(1).to_pylist(), part.column(2).to_pylist()))
             number = {k: i for i, k in enumerate(sorted(set(kinds)))}
@@ -256,7 +256,7 @@ def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows (key, text) the distinct 4-grams of each text and how often they occur; a text without any gives one row with none."""
     at = TaskContext.get().partitionId() << 33
     for batch in batches:
-        for a, b in text_slices(batch, "text", 2_000_000):
+        for a, b in text_slices(batch, "text", 1_000_000):
             part = batch.slice(a, b - a)
             c, doc, letters = characters(part.column(1).to_pylist())
             g = grams(c, doc)
@@ -354,7 +354,7 @@ def predicted(df: DataFrame, model: Model | WrittenModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in text_slices(batch, "text", 2_000_000):
+            for a, b in text_slices(batch, "text", 1_000_000):
                 part = batch.slice(a, b - a)
                 lang, score, margin = shared.value.predict(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), score, margin], names=["key", "lang_pred", "score", "margin"])

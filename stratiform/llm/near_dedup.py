@@ -129,7 +129,7 @@ _SIGNED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_shingles",
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     row = TaskContext.get().partitionId() << 33
     for batch in batches:
-        for a, b in text_slices(batch, "text", 1_500_000):
+        for a, b in text_slices(batch, "text", 700_000):
             part = batch.slice(a, b - a)
             offsets, data = offsets_of(part.column(1))
             sets = shingle_sets(data, offsets)
@@ -153,7 +153,7 @@ def signatures(docs: DataFrame, beside: Sequence[str] = ()) -> DataFrame:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     done: set[tuple[int, int]] = set()  # a repeated row gives its set once in a task
     for batch in batches:
-        for a, b in text_slices(batch, "text", 2_000_000):
+        for a, b in text_slices(batch, "text", 1_000_000):
             part = batch.slice(a, b - a)
             offsets, data = offsets_of(part.column(1))
             sets = shingle_sets(data, offsets)

@@ -83,7 +83,7 @@ _NOT_NEWLINE[10] = False
 
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for a, b in text_slices(batch, "text", 2_000_000):
+        for a, b in text_slices(batch, "text", 1_000_000):
             part = batch.slice(a, b - a)
             offsets, data = offsets_of(part.column(1))
             x = statistics(data, offsets).astype(np.float32)
