@@ -69,7 +69,8 @@ def identity_problems(df: DataFrame, keys: Sequence[str], scan: str) -> DataFram
 def protocol_name(c: Column) -> Column:
     """A series name without phase, dynamic, ordinal and duration tokens."""
     patterns = [T.token(T.VOCABULARY[n]) for n in ("native", "portal", "arterial", "delayed", "post_contrast", "dynamic")]
-    for p in (clock.DURATION, T.token(rf"ph(?:ase)?{T.SEP}([1-9]\d*)(?!\d)"), *patterns):
+    c = clock.without_durations(c)
+    for p in (T.token(rf"ph(?:ase)?{T.SEP}([1-9]\d*)(?!\d)"), *patterns):
         c = F.regexp_replace(c, p, " ")
     return F.lower(F.trim(F.regexp_replace(c, r"[\s_]+", " ")))
 
