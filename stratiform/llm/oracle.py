@@ -1,7 +1,15 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express, on whole tables."""
 
+from stratiform.llm.url_lists import FILTERS
+
 _LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+
+def _any(verdict: str) -> str:
+    return " OR ".join(f"regexp_matches(host || path, '{r.regex}')" for r in FILTERS if r.verdict == verdict)
+
+
 OP5 = rf"""
 WITH parts AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -18,8 +26,7 @@ WITH parts AS (
 )
 SELECT page_id, host, path, rule, CASE
   WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-  WHEN regexp_matches(host || path, '(^|[^a-z0-9])ads-track[.]') OR regexp_matches(host || path, '(^|[^a-z0-9])free-bets[.]')
-    OR regexp_matches(host || path, '(^|[^a-z0-9])cheap-pills[.]') OR regexp_matches(host || path, '^[^/]*casino[.].*/(promo|bonus)/') THEN 'block'
+  WHEN {_any("allow")} THEN 'allow' WHEN {_any("block")} THEN 'block'
   ELSE 'allow' END AS verdict FROM ruled
 """
 

@@ -18,7 +18,8 @@ from stratiform.llm.oracle import ORACLE_SQL
 from stratiform.llm.quality import score_quality
 from stratiform.llm.repeats import remove_repeats
 from stratiform.llm.secrets import base_only, count_of, find_secrets, listed
-from stratiform.llm.url_rules import host_rule, judge, pattern_rule
+from stratiform.llm.url_lists import URL_RULES
+from stratiform.llm.url_rules import judge
 
 Query = Callable[[SparkSession, str], DataFrame]
 RANKS = "byte_bpe_50k.tiktoken"
@@ -53,16 +54,6 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(listed(base_only(F.col("spans"))).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
-#: The host/path rules of op5 and, for the URLs that none of them fits, patterns of the method's own.
-URL_RULES = [
-    *(host_rule(name, verdict) for name, verdict in (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))),
-    pattern_rule("(^|[^a-z0-9])ads-track[.]", ("ads", "track")),
-    pattern_rule("(^|[^a-z0-9])free-bets[.]", ("free", "bets")),
-    pattern_rule("(^|[^a-z0-9])cheap-pills[.]", ("cheap", "pills")),
-    pattern_rule("^[^/]*casino[.].*/(promo|bonus)/", ("casino",)),
-]
-
-
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")

@@ -1,7 +1,7 @@
 """URL filters (operator 5), DataFrame functions only.
 
 Two kinds of rules: host/path rules (`example.com/en/`, allow or block; the longest that fits wins) and patterns
-(regular expressions with a literal part) that decide the other URLs. Every rule is indexed by one literal token, the one that
+(filter lines, see `parse_rules`, or regular expressions with a literal part) that decide the other URLs; an exception beats a block. Every rule is indexed by one literal token, the one that
 is rarest among the URLs' tokens: a frequency of the rules' own tokens over the whole table is counted first (one partially
 aggregated row per token). A URL's distinct tokens look up their candidate rules, and only those run their regular expression. Tokens of host/path rules are
 whole runs of a-z and 0-9; a pattern's literal may lie inside a longer run, so its tokens are the tri-grams of the literal, and a URL's are those of its runs.
@@ -18,6 +18,7 @@ Repeated rows give a row each. Extra columns stay. Host matching ignores the cas
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -41,12 +42,15 @@ class Rule:
     host_rule: bool
 
 
+def _quoted(s: str) -> str:
+    return re.sub(r"([.^$*+?()\[\]{}|\\])", r"\\\1", s)
+
+
 def host_rule(name: str, verdict: str) -> Rule:
     """`com/`, `example.com/en/`: the host and all its subdomains, paths that start with the rest."""
     host, path = name.split("/", 1)
-    quote = lambda s: re.sub(r"([.^$*+?()\[\]{}|\\])", r"\\\1", s)
     whole = re.findall(_TOKEN, host.lower()) + re.findall(f"{_TOKEN}(?=[^a-z0-9])", path.lower())  # the last one may go on in a URL
-    return Rule(name, verdict, f"^([^/]*\\.)?{quote(host)}/{quote(path)}", tuple(whole), True)
+    return Rule(name, verdict, f"^([^/]*\\.)?{_quoted(host)}/{_quoted(path)}", tuple(whole), True)
 
 
 def pattern_rule(regex: str, tokens: tuple[str, ...], verdict: str = "block") -> Rule:
@@ -57,6 +61,32 @@ def pattern_rule(regex: str, tokens: tuple[str, ...], verdict: str = "block") ->
     return Rule(regex, verdict, regex, parts, False)
 
 
+def parse_rules(lines: str | Iterable[str]) -> list[Rule]:
+    """Rules from filter lines, one in a line, that are looked for in the host and path of a URL:
+
+    `||` at the beginning: where the host or one of its labels begins; `|` at the beginning or end: the beginning or end of host and path;
+    `*`: any characters; `^`: one that is no letter, digit, `_`, `.`, `%` or `-`, or the end; `@@` before a rule: an exception.
+    Anything else stands for itself. Blank lines and those that begin with `!` or `#` are comments. A rule needs a literal run of three letters or digits.
+    """
+    out = []
+    for line in lines.splitlines() if isinstance(lines, str) else lines:
+        line = line.strip()
+        if not line or line[0] in "!#":
+            continue
+        allow, body = line.startswith("@@"), line.removeprefix("@@")
+        start, body = ("^([^/]*[.])?", body[2:]) if body.startswith("||") else ("^", body[1:]) if body.startswith("|") else ("", body)
+        end, body = ("$", body[:-1]) if body.endswith("|") else ("", body)
+        regex = start + "".join(".*" if c == "*" else "([^A-Za-z0-9_.%-]|$)" if c == "^" else _quoted(c) for c in body) + end
+        rule = pattern_rule(regex, tuple(re.findall(_TOKEN, body.lower())), "allow" if allow else "block")
+        out.append(Rule(line, rule.verdict, rule.regex, rule.tokens, False))
+    return out
+
+
+def read_rules(lines: DataFrame) -> list[Rule]:
+    """Rules from a table of filter lines (value): a list that people keep, so it is small beside the URLs; it is collected."""
+    return parse_rules(r["value"] for r in lines.select("value").filter("value is not null").collect())
+
+
 def host_of(url: Column) -> Column:
     """After the first :// up to /, ?, # or the end; A-Z lower-cased; empty without ://."""
     rest = F.when(F.instr(url, "://") > 0, F.substring_index(_after(url), "/", 1)).otherwise("")
@@ -103,8 +133,8 @@ def index(rules: list[Rule], counts: dict[str, int]) -> dict[str, list[Rule]]:
 
 
 def _fields(rule: Rule) -> tuple[bool, int, str, str, str]:
-    """In the order in which the greatest wins: host/path rules by length, then patterns, those that block first."""
-    return rule.host_rule, len(rule.name) if rule.host_rule else int(rule.verdict == "block"), rule.name, rule.verdict, rule.regex
+    """In the order in which the greatest wins: host/path rules by length, then patterns, exceptions first."""
+    return rule.host_rule, len(rule.name) if rule.host_rule else int(rule.verdict == "allow"), rule.name, rule.verdict, rule.regex
 
 
 _NAMES = ("host_rule", "weight", "name", "verdict", "regex")

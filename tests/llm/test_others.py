@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratiform.llm import ann, chat
-from stratiform.llm.queries import SPOOF, URL_RULES
-from stratiform.llm.url_rules import judge
+from stratiform.llm.queries import SPOOF
+from stratiform.llm.url_lists import HOST_RULES, URL_RULES
+from stratiform.llm.url_rules import judge, parse_rules, pattern_rule, read_rules
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -63,8 +64,61 @@ def test_patterns_inside_longer_runs(spark, inline):
         "http://bestcasino.net/promo/": "block", "http://x.mycasino.org/a/bonus/": "block", "http://casino.org/promo/": "block", "http://casinos.org/promo/": "allow", "http://x.org/casino.y/promo/": "allow",
         "http://e.org/Xads-track.z": "block", "http://e.org/xads-track.z": "allow", "http://e.org/Afree-bets.z": "block", "http://e.org/Zcheap-pills.": "block", "http://e.org/éads-track.z": "block", "http://bestcasino.com/promo/": "allow",
     }
+    rules = [pattern_rule("(^|[^a-z0-9])ads-track[.]", ("ads", "track")), pattern_rule("(^|[^a-z0-9])free-bets[.]", ("free", "bets")), pattern_rule("(^|[^a-z0-9])cheap-pills[.]", ("cheap", "pills")), pattern_rule("^[^/]*casino[.].*/(promo|bonus)/", ("casino",))]
     df = spark.createDataFrame([(u,) for u in want], "url string")
-    assert {r["url"]: r["verdict"] for r in judge(df, URL_RULES, inline=inline).collect()} == want
+    assert {r["url"]: r["verdict"] for r in judge(df, [*HOST_RULES, *rules], inline=inline).collect()} == want
+
+
+def filter_matches(line, target):
+    """Brute force: a filter line against host and path, by going through both."""
+    body = line.removeprefix("@@")
+    host_start, start = body.startswith("||"), body.startswith("|")
+    body = body[2:] if host_start else body[1:] if start else body
+    end = body.endswith("|")
+    body = body[:-1] if end else body
+
+    def fits(i, k):
+        if k == len(body):
+            return not end or i == len(target)
+        if body[k] == "*":
+            return any(fits(j, k + 1) for j in range(i, len(target) + 1))
+        if body[k] == "^":
+            if i == len(target):
+                return fits(i, k + 1)
+            return not (target[i].isascii() and (target[i].isalnum() or target[i] in "_.%-")) and fits(i + 1, k + 1)
+        return i < len(target) and target[i] == body[k] and fits(i + 1, k + 1)
+
+    host = target.split("/")[0]
+    places = [0, *(i + 1 for i, c in enumerate(host) if c == ".")] if host_start else [0] if start else range(len(target) + 1)
+    return any(fits(i, 0) for i in places)
+
+
+@pytest.mark.parametrize("inline", [5_000, 0])
+def test_filter_lines(spark, inline):
+    """Two thousand lines with anchors, wildcards, separators and exceptions, and very long URLs, against brute force."""
+    import random
+
+    rng = random.Random(12)
+    word = lambda: rng.choice(["abc", "track", "promo", "xyz1", "deal", "pills", "news", "cdn7"])
+    lines = ["! a comment", "", "||track.abc^", "@@||news.", "|abc.", ".gif|", "promo*deal", "^xyz1^"]
+    for i in range(2_000):
+        body = f"{word()}{rng.choice(['.', '-', '/', '*', '^', ''])}{word()}{rng.randint(0, 400)}{rng.choice(['', '^', '/', '*z'])}"
+        lines.append(rng.choice(["", "@@", "||", "|", "@@||"]) + body + rng.choice(["", "", "|"]))
+    urls = []
+    for i in range(300):
+        host = ".".join(rng.choice([word(), f"{word()}{rng.randint(0, 400)}", f"{word()}-{word()}{rng.randint(0, 400)}"]) for _ in range(rng.randint(1, 3)))
+        urls.append(f"http://{host}/" + "/".join(f"{word()}{rng.choice(['', '-', '.'])}{word()}{rng.randint(0, 400)}" for _ in range(rng.randint(0, 3))) + rng.choice(["", ".gif", "?q=track.abc"]))
+    urls += ["http://" + "a" * 200_000 + "/track", "http://abc.org/" + "promo/" * 20_000 + "deal", "http://x/\u00e9track"]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    rules = read_rules(spark.createDataFrame([(line,) for line in lines], "value string"))
+    assert len(rules) == 2_006 and rules == parse_rules("\n".join(lines))
+    got = {r["url"]: r for r in judge(df, rules, inline=inline).collect()}
+    for url in urls:
+        target = got[url]["host"] + got[url]["path"]
+        hits = [r for r in rules if len(target) < 10_000 and filter_matches(r.name, target)]
+        want = "allow" if not hits or any(r.verdict == "allow" for r in hits) else "block"
+        assert len(target) > 10_000 or got[url]["verdict"] == want, (url, hits)
+    assert got[urls[-2]]["verdict"] == "block"
 
 
 def test_chat(spark):
