@@ -12,6 +12,7 @@ from stratiform.functions import text as T
 from stratiform.functions.clock import durations
 from stratiform.functions.rules import number
 from stratiform.operators import phases as P
+from stratiform.operators.imaging import spacing
 from stratiform.operators.ordering import first_acquisition
 from stratiform.operators.rollup import wide
 from stratiform.shared import written
@@ -173,11 +174,26 @@ def preferred_delay(phase: Column, evidence: Column, elapsed: Column) -> Column:
     return F.coalesce((phase == "DELAYED") & F.coalesce(by_text, elapsed.between(300, 600)), F.lit(False))
 
 
-def select(df: DataFrame, exam: Sequence[str], slots: Sequence[str], volume: str, ties: Sequence[Column] = (), least: float = -500.0) -> tuple[DataFrame, DataFrame]:
-    """Ranked candidates of the slots, and one wide row per exam with each slot's winner and the other candidates."""
+def tie_breakers(df: DataFrame) -> DataFrame:
+    """Adds what decides between MR volumes: whether a delayed one is in the preferred window, rows, thickness, extent along z, volume, time."""
+    rows, thickness = F.coalesce(number(_col(df, "n_rows_in_volume")), number(_col(df, "n_files"))), number(_col(df, "SliceThickness"))
+    inside = preferred_delay(_col(df, "phase"), _col(df, "_evidence").cast("string"), number(_col(df, "elapsed")))
+    area = spacing(_col(df, "PixelSpacing").cast("string"))["area"]
+    df = df.withColumns({"delay_preferred": inside, "rows_in_volume": rows, "slice_thickness": thickness, "z_coverage": rows * thickness, "time_seconds": number(_col(df, "time"))})
+    return df.withColumn("volume_mm3", F.col("z_coverage") * area)
+
+
+def mr_order() -> list[Column]:
+    """MR candidates, best first: preferred delay, score, volume, thin slices, extent, rows, early ones. Unknown values come last."""
+    down = lambda c: F.desc_nulls_last(c)
+    return [down("delay_preferred"), down("selection_score"), down("volume_mm3"), F.asc_nulls_last("slice_thickness"), down("z_coverage"), down("rows_in_volume"), F.asc_nulls_last("time_seconds")]
+
+
+def select(df: DataFrame, exam: Sequence[str], slots: Sequence[str], volume: str, order: Sequence[Column] | None = None, least: float = -500.0) -> tuple[DataFrame, DataFrame]:
+    """Ranked candidates of the slots, and one wide row per exam with each slot's winner and the other candidates. Best first by `order` (by score, if not given), then by volume."""
     # the test is a column, kept above the window: as a filter it would be pushed down and compute the scores twice
     ok = df.withColumn("_ok", F.coalesce(F.col("selection_slot").isin(*slots) & (F.col("selection_score") > least), F.lit(False)))
-    by = W.partitionBy(*exam, "selection_slot").orderBy(F.desc("_ok"), F.desc("selection_score"), *ties, volume)
+    by = W.partitionBy(*exam, "selection_slot").orderBy(F.desc("_ok"), *(order or [F.desc("selection_score")]), volume)
     ranked = ok.withColumn("candidate_rank", F.when(F.col("_ok"), F.row_number().over(by))).filter("candidate_rank is not null").drop("_ok")
     return ranked, wide(ranked, exam, "selection_slot", slots, F.col(volume), "candidate_rank", F.concat(F.col(volume).cast("string"), F.lit(" ("), F.format_string("%.1f", "selection_score"), F.lit(")")))
 
@@ -254,8 +270,8 @@ def curate(df: DataFrame, exam: Sequence[str], volume: str, chain: Mapping, text
     modality = T.modality(F.coalesce(_col(df, "Modality"), F.lit("CT")))
     ct = P.resolve(annotate_ct(df.filter(modality == "CT"), texts), chain)
     ct = ct.withColumns({"selection_slot": F.col("phase"), "selection_score": score_ct(ct)})
-    mr = score_mr(P.resolve(annotate_mr(df.filter(modality == "MR"), texts), chain))
+    mr = tie_breakers(score_mr(P.resolve(annotate_mr(df.filter(modality == "MR"), texts), chain)))
     both = written(ct.unionByName(mr, allowMissingColumns=True), "curated")
     slots = [*CT_SLOTS, *MR_SLOTS]
-    long, wide_ = select(both, exam, slots, volume)
+    long, wide_ = select(both, exam, slots, volume, mr_order())  # CT volumes have no MR tie-breakers: their score decides
     return {"curated": both, "long": long, "wide": wide_, "unresolved": both.filter("phase_status = 'UNRESOLVED'")}

@@ -105,3 +105,16 @@ def settings_for(df: DataFrame, column: str, settings: Mapping[str, Mapping[str,
     if unknown:
         raise ValueError(f"no settings for {[r[0] for r in unknown]}")
     return df.join(F.broadcast(table), column)
+
+
+def joined_once(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
+    """df with the columns of other, of which each row of df may have one match at most: a key that repeats in other is an error when the result is used."""
+    rest = [c for c in other.columns if c not in on]
+    one = other.groupBy(*on).agg(F.first(F.struct(*rest)).alias("_r"), F.count("*").alias("_n"))
+    one = one.withColumn("_r", F.when(F.col("_n") == 1, F.col("_r")).otherwise(F.raise_error(F.concat_ws(" ", F.lit("repeated key"), *(F.col(c).cast("string") for c in on)))))
+    return df.join(one.drop("_n"), list(on), "left").select(*df.columns, *(F.col(f"_r.`{c}`").alias(c) for c in rest))
+
+
+def feature_columns(df: DataFrame, keys: Sequence[str], prefix: str, without: str = "diagnostics_") -> DataFrame:
+    """The keys, and all other columns but those that begin with `without`, with a prefix before their names."""
+    return df.select(*keys, *(F.col(f"`{c}`").alias(prefix + c) for c in df.columns if c not in keys and not c.startswith(without)))

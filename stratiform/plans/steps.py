@@ -7,11 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform.functions import clock, rules, text, vectors
-from stratiform.operators import ordering, phases, rollup, tables
+from stratiform.operators import curation, imaging, ordering, phases, rollup, tables
+from stratiform.sources import tables as sources
 
 Step = Callable[[DataFrame, Mapping], DataFrame]
 
@@ -57,6 +58,15 @@ def _spacing(df: DataFrame, s: Mapping) -> DataFrame:
     return df.withColumn("PixelSpacingXY", vectors.part(vectors.parsed(F.col(s["column"])), 1)) if s["column"] in df.columns else df
 
 
+def _columns(df: DataFrame, s: Mapping, change: Callable[[Column], Column], to: str = "{}") -> DataFrame:
+    """A change of those of the columns that are there."""
+    return df.withColumns({to.format(c): change(F.col(f"`{c}`")) for c in s["columns"] if c in df.columns})
+
+
+def _curated(df: DataFrame, s: Mapping) -> DataFrame:
+    return curation.curate(df, s["exam"], s["volume"], s["config"], s.get("texts", curation.TEXT_COLUMNS))["curated"]
+
+
 def _finalize(df: DataFrame, s: Mapping) -> DataFrame:
     df = tables.in_order(rollup.drop_all_null(df, s.get("protect", ())), s.get("first", ()))
     return ordering.final_order(df, *s["order"]) if s.get("order") else df
@@ -80,6 +90,12 @@ STEPS: dict[str, tuple[Step, tuple[str, ...]]] = {
     "phase": (lambda df, s: phases.resolve(df, s["config"]), ("config",)),
     "row_expression": (lambda df, s: df.filter(F.expr(s["expression"])), ("expression",)),
     "select": (lambda df, s: df.select(*(f"`{c}`" for c in s["columns"] if c in df.columns)), ("columns",)),
+    "sop_class": (lambda df, s: imaging.supported(df, s["modality"], s["storage"], s["modalities"], s["classes"]), ("modality", "storage", "modalities", "classes")),
+    "parse_image_type": (lambda df, s: _columns(df, s, lambda c: text.image_type_tokens(c.cast("string")), "{}_tokens"), ("columns",)),
+    "normalize_string": (lambda df, s: _columns(df, s, text.uniform), ("columns",)),
+    "standardize_iop": (lambda df, s: _columns(df, s, lambda c: vectors.standardised(vectors.parsed(c))), ("columns",)),
+    "compute_volume_length": (lambda df, s: df.withColumn(s.get("name", "volume_length"), rollup.volume_length(*(F.col(s[k]) for k in ("count", "thickness", "spacing")))), ("count", "thickness", "spacing")),
+    "modality_curation": (_curated, ("exam", "volume", "config")),
     "finalize": (_finalize, ()),
 }
 
@@ -115,3 +131,11 @@ def run(df: DataFrame, steps: Sequence[Mapping]) -> DataFrame:
     for s in validated(steps):
         df = STEPS[s["type"]][0](df, s)
     return df
+
+
+def clean(spark: SparkSession, paths: Sequence[str], steps: Sequence[Mapping], out: str, columns: Sequence[str] = (), kind: str = "parquet") -> DataFrame:
+    """End to end: steps are checked before anything is read, the files united, the steps run, the columns (all, if none are named) saved as a whole, and read again."""
+    validated(steps)
+    df = run(sources.read_all(spark, paths, inputs_of(steps)), steps)
+    sources.save(df.select(*(f"`{c}`" for c in columns if c in df.columns)) if columns else df, out, kind)
+    return sources.load(spark, out) if out.endswith((".parquet", ".csv")) else spark.read.format(kind).options(header=True).load(out)

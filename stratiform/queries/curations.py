@@ -210,3 +210,40 @@ def i06_streamed_index(spark, sf_dir):
     for _ in range(2):
         build_index(spark, f"{base}/in", e.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), f"{base}/out", f"{base}/state", lambda b: b.select("event_id", "event_type", "value"), 2)
     return spark.read.parquet(f"{base}/out").groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+
+_EVIDENCE = {0: "delayed 5 min", 1: "delayed 20 min", 2: None, 3: "delayed"}
+
+
+@query("""WITH v AS (SELECT o_orderkey, o_custkey, o_orderkey % 4 = 0 OR (o_orderkey % 4 >= 2 AND o_orderkey % 7 = 3) AS preferred, CAST(substr(o_orderpriority, 1, 1) AS INT) % 2 AS score,
+20 + 10 * (o_orderkey % 3) AS n, CASE WHEN o_orderkey % 11 > 0 THEN 1 + o_orderkey % 2 END AS thickness, CASE WHEN o_orderkey % 5 > 0 THEN 1 + o_orderkey % 2 END AS side, o_orderkey % 6 AS t FROM orders)
+SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY preferred DESC, score DESC, n * thickness * side * side DESC NULLS LAST, thickness NULLS LAST, n * thickness DESC NULLS LAST, n DESC, t, o_orderkey) AS candidate_rank FROM v""")
+def c25_select_mr(spark, sf_dir):
+    k = F.col("o_orderkey")
+    text = F.element_at(F.array(*(F.lit(_EVIDENCE[i]) for i in range(4))), (k % 4 + 1).cast("int"))
+    side = F.when(k % 5 > 0, (1 + k % 2).cast("string"))
+    v = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.lit("T1_DELAYED").alias("selection_slot"), F.lit("DELAYED").alias("phase"), text.alias("_evidence"), F.when(k % 7 == 3, 400).otherwise(100).alias("elapsed"),
+        (F.substring("o_orderpriority", 1, 1).cast("int") % 2).cast("double").alias("selection_score"), (20 + 10 * (k % 3)).alias("n_files"), F.when(k % 11 > 0, 1 + k % 2).alias("SliceThickness"),
+        F.concat(side, F.lit("\\"), side).alias("PixelSpacing"), (k % 6).alias("time"),
+    )
+    return C.select(C.tie_breakers(v), ["o_custkey"], ["T1_DELAYED"], "o_orderkey", C.mr_order())[0].select("o_orderkey", "candidate_rank")
+
+
+@query("SELECT p_partkey, p_size AS radiomics_p_size, p_retailprice AS radiomics_p_retailprice FROM part")
+def p15_feature_columns(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice", F.col("p_name").alias("diagnostics_name"))
+    return T.feature_columns(p, ["p_partkey"], "radiomics_")
+
+
+@query("""SELECT 'found' AS kind, o_custkey, count(*) AS n FROM orders WHERE lower(o_orderstatus) = 'f' AND o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_custkey IN (SELECT c_custkey FROM customer) GROUP BY 2
+UNION ALL SELECT 'missing', c_custkey, 1 FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE lower(o_orderstatus) = 'f' AND o_orderpriority IN ('1-URGENT', '2-HIGH'))""")
+def s10_index_rows(spark, sf_dir):
+    found, missing = S.index_rows(table(spark, sf_dir, "orders"), "F", ["1-URGENT", "2-HIGH"], table(spark, sf_dir, "customer").select("c_custkey"), ["o_orderstatus", "o_orderpriority", "o_custkey", "o_orderkey", "o_orderdate"])
+    return found.groupBy("o_custkey").agg(F.count("*").alias("n")).select(F.lit("found").alias("kind"), "o_custkey", "n").union(missing.select(F.lit("missing"), "o_custkey", F.lit(1).cast("long")))
+
+
+@query("SELECT o_orderkey, c_name, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
+def j02_joined_once(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
+    return T.joined_once(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), c, ["o_custkey"]).drop("o_custkey")

@@ -51,7 +51,7 @@ def x03_dilate_erode(spark, sf_dir):
     return parts[0].union(parts[1])
 
 
-@query(f"""WITH RECURSIVE {_VOX}, m AS (SELECT {_P} FROM vox WHERE value > 0.05 AND scan_id < 100000), n6 AS (SELECT * FROM (VALUES (1,0,0),(-1,0,0),(0,1,0),(0,-1,0),(0,0,1),(0,0,-1)) t(i,j,k)),
+@query(f"""WITH RECURSIVE {_VOX}, m AS (SELECT {_P} FROM vox WHERE value > 0.05), n6 AS (SELECT * FROM (VALUES (1,0,0),(-1,0,0),(0,1,0),(0,-1,0),(0,0,1),(0,0,-1)) t(i,j,k)),
 r AS (SELECT {_P}, x * 16 + y * 4 + z AS root FROM m UNION SELECT m.scan_id, m.x, m.y, m.z, r.root FROM r, n6, m WHERE m.scan_id = r.scan_id AND m.x = r.x + i AND m.y = r.y + j AND m.z = r.z + k),
 l AS (SELECT {_P}, min(root) AS root FROM r GROUP BY ALL), s AS (SELECT scan_id, root, count(*) AS n FROM l GROUP BY 1, 2) SELECT scan_id, n FROM s QUALIFY row_number() OVER (PARTITION BY scan_id ORDER BY n DESC, root) = 1""")
 def x04_largest_component(spark, sf_dir):

@@ -7,7 +7,7 @@ from stratiform.functions import text as T
 from stratiform.operators import imaging as M
 from stratiform.operators import voxels as X
 from stratiform.operators.compare import keys_of
-from stratiform.operators.incremental import row_hash, short_id
+from stratiform.operators.incremental import short_id, source_id
 from stratiform.operators.ordering import top
 from stratiform.operators.profile import path_columns
 from stratiform.queries.base import CANDIDATES, candidates, query, r6, table
@@ -116,9 +116,14 @@ def t10_phases_in_order(spark, sf_dir):
     return _texts(spark, sf_dir).select("p_partkey", M.phases_in_order(F.col("text")).alias("phases"))
 
 
-@query("SELECT p_partkey, CASE p_partkey % 20 WHEN 0 THEN 'ax' WHEN 1 THEN 'ax t1' WHEN 10 THEN '' WHEN 11 THEN 'axial' WHEN 19 THEN 'liver' ELSE 'x' END AS name FROM part WHERE p_partkey % 20 IN (0, 1, 10, 11, 19)")
+#: What the texts are without their phase, dynamic, ordinal and duration tokens.
+_PROTOCOL = {0: "ax", 1: "ax t1", 2: "cor 3mm", 3: "sag", 5: "and", 9: "scout", 11: "axial", 13: "sub mip", 15: "and", 17: "tra bh nav", 19: "liver"}
+_PROTOCOL_SQL = "CASE p_partkey % 20 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in _PROTOCOL.items()) + " ELSE '' END"
+
+
+@query(f"SELECT p_partkey, {_PROTOCOL_SQL} AS name FROM part")
 def t18_protocol_name(spark, sf_dir):
-    return _texts(spark, sf_dir).filter("p_partkey % 20 in (0, 1, 10, 11, 19)").select("p_partkey", M.protocol_name(F.col("text")).alias("name"))
+    return _texts(spark, sf_dir).select("p_partkey", M.protocol_name(F.col("text")).alias("name"))
 
 
 @query("SELECT p_partkey, replace(replace(p_name, ' ', '%20'), '#', '%23') || '%2F' || replace(p_brand, '#', '%23') AS component FROM part")
@@ -184,7 +189,7 @@ def p18_quality_table(spark, sf_dir):
 
 @query("SELECT 'url' AS \"column\", count(*) AS n FROM pages")
 def p22_path_columns(spark, sf_dir):
-    p = table(spark, sf_dir, "pages").select("url", F.substring("html", 1, 20).alias("html"), F.lit("x").alias("c"))
+    p = table(spark, sf_dir, "pages").select("url", "html", F.lit("x").alias("c"))
     found = path_columns(p)
     return p.select(F.explode(F.array(*map(F.lit, found))).alias("column")).groupBy("column").agg(F.count("*").alias("n"))
 
@@ -197,7 +202,7 @@ def h02_short_id(spark, sf_dir):
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN sha256('{\"o_orderkey\":' || o_orderkey || '}') ELSE 'v' || o_orderkey END AS id FROM orders")
 def i01_source_id(spark, sf_dir):
     volume = F.when(F.col("o_orderkey") % 4 == 0, " ").otherwise(F.concat(F.lit("v"), F.col("o_orderkey").cast("string")))
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.coalesce(F.nullif(F.trim(volume), F.lit("")), row_hash(["o_orderkey"])).alias("id"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", source_id(volume, ["o_orderkey"]).alias("id"))
 
 
 @query(f"WITH {_VOX}, {_A}, b AS (SELECT * FROM vox WHERE value > 0.05 OR (x = 0 AND value > -0.1)), d AS (SELECT scan_id, x, y, z FROM a EXCEPT SELECT scan_id, x, y, z FROM b), u AS (SELECT * FROM d UNION SELECT scan_id, x, y, z FROM vox WHERE value > 0.05 OR (x = 0 AND value > -0.1)) SELECT scan_id, count(*) AS n FROM u GROUP BY 1")
@@ -231,13 +236,14 @@ def ud2_row_hook(spark, sf_dir):
     return M.hooked(table(spark, sf_dir, "part"), lambda size, name: size * 2 + len(name), ["p_size", "p_name"], "made", "long").select("p_partkey", "made")
 
 
-@query("WITH t AS (SELECT p_partkey, p_brand, p_partkey % 20 AS k FROM part WHERE p_partkey % 20 IN (13, 18, 19)) SELECT p_partkey, 'NATIVE' AS phase FROM t")
+@query("SELECT p_partkey, CASE WHEN max(CAST(p_partkey % 20 NOT IN (9, 13, 17, 18, 19) AS INT)) OVER (PARTITION BY p_partkey // 3) = 0 THEN 'NATIVE' END AS phase FROM part")
 def c17_native_default(spark, sf_dir):
-    t = _texts(spark, sf_dir).filter("p_partkey % 20 in (13, 18, 19)").withColumns({"phase": F.lit(None).cast("string"), "exam": F.col("p_partkey") % 7})
+    t = _texts(spark, sf_dir).withColumns({"phase": F.lit(None).cast("string"), "exam": F.floor(F.col("p_partkey") / 3)})
     return M.native_default(t, ["exam"], "phase", "text").select("p_partkey", "phase")
 
 
-@query("SELECT p_partkey, p_partkey % 20 = 10 AS numbered, CASE WHEN p_partkey % 20 = 10 THEN 1 ELSE 0 END AS numbers FROM part WHERE p_partkey % 20 IN (10, 19)")
+@query(f"""WITH t AS (SELECT p_partkey, p_partkey // 40 AS exam, p_partkey % 20 = 10 AS n, {_PROTOCOL_SQL} AS protocol FROM part)
+SELECT p_partkey, bool_or(n) OVER w AS numbered, max(CAST(n AS INT)) OVER w AS numbers FROM t WINDOW w AS (PARTITION BY exam, protocol)""")
 def c15_numbered_context(spark, sf_dir):
-    t = _texts(spark, sf_dir).filter("p_partkey % 20 in (10, 19)").withColumn("exam", F.lit(1))
+    t = _texts(spark, sf_dir).withColumn("exam", F.floor(F.col("p_partkey") / 40))
     return M.numbered_context(t, ["exam"], "text").select("p_partkey", F.col("in_numbered_protocol").alias("numbered"), "numbers")

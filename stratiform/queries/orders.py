@@ -72,12 +72,12 @@ def w10_best_date(spark, sf_dir):
     return O.top(days, ["patient"], [F.desc("n"), "dt"]).select("patient", F.col("dt").cast("string").alias("best_date"), "n")
 
 
-@query("""WITH e AS (SELECT *, CAST(ts AS DATE) AS d, epoch_us(ts) / 1e6 AS s FROM events WHERE user_id % 3 = 0 OR event_type = 'click')
-SELECT event_id, CASE WHEN count(event_type) OVER w = count(*) OVER w AND min(event_type) OVER w = max(event_type) OVER w THEN round(s - first_value(s) OVER (PARTITION BY user_id, d ORDER BY event_id), 6) END AS elapsed
+@query("""WITH e AS (SELECT *, CAST(ts AS DATE) AS d, epoch_us(ts) / 1e6 AS s, CASE WHEN user_id % 3 = 0 THEN event_type ELSE 'scan' END AS ref FROM events)
+SELECT event_id, CASE WHEN count(ref) OVER w = count(*) OVER w AND min(ref) OVER w = max(ref) OVER w THEN round(s - first_value(s) OVER (PARTITION BY user_id, d ORDER BY event_id), 6) END AS elapsed
 FROM e WINDOW w AS (PARTITION BY user_id, d)""")
 def w12_elapsed(spark, sf_dir):
-    e = table(spark, sf_dir, "events").filter("user_id % 3 = 0 or event_type = 'click'").withColumn("d", F.to_date("ts"))
-    return O.elapsed(e, ["user_id", "d"], "event_id", "ts", "event_type").select("event_id", "elapsed")
+    e = table(spark, sf_dir, "events").withColumns({"d": F.to_date("ts"), "ref": F.when(F.col("user_id") % 3 == 0, F.col("event_type")).otherwise("scan")})
+    return O.elapsed(e, ["user_id", "d"], "event_id", "ts", "ref").select("event_id", "elapsed")
 
 
 @query("""WITH e AS (SELECT event_id, user_id, date_trunc('hour', ts) AS h, CASE WHEN event_id % 4 > 0 THEN value END AS v FROM events),

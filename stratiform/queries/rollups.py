@@ -105,12 +105,12 @@ def c01_split_stacks(spark, sf_dir):
     return out.groupBy("series", F.col("id").alias("volume"), "n_detected").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {SLICES}, g AS (SELECT study, list_sort(list_distinct(list(CAST(volume AS VARCHAR)))) AS ids, list_sort(list_distinct(list(CAST(z AS DOUBLE)))) AS p FROM slices WHERE study % 4 = 0 GROUP BY 1),
+@query(f"""WITH {SLICES}, g AS (SELECT study, list_sort(list_distinct(list(CAST(volume AS VARCHAR)))) AS ids, list_sort(list_distinct(list(CAST(z AS DOUBLE)))) AS p FROM slices GROUP BY 1),
 ok AS (SELECT study, ids FROM g WHERE len(ids) > 1 AND len(p) > 1 AND len(list_filter(range(2, len(p) + 1), lambda i: abs((p[i] - p[i - 1]) - (p[2] - p[1])) > 0.001 + 1e-5 * abs(p[2] - p[1]))) = 0),
 m AS (SELECT id, arg_max(sha1(array_to_string(ids, '|')), study) AS new FROM (SELECT study, ids, unnest(ids) AS id FROM ok) GROUP BY id)
-SELECT coalesce(new, CAST(volume AS VARCHAR)) AS volume, count(*) AS n FROM slices LEFT JOIN m ON CAST(volume AS VARCHAR) = id WHERE study % 4 = 0 GROUP BY 1""")
+SELECT coalesce(new, CAST(volume AS VARCHAR)) AS volume, count(*) AS n FROM slices LEFT JOIN m ON CAST(volume AS VARCHAR) = id GROUP BY 1""")
 def c02_merge_fragments(spark, sf_dir):
-    df = slices(spark, sf_dir).filter("study % 4 = 0").select("study", F.col("volume").cast("string").alias("volume"), F.col("z").cast("double").alias("z"))
+    df = slices(spark, sf_dir).select("study", F.col("volume").cast("string").alias("volume"), F.col("z").cast("double").alias("z"))
     return A.merge_fragments(df, ["study"], "volume", "z").groupBy("volume").agg(F.count("*").alias("n"))
 
 

@@ -11,9 +11,9 @@ from stratiform.queries.base import query, r6, table
 _ACC, _PLAIN = T.ACCENTED, T.PLAIN
 
 
-@query(f"SELECT doc_id, translate(lower(trim(regexp_replace(rtrim(coalesce(substr(text, 1, 200), ''), '.0'), '[ \\t\\n\\r\\f\\v]+', ' ', 'g'))), '{_ACC}', '{_PLAIN}') AS uniform FROM documents")
+@query(f"SELECT doc_id, translate(lower(trim(regexp_replace(rtrim(coalesce(text, ''), '.0'), '[ \\t\\n\\r\\f\\v]+', ' ', 'g'))), '{_ACC}', '{_PLAIN}') AS uniform FROM documents")
 def t01_uniform_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.uniform(F.substring("text", 1, 200)).alias("uniform"))
+    return table(spark, sf_dir, "documents").select("doc_id", T.uniform(F.col("text")).alias("uniform"))
 
 
 @query("SELECT p_partkey, nullif(regexp_replace(regexp_replace(upper(trim(p_name || '-' || p_brand)), '[^A-Z0-9]+', '_', 'g'), '^_+|_+$', '', 'g'), '') AS label, coalesce(nullif(upper(trim(CASE WHEN p_size < 10 THEN '' ELSE p_type END)), ''), 'OTHER') AS kind FROM part")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import os
 from collections.abc import Mapping, Sequence
 
@@ -12,17 +13,22 @@ from pyspark.sql import types as T
 from stratiform.operators.rollup import drop_all_null
 
 
-def read_csv(spark: SparkSession, paths: Sequence[str] | str, columns: Sequence[str], wanted: Sequence[str] | None = None, sep: str = ",") -> DataFrame:
-    """Delimited text with the given header as strings; only the wanted columns."""
+def read_csv(spark: SparkSession, paths: Sequence[str] | str, columns: Sequence[str], wanted: Sequence[str] | None = None, sep: str = ",", by_position: bool = False) -> DataFrame:
+    """Delimited text with the given header as strings; only the wanted columns. The files' own headers are checked, unless columns go by position."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    df = spark.read.schema(schema).option("header", True).option("sep", sep).option("enforceSchema", False).csv(paths)
+    df = spark.read.schema(schema).option("header", True).option("sep", sep).option("enforceSchema", by_position).csv(paths)
     return df.select(*(f"`{c}`" for c in wanted if c in columns)) if wanted else df
 
 
 def header_of(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
-    """Column names of a delimited file: one line is read."""
+    """Column names of a delimited file: one line is read. Quotes may hold separators; a blank cell gets a name by its place."""
+    line = first_line(spark, path)
+    return [c.strip() or f"Unnamed: {i}" for i, c in enumerate(next(csv.reader([line], delimiter=sep)))] if line else []
+
+
+def first_line(spark: SparkSession, path: str) -> str:
     line = spark.read.text(path).limit(1).collect()
-    return next(iter(line[0][0].split(sep))) and [c.strip().strip('"') for c in line[0][0].split(sep)] if line else []
+    return line[0][0].removeprefix("\ufeff") if line else ""
 
 
 def read_all(spark: SparkSession, paths: Sequence[str], protect: Sequence[str] = (), sep: str = ",") -> DataFrame:
@@ -30,7 +36,7 @@ def read_all(spark: SparkSession, paths: Sequence[str], protect: Sequence[str] =
     out = None
     for path in paths:
         names = header_of(spark, path, sep)
-        part = read_csv(spark, path, names, [c for c in names if c and not c.startswith("Unnamed")], sep)
+        part = read_csv(spark, path, names, [c for c in names if not c.startswith("Unnamed")], sep, by_position=True)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return drop_all_null(out, protect)
 
@@ -43,8 +49,8 @@ def load(spark: SparkSession, path: str, schema: T.StructType | str | None = Non
     if kind in ("json", "ndjson", "jsonl"):
         return (spark.read.schema(schema) if schema else spark.read).json(path)
     if kind in ("csv", "tsv", "tab", "txt"):
-        sep = {"csv": ",", "tsv": "\t", "tab": "\t"}.get(kind) or ("\t" if "\t" in (header_of(spark, path, "\0") or [""])[0] else ",")
-        return read_csv(spark, path, header_of(spark, path, sep), sep=sep)
+        sep = {"csv": ",", "tsv": "\t", "tab": "\t"}.get(kind) or ("\t" if "\t" in first_line(spark, path) else ",")
+        return read_csv(spark, path, header_of(spark, path, sep), sep=sep, by_position=True)
     raise ValueError(f"cannot read {path}")
 
 
@@ -115,3 +121,12 @@ def read_appended(spark: SparkSession, path: str, key: str, order: str) -> DataF
     from stratiform.operators.ordering import top
 
     return top(spark.read.option("mergeSchema", True).parquet(path), [key], [F.desc(order)])
+
+
+def index_rows(index: DataFrame, collection: str, modalities: Sequence[str], patients: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows of an external index (columns: collection, modality, patient and two more) for the patients (one column), and the patients that it lacks."""
+    c, m, p = (F.col(f"`{x}`") for x in columns[:3])
+    found = index.filter((F.lower(c) == collection.lower()) & m.isin(*modalities)).select([f"`{x}`" for x in columns])
+    wanted = patients.select(F.col(patients.columns[0]).alias(columns[2])).distinct()
+    found = found.join(wanted, columns[2], "left_semi").select([f"`{x}`" for x in columns])
+    return found, wanted.join(found.select(f"`{columns[2]}`"), columns[2], "left_anti")

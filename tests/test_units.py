@@ -185,3 +185,43 @@ def test_pre_post_native(spark):
     df = spark.createDataFrame(rows, "g string, id string, text string, phase string, t int")
     out = {r["id"]: r["phase"] for r in curation.pre_post_native(df, ["g"], "text", "phase", ["t"]).collect()}
     assert out == {"v1": "NATIVE", "v2": None, "v3": None, "v4": None, "v5": "ARTERIAL", "v6": None, "v7": None}
+
+
+def test_headers_with_blanks_and_quotes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(',a,"b,1",c\n0,x,"y, z",\n1,u,v,\n')
+    (tmp_path / "b.csv").write_text("a,d\nw,5\n")
+    (tmp_path / "c.txt").write_text("k\tv,w\n1\t2,3\n")
+    paths = [f"file://{tmp_path}/{n}" for n in ("a.csv", "b.csv", "c.txt")]
+    assert sources.header_of(spark, paths[0]) == ["Unnamed: 0", "a", "b,1", "c"]
+    df = sources.read_all(spark, paths[:2])
+    assert df.columns == ["a", "b,1", "d"]
+    assert sorted(map(str, map(tuple, df.collect()))) == ["('u', 'v', None)", "('w', None, '5')", "('x', 'y, z', None)"]
+    assert sources.load(spark, paths[0]).columns == ["Unnamed: 0", "a", "b,1", "c"]
+    assert [tuple(r) for r in sources.load(spark, paths[2]).collect()] == [("1", "2,3")]
+
+
+def test_join_with_a_repeated_key_fails(spark):
+    df = spark.createDataFrame([(1,), (2,)], "k long")
+    other = spark.createDataFrame([(1, "a"), (1, "b"), (3, "c")], "k long, v string")
+    with pytest.raises(Exception, match="repeated key"):
+        tables.joined_once(df, other, ["k"]).collect()
+    assert sorted(map(tuple, tables.joined_once(df, other.filter("v <> 'b'"), ["k"]).collect())) == [(1, "a"), (2, None)]
+
+
+def test_unchanged_dataset(spark):
+    df = spark.range(20).withColumn("x", F.col("id") * 2)
+    same, state = incremental.unchanged_dataset(df, "id", ["id", "x"], {"a": 1}, None)
+    assert not same and incremental.unchanged_dataset(df.repartition(5), "id", ["id", "x"], {"a": 1}, state)[0]
+    assert not incremental.unchanged_dataset(df, "id", ["id", "x"], {"a": 2}, state)[0] and not incremental.unchanged_dataset(df.filter("id > 0"), "id", ["id", "x"], {"a": 1}, state)[0]
+
+
+def test_clean_end_to_end(spark, tmp_path):
+    from stratiform.plans import steps
+
+    (tmp_path / "in.csv").write_text('id,name,iop,kind,n,t,s\n1,Ä  B.0,"[2, 0, 0, 0, 1, 0]","ORIGINAL\\PRIMARY",5,2.0,1.5\n2,c,,,1,3.0,\n')
+    plan = [{"type": "normalize_string", "columns": ["name"]}, {"type": "standardize_iop", "columns": ["iop"]}, {"type": "parse_image_type", "columns": ["kind"]}, {"type": "compute_volume_length", "count": "n", "thickness": "t", "spacing": "s"}]
+    out = steps.clean(spark, [f"file://{tmp_path}/in.csv"], plan, f"file://{tmp_path}/out", ["id", "name", "iop", "kind_tokens", "volume_length"])
+    rows = {r["id"]: r for r in out.collect()}
+    assert rows["1"]["name"] == "a b" and list(rows["1"]["iop"]) == [1, 0, 0, 0, 1, 0] and rows["1"]["volume_length"] == 8.0 and rows["2"]["volume_length"] == 3.0 and len(rows["1"]["kind_tokens"]) == 2
+    with pytest.raises(ValueError):
+        steps.clean(spark, [], [{"type": "nothing"}], f"file://{tmp_path}/other")
