@@ -258,6 +258,24 @@ def test_secrets():
     assert scan("toſen=abcdefghijklmnop") == []
 
 
+def test_base_secrets_against_plain_expressions():
+    """Base spans of random texts made of the expressions' own parts, very long ones included."""
+    import re
+
+    kinds = [
+        (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE), lambda m: len(m[2]) >= 12),
+        (re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 18),
+        (re.compile(r"[0-9a-f]+"), lambda m: len(m[0]) >= 16),
+    ]
+    rng = random.Random(13)
+    parts = ["password", "Token", "api_key", "APIKEY", "secret", "ſecret", " ", "  ", ":", "=", '"', "'", "AKIA", "ABCDEFGH", "0123abcd", "0123456789abcdef", "xyzXYZ+/", "é", "\n", "user=", "a.b:80", "https://h.org/p"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(4_000)]
+    texts += ["AKIA" * 50_000, "password=" * 20_000, "f" * 200_000, "token=" + "a" * 300_000 + " user=bob"]
+    for text in texts:
+        want = sorted((m.start(), k, m.end()) for k, (p, ok) in enumerate(kinds) for m in p.finditer(text) if ok(m))
+        assert [s for s in scan(text) if s[1] < 3] == want
+
+
 def test_secret_columns(spark, docs, empty):
     rows = spark.createDataFrame([(1, "a token=abcdefghijklmnop0123456789abcdef0123 b"), (2, None), (3, "")], "doc_id long, text string")
     out = find_secrets(rows).withColumn("clean", redacted(F.col("text"), F.col("spans"))).orderBy("doc_id").collect()
@@ -449,6 +467,32 @@ def test_quality(spark, docs, empty):
     assert all(abs(r["score"] - 0.5) < 0.01 for r in score_quality(docs, labels.limit(0)).collect())
 
 
+def test_quality_against_plain_numpy(spark):
+    """The same fit on one machine: standardisation, features, ridge, calibration."""
+    import numpy as np
+    from stratiform.llm import quality as Q
+    from stratiform.llm.calibrate import calibrated, isotonic
+
+    rng = random.Random(14)
+    rows = [(i, rng.choice([None, "", "a" * 50_000, "x " * 20_000]) if i % 40 == 0 else prose(rng, rng.randint(1, 80)) if i % 2 else "!! ".join(prose(rng, 1) for _ in range(30))) for i in range(200)]
+    labels = [(i, int(i % 2 == 1) if rng.random() < 0.9 else 1 - i % 2) for i in range(150)] + [(3, 1), (3, None), (9_999, 1)]
+    got = {r["doc_id"]: r["score"] for r in score_quality(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
+    raw = [(t or "").encode() for _, t in rows]
+    x = Q.statistics(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])).astype(np.float32).astype(float)
+    used = [(i, y) for i, y in labels if y is not None and i < 200]
+    t, y = x[[i for i, _ in used]], np.array([y for _, y in used], float)
+    model = Q.Model(t.mean(axis=0), t.std(axis=0))
+    f = model.fourier(t)
+    penalty = np.eye(f.shape[1]) * Q.RIDGE * len(f)
+    penalty[-1, -1] = 1e-9
+    model.weights = np.linalg.solve(f.T @ f + penalty, f.T @ y)
+    k = np.clip(((model.raw(t) + 0.5) / 2 * Q.BINS).astype(int), 0, Q.BINS - 1)
+    bins = np.unique(k)
+    points = isotonic((bins + 0.5) * 2 / Q.BINS - 0.5, np.array([y[k == b].sum() for b in bins]), np.array([(k == b).sum() for b in bins]))
+    want = calibrated(model.raw(x), points)
+    assert len(got) == 200 and max(abs(got[i] - want[i]) for i in range(200)) < 1e-5
+
+
 def test_digest_of_ids(docs):
     row = encode(docs.filter("doc_id = 12"), RANKS, public_tokenizers.PATTERN).select(F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("h"), "ids").first()
     assert row["h"] == hashlib.sha256(" ".join(map(str, row["ids"])).encode()).hexdigest()

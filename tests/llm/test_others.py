@@ -219,3 +219,20 @@ def test_pipeline_maps_by_row(spark, odd_documents, tmp_path):
     assert sorted(map(str, map(tuple, P.benchmark(spark, df, str(tmp_path)).collect()))) == sorted(map(str, clean))
     assert sorted(map(str, map(tuple, P.secrets(spark, df, "").collect()))) == sorted(map(str, rows))
     assert sorted(str(r["doc_id"]) for r in P.tokens(spark, df, "").collect()) == sorted(str(r[0]) for r in rows)
+
+
+def test_pipeline_stages_on_odd_tables(spark, odd_documents, tmp_path):
+    """Empty tables, columns that clash with the operators' own, null texts: every stage gives its columns and no more rows than it got."""
+    import corpus_pipeline as P
+
+    df, rows = odd_documents
+    spark.createDataFrame([(i, i % 2, 0, "x") for i in range(300)], "doc_id long, quality int, toxic int, score string").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([("i1", None, "x"), (None, "alpha beta", "x"), ("i2", "", "x")], "item_id string, text string, hits string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clash = ("score", "kept", "maybe", "text_hash", "hits", "spans", "clean", "ids", "row", "x")
+    odd = df.union(spark.createDataFrame([(None, None, None, None, None), (700, None, "en", "web", 0), (701, "", "en", "web", 0)], df.schema)).withColumns({c: F.lit("old") for c in clash})
+    for name, stage in P.STAGES:
+        want = P.COLUMNS if name != "tokens" else ["doc_id", "lang", "source", "n_chars", "n_tokens", "ids"]
+        none = stage(spark, odd.limit(0), str(tmp_path))
+        assert none.columns == want and none.count() == 0, name
+        some = stage(spark, odd, str(tmp_path))
+        assert some.columns == want and 0 < some.count() <= len(rows) + 3, name
