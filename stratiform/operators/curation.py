@@ -15,7 +15,6 @@ from stratiform.operators import phases as P
 from stratiform.operators.imaging import spacing
 from stratiform.operators.ordering import first_acquisition
 from stratiform.operators.rollup import wide
-from stratiform.shared import written
 
 TEXT_COLUMNS = ("SeriesDescription", "ProtocolName", "ImageComments")
 SEP = T.SEP
@@ -246,7 +245,7 @@ def fold_phases(df: DataFrame, group: Sequence[str], order: str, known: str, ela
     w = W.partitionBy(*group).orderBy(order)
     bound = F.min(F.when(place > 0, place)).over(w.rowsBetween(1, W.unboundedFollowing))
     rows = df.withColumns({"_place": F.nullif(place, F.lit(0)).cast("int"), "_bound": bound.cast("int")})
-    items = F.array_sort(F.collect_list(F.struct(order, "_place", F.coalesce("_bound", F.lit(5)).alias("_bound"), elapsed)))
+    items = F.array_sort(F.collect_list(F.when(F.col(order).isNotNull(), F.struct(order, "_place", F.coalesce("_bound", F.lit(5)).alias("_bound"), elapsed))))  # a row without a place is no step
     zero = F.struct(F.lit(0).alias("last"), F.array().cast(f"array<struct<{order}:{dict(df.dtypes)[order]},phase:int>>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
@@ -263,15 +262,3 @@ def fold_phases(df: DataFrame, group: Sequence[str], order: str, known: str, ela
     folded = rows.groupBy(*group).agg(F.aggregate(items, zero, step, lambda acc: acc["out"]).alias("_o"))
     flat = folded.select(*group, F.explode("_o").alias("_x")).select(*group, F.col(f"_x.{order}").alias(order), F.try_element_at(F.array(*map(F.lit, TEMPLATE)), F.col("_x.phase")).alias("folded_phase"))
     return df.join(flat, [*group, order], "left")
-
-
-def curate(df: DataFrame, exam: Sequence[str], volume: str, chain: Mapping, texts: Sequence[str] = TEXT_COLUMNS) -> dict[str, DataFrame]:
-    """CT and MR volumes through annotation, phase resolution, scoring and selection; the annotated table is written once."""
-    modality = T.modality(F.coalesce(_col(df, "Modality"), F.lit("CT")))
-    ct = P.resolve(annotate_ct(df.filter(modality == "CT"), texts), chain)
-    ct = ct.withColumns({"selection_slot": F.col("phase"), "selection_score": score_ct(ct)})
-    mr = tie_breakers(score_mr(P.resolve(annotate_mr(df.filter(modality == "MR"), texts), chain)))
-    both = written(ct.unionByName(mr, allowMissingColumns=True), "curated")
-    slots = [*CT_SLOTS, *MR_SLOTS]
-    long, wide_ = select(both, exam, slots, volume, mr_order())  # CT volumes have no MR tie-breakers: their score decides
-    return {"curated": both, "long": long, "wide": wide_, "unresolved": both.filter("phase_status = 'UNRESOLVED'")}

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform.functions import clock, rules, text, vectors
-from stratiform.operators import curation, imaging, ordering, phases, rollup, tables
+from stratiform.operators import context, curation, imaging, ordering, phases, rollup, tables
 from stratiform.sources import tables as sources
 
 Step = Callable[[DataFrame, Mapping], DataFrame]
@@ -64,7 +64,7 @@ def _columns(df: DataFrame, s: Mapping, change: Callable[[Column], Column], to:
 
 
 def _curated(df: DataFrame, s: Mapping) -> DataFrame:
-    return curation.curate(df, s["exam"], s["volume"], s["config"], s.get("texts", curation.TEXT_COLUMNS))["curated"]
+    return context.curate(df, s["exam"], s["volume"], s["config"], s.get("texts", curation.TEXT_COLUMNS))["curated"]
 
 
 def _finalize(df: DataFrame, s: Mapping) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from stratiform.operators import context as X
 from stratiform.operators import curation as C
 from stratiform.operators import tables as T
 from stratiform.plans import steps as L
@@ -80,6 +81,31 @@ def w15_fold_phases(spark, sf_dir):
     return C.fold_phases(e, ["user_id", "d"], "event_id", "known", "elapsed").select("event_id", "folded_phase")
 
 
+#: Series descriptions by event type, as they follow each other in an exam (a user's day).
+_SERIES = {"view": "AX T1 vibe", "click": "AX T1 vibe arterial", "purchase": "T1 vibe tra portal 70 s", "error": "T2 haste"}
+
+
+def _mr_exams(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    text = F.element_at(F.create_map(*[F.lit(x) for pair in _SERIES.items() for x in pair]), F.col("event_type"))
+    return C.annotate_mr(e.select("event_id", F.col("user_id").alias("patient_key"), F.to_date("ts").alias("date"), F.unix_timestamp("ts").alias("time_seconds"), text.alias("SeriesDescription"), F.lit("MR").alias("Modality")))
+
+
+@query("""WITH e AS (SELECT event_id, user_id, CAST(ts AS DATE) AS d, event_type AS t FROM events),
+x AS (SELECT *, count(*) FILTER (WHERE t IN ('click', 'purchase')) OVER (PARTITION BY user_id, d) AS known, row_number() OVER (PARTITION BY user_id, d, t = 'view' ORDER BY CAST(event_id AS VARCHAR)) AS k FROM e)
+SELECT event_id, CASE t WHEN 'view' THEN 'NATIVE' WHEN 'click' THEN 'ARTERIAL' WHEN 'purchase' THEN 'PORTAL_VENOUS' ELSE 'OTHER' END AS rule_phase,
+ CASE WHEN t = 'view' AND known > 0 AND k = 1 THEN 'exam_context' WHEN t = 'view' THEN 'native_no_perfusion_evidence' WHEN t IN ('click', 'purchase') THEN 'explicit_text' ELSE 'none' END AS source FROM x""")
+def c19_in_context(spark, sf_dir):
+    out = X.in_context(_mr_exams(spark, sf_dir), ["patient_key", "date"], "event_id")
+    return out.select("event_id", "rule_phase", F.col("mri_perfusion_source").alias("source"))
+
+
+@query("""SELECT CAST(user_id AS VARCHAR) AS patient, CASE WHEN event_type IN ('view', 'click', 'purchase') THEN 'VIBE' ELSE 'UNSPECIFIED_T1' END AS family, CASE WHEN event_type IN ('view', 'click', 'purchase') THEN 'AXIAL' ELSE 'UNKNOWN' END AS plane, count(*) AS n FROM events GROUP BY ALL""")
+def c27_protocol_key(spark, sf_dir):
+    p = X.with_protocol(_mr_exams(spark, sf_dir), ["patient_key", "date"])
+    return p.groupBy(F.col("protocol.patient_key").alias("patient"), F.col("protocol.family").alias("family"), F.col("protocol.plane").alias("plane")).agg(F.count("*").alias("n"))
+
+
 # ------------------------------------------------------------ shared table operators
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratiform.functions import clock, rules, text, vectors
-from stratiform.operators import compare, curation, incremental, ordering, phases, rollup, tables, voxels
+from stratiform.operators import compare, context, curation, incremental, ordering, phases, rollup, tables, voxels
 from stratiform.plans import steps
 from stratiform.sources import tables as sources
 
@@ -98,12 +98,38 @@ def test_phase_chain(spark):
 def test_curation_end_to_end(spark):
     rows = [("p", "v1", "CT", "AX native", 512, 512, 100, 2.0), ("p", "v2", "CT", "AX portal 70 s", 512, 512, 100, 2.0), ("p", "v3", "MRI", "AX T1 vibe arterial", 320, 320, 80, 3.0), ("p", "v4", "CT", "scout", 512, 512, 1, 2.0), ("p", "v5", "CT", "ax portal", 256, 256, 10, 9.0)]
     df = spark.createDataFrame(rows, "patient string, volume_id string, Modality string, SeriesDescription string, Rows int, Columns int, n_files int, SliceThickness double")
-    out = curation.curate(df, ["patient"], "volume_id", {"strategies": [{"name": "texts", "type": "rules"}]})
+    out = context.curate(df, ["patient"], "volume_id", {"strategies": [{"name": "texts", "type": "rules"}]})
     wide = out["wide"].first()
     assert (wide["NATIVE"], wide["PORTAL_VENOUS"], wide["T1_ARTERIAL"]) == ("v1", "v2", "v3") and wide["PORTAL_VENOUS_other_candidates"].startswith("v5")
     assert out["curated"].count() == 5
 
 
+def _phases(spark, rows):
+    """Phases and sources of MR volumes (exam, volume, text, seconds, acquisition, tag) in the context of their exams."""
+    df = spark.createDataFrame(rows, "exam string, volume_id string, SeriesDescription string, time_seconds double, acquisition_id string, ContrastBolusAgentPhase string")
+    out = context.in_context(curation.annotate_mr(df.withColumn("Modality", F.lit("MR"))), ["exam"], "volume_id")
+    return {r["volume_id"]: (r["rule_phase"], r["mri_perfusion_source"]) for r in out.collect()}
+
+
+def test_context_of_an_exam(spark):
+    got = _phases(spark, [
+        ("a", "a1", "ax t1 vibe", 0.0, None, None), ("a", "a2", "ax t1 vibe dyn", 30.0, None, None), ("a", "a3", "ax t1 vibe dyn", 75.0, None, None), ("a", "a4", "ax t1 vibe dyn", 240.0, None, None), ("a", "a5", "t2 haste ax", 300.0, None, None),
+        ("b", "b1", "ax t1 vibe art port", 10.0, None, None), ("b", "b2", "ax t1 vibe art port", 90.0, None, None),
+        ("c", "c1", "ax t1 vibe arterial", 0.0, "q", None), ("c", "c2", "ax t1 vibe", 0.0, "q", None), ("c", "c3", "ax t1 lava", 9.0, "r", None),
+        ("d", "d1", "ax t1 vibe", 0.0, None, "PORTAL VENOUS"), ("d", "d2", "ax t1 vibe", 1.0, None, "ARTERIAL\\\\PORTAL"), (None, "e1", None, None, None, None), (None, "e2", "", None, None, None),
+        ("f", "f1", "ax t1 vibe native", 0.0, None, None), ("f", "f2", "ax t1 vibe native ph 2", 40.0, None, None),
+        ("g", "g1", "ax t1 vibe mask arterial", 5.0, None, None),
+        ("h", "h1", "ax t1 vibe art port", 10.0, None, None), ("h", "h2", "ax t1 vibe art port", 10.0, None, None),
+    ])
+    assert got["a1"] == ("NATIVE", "exam_context") and [got[f"a{i}"] for i in (2, 3, 4)] == [(p, "generic_dynamic") for p in ("ARTERIAL", "PORTAL_VENOUS", "DELAYED")] and got["a5"] == ("OTHER", "none")
+    assert got["b1"] == ("ARTERIAL", "container_order") and got["b2"] == ("PORTAL_VENOUS", "container_order")
+    assert got["c1"] == ("ARTERIAL", "explicit_text") and got["c2"] == ("ARTERIAL", "acquisition_phase") and got["c3"] == ("NATIVE", "native_no_perfusion_evidence")
+    assert got["d1"] == ("PORTAL_VENOUS", "dicom_phase") and got["d2"] == ("OTHER", "dicom_phase_conflict") and got["e1"] == got["e2"] == ("OTHER", "none")
+    assert got["f1"] == ("NATIVE", "explicit_text") and got["f2"] == ("OTHER", "ordinal_phase_conflict") and got["g1"] == ("NATIVE", "container_order")
+    assert got["h1"] == got["h2"] == ("OTHER", "none")  # tied: no order tells them apart
+    assert _phases(spark, []) == {}
+
+
 def test_state(spark):
     now = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3")], "source_id string, row_sha256 string")
     state = spark.createDataFrame([("a", "1", "completed"), ("b", "2", "failed"), ("c", "0", "completed")], "source_id string, row_sha256 string, status string")
