@@ -1,4 +1,4 @@
-"""Column profiles and feature statistics. Exact by default; wide aggregates in one pass, unpivoted afterwards."""
+"""Column profiles and feature statistics. Exact by default; wide aggregates in one pass, ranks and percentiles by pieces of a feature's values."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratiform.operators.ordering import benjamini_hochberg
+from stratiform.operators.ranks import cumulated, percentiles, same
 
 
 def unpivoted(df: DataFrame, names: Sequence[str], keys: Sequence[str] = (), name: str = "feature", value: str = "value") -> DataFrame:
@@ -35,40 +36,36 @@ def top_values(df: DataFrame, names: Sequence[str], n: int = 20) -> DataFrame:
     return counts.withColumn("rank", rank).filter(F.col("rank") <= n)
 
 
-def percentiles(c: str, points: Sequence[float], exact: bool = True) -> Column:
-    """An array of percentiles in one aggregate. The exact one keeps a count per distinct value; `exact=False` keeps a bounded sketch."""
-    where = F.array(*(F.lit(float(p)) for p in points))
-    return F.percentile(c, where) if exact else F.percentile_approx(c, where, 10_000)
-
-
 def described(df: DataFrame, names: Sequence[str], points: Sequence[float], by: Sequence[str] = (), exact: bool = True) -> DataFrame:
-    """Per feature: count, missing share, mean, deviation, min, percentiles, max, coefficient of variation; infinite is missing."""
-    long = unpivoted(df, names, by)
-    v = F.when(F.abs("value") < float("inf"), F.col("value"))
-    out = long.withColumn("value", v).groupBy(*by, "feature").agg(
+    """Per feature: count, missing share, mean, deviation, min, percentiles, max, coefficient of variation; infinite is missing.
+
+    `exact=False` takes percentiles from a bounded sketch, in the same aggregate.
+    """
+    key = [*by, "feature"]
+    long = unpivoted(df, names, by).withColumn("value", F.when(F.abs("value") < float("inf"), F.col("value")))
+    sketch = [] if exact else [F.percentile_approx("value", F.array(*(F.lit(float(p)) for p in points)), 10_000).alias("_p")]
+    out = long.groupBy(*key).agg(
         F.count("value").alias("n"), (1 - F.count("value") / F.count("*")).alias("missing"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), percentiles("value", points, exact).alias("_p"), F.max("value").alias("max"),
-        F.try_divide(F.stddev_samp("value"), F.avg("value")).alias("cv"),
+        F.min("value").alias("min"), *sketch, F.max("value").alias("max"), F.try_divide(F.stddev_samp("value"), F.avg("value")).alias("cv"),
     )
-    return out.withColumns({f"p{round(p * 100)}": F.col("_p")[i] for i, p in enumerate(points)}).drop("_p")
+    out = same(out, percentiles(long, key, points), key, "left") if exact else out
+    return out.select(*key, "n", "missing", "mean", "std", "min", *(F.col("_p")[i].alias(f"p{round(p * 100)}") for i, p in enumerate(points)), "max", "cv")
 
 
 def outliers(df: DataFrame, names: Sequence[str], factor: float = 1.5) -> DataFrame:
     """Values outside the quartiles by more than `factor` ranges, of features with four values or more."""
-    long = unpivoted(df, names).filter(F.col("value").isNotNull())
-    q = long.groupBy("feature").agg(percentiles("value", (0.25, 0.75)).alias("_q"), F.count("*").alias("n")).filter("n >= 4")
-    q = q.select("feature", "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"))
+    counts = unpivoted(df, names).filter(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count("*").alias("_k"))
+    n = counts.groupBy("feature").agg(F.sum("_k").alias("n")).filter("n >= 4")
+    q = percentiles(unpivoted(df, names), ["feature"], (0.25, 0.75)).select("feature", F.col("_p")[0].alias("q1"), F.col("_p")[1].alias("q3"))
     out = (F.col("value") < F.col("q1") - factor * (F.col("q3") - F.col("q1"))) | (F.col("value") > F.col("q3") + factor * (F.col("q3") - F.col("q1")))
-    hit = long.join(F.broadcast(q), "feature")  # a row per feature
-    return hit.groupBy("feature").agg(F.first("n").alias("n"), F.count_if(out).alias("outliers"))
+    hit = counts.join(q.join(n, "feature"), "feature")  # a row per value, and per feature
+    return hit.groupBy("feature").agg(F.first("n").alias("n"), F.sum(F.when(out, F.col("_k")).otherwise(0)).alias("outliers"))
 
 
 def average_ranks(long: DataFrame, row: str) -> DataFrame:
-    """feature, row, rank with ties at their mean rank: counts per value, so a hot value is one row of the window."""
-    counts = long.groupBy("feature", "value").agg(F.count("*").alias("_k"))
-    before = F.sum("_k").over(W.partitionBy("feature").orderBy("value").rowsBetween(W.unboundedPreceding, -1))
-    ranks = counts.withColumn("rank", F.coalesce(before, F.lit(0)) + (F.col("_k") + 1) / 2)
-    return long.join(ranks.select("feature", "value", "rank"), ["feature", "value"]).select("feature", row, "rank")
+    """feature, row, rank with ties at their mean rank; null values have none."""
+    ranks = cumulated(long, ["feature"]).select("feature", "value", (F.col("_before") + (F.col("_k") + 1) / 2).alias("rank"))
+    return long.join(ranks, ["feature", "value"]).select("feature", row, "rank")
 
 
 def spearman(df: DataFrame, names: Sequence[str], row: str) -> DataFrame:
@@ -87,13 +84,14 @@ def two_groups(df: DataFrame, names: Sequence[str], group: str, a, b, row: str)
     x, y = F.col(group) == a, F.col(group) == b
     of = lambda f, side: f(F.when(side, F.col("value")))
     m = long.groupBy("feature").agg(
-        of(F.count, x).alias("n_a"), of(F.count, y).alias("n_b"), of(F.avg, x).alias("mean_a"), of(F.avg, y).alias("mean_b"), of(F.median, x).alias("median_a"), of(F.median, y).alias("median_b"),
+        of(F.count, x).alias("n_a"), of(F.count, y).alias("n_b"), of(F.avg, x).alias("mean_a"), of(F.avg, y).alias("mean_b"),
         of(F.var_samp, x).alias("_va"), of(F.var_samp, y).alias("_vb"),
     )
+    middle = percentiles(long, ["feature", group], (0.5,)).groupBy("feature").agg(*(F.max(F.when(side, F.col("_p")[0])).alias(name) for side, name in ((x, "median_a"), (y, "median_b"))))
     sides = df.select(row, group)
     r = ranked.join(sides, row).groupBy("feature").agg(F.sum(F.when(x, F.col("rank"))).alias("_ra"))
-    ties = long.groupBy("feature", "value").agg(F.count("*").alias("_k")).groupBy("feature").agg(F.sum(F.col("_k") * F.col("_k") * F.col("_k") - F.col("_k")).cast("double").alias("_ties"))
-    m = m.join(r, "feature").join(ties, "feature")
+    ties = long.filter("value is not null").groupBy("feature", "value").agg(F.count("*").alias("_k")).groupBy("feature").agg(F.sum(F.col("_k") * F.col("_k") * F.col("_k") - F.col("_k")).cast("double").alias("_ties"))
+    m = m.join(middle, "feature").join(r, "feature").join(ties, "feature")
     na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     n = na + nb
     pooled = F.sqrt(((na - 1) * F.col("_va") + (nb - 1) * F.col("_vb")) / (n - 2))

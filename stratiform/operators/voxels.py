@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from stratiform.operators.ranks import percentiles, same
 from stratiform.shared import written
 
 XYZ = ["x", "y", "z"]
@@ -161,37 +164,43 @@ def fuse(coverage: DataFrame, votes: DataFrame, how: str = "majority", threshold
     return n.withColumn("fused", keep).drop("_anchor")
 
 
+def _performance(patterns: np.ndarray, counts: np.ndarray, raters: int, iterations: int, tolerance: float) -> np.ndarray:
+    """EM over one scan's patterns of votes: the probability of each pattern to be foreground."""
+    votes = (patterns[:, None] >> np.arange(raters)) & 1 == 1
+    prior = float(counts @ votes.mean(1)) / counts.sum()
+    sensitive, specific = np.full(raters, 0.99), np.full(raters, 0.99)
+    weight = np.zeros(len(patterns))
+    for _ in range(iterations):
+        one = prior * np.where(votes, sensitive, 1 - sensitive).prod(1)
+        zero = (1 - prior) * np.where(votes, 1 - specific, specific).prod(1)
+        weight = np.divide(one, one + zero, out=np.zeros_like(one), where=one + zero > 0)
+        on, off = counts * weight, counts * (1 - weight)
+        before = np.concatenate([sensitive, specific])
+        sensitive, specific = on @ votes / max(on.sum(), 1e-12), off @ ~votes / max(off.sum(), 1e-12)
+        if np.abs(before - np.concatenate([sensitive, specific])).max() < tolerance:
+            break
+    return weight
+
+
 def staple(coverage: DataFrame, votes: DataFrame, raters: Sequence[str], iterations: int = 100, tolerance: float = 1e-6) -> DataFrame:
-    """Simultaneous truth and performance: EM over patterns of votes. Voxels that all raters saw are first counted by pattern,
+    """Simultaneous truth and performance, scan by scan: EM over patterns of votes at voxels that all raters saw.
 
-    so the table that is iterated on has at most 2**raters rows, whatever the image; then each voxel takes its pattern's probability.
+    Spark counts voxels by scan and pattern, so a scan is at most 2**raters counts whatever its image (more than 16 raters are an error); a small Python
+    function iterates on those, and each voxel takes its pattern's probability.
     """
+    if len(raters) > 16:
+        raise ValueError(f"{len(raters)} raters: more than 16 make too many patterns")
+
+    @F.pandas_udf("array<double>")
+    def weights(patterns: pd.Series, counts: pd.Series) -> pd.Series:
+        return pd.Series([_performance(np.asarray(p), np.asarray(c, float), len(raters), iterations, tolerance).tolist() for p, c in zip(patterns, counts)])
+
     seen = coverage.join(votes.select("scan_id", "rater", *XYZ).withColumn("_v", F.lit(1)), ["scan_id", "rater", *XYZ], "left")
     pattern = F.sum(reduce(lambda a, b: a + b, [F.when((F.col("rater") == r) & F.col("_v").isNotNull(), 2**i).otherwise(0) for i, r in enumerate(raters)]))
     voxel = seen.groupBy(*VOXEL).agg(pattern.alias("pattern"), F.count_distinct("rater").alias("n")).filter(F.col("n") == len(raters)).drop("n")
-    counts = {r["pattern"]: r["count"] for r in voxel.groupBy("pattern").count().collect()}  # at most 2 ** raters rows
-    total = sum(counts.values()) or 1
-    bits = {p: [(p >> i) & 1 for i in range(len(raters))] for p in counts}
-    prior = sum(c * sum(bits[p]) / len(raters) for p, c in counts.items()) / total
-    sens, spec = [0.99] * len(raters), [0.99] * len(raters)
-    weight: dict[int, float] = {}
-    for _ in range(iterations):
-        for p, b in bits.items():
-            one, zero = prior, 1 - prior
-            for i, v in enumerate(b):
-                one *= sens[i] if v else 1 - sens[i]
-                zero *= 1 - spec[i] if v else spec[i]
-            weight[p] = one / (one + zero) if one + zero else 0.0
-        on = sum(counts[p] * weight[p] for p in counts) or 1e-12
-        off = sum(counts[p] * (1 - weight[p]) for p in counts) or 1e-12
-        new_sens = [sum(counts[p] * weight[p] for p in counts if bits[p][i]) / on for i in range(len(raters))]
-        new_spec = [sum(counts[p] * (1 - weight[p]) for p in counts if not bits[p][i]) / off for i in range(len(raters))]
-        moved = max(abs(x - y) for x, y in zip(sens + spec, new_sens + new_spec))
-        sens, spec = new_sens, new_spec
-        if moved < tolerance:
-            break
-    table = F.create_map(*[F.lit(x) for p, w in weight.items() for x in (p, w)]) if weight else F.create_map(F.lit(0), F.lit(0.0))
-    return voxel.withColumn("probability", F.try_element_at(table, F.col("pattern").cast("int"))).withColumn("fused", F.col("probability") >= 0.5)
+    counts = voxel.groupBy("scan_id", "pattern").agg(F.count("*").alias("k")).groupBy("scan_id").agg(F.array_sort(F.collect_list(F.struct("pattern", "k"))).alias("c"))
+    found = counts.withColumn("w", weights("c.pattern", "c.k")).select("scan_id", F.explode(F.arrays_zip(F.col("c.pattern").alias("pattern"), F.col("w").alias("probability"))).alias("z")).select("scan_id", "z.*")
+    return voxel.join(found, ["scan_id", "pattern"]).select(*VOXEL, "pattern", "probability").withColumn("fused", F.col("probability") >= 0.5)
 
 
 def upper_median(distances: DataFrame, value: str = "value") -> DataFrame:
@@ -213,9 +222,8 @@ def seams(coverage: DataFrame) -> DataFrame:
 
 def window_levels(voxels: DataFrame, low: float = 0.01, high: float = 0.99) -> DataFrame:
     """Percentiles of the finite values per scan; equal ones are set one apart."""
-    v = F.when(F.abs("value") < float("inf"), F.col("value"))
-    p = voxels.groupBy("scan_id").agg(F.percentile(v, F.array(F.lit(low), F.lit(high))).alias("_p"))
-    p = p.select("scan_id", F.col("_p")[0].alias("low"), F.col("_p")[1].alias("high"))
+    finite = voxels.filter(F.abs("value") < float("inf"))
+    p = same(voxels.select("scan_id").distinct(), percentiles(finite, ["scan_id"], (low, high)), ["scan_id"], "left").select("scan_id", F.col("_p")[0].alias("low"), F.col("_p")[1].alias("high"))
     return p.withColumn("high", F.when(F.col("high") <= F.col("low"), F.col("low") + 1).otherwise(F.col("high")))
 
 
@@ -231,12 +239,13 @@ def first_order(voxels: DataFrame, mask: DataFrame, bin_width: float = 25.0) ->
     key = ["scan_id", "mask"]
     stats = roi.groupBy(*key).agg(
         F.count("*").alias("n"), F.min("value").alias("min"), F.max("value").alias("max"), F.avg("value").alias("mean"), F.var_pop("value").alias("variance"),
-        F.percentile("value", 0.25).alias("p25"), F.percentile("value", 0.75).alias("p75"), F.sum(F.col("value") * F.col("value")).alias("energy"),
+        F.sum(F.col("value") * F.col("value")).alias("energy"),
     )
+    quartiles = percentiles(roi, key, (0.25, 0.75)).select(*key, F.col("_p")[0].alias("p25"), F.col("_p")[1].alias("p75"))
     bins = roi.groupBy(*key, F.floor(F.col("value") / bin_width).alias("bin")).agg(F.count("*").alias("k"))
     p = F.col("k") / F.sum("k").over(W.partitionBy(*key))
     entropy = bins.withColumn("p", p).groupBy(*key).agg((-F.sum(F.col("p") * F.log2("p"))).alias("entropy"))
-    return stats.join(entropy, key)
+    return stats.join(quartiles, key, "left").join(entropy, key).select(*key, "n", "min", "max", "mean", "variance", "p25", "p75", "energy", "entropy")
 
 
 def mask_quality(mask: DataFrame, grid: DataFrame, voxel_volume: float = 1.0) -> DataFrame:

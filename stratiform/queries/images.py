@@ -106,7 +106,7 @@ def x12_vote_fusion(spark, sf_dir):
 
 @query()
 def x13_staple(spark, sf_dir):
-    """Three thresholds as raters of every scan; all voxels of a table share one set of rater qualities."""
+    """Three thresholds as raters of every scan; each scan has its own rater qualities."""
     v = _voxels(spark, sf_dir)
     rater = F.explode(F.array(*(F.struct(F.lit(n).alias("rater"), F.lit(t).alias("cut")) for n, t in (("r1", 0.0), ("r2", 0.05), ("r3", -0.05)))))
     seen = v.select("scan_id", *X.XYZ, "value", rater.alias("r")).select("scan_id", *X.XYZ, "value", "r.*")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratiform.functions import clock, rules, text, vectors
-from stratiform.operators import compare, context, curation, incremental, ordering, phases, rollup, tables, voxels
+from stratiform.operators import compare, context, curation, incremental, ordering, phases, ranks, rollup, tables, voxels
 from stratiform.plans import steps
 from stratiform.sources import tables as sources
 
@@ -251,3 +251,34 @@ def test_clean_end_to_end(spark, tmp_path):
     assert rows["1"]["name"] == "a b" and list(rows["1"]["iop"]) == [1, 0, 0, 0, 1, 0] and rows["1"]["volume_length"] == 8.0 and rows["2"]["volume_length"] == 3.0 and len(rows["1"]["kind_tokens"]) == 2
     with pytest.raises(ValueError):
         steps.clean(spark, [], [{"type": "nothing"}], f"file://{tmp_path}/other")
+
+
+def test_staple_by_scan(spark):
+    # three raters agree but for one voxel in scan 1; in scan 2 the third marks all voxels, and only there is it distrusted
+    grid = [(s, r, x, 0, 0) for s in (1, 2) for r in ("a", "b", "c") for x in range(10)]
+    marks = [(s, r, x, 0, 0) for s, r, x, _, _ in grid if x < 4 or (s == 2 and r == "c") or (s == 1 and r == "a" and x == 4)]
+    schema = "scan_id long, rater string, x long, y long, z long"
+    both = voxels.staple(spark.createDataFrame(grid, schema), spark.createDataFrame(marks, schema), ["a", "b", "c"])
+    got = {(r["scan_id"], r["x"]): r["fused"] for r in both.collect()}
+    assert len(got) == 20 and all(fused == (x < 4) for (_, x), fused in got.items())
+    alone = voxels.staple(spark.createDataFrame([g for g in grid if g[0] == 1], schema), spark.createDataFrame(marks, schema), ["a", "b", "c"])
+    same = {(r["scan_id"], r["x"]): r["probability"] for r in both.filter("scan_id = 1").collect()}
+    assert same == {(r["scan_id"], r["x"]): r["probability"] for r in alone.collect()}  # other scans have no say
+    with pytest.raises(ValueError):
+        voxels.staple(both, both, [str(i) for i in range(17)])
+
+
+def test_ranks_and_percentiles(spark):
+    import numpy as np
+
+    g = np.random.default_rng(5)
+    values = {"a": np.round(g.normal(size=3000), 2), "b": np.full(500, 7.0), "c": np.array([1.0]), None: g.normal(size=40)}
+    rows = [(k, float(v)) for k, vs in values.items() for v in vs] + [("a", None), ("d", None)]
+    df = spark.createDataFrame(rows, "g string, value double")
+    got = {r["g"]: r["_p"] for r in ranks.percentiles(df, ["g"], (0.0, 0.25, 0.5, 0.99, 1.0)).collect()}
+    assert got.keys() == values.keys()
+    for k, vs in values.items():
+        assert np.allclose(got[k], np.quantile(vs, [0.0, 0.25, 0.5, 0.99, 1.0]))
+    before = {(r["g"], r["value"]): (r["_before"], r["_k"]) for r in ranks.cumulated(df, ["g"]).collect()}
+    assert before == {(k, float(v)): (int((vs < v).sum()), int((vs == v).sum())) for k, vs in values.items() for v in set(vs)}
+    assert ranks.cumulated(df.limit(0), ["g"]).count() == 0 == ranks.percentiles(df.limit(0), ["g"], (0.5,)).count()
