@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratiform.operators.ordering import benjamini_hochberg
-from stratiform.operators.ranks import cumulated, percentiles, same
+from stratiform.operators.ranks import cumulated, percentiles, percentiles_of, same
 
 
 def unpivoted(df: DataFrame, names: Sequence[str], keys: Sequence[str] = (), name: str = "feature", value: str = "value") -> DataFrame:
@@ -54,11 +54,10 @@ def described(df: DataFrame, names: Sequence[str], points: Sequence[float], by:
 
 def outliers(df: DataFrame, names: Sequence[str], factor: float = 1.5) -> DataFrame:
     """Values outside the quartiles by more than `factor` ranges, of features with four values or more."""
-    counts = unpivoted(df, names).filter(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count("*").alias("_k"))
-    n = counts.groupBy("feature").agg(F.sum("_k").alias("n")).filter("n >= 4")
-    q = percentiles(unpivoted(df, names), ["feature"], (0.25, 0.75)).select("feature", F.col("_p")[0].alias("q1"), F.col("_p")[1].alias("q3"))
+    counts = cumulated(unpivoted(df, names), ["feature"])
+    q = percentiles_of(counts, ["feature"], (0.25, 0.75)).filter("_n >= 4").select("feature", F.col("_n").alias("n"), F.col("_p")[0].alias("q1"), F.col("_p")[1].alias("q3"))
     out = (F.col("value") < F.col("q1") - factor * (F.col("q3") - F.col("q1"))) | (F.col("value") > F.col("q3") + factor * (F.col("q3") - F.col("q1")))
-    hit = counts.join(q.join(n, "feature"), "feature")  # a row per value, and per feature
+    hit = counts.select("feature", "value", "_k").join(q, "feature")  # a row per value, and per feature
     return hit.groupBy("feature").agg(F.first("n").alias("n"), F.sum(F.when(out, F.col("_k")).otherwise(0)).alias("outliers"))
 
 

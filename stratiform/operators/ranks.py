@@ -22,31 +22,34 @@ def same(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner
 
 
 def cumulated(rows: DataFrame, by: Sequence[str], value: str = "value") -> DataFrame:
-    """by, value, _k (rows of that value) and _before (rows of lesser values) of non-null values.
+    """by, value, _k (rows of that value), _before (rows of lesser values) and _n (rows of the group) of non-null values.
 
     A hot value is one row after the partial count. A bounded sketch cuts each group into pieces of like size; sums run within a piece, and a piece
     starts at the sum of those before it, so no window holds more than a piece.
     """
-    counts = rows.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_k"))
-    cuts = counts.groupBy(*by).agg(F.percentile_approx(value, F.array(*(F.lit(i / PIECES) for i in range(1, PIECES))), ACCURACY).alias("_cuts"))
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(F.struct(*by).alias("_g"), value).agg(F.count("*").alias("_k"))  # fields of a struct are equal where both are null
+    cuts = counts.groupBy("_g").agg(F.percentile_approx(value, F.array(*(F.lit(i / PIECES) for i in range(1, PIECES))), ACCURACY).alias("_cuts"))
     piece = F.size(F.filter("_cuts", lambda c: c < F.col(value)))
-    counts = same(counts, cuts, by).withColumn("_piece", piece).drop("_cuts")
-    starts = counts.groupBy(*by, "_piece").agg(F.sum("_k").alias("_sum"))
-    ahead = W.partitionBy(*by).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
-    starts = starts.select(*by, "_piece", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_start"))
-    inside = W.partitionBy(*by, "_piece").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
-    counts = counts.withColumn("_in", F.coalesce(F.sum("_k").over(inside), F.lit(0)))
-    return same(counts, starts, [*by, "_piece"]).select(*by, value, "_k", (F.col("_start") + F.col("_in")).alias("_before"))
-
-
-def percentiles(rows: DataFrame, by: Sequence[str], points: Sequence[float], value: str = "value") -> DataFrame:
-    """by and _p, an array of exact percentiles with linear interpolation; groups without a value are absent."""
-    counts = cumulated(rows, by, value)
-    totals = counts.groupBy(*by).agg(F.sum("_k").alias("_n"))
+    counts = counts.join(cuts, "_g").select("_g", value, "_k", piece.alias("_piece"))
+    group = W.partitionBy("_g")
+    ahead = group.orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.groupBy("_g", "_piece").agg(F.sum("_k").alias("_sum"))
+    starts = starts.select("_g", "_piece", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_start"), F.sum("_sum").over(group).alias("_n"))
+    inside = W.partitionBy("_g", "_piece").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+    counts = counts.withColumn("_in", F.coalesce(F.sum("_k").over(inside), F.lit(0))).join(starts, ["_g", "_piece"])
+    return counts.select(*(F.col(f"_g.{c}").alias(c) for c in by), value, "_k", (F.col("_start") + F.col("_in")).alias("_before"), "_n")
+
+
+def percentiles_of(counts: DataFrame, by: Sequence[str], points: Sequence[float], value: str = "value") -> DataFrame:
+    """by, _n and _p, an array of exact percentiles with linear interpolation, from cumulated()."""
     at = [F.lit(float(p)) * (F.col("_n") - 1) for p in points]
     holds = lambda i: F.max(F.when((F.col("_before") <= i) & (i < F.col("_before") + F.col("_k")), F.col(value).cast("double")))
-    ends = [holds(f(x)).alias(f"_{name}{i}") for i, x in enumerate(at) for name, f in (("low", F.floor), ("high", F.ceil))]
-    found = same(counts, totals, by).groupBy(*by, "_n").agg(*ends)
+    found = counts.groupBy(*by, "_n").agg(*(holds(f(x)).alias(f"_{name}{i}") for i, x in enumerate(at) for name, f in (("low", F.floor), ("high", F.ceil))))
     between = lambda i, x: F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * (x - F.floor(x))
     level = lambda i, x: F.when(F.col(f"_low{i}") == F.col(f"_high{i}"), F.col(f"_low{i}")).otherwise(between(i, x))
-    return found.select(*by, F.array(*(level(i, x) for i, x in enumerate(at))).alias("_p"))
+    return found.select(*by, "_n", F.array(*(level(i, x) for i, x in enumerate(at))).alias("_p"))
+
+
+def percentiles(rows: DataFrame, by: Sequence[str], points: Sequence[float], value: str = "value") -> DataFrame:
+    """by and _p, an array of exact percentiles; groups without a value are absent."""
+    return percentiles_of(cumulated(rows, by, value), by, points, value).drop("_n")
