@@ -14,7 +14,7 @@
 
 Distances are exact, in double precision, on the original vectors. Null and zero vectors, and those with null or non-finite
 components, take no part, neither do vectors whose length isn't the most frequent one. Ties go to the smaller id. An empty table
-gives no rows. Repeated rows of one id count once (the nearest). Extra columns are ignored.
+gives no rows. Repeated rows of one id count once (the nearest); as a query an id asks by its least vector. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -215,7 +215,7 @@ def search(table: DataFrame, queries: Column, k: int = 10, vector: str = "embedd
         return run
 
     postings = written(rows.mapInArrow(assign(CLOSE, REPLICAS, ASSIGN_BEAM), "list long, vec_id long, vector array<double>"), "postings")
-    asked = rows.filter(queries).select(F.col("vec_id").alias("query_id"), "vector").dropDuplicates(["query_id"])
+    asked = rows.filter(queries).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("vector"))
     asked = written(asked.mapInArrow(assign(ratio, BEAM, BEAM), "list long, query_id long, vector array<double>"), "asked")
     sizes = postings.groupBy("list").agg(F.ceil(F.count("*") / SPLIT_ROWS).cast("int").alias("parts"))
     query_sizes = asked.groupBy("list").agg(F.ceil(F.count("*") / SPLIT_QUERIES).cast("int").alias("query_parts"))

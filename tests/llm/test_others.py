@@ -40,6 +40,9 @@ def test_nearest_neighbours(spark, monkeypatch):
     assert ann.search(table.limit(0), F.lit(True)).collect() == []
     few = ann.search(table.filter("vec_id < 3"), F.col("vec_id") == 0).collect()
     assert len(few) == 2
+    twice = spark.createDataFrame([(0, [9.0, 1.0]), (0, [1.0, 1.0]), (1, [1.5, 1.0]), (2, [8.0, 1.0])], "vec_id long, embedding array<double>")
+    for df in (twice, twice.orderBy(F.desc("vec_id")), twice.repartition(3)):  # of a repeated query id the least vector asks
+        assert [tuple(r) for r in ann.search(df, F.col("vec_id") == 0, k=2).orderBy("rank").collect()] == [(0, 1, 1, 0.5), (0, 2, 2, 7.0)]
 
 
 @pytest.mark.parametrize("inline", [500, 0])
