@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratiform.operators.ordering import ranked, top
+
 
 def keys_of(df: DataFrame, grain: Sequence[str]) -> DataFrame:
     return df.select(*grain).dropna(how="any").distinct()
@@ -85,3 +87,27 @@ def preserved(new: DataFrame, old: DataFrame, keys: Sequence[str]) -> DataFrame:
         if unique(new) and unique(old):
             return new.join(old.select(k, *extra), k, "left")
     raise ValueError(f"none of {list(keys)} is unique on both sides")
+
+
+def selected_cohort(df: DataFrame, eligible: Column, patient: str, exam: str, label: str, order: Sequence[Column | str]) -> tuple[DataFrame, DataFrame]:
+    """The cohort and its audit. Of each patient's eligible rows the exam with most labels (a tie: the least exam), of each of its labels the first row by `order`.
+
+    The audit has every row of df with a reason: selected, not_eligible, other_exam, other_candidate.
+    """
+    flagged = df.withColumn("_ok", F.coalesce(eligible, F.lit(False)))
+    exams = flagged.filter("_ok").groupBy(patient, exam).agg(F.count_distinct(label).alias("n_labels"))
+    best = top(exams, [patient], [F.desc("n_labels"), exam]).select(patient, F.col(exam).alias("_exam"), "n_labels")
+    rows = flagged.join(best, patient, "left").withColumn("_in", F.col("_ok") & (F.col(exam) == F.col("_exam")))
+    rows = ranked(rows, [patient, exam, label], [F.desc(F.coalesce("_in", F.lit(False))), *order], "_place")
+    reason = F.when(~F.col("_ok"), "not_eligible").when(~F.col("_in"), "other_exam").when(F.col("_place") == 1, "selected").otherwise("other_candidate")
+    audit = rows.withColumn("reason", reason).drop("_ok", "_exam", "_in", "_place")
+    return audit.filter("reason = 'selected'").drop("reason"), audit
+
+
+def recovery_summary(recovery: DataFrame, subgroup: Column) -> DataFrame:
+    """Of the exams of label_recovery: all, complete, partial (some labels matched), none; and the same of a subgroup."""
+    some = F.col("matched") != ""
+    kinds = {"complete": F.col("full_match"), "partial": ~F.col("full_match") & some, "none": ~F.col("full_match") & ~some}
+    inside = F.coalesce(subgroup, F.lit(False))
+    aggs = [F.count("*").alias("exams"), *(F.count_if(k).alias(n) for n, k in kinds.items())]
+    return recovery.agg(*aggs, F.count_if(inside).alias("subgroup_exams"), *(F.count_if(k & inside).alias(f"subgroup_{n}") for n, k in kinds.items()))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,6 +62,23 @@ def carried(current: DataFrame, previous: DataFrame, same: DataFrame, columns: S
     return current.join(kept, "source_id", "left")
 
 
+def reannotated(df: DataFrame, annotate: Callable[[DataFrame], DataFrame], columns: Sequence[str], lacking: Column) -> DataFrame:
+    """annotate() sees all rows, but only those that lack evidence get its values; the others keep theirs. Columns that df lacks are new for all."""
+    old = [c for c in columns if c in df.columns]
+    kept = df.withColumns({"_lacking": F.coalesce(lacking, F.lit(True)), **{f"_old_{c}": F.col(c) for c in old}})
+    out = annotate(kept)
+    return out.withColumns({c: F.when(F.col("_lacking"), F.col(c)).otherwise(F.col(f"_old_{c}")) for c in old}).drop("_lacking", *(f"_old_{c}" for c in old))
+
+
+def merged_predictions(current: DataFrame, predictions: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """current (source_id, row_sha256, ...) with imported predictions; those made for another state of the row are null, and `stale` says so."""
+    found = predictions.select("source_id", F.col("row_sha256").alias("_made_for"), *(F.col(c).alias(f"_new_{c}") for c in columns))
+    out = current.join(found, "source_id", "left")
+    fits = F.col("_made_for").eqNullSafe(F.col("row_sha256"))
+    out = out.withColumn("stale", F.col("_made_for").isNotNull() & ~fits)
+    return out.withColumns({c: F.when(fits, F.col(f"_new_{c}")) for c in columns}).drop("_made_for", *(f"_new_{c}" for c in columns))
+
+
 def reusable_groups(rows: DataFrame, group: str, ok: Column) -> DataFrame:
     return rows.groupBy(group).agg(F.bool_and(F.coalesce(ok, F.lit(False))).alias("reusable")).filter("reusable").select(group)
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from stratiform.functions.rules import blank
 from stratiform.operators.ordering import benjamini_hochberg
 from stratiform.operators.ranks import cumulated, percentiles, percentiles_of, same
 
@@ -30,6 +31,35 @@ def coverage(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.agg(*aggs).select(F.explode(rows).alias("r")).select("r.*")
 
 
+def cardinality(df: DataFrame, names: Sequence[str], share: float = 0.8) -> DataFrame:
+    """column, type, distinct, rows, and whether a column has more distinct values than `share` of the rows: one aggregation."""
+    types = dict(df.dtypes)
+    aggs = [F.count("*").alias("_n"), *(F.count_distinct(f"`{c}`").alias(f"d{i}") for i, c in enumerate(names))]
+    rows = F.array(*(F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("type"), F.col(f"d{i}").alias("distinct"), F.col("_n").alias("rows"), (F.col(f"d{i}") > share * F.col("_n")).alias("mostly_distinct")) for i, c in enumerate(names)))
+    return df.agg(*aggs).select(F.explode(rows).alias("r")).select("r.*")
+
+
+def critical_digest(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """column, rows, missing (null or blank) for critical columns; one that the table lacks is missing in every row."""
+    gone = [blank(F.col(f"`{c}`")) if c in df.columns else F.lit(True) for c in names]
+    aggs = [F.count("*").alias("_n"), *(F.count_if(g).alias(f"m{i}") for i, g in enumerate(gone))]
+    rows = F.array(*(F.struct(F.lit(c).alias("column"), F.col("_n").alias("rows"), F.col(f"m{i}").alias("missing")) for i, c in enumerate(names)))
+    return df.agg(*aggs).select(F.explode(rows).alias("r")).select("r.*")
+
+
+def variance_ranking(df: DataFrame, names: Sequence[str], n: int = 20) -> DataFrame:
+    """rank, feature, variance of the n features that vary most; a tie goes by name. A row per feature is ranked, whatever the rows."""
+    variances = unpivoted(df, names).groupBy("feature").agg(F.var_samp("value").alias("variance"))
+    rank = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.desc_nulls_last("variance"), "feature"))
+    return variances.select(rank.alias("rank"), "feature", "variance").filter(F.col("rank") <= n)
+
+
+def trajectory(df: DataFrame, patient: str, visit: str, feature: str) -> DataFrame:
+    """Mean, deviation and number of a feature's values for each visit of a patient."""
+    value = F.col(feature)
+    return df.groupBy(patient, visit).agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.count(value).alias("n"))
+
+
 def top_values(df: DataFrame, names: Sequence[str], n: int = 20) -> DataFrame:
     counts = unpivoted(df, names, name="column").groupBy("column", "value").agg(F.count("*").alias("n"))
     rank = F.row_number().over(W.partitionBy("column").orderBy(F.desc("n"), "value"))

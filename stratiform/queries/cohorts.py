@@ -72,6 +72,25 @@ def e05_summary(spark, sf_dir):
     return hit.agg(F.count("*").alias("reference"), F.count("hit").alias("recovered"), r6(F.count("hit") / F.count("*")).alias("share"))
 
 
+_OK = "o_orderstatus <> 'P' AND slot <> '5-LOW'"
+
+
+@query(f"""WITH {CANDIDATES}, e AS (SELECT * FROM candidates WHERE {_OK}), best AS (SELECT patient, yr FROM (SELECT patient, yr, count(DISTINCT slot) AS n FROM e GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY patient ORDER BY n DESC, yr) = 1),
+won AS (SELECT o_orderkey FROM e JOIN best USING (patient, yr) QUALIFY row_number() OVER (PARTITION BY patient, slot ORDER BY score DESC, o_orderkey) = 1)
+SELECT c.o_orderkey, CASE WHEN NOT ({_OK}) THEN 'not_eligible' WHEN c.yr <> b.yr THEN 'other_exam' WHEN w.o_orderkey IS NOT NULL THEN 'selected' ELSE 'other_candidate' END AS reason FROM candidates c LEFT JOIN best b ON c.patient = b.patient LEFT JOIN won w ON c.o_orderkey = w.o_orderkey""")
+def e01_audit(spark, sf_dir):
+    _, audit = E.selected_cohort(candidates(spark, sf_dir), F.expr(_OK), "patient", "yr", "slot", [F.desc("score"), "o_orderkey"])
+    return audit.select("o_orderkey", "reason")
+
+
+@query(f"""WITH {CANDIDATES}, g AS (SELECT patient, yr, list(DISTINCT slot) AS got FROM candidates WHERE score > 150000 GROUP BY 1, 2), w AS (SELECT patient, yr, list(DISTINCT slot) AS want FROM candidates WHERE o_orderstatus <> 'P' GROUP BY 1, 2),
+b AS (SELECT w.*, coalesce(got, []) AS got FROM w LEFT JOIN g USING (patient, yr)), f AS (SELECT patient % 5 = 0 AS s, list_has_all(got, want) AS full_, list_has_any(got, want) AS any_ FROM b)
+SELECT count(*) AS exams, count(*) FILTER (WHERE full_) AS complete, count(*) FILTER (WHERE any_ AND NOT full_) AS partial, count(*) FILTER (WHERE NOT any_) AS "none", count(*) FILTER (WHERE s) AS subgroup_exams,
+count(*) FILTER (WHERE s AND full_) AS subgroup_complete, count(*) FILTER (WHERE s AND any_ AND NOT full_) AS subgroup_partial, count(*) FILTER (WHERE s AND NOT any_) AS subgroup_none FROM f""")
+def e05_recovery_summary(spark, sf_dir):
+    return E.recovery_summary(e04_label_recovery(spark, sf_dir), F.col("patient") % 5 == 0)
+
+
 @query(f"WITH {_PRED}, {_TRUE} SELECT lang, source, 'both' AS side FROM (SELECT DISTINCT lang, source FROM pred INTERSECT SELECT DISTINCT lang, source FROM truth) UNION ALL SELECT lang, source, 'only_reference' FROM (SELECT DISTINCT lang, source FROM truth EXCEPT SELECT DISTINCT lang, source FROM pred)")
 def u3_key_sets(spark, sf_dir):
     p, t = (E.keys_of(x, ["lang", "source"]) for x in _cohorts(spark, sf_dir))

@@ -85,10 +85,29 @@ def q10_p_values(spark, sf_dir):
     return Q.tested(Q.two_groups(p, _PART, "p_type", "ECONOMY", "SMALL", "p_partkey"))
 
 
-@query("SELECT o_custkey, year(o_orderdate) AS visit, round(avg(o_totalprice), 6) AS mean, round(stddev_samp(o_totalprice), 6) AS std FROM orders GROUP BY 1, 2")
+@query("""SELECT o_custkey, year(o_orderdate) AS visit, round(avg(o_totalprice), 6) AS mean, round(stddev_samp(o_totalprice), 6) AS std, count(*) AS n FROM orders GROUP BY 1, 2""")
 def q13_trajectory(spark, sf_dir):
-    g = table(spark, sf_dir, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("visit"))
-    return g.agg(r6(F.avg("o_totalprice")).alias("mean"), r6(F.stddev_samp("o_totalprice")).alias("std")).orderBy("o_custkey", "visit")
+    visits = table(spark, sf_dir, "orders").withColumn("visit", F.year("o_orderdate"))
+    return Q.trajectory(visits, "o_custkey", "visit", "o_totalprice").withColumns({"mean": r6(F.col("mean")), "std": r6(F.col("std"))}).orderBy("o_custkey", "visit")
+
+
+_KINDS = {"l_orderkey": "bigint", "l_linenumber": "int", "l_extendedprice": "double", "l_returnflag": "string"}
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", '{t}' AS type, count(DISTINCT {c}) AS \"distinct\", count(*) AS rows, count(DISTINCT {c}) > 0.8 * count(*) AS mostly_distinct FROM lineitem" for c, t in _KINDS.items()))
+def q02_cardinality(spark, sf_dir):
+    return Q.cardinality(table(spark, sf_dir, "lineitem"), list(_KINDS))
+
+
+@query(f"WITH {_ORD} SELECT 'price' AS \"column\", count(*) AS rows, count(*) FILTER (WHERE price IS NULL) AS missing FROM o UNION ALL SELECT 'status', count(*), count(*) FILTER (WHERE o_orderstatus IN ('P')) FROM o UNION ALL SELECT 'site', count(*), count(*) FROM o")
+def q06_critical_digest(spark, sf_dir):
+    o = _orders(spark, sf_dir).withColumn("status", F.when(F.col("o_orderstatus") == "P", "  ").otherwise(F.col("o_orderstatus")))
+    return Q.critical_digest(o, ["price", "status", "site"])
+
+
+@query(f"WITH {_LONG}, v AS (SELECT feature, var_samp(value) AS variance FROM u GROUP BY 1) SELECT CAST(row_number() OVER (ORDER BY variance DESC, feature) AS INTEGER) AS rank, feature, round(variance, 4) AS variance FROM v QUALIFY rank <= 2")
+def q08_variance_ranking(spark, sf_dir):
+    return Q.variance_ranking(table(spark, sf_dir, "lineitem"), _NUM, 2).withColumn("variance", F.round("variance", 4))
 
 
 # ------------------------------------------------------------ versions of one table
@@ -124,6 +143,24 @@ def i04_carried(spark, sf_dir):
     return I.carried(now, old, I.unchanged(state, now), ["doubled"]).select("source_id", "doubled")
 
 
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN o_orderpriority ELSE CASE WHEN o_totalprice > g.top * 0.9 THEN 'top' ELSE 'other' END END AS label FROM orders JOIN (SELECT o_custkey, max(o_totalprice) AS top FROM orders GROUP BY 1) g USING (o_custkey)")
+def r09_reannotated(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").withColumn("label", F.when(F.col("o_orderkey") % 4 == 0, F.col("o_orderpriority")))
+
+    def annotate(df):  # an exam's context is all its rows, those that keep their label too
+        best = df.groupBy("o_custkey").agg(F.max("o_totalprice").alias("best"))
+        return df.join(best, "o_custkey").withColumn("label", F.when(F.col("o_totalprice") > F.col("best") * 0.9, "top").otherwise("other")).drop("best")
+
+    return I.reannotated(o, annotate, ["label"], F.col("label").isNull()).select("o_orderkey", "label")
+
+
+@query("SELECT o_orderkey AS source_id, CASE WHEN o_orderkey % 10 > 0 AND o_orderstatus <> 'P' THEN o_orderstatus END AS predicted, o_orderkey % 10 = 0 AND o_orderstatus <> 'P' AS stale FROM orders WHERE o_orderkey % 17 > 0")
+def r10_merged_predictions(spark, sf_dir):
+    state, now = _versions(spark, sf_dir)
+    made = state.filter("o_orderstatus <> 'P'").select("source_id", "row_sha256", F.col("o_orderstatus").alias("predicted"))
+    return I.merged_predictions(now, made, ["predicted"]).select("source_id", "predicted", "stale")
+
+
 @query("SELECT o_custkey FROM orders GROUP BY 1 HAVING bool_and(o_orderkey % 10 > 0)")
 def i05_reusable_groups(spark, sf_dir):
     return I.reusable_groups(table(spark, sf_dir, "orders"), "o_custkey", F.col("o_orderkey") % 10 > 0)
