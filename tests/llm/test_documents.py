@@ -5,11 +5,12 @@ import random
 
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 
 from stratiform.llm import repeats
-from stratiform.llm.bpe import SHORT, Encoder, Merges, decode, encode, read_ranks
+from stratiform.llm.bpe import SHORT, WHITE, Encoder, Merges, decode, encode, read_ranks, splitter
 from stratiform.llm.decontaminate import decontaminate, words
 from stratiform.llm.langid import identify, learn
 from stratiform.llm.near_dedup import SLOTS, near_dedup, shingle_sets, superminhash
@@ -215,6 +216,18 @@ def test_longest_previous_factors():
     assert all(text[i] == text[f] and doc[f] <= doc[i] for i, f in enumerate(first))
 
 
+def test_splitter_over_all_characters():
+    """Ranges in the place of property classes split as the classes do, within the basic plane and beyond it."""
+    pattern = public_tokenizers.PATTERN
+    plain = regex.compile(pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\S", f"[^{WHITE}]").replace(r"\s", f"[{WHITE}]"))
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [between.join(every[a : a + 4096]) for a in range(0, len(every), 4096) for between in ("", " ", "a", "5\n", "'s")]
+    split = splitter(pattern)
+    assert all(split(t) == plain.findall(t) for t in texts)
+    assert splitter(r"(?i:'s)|\p{L}+|\P{L}")("It'S") == ["It", "'S"]
+    assert splitter(r"[^\P{Lu}A]+|\p{Ll}+|.")("ABÉéa1") == ["A", "BÉ", "éa", "1"]
+
+
 def test_bpe_against_tiktoken():
     ranks = read_ranks(RANKS)
     other = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
