@@ -30,13 +30,13 @@ def types_of(df: DataFrame, beside: Sequence[str]) -> str:
 MAP_BITS = 1 << 23
 
 
-def marked(df: DataFrame, ids: DataFrame) -> DataFrame:
-    """df with `maybe`: false for rows whose doc_id is surely not in ids, so that only the others need to be shuffled for a join with them.
+def marked(df: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """df with `maybe`: false for rows whose `column` is surely not in ids, so that only the others need to be shuffled for a join with them.
 
     A bitmap of MAP_BITS bits by hash is broadcast. With more ids than bits it lets all rows through: then nothing is saved, but nothing is lost.
     """
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(MAP_BITS))
-    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {MAP_BITS}) % 64 as int))")
+    slot = F.pmod(F.xxhash64(column), F.lit(MAP_BITS))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64({column}), {MAP_BITS}) % 64 as int))")
     bits = ids.select(F.shiftright(slot, 6).alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
     near = df.withColumns({"_word": F.shiftright(slot, 6), "_at": (slot % 64).cast("int")}).join(F.broadcast(bits), "_word", "left")
     return near.withColumn("maybe", F.coalesce(F.expr("(shiftright(_bits, _at) & 1) = 1"), F.lit(False))).drop("_word", "_at", "_bits")

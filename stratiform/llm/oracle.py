@@ -108,4 +108,95 @@ SELECT doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_remo
 FROM texts LEFT JOIN done USING (doc_id)
 """
 
-ORACLE_SQL = {"op8_repeats": OP8, "op6_near_dedup": OP6, "op5_url_rules": OP5, "op7_decontaminate": OP7, "op10_chat": OP10}
+_DIGEST32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((part >> {k}) & 31) + 1, 1)" for k in (15, 10, 5, 0))
+
+OP11 = rf"""
+WITH rows AS (SELECT page_id, coalesce(html, '') AS payload, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages),
+cut AS (SELECT *, list_transform(range(0, 8), lambda k: CAST('0x' || substr(sha1(payload), 5 * k + 1, 5) AS BIGINT)) AS parts FROM rows)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes, array_to_string(list_transform(parts, lambda part: {_DIGEST32}), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to,
+       CASE WHEN page_id = first THEN CAST(octet_length(encode(payload)) AS BIGINT) ELSE 0 END AS stored_bytes
+FROM cut
+"""
+
+
+def _crc32(text: str) -> str:
+    """crc32 of a string's UTF-8 bytes, from the table `crc` (t)."""
+    bytes_ = f"list_transform(range(0, octet_length(encode({text}))), lambda k: CAST('0x' || substr(hex(encode({text})), 2 * k + 1, 2) AS BIGINT))"
+    return f"xor(list_reduce(list_concat([4294967295], {bytes_}), lambda c, b: xor(c >> 8, t[CAST(xor(c & 255, b) AS INTEGER) + 1])), 4294967295)"
+
+
+_CRC = "crc AS (SELECT list_transform(range(0, 256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"
+
+OP12 = rf"""
+WITH RECURSIVE {_CRC},
+runs AS (SELECT doc_id, {_LOW.format("unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+'))")} AS run FROM documents),
+hashed AS (SELECT doc_id, run, {_crc32("(CAST(doc_id AS VARCHAR) || ':' || run)")} AS h FROM (SELECT * FROM runs WHERE length(run) >= 7), crc),
+made AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed),
+words AS MATERIALIZED (SELECT word, count(*) AS n FROM made WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+gaps AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM places),
+pairs AS (
+  SELECT a.word AS a, b.word AS b, b.n AS bn FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM gaps a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM gaps a JOIN words b ON a.rest = b.word
+),
+near AS (SELECT a AS word, count(*) AS n_near, max(bn) AS best_n FROM pairs GROUP BY a),
+best AS (SELECT a AS word, min(b) AS best FROM pairs JOIN near ON a = near.word AND bn = best_n GROUP BY a),
+formed AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * n THEN best END AS form, CASE WHEN best_n >= 10 * n THEN best_n END AS form_n
+  FROM words LEFT JOIN near USING (word) LEFT JOIN best USING (word)
+),
+chain AS (SELECT word, word AS here, 0 AS step FROM formed UNION ALL SELECT chain.word, f.form, step + 1 FROM chain JOIN formed f ON chain.here = f.word WHERE f.form IS NOT NULL),
+ends AS (SELECT word, arg_max(here, step) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
+
+
+def _field(name: str) -> str:
+    return f"coalesce(CAST(octet_length(encode(CAST({name} AS VARCHAR))) AS VARCHAR) || ':' || CAST({name} AS VARCHAR), '-')"
+
+
+_LEAF = "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", "text"))) + ")"
+
+OP13 = rf"""
+WITH RECURSIVE {_CRC},
+leaves AS MATERIALIZED (
+  SELECT doc_id, coalesce('+' || lang, '') AS g, {_LEAF} AS leaf,
+         CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_LEAF.replace("n_chars", "(n_chars + 1)")} END AS tampered FROM documents, crc
+),
+ranked AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS size FROM leaves),
+tree AS (
+  SELECT g, 0 AS level, pos, leaf AS digest, size FROM ranked
+  UNION ALL
+  SELECT a.g, a.level + 1, a.pos // 2, sha256(a.digest || coalesce(b.digest, '')), (a.size + 1) // 2
+  FROM tree a LEFT JOIN tree b ON a.g = b.g AND b.pos = a.pos + 1 WHERE a.pos % 2 = 0 AND a.size > 1
+),
+subroots AS MATERIALIZED (SELECT g, digest AS subroot, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS size FROM (SELECT g, digest FROM tree WHERE size = 1)),
+upper AS (
+  SELECT 0 AS level, pos, subroot AS digest, size FROM subroots
+  UNION ALL
+  SELECT a.level + 1, a.pos // 2, sha256(a.digest || coalesce(b.digest, '')), (a.size + 1) // 2
+  FROM upper a LEFT JOIN upper b ON b.pos = a.pos + 1 WHERE a.pos % 2 = 0 AND a.size > 1
+),
+steps AS (
+  SELECT r.g, r.pos AS leaf_pos, t.level, (r.pos >> t.level) & 1 AS odd, coalesce(s.digest, '') AS digest
+  FROM ranked r JOIN tree t ON t.g = r.g AND t.pos = r.pos >> t.level AND t.size > 1 LEFT JOIN tree s ON s.g = r.g AND s.level = t.level AND s.pos = xor(r.pos >> t.level, 1)
+  UNION ALL
+  SELECT r.g, r.pos, 1000 + t.level, (q.pos >> t.level) & 1, coalesce(s.digest, '')
+  FROM ranked r JOIN subroots q ON q.g = r.g JOIN upper t ON t.pos = q.pos >> t.level AND t.size > 1 LEFT JOIN upper s ON s.level = t.level AND s.pos = xor(q.pos >> t.level, 1)
+),
+paths AS MATERIALIZED (SELECT g, leaf_pos AS pos, sha256(string_agg(digest, '' ORDER BY level)) AS proof, list({{'odd': odd, 'digest': digest}} ORDER BY level) AS path FROM steps GROUP BY ALL),
+fold AS (
+  SELECT g, pos, 0 AS step, coalesce(tampered, leaf) AS digest FROM ranked
+  UNION ALL
+  SELECT f.g, f.pos, step + 1, CASE WHEN path[step + 1].odd = 1 THEN sha256(path[step + 1].digest || f.digest) ELSE sha256(f.digest || path[step + 1].digest) END
+  FROM fold f JOIN paths p ON p.g = f.g AND p.pos = f.pos WHERE step < len(path)
+),
+folded AS (SELECT g, pos, arg_max(digest, step) AS folded_root FROM fold GROUP BY ALL)
+SELECT doc_id, leaf, subroot, (SELECT digest FROM upper WHERE size = 1) AS root, coalesce(proof, sha256('')) AS proof_sha256, folded_root,
+       folded_root = (SELECT digest FROM upper WHERE size = 1) AS verified
+FROM ranked JOIN subroots USING (g) JOIN folded ON folded.g = ranked.g AND folded.pos = ranked.pos LEFT JOIN paths ON paths.g = ranked.g AND paths.pos = ranked.pos
+"""
+
+ORACLE_SQL = {"op8_repeats": OP8, "op6_near_dedup": OP6, "op5_url_rules": OP5, "op7_decontaminate": OP7, "op10_chat": OP10, "op11_warc": OP11, "op12_spelling": OP12, "op13_merkle": OP13}

@@ -13,13 +13,16 @@ from stratiform.llm.bpe import decode, encode
 from stratiform.llm.common import fold_bucket
 from stratiform.llm.decontaminate import decontaminate
 from stratiform.llm.langid import identify, learn
+from stratiform.llm.merkle import folded, leaf_of, manifest, proof_hash
 from stratiform.llm.near_dedup import near_dedup
 from stratiform.llm.oracle import ORACLE_SQL
 from stratiform.llm.quality import score_quality
 from stratiform.llm.repeats import remove_repeats
 from stratiform.llm.secrets import base_only, count_of, find_secrets, listed
+from stratiform.llm.spelling import count_words, group_variants, runs_of
 from stratiform.llm.url_lists import URL_RULES
 from stratiform.llm.url_rules import judge
+from stratiform.llm.warc import read_archives, write_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 RANKS = "byte_bpe_50k.tiktoken"
@@ -95,6 +98,34 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_turns(rows.unionByName(spoof), path, public_tokenizers.PATTERN), path)
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = read_archives(write_archives(table(spark, sf_dir, "pages"))).filter("record_type != 'warcinfo'")
+    header = lambda name: F.col("headers")[name]
+    return found.select(
+        header("page-id").cast("long").alias("page_id"), F.col("http")["content-length"].cast("long").alias("payload_bytes"),
+        F.substring_index(header("warc-payload-digest"), ":", -1).alias("payload_digest"), "record_type", header("refers-to-page-id").cast("long").alias("refers_to"),
+        F.octet_length("payload").cast("long").alias("stored_bytes"),
+    )
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = runs_of(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
+    runs = runs.withColumn("h", h).withColumn("at", (F.col("h") % F.char_length("run")).cast("int"))
+    word = F.when(F.col("h") % 31 == 0, F.expr("concat(substring(run, 1, at), substring(run, at + 2))")).otherwise(F.col("run"))
+    return group_variants(count_words(runs, word))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = leaf_of(*[F.col("n_chars") + 1 if f == "n_chars" else F.col(f) for f in fields])
+    beside = {"doc_id": F.col("doc_id"), "tampered": F.when(fold_bucket(F.col("doc_id"), 7) == 0, tampered)}
+    out = manifest(docs, "lang", ["doc_id"], fields, beside)
+    out = out.withColumns({"proof_sha256": proof_hash(F.col("path")), "folded_root": folded(F.coalesce("tampered", "leaf"), F.col("path"))})
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES: dict[str, Query] = {
@@ -108,4 +139,7 @@ QUERIES: dict[str, Query] = {
     "op8_repeats": op8_repeats,
     "op9_quality": op9_quality,
     "op10_chat": op10_chat,
+    "op11_warc": op11_warc,
+    "op12_spelling": op12_spelling,
+    "op13_merkle": op13_merkle,
 }
