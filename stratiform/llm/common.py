@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Callable, Iterator, Sequence
 from itertools import count
 
@@ -101,6 +102,87 @@ def range_keys(data: np.ndarray, start: np.ndarray, stop: np.ndarray, seed: int
     return mix64(h)
 
 
+def same_ranges(a: np.ndarray, start: np.ndarray, stop: np.ndarray, b: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Whether each a[start:stop] holds the bytes from b[begin] on."""
+    same = np.ones(len(start), bool)
+    x, y = (np.ndarray((len(d) + 1,), "<u8", np.concatenate([d, np.zeros(8, np.uint8)]), 0, (1,)) for d in (a, b))
+    on, at = np.arange(len(start)), 0
+    while len(on := on[same[on] & (stop[on] - start[on] > at)]):
+        same[on] = (x[start[on] + at] ^ y[begin[on] + at]) & _FIRST[np.minimum(stop[on] - start[on] - at, 8)] == 0
+        at += 8
+    return same
+
+
+Key = tuple[int, int]
+
+
+def secret_key() -> Key:
+    """A key for one run of an operator: the driver draws it and sends it to all tasks."""
+    return secrets.randbits(64), secrets.randbits(64)
+
+
+def siphash(data: np.ndarray, start: np.ndarray, stop: np.ndarray, key: Key, rounds: tuple[int, int] = (1, 3)) -> np.ndarray:
+    """SipHash of each data[start:stop] under a secret key: whoever writes texts can't find two words of one hash. Ranges over LONG bytes go through keyed BLAKE2b."""
+    out = np.empty(len(start), U64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
+    for i in range(0, len(start), 1 << 14):  # so few that they stay in the cache
+        out[i : i + (1 << 14)] = _sip(eight, start[i : i + (1 << 14)], stop[i : i + (1 << 14)], key, *rounds)
+    whole = key[0].to_bytes(8, "little") + key[1].to_bytes(8, "little")
+    for i in np.flatnonzero(stop - start > LONG):
+        out[i] = int.from_bytes(hashlib.blake2b(data[start[i] : stop[i]], digest_size=8, key=whole).digest(), "little")
+    return out
+
+
+def _sip(eight: np.ndarray, start: np.ndarray, stop: np.ndarray, key: Key, some: int, last: int) -> np.ndarray:
+    size = (stop - start).astype(np.int64)
+    size[size > LONG] = 0
+    v = np.empty((4, len(size)), U64)
+    for i, c in enumerate((0x736F6D6570736575, 0x646F72616E646F6D, 0x6C7967656E657261, 0x7465646279746573)):
+        v[i] = c ^ key[i % 2]
+    on, at = np.flatnonzero(size >= 8), 0
+    while len(on):
+        w, m = v[:, on], eight[start[on] + at]
+        w[3] ^= m
+        _rounds(w, some)
+        w[0] ^= m
+        v[:, on] = w
+        at += 8
+        on = on[size[on] >= at + 8]
+    m = eight[start + (size & ~7)] & _FIRST[size & 7] | size.astype(U64) << U64(56)
+    v[3] ^= m
+    _rounds(v, some)
+    v[0] ^= m
+    v[2] ^= U64(0xFF)
+    _rounds(v, last)
+    return v[0] ^ v[1] ^ v[2] ^ v[3]
+
+
+def _turn(x: np.ndarray, bits: int) -> None:
+    high = x >> U64(64 - bits)
+    x <<= U64(bits)
+    x |= high
+
+
+def _rounds(v: np.ndarray, n: int) -> None:
+    a, b, c, d = v
+    for _ in range(n):
+        a += b
+        c += d
+        _turn(b, 13)
+        _turn(d, 16)
+        b ^= a
+        d ^= c
+        _turn(a, 32)
+        c += b
+        a += d
+        _turn(b, 17)
+        _turn(d, 21)
+        b ^= c
+        d ^= a
+        _turn(c, 32)
+
+
 LONG = 256
 #: Masks of the first k of eight bytes.
 _FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)

@@ -1,17 +1,17 @@
 """Benchmark decontamination (operator 7): one Aho-Corasick automaton over the windows of all test items.
 
 Words are lower-cased (A-Z) runs of letters, digits and all non-ASCII characters. A window is ten consecutive words of an item, or
-all words of a shorter one. The automaton works on words: each has a 64-bit key, the keys of the windows' words have numbers, and a node is
-a beginning of windows. Nodes are numbered level by level, so that the moves (node, word) of the whole automaton
+all words of a shorter one. The automaton works on words: those of the windows have numbers, and a node is
+a beginning of windows. A word of a text finds its number by a 64-bit key, and has it only if the bytes are the same (words over LONG bytes: their SHA-256). Nodes are numbered level by level, so that the moves (node, word) of the whole automaton
 are one sorted array, in which the place of a move is the node it leads to; failure links, windows that end in a node, and the next node along the failure
-links in which one ends are arrays beside it: about 20 bytes for each node, 200 for a window.
+links in which one ends are arrays beside it: about 20 bytes for each node, 300 for a window.
 
 Texts are scanned once. No node is deeper than a window, so the state after a word follows from the last ten words alone: texts are
 cut into lanes of LANE words that begin a window early, and all lanes of a slice move together. Matches are mapped
 back to words, and from words to byte offsets of the original text. Texts are not shuffled.
 
 The windows come from a Spark job over the items; how many pairs of item and window there are is counted before they are broadcast. Up to
-BLOCK (100 MB) there is one automaton and one scan. Beyond it pairs are dealt into blocks by hash, each with an automaton and a
+BLOCK (150 MB) there is one automaton and one scan. Beyond it pairs are dealt into blocks by hash, each with an automaton and a
 scan of its own, and the hits gathered so far go through a written table: what is broadcast stays bounded, the result is the same.
 
 Defined cases: null, empty and wordless texts have no words, no hits, no items. Null items and items without words have no windows.
@@ -21,19 +21,23 @@ those of the documents stay; columns named like the results are replaced.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import LOWER, columns_of, offsets_of, range_keys, text_slices, words_of, written
+from stratiform.llm.common import LOWER, columns_of, offsets_of, range_keys, same_ranges, text_slices, words_of, written
 
 WINDOW = 10
 #: Pairs of item and window in one automaton.
 BLOCK = 500_000
 LANE = 64
+#: Bytes of a word above which its digest stands for it.
+LONG = 64
 
 _IS_WORD = np.zeros(256, bool)
 _IS_WORD[0x30:0x3A] = _IS_WORD[0x61:0x7B] = _IS_WORD[0x80:] = _IS_WORD[0x41:0x5B] = True
@@ -44,34 +48,37 @@ def words(text: str | None) -> list[bytes]:
     return text.encode().translate(_PLAIN).split() if text else []
 
 
-def word_keys(array: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the words of all texts the keys, starts and ends; each text's first word (one more at the end) and byte offset."""
+def canonical(word: bytes) -> bytes:
+    """The word, or for one over LONG bytes a mark that no word has and its SHA-256."""
+    return word if len(word) <= LONG else b"\1" + hashlib.sha256(word).hexdigest().encode()
+
+
+def word_places(array: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The lower-cased bytes of all texts, starts and ends of their words; each text's first word (one more at the end) and byte offset."""
     offsets, data = offsets_of(array)
     starts, stops, first = words_of(data, offsets, _IS_WORD)
-    return range_keys(LOWER[data], starts, stops), starts, stops, first, offsets
+    return LOWER[data], starts, stops, first, offsets
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for a, b in text_slices(batch, "text", 500_000):
-            part = batch.slice(a, b - a)
-            keys, _, _, first, _ = word_keys(part.column(1))
-            for item, x, y in zip(part.column(0).to_pylist(), first[:-1], first[1:]):
-                if item is not None and y > x:
-                    n = min(WINDOW, y - x)
-                    found = sorted({keys[i : i + n].tobytes() for i in range(x, y - n + 1)})
-                    for i in range(0, len(found), 10_000):
-                        some = found[i : i + 10_000]
-                        yield pa.RecordBatch.from_arrays([pa.array([item] * len(some), pa.string()), pa.array(some, pa.binary())], names=["item_id", "window"])
+        for item, text in zip(batch.column(0), batch.column(1)):
+            item, w = item.as_py(), [canonical(x) for x in words(text.as_py())]
+            if item is not None and w:
+                n = min(WINDOW, len(w))
+                found = sorted({b" ".join(w[i : i + n]) for i in range(len(w) - n + 1)})
+                for i in range(0, len(found), 10_000):
+                    some = found[i : i + 10_000]
+                    yield pa.RecordBatch.from_arrays([pa.array([item] * len(some), pa.string()), pa.array(some, pa.binary())], names=["item_id", "window"])
 
 
 def windows(items: DataFrame) -> DataFrame:
-    """item_id (string), window (keys of its words, binary), distinct."""
+    """item_id (string), window (its words, joined by spaces, binary), distinct."""
     return columns_of(items, item_id="string", text="string").mapInArrow(_windows, "item_id string, window binary").distinct()
 
 
 class Automaton:
-    """Windows (keys of their words) with the items that have them."""
+    """Windows (words joined by spaces) with the items that have them."""
 
     def __init__(self, pairs: pa.Table) -> None:
         names, window_of = pairs.column("item_id").to_pylist(), pairs.column("window").to_pylist()
@@ -82,13 +89,41 @@ class Automaton:
         pair = np.array(sorted((number[w], place[name]) for w, name in zip(window_of, names)), np.int64).reshape(-1, 2)
         self.item_of = pair[:, 1].astype(np.int32)
         self.item_from = np.searchsorted(pair[:, 0], np.arange(len(texts) + 1))
-        self.length = np.array([len(w) // 8 for w in texts], np.int32)
-        flat = np.frombuffer(b"".join(texts), np.uint64)
-        self.vocabulary, numbers = np.unique(flat, return_inverse=True)
-        self.words = max(1, len(self.vocabulary))
+        split = [w.split(b" ") for w in texts]
+        self.length = np.array([len(w) for w in split], np.int32)
+        self._learn(sorted({word for w in split for word in w}))
         grid = np.zeros((len(texts), WINDOW), np.int64)
-        grid[np.arange(WINDOW) < self.length[:, None]] = numbers
+        grid[np.arange(WINDOW) < self.length[:, None]] = [self.number[word] for w in split for word in w]
         self._grow(grid)
+        self.number = {word: i for word, i in self.number.items() if word[:1] == b"\1"}
+
+    def _learn(self, vocabulary: list[bytes]) -> None:
+        """Numbers the words, in the order of keys that are unlike for unlike words."""
+        self.words = max(1, len(vocabulary))
+        stops = np.cumsum([0, *map(len, vocabulary)])
+        data = np.frombuffer(b"".join(vocabulary), np.uint8)
+        for self.seed in count():
+            keys = range_keys(data, stops[:-1], stops[1:], self.seed)
+            order = np.argsort(keys)
+            if len(np.unique(keys)) == len(keys):
+                break
+        self.keys, self.data, self.begin, self.end = keys[order], data, stops[:-1][order], stops[1:][order]
+        self.number = {vocabulary[k]: i for i, k in enumerate(order)}
+
+    def numbers(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """Of each word data[start:stop] its number, -1 for a word of no window. A key finds the number, the bytes decide."""
+        out = np.full(len(starts), -1, np.int64)
+        if not len(starts) or not len(self.keys):
+            return out
+        short = stops - starts <= LONG
+        keys = range_keys(data, starts, np.where(short, stops, starts), self.seed)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        found = np.flatnonzero((self.keys[at] == keys) & short & (stops - starts == self.end[at] - self.begin[at]))
+        found = found[same_ranges(data, starts[found], stops[found], self.data, self.begin[at[found]])]
+        out[found] = at[found]
+        for i in np.flatnonzero(~short) if self.number else ():
+            out[i] = self.number.get(canonical(data[starts[i] : stops[i]].tobytes()), -1)
+        return out
 
     def _grow(self, grid: np.ndarray) -> None:
         node = np.zeros(len(grid), np.int64)
@@ -124,12 +159,10 @@ class Automaton:
             state[todo] = self.fail[state[todo]]
         return out
 
-    def scan(self, keys: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Last words and windows of all matches in texts given by their words' keys; first: where each text begins."""
-        if not len(keys) or not len(self.vocabulary):
+    def scan(self, word: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Last words and windows of all matches in texts given by their words' numbers; first: where each text begins."""
+        if not len(word) or not len(self.keys):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = np.minimum(np.searchsorted(self.vocabulary, keys), len(self.vocabulary) - 1)
-        word = np.where(self.vocabulary[at] == keys, at, -1)
         lanes = -(-np.diff(first) // LANE)
         begin = np.repeat(first[:-1], lanes) + LANE * (np.arange(lanes.sum()) - np.repeat(np.cumsum(lanes) - lanes, lanes))
         low, high = np.repeat(first[:-1], lanes), np.minimum(begin + LANE, np.repeat(first[1:], lanes))
@@ -202,8 +235,8 @@ def _block(docs: DataFrame, pairs: pa.Table, text: str) -> DataFrame:
             for a, b in text_slices(batch, text, 1_000_000):
                 part = batch.slice(a, b - a)
                 get = lambda c: part.column(part.schema.get_field_index(c))  # noqa: B023, E731
-                keys, starts, stops, first, offsets = word_keys(get(text))
-                ends, window = automaton.scan(keys, first)
+                data, starts, stops, first, offsets = word_places(get(text))
+                ends, window = automaton.scan(automaton.numbers(data, starts, stops), first)
                 length = automaton.length[window]
                 items = automaton.items_of(np.searchsorted(first, ends, "right") - 1, window, part.num_rows)
                 if again:
@@ -211,7 +244,7 @@ def _block(docs: DataFrame, pairs: pa.Table, text: str) -> DataFrame:
                     s, e = (x.to_numpy() + of for x in old.flatten().flatten())
                     ends, length = np.concatenate([ends, e - 1]), np.concatenate([length, e - s])
                     items = [sorted({*x, *y}) for x, y in zip(items, get("items").to_pylist())]
-                low, high = covered(ends, length, first, len(keys))
+                low, high = covered(ends, length, first, len(starts))
                 doc = np.searchsorted(first, low, "right") - 1
                 at = np.searchsorted(doc, np.arange(part.num_rows + 1))
                 hits = _ranges(low - first[doc], high - first[doc], at)
@@ -225,7 +258,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", block:
     """docs with n_words, hits (word ranges inside windows), items (sorted ids of the windows' items), byte_spans of the hits."""
     found = written(windows(items), "windows")
     docs = docs.select([f"`{c}`" for c in docs.columns if c not in _TYPES])
-    blocks = max(1, -(-found.count() // block))
+    pairs, size = found.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("window")), F.lit(0))).first()
+    blocks = max(1, -(-pairs // block), -(-size // (200 * block)))
     for k in range(blocks):
         # about `block` pairs: counted above, dealt by hash
         pairs = found.filter(F.pmod(F.xxhash64("item_id", "window"), F.lit(blocks)) == k).toArrow()

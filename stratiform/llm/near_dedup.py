@@ -1,7 +1,8 @@
 """MinHash near-dedup (operator 6): SuperMinHash, banding, verification on full sets, components.
 
 Words are runs of anything but spaces and \\x09-\\x0D after lower-casing A-Z; a document's set holds its
-distinct 5-word shingles as 64-bit hashes (a shorter text is one shingle). Steps:
+distinct 5-word shingles as 64-bit hashes (a shorter text is one shingle). Words are hashed by SipHash under a key that is drawn anew for every run,
+so that no one can write unlike words with equal hashes. Steps:
 
 1. `signatures`: per document the set's size, its 128-bit BLAKE2b digest, a SuperMinHash signature as band keys and as
    one byte per slot. In SuperMinHash each element goes through the slots in an order of its own and puts j + r (r uniform) into
@@ -36,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import LOWER, SPACED, U64, by_group, columns_of, components, marked, mix64, offsets_of, range_keys, text_slices, types_of, words_of, written
+from stratiform.llm.common import LOWER, SPACED, U64, Key, by_group, columns_of, components, marked, mix64, offsets_of, secret_key, siphash, text_slices, types_of, words_of, written
 
 SLOTS = 192
 ROWS = 6  # of a band
@@ -47,11 +48,11 @@ BLOCK_ROWS, BLOCK_SHINGLES = 2_000, 500_000
 _TURN = [U64(x | 1) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = 5) -> list[np.ndarray]:
-    """For each document the sorted distinct hashes of its word shingles."""
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, key: Key, size: int = 5) -> list[np.ndarray]:
+    """For each document the sorted distinct hashes of its word shingles: sums of the words' hashes under a secret key."""
     data = LOWER[data]
     starts, stops, first = words_of(data, offsets, SPACED)
-    w = range_keys(data, starts, stops)
+    w = siphash(data, starts, stops, key)
     n = max(len(w) - size + 1, 0)
     full = np.zeros(n, U64)
     for i in range(size):
@@ -126,13 +127,13 @@ def _binary(rows: np.ndarray) -> pa.Array:
 _SIGNED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signatures(batches: Iterator[pa.RecordBatch], key: Key) -> Iterator[pa.RecordBatch]:
     row = TaskContext.get().partitionId() << 33
     for batch in batches:
         for a, b in text_slices(batch, "text", 700_000):
             part = batch.slice(a, b - a)
             offsets, data = offsets_of(part.column(1))
-            sets = shingle_sets(data, offsets)
+            sets = shingle_sets(data, offsets, key)
             sig = superminhash(sets)
             keys = band_keys(sig)
             lists = pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * keys.shape[1], keys.reshape(-1))
@@ -144,29 +145,29 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row += len(sets)
 
 
-def signatures(docs: DataFrame, beside: Sequence[str] = ()) -> DataFrame:
+def signatures(docs: DataFrame, key: Key, beside: Sequence[str] = ()) -> DataFrame:
     """row (its number), doc_id, n_shingles, fp1, fp2 (digest of the set), bands, sig, columns `beside`: one row for each row of docs."""
     schema = "row long, doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>, sig binary" + types_of(docs, beside)
-    return columns_of(docs, beside, doc_id="long", text="string").mapInArrow(_signatures, schema)
+    return columns_of(docs, beside, doc_id="long", text="string").mapInArrow(lambda batches: _signatures(batches, key), schema)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], key: Key) -> Iterator[pa.RecordBatch]:
     done: set[tuple[int, int]] = set()  # a repeated row gives its set once in a task
     for batch in batches:
         for a, b in text_slices(batch, "text", 1_000_000):
             part = batch.slice(a, b - a)
             offsets, data = offsets_of(part.column(1))
-            sets = shingle_sets(data, offsets)
+            sets = shingle_sets(data, offsets, key)
             fp1, fp2 = _digests(sets)
             keys = list(zip(part.column(0).to_pylist(), fp1.tolist()))
             new = [i for i, k in enumerate(keys) if not (k in done or done.add(k))]
             yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(new, pa.int64())), pa.array(fp1[new]), pa.array(fp2[new]), pa.array([sets[i].tobytes() for i in new], pa.binary())], names=["doc_id", "fp1", "fp2", "shingles"])
 
 
-def sets_of(docs: DataFrame, heads: DataFrame) -> DataFrame:
+def sets_of(docs: DataFrame, heads: DataFrame, key: Key) -> DataFrame:
     """node, shingles: the full sets of representatives (doc_id, fp1, fp2, node), from their texts; texts that are surely none of them aren't shuffled."""
     near = marked(docs, heads).filter("maybe")
-    return near.select("doc_id", "text").mapInArrow(_sets, "doc_id long, fp1 long, fp2 long, shingles binary").join(heads, ["doc_id", "fp1", "fp2"]).select("node", "shingles")
+    return near.select("doc_id", "text").mapInArrow(lambda batches: _sets(batches, key), "doc_id long, fp1 long, fp2 long, shingles binary").join(heads, ["doc_id", "fp1", "fp2"]).select("node", "shingles")
 
 
 def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -256,7 +257,8 @@ def forest(tables: Iterator[pa.Table], percent: int) -> Iterator[pa.RecordBatch]
 
 def near_dedup(docs: DataFrame, percent: int = 85, beside: Sequence[str] = ()) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept, and its columns `beside` as _<name>. Links: 100 * intersection >= percent * union."""
-    signed = written(signatures(docs, beside), "near-signatures")
+    secret = secret_key()
+    signed = written(signatures(docs, secret, beside), "near-signatures")
     docs, beside = columns_of(docs, doc_id="long", text="string"), [f"_{c}" for c in beside]
     found = signed.filter("n_shingles > 0 and doc_id is not null")
     key = ["n_shingles", "fp1", "fp2"]
@@ -271,7 +273,7 @@ def near_dedup(docs: DataFrame, percent: int = 85, beside: Sequence[str] = ()) -
     heads = written(heads.drop("bands").join(met.select("node").distinct(), "node", "left_semi"), "near-shared")
     pairs = met.filter("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
     pairs = written(possible(pairs, heads, percent), "near-pairs")
-    sets = written(sets_of(docs, heads.select("node", "doc_id", "fp1", "fp2")), "near-sets")
+    sets = written(sets_of(docs, heads.select("node", "doc_id", "fp1", "fp2"), secret), "near-sets")
     links = written(confirmed(pairs, sets, percent), "near-links")
     joined = components(links, "near-coarse")
 

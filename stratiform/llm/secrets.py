@@ -108,36 +108,43 @@ class _Role:
         return bool(at) and self.reach[at - 1] >= span[0] - SCOPE
 
 
+def redact(text: str, spans: list[Span]) -> str:
+    """The text with a placeholder for every span; what an earlier span has covered isn't replaced again."""
+    out, at = [], 0
+    for start, kind, end in spans:
+        out.append(text[at : max(start, at)])
+        if end > at:
+            out.append(f"[{KINDS[kind].upper()}]")
+            at = end
+    return "".join(out) + text[at:]
+
+
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
 
 
-def find_secrets(df: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
-    """df with `spans`, an array of (kind, start, end) by start and then kind; a column already so named is replaced."""
-    df = df.select([f"`{c}`" for c in df.columns if c != spans])
-    schema = df.withColumn(spans, F.lit(None).cast("array<struct<kind:string,start:int,end:int>>")).schema
+def find_secrets(df: DataFrame, text: str = "text", spans: str = "spans", redacted: str | None = None) -> DataFrame:
+    """df with `spans`, an array of (kind, start, end) by start and then kind, and if asked for `redacted`, the text with placeholders for them; columns already so named are replaced."""
+    new = [spans, *([redacted] if redacted else [])]
+    df = df.select([f"`{c}`" for c in df.columns if c not in new or c == text])
+    kept = [c for c in df.columns if c not in new]
+    types = ("array<struct<kind:string,start:int,end:int>>", "string")
+    schema = df.select([f"`{c}`" for c in kept] + [F.lit(None).cast(t).alias(c) for c, t in zip(new, types)]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in text_slices(batch, text, 4_000_000):
                 part = batch.slice(a, b - a)
-                found = [[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in scan(t)] for t in part.column(part.schema.get_field_index(text)).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.list_(_SPAN))], names=[*part.schema.names, spans])
+                get = lambda c: part.column(part.schema.get_field_index(c))  # noqa: B023, E731
+                texts = get(text).to_pylist()
+                found = [scan(t) for t in texts]
+                columns = [pa.array([[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in f] for f in found], pa.list_(_SPAN))]
+                if redacted:
+                    columns.append(pa.array([redact(t, f) if f else t for t, f in zip(texts, found)], pa.string()))
+                yield pa.RecordBatch.from_arrays([*(get(c) for c in kept), *columns], names=[*kept, *new])
 
     return df.mapInArrow(run, schema)
 
 
-def redacted(text: Column, spans: Column) -> Column:
-    """The text with a placeholder for every span; overlapping spans share one."""
-    state = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(acc: Column, span: Column) -> Column:
-        begin = F.greatest(span["start"], acc["at"])
-        piece = F.concat(F.substring(text, acc["at"] + 1, begin - acc["at"]), F.when(span["end"] > acc["at"], F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]"))).otherwise(""))
-        return F.struct(F.concat(acc["out"], piece).alias("out"), F.greatest(span["end"], acc["at"]).alias("at"))
-
-    return F.aggregate(spans, state, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-
-
 def base_only(spans: Column) -> Column:
     return F.filter(spans, lambda s: s["kind"].isin(*KINDS[:3]))
 

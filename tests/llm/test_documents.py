@@ -16,7 +16,7 @@ from stratiform.llm.langid import identify, learn
 from stratiform.llm.near_dedup import SLOTS, near_dedup, shingle_sets, superminhash
 from stratiform.llm.quality import score_quality
 from stratiform.llm.repeats import remove_repeats
-from stratiform.llm.secrets import KINDS, find_secrets, redacted, scan
+from stratiform.llm.secrets import KINDS, find_secrets, redact, scan
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 SCHEMA = "doc_id long, text string, lang string, hits string, score string, rep string, ids string, spans string, pack string"
@@ -117,7 +117,7 @@ def test_groups_are_confirmed_in_blocks(spark):
         for i in range(4):
             texts.append(" ".join([f"x{rng.randint(0, 9)}", *base[i:]]))
     raw = [t.encode() for t in texts]
-    sets = shingle_sets(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    sets = shingle_sets(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), (1, 2))
     sig = mix64(superminhash(sets)).astype(np.uint8)
     rows = spark.createDataFrame([(1, i, i, i, len(s), bytearray(sig[i].tobytes())) for i, s in enumerate(sets)], "band long, node long, doc_id long, component long, n long, sig binary")
     columns = ["band", "x", "y", "node", "doc_id", "component", "n", "side", "sig"]
@@ -138,7 +138,7 @@ def test_sets_of_few_words(n, docs):
     import numpy as np
 
     raw = [" ".join(f"w{i}{k}" for k in range(n)).encode() for i in range(docs)]
-    sets = shingle_sets(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    sets = shingle_sets(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), (1, 2))
     assert [len(s) for s in sets] == [max(1, n - 4)] * docs and len({int(x) for s in sets for x in s}) == docs * max(1, n - 4)
 
 
@@ -155,6 +155,41 @@ def test_unlike_words_have_unlike_keys():
     assert again.tolist() == [keys[0], keys[2]]
 
 
+#: Words of which the unkeyed hash of common.range_keys makes one key.
+COLLIDING = ["abcdefghijklmnop", 'eunrevrlbh`~"p7_', "joxsydktkgg1pq6l"]
+
+
+def test_words_made_to_collide(spark):
+    """Words with one unkeyed hash neither link documents nor make hits; long words go by their digests."""
+    import numpy as np
+    from stratiform.llm.common import range_keys
+
+    stops = np.cumsum([0, *map(len, COLLIDING)])
+    assert len(set(range_keys(np.frombuffer("".join(COLLIDING).encode(), np.uint8), stops[:-1], stops[1:]).tolist())) < 3
+    long = "x" * 70
+    texts = [" ".join(["and", w] * 15) for w in [*COLLIDING, COLLIDING[0].upper(), long, long + "y", "Y" + long]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in near_dedup(docs).collect()} == {0: 0, 1: 1, 2: 2, 3: 0, 4: 4, 5: 5, 6: 6}
+    items = spark.createDataFrame([(w, " ".join(["and", w] * 6)) for w in (COLLIDING[0], COLLIDING[2], long)], "item_id string, text string")
+    got = {r["doc_id"]: r["items"] for r in decontaminate(docs, items).collect()}
+    assert got == {0: [COLLIDING[0]], 1: [], 2: [COLLIDING[2]], 3: [COLLIDING[0]], 4: [long], 5: [], 6: []}
+
+
+def test_siphash():
+    import numpy as np
+    from stratiform.llm.common import siphash
+
+    data = np.arange(300, dtype=np.uint8)
+    key = (0x0706050403020100, 0x0F0E0D0C0B0A0908)
+    ends = np.array([15, 0, 8])
+    got = siphash(data, np.zeros(3, np.int64), ends, key, (2, 4))
+    assert [f"{int(x):016x}" for x in got] == ["a129ca6149be45e5", "726fdb47dd0e0e31", "93f5f5799a932462"]  # the published vectors
+    n = np.repeat(np.arange(300), 2)  # every length, in one call and alone
+    both = siphash(data, np.zeros(600, np.int64), n, key)
+    assert (both[::2] == both[1::2]).all() and len(set(both.tolist())) == 300
+    assert all(siphash(data, np.zeros(1, np.int64), np.array([k]), key)[0] == both[2 * k] for k in (0, 7, 8, 9, 255, 256, 257))
+
+
 def test_superminhash_estimates_similarity():
     import numpy as np
 
@@ -291,10 +326,26 @@ def test_base_secrets_against_plain_expressions():
 
 def test_secret_columns(spark, docs, empty):
     rows = spark.createDataFrame([(1, "a token=abcdefghijklmnop0123456789abcdef0123 b"), (2, None), (3, "")], "doc_id long, text string")
-    out = find_secrets(rows).withColumn("clean", redacted(F.col("text"), F.col("spans"))).orderBy("doc_id").collect()
+    out = find_secrets(rows, redacted="clean").orderBy("doc_id").collect()
     assert [s["kind"] for s in out[0]["spans"]] == ["assign", "hex"] and out[0]["clean"] == "a [ASSIGN] b"
     assert out[1]["spans"] == [] and out[2]["spans"] == []
     assert find_secrets(docs).count() == docs.count() and find_secrets(empty).collect() == []
+    place = find_secrets(rows, redacted="text").orderBy("doc_id").collect()  # in the text's own place
+    assert [r["text"] for r in place] == ["a [ASSIGN] b", None, ""]
+
+
+def test_redaction_of_many_spans(spark):
+    """A hundred thousand spans in one text, and spans that overlap, are nested or touch."""
+    text = " ".join(f"{i:016x}" for i in range(100_000))
+    assert redact(text, scan(text)) == " ".join(["[HEX]"] * 100_000)
+    assert redact("0123456789", [(0, 0, 4), (2, 1, 6), (3, 2, 5), (6, 2, 8)]) == "[ASSIGN][ACCESS][HEX]89"
+    rng = random.Random(5)
+    for _ in range(200):
+        spans = sorted((a, rng.randint(0, 5), a + rng.randint(1, 9)) for a in (rng.randint(0, 40) for _ in range(rng.randint(0, 8))))
+        text = "".join(chr(97 + i % 26) for i in range(50))
+        covered = {i for s, _, e in spans for i in range(s, e)}
+        left = "".join(c for c in redact(text, spans) if c.islower())
+        assert left == "".join(c for i, c in enumerate(text) if i not in covered)
 
 
 @pytest.mark.parametrize("block", [500_000, 7])
@@ -326,7 +377,7 @@ def test_automaton_against_brute_force(seed):
     """Few words, so that windows overlap and are suffixes of each other; texts longer than several lanes; over 20,000 windows."""
     import numpy as np
     import pyarrow as pa
-    from stratiform.llm.decontaminate import Automaton, word_keys
+    from stratiform.llm.decontaminate import Automaton, word_places
 
     rng = random.Random(seed)
     some = lambda n, k: " ".join(f"w{rng.randint(0, k)}" for _ in range(n))
@@ -340,12 +391,11 @@ def test_automaton_against_brute_force(seed):
         n = min(10, len(w))
         for k in range(len(w) - n + 1):
             wins.setdefault(tuple(w[k : k + n]), set()).add(name)
-    key = lambda win: word_keys(pa.array([b" ".join(win).decode()]))[0].tobytes()
-    rows = [(name, key(win)) for win, names in wins.items() for name in names]
+    rows = [(name, b" ".join(win)) for win, names in wins.items() for name in names]
     automaton = Automaton(pa.table({"item_id": [r[0] for r in rows], "window": pa.array([r[1] for r in rows], pa.binary())}))
     assert len(automaton.length) == len(wins) and (seed < 3 or len(wins) > 20_000)
-    keys, _, _, first, _ = word_keys(pa.array(texts))
-    ends, window = automaton.scan(keys, first)
+    data, starts, stops, first, _ = word_places(pa.array(texts))
+    ends, window = automaton.scan(automaton.numbers(data, starts, stops), first)
     got = sorted(zip(ends.tolist(), automaton.length[window].tolist()))
     want = []
     for f, t in zip(first, texts):
@@ -491,7 +541,7 @@ def test_quality_against_plain_numpy(spark):
     labels = [(i, int(i % 2 == 1) if rng.random() < 0.9 else 1 - i % 2) for i in range(150)] + [(3, 1), (3, None), (9_999, 1)]
     got = {r["doc_id"]: r["score"] for r in score_quality(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
     raw = [(t or "").encode() for _, t in rows]
-    x = Q.statistics(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])).astype(np.float32).astype(float)
+    x = Q.statistics(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), (1, 2)).astype(np.float32).astype(float)
     used = [(i, y) for i, y in labels if y is not None and i < 200]
     t, y = x[[i for i, _ in used]], np.array([y for _, y in used], float)
     model = Q.Model(t.mean(axis=0), t.std(axis=0))

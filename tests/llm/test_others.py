@@ -221,6 +221,8 @@ def test_pipeline_maps_by_row(spark, odd_documents, tmp_path):
     clean = [r for r in rows if r[1] != rows[7][1]]
     assert sorted(map(str, map(tuple, P.benchmark(spark, df, str(tmp_path)).collect()))) == sorted(map(str, clean))
     assert sorted(map(str, map(tuple, P.secrets(spark, df, "").collect()))) == sorted(map(str, rows))
+    told = spark.createDataFrame([(1, "a token=abcdefghijklmnop0123 b", "en", "web", 30), (2, "0123456789abcdef " * 20_000, "en", "web", 9), (None, None, None, None, None)], df.schema)
+    assert sorted(map(str, map(tuple, P.secrets(spark, told, "").collect()))) == sorted(map(str, [(1, "a [ASSIGN] b", "en", "web", 12), (2, "[HEX] " * 20_000, "en", "web", 120_000), (None,) * 5]))
     assert sorted(str(r["doc_id"]) for r in P.tokens(spark, df, "").collect()) == sorted(str(r[0]) for r in rows)
 
 
