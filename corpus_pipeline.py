@@ -13,7 +13,7 @@ from stratiform.llm.common import marked, written
 from stratiform.llm.decontaminate import decontaminate
 from stratiform.llm.near_dedup import near_dedup
 from stratiform.llm.quality import score_quality
-from stratiform.llm.secrets import find_secrets, redacted
+from stratiform.llm.secrets import find_secrets
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Documents below this calibrated probability of label 1 go.
@@ -50,9 +50,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Puts placeholders in the place of secrets; n_chars follows the text."""
-    found = find_secrets(docs.select(COLUMNS))
-    clean = F.when(F.size("spans") > 0, redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
-    out = found.withColumn("clean", clean)
+    out = find_secrets(docs.select(COLUMNS), redacted="clean")
     return out.select("doc_id", F.col("clean").alias("text"), "lang", "source", F.when(F.size("spans") > 0, F.length("clean").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
 
 
