@@ -229,17 +229,28 @@ def group_status(df: DataFrame, group: str, partial: str, ranked_by: Sequence, o
 # ---------------------------------------------------------------- masks by name
 
 
-def mask_program(masks: DataFrame, grid: DataFrame, operations: Sequence[Mapping]) -> DataFrame:
+def mask_program(masks: DataFrame, grid: DataFrame, operations: Sequence[Mapping], geometry: DataFrame | None = None) -> DataFrame:
     """Named masks through an ordered list of operations {op, inputs, output, ...}; outputs can be inputs of later ones.
 
-    Inputs must exist before use: an error otherwise, before anything runs.
+    Errors, before anything runs: inputs that no earlier step gives, voxels outside the grid, and, with `geometry` (scan_id, mask and any columns that
+    describe a mask's lattice), an operation whose inputs lie on unlike lattices in a scan; an output has the lattice of its first input.
     """
     have = {r["mask"] for r in masks.select("mask").distinct().collect()}  # names, not voxels
-    for o in operations:
-        absent = [i for i in o["inputs"] if i not in have]
+    origin: dict[str, str] = {name: name for name in have}
+    for i, o in enumerate(operations):
+        absent = [x for x in o["inputs"] if x not in origin]
         if absent:
             raise ValueError(f"{o['output']} needs {absent}, which no earlier step gives")
-        have.add(o["output"])
+        sources = sorted({origin[x] for x in o["inputs"]})
+        if geometry is not None and len(sources) > 1:
+            rows = geometry.filter(F.col("mask").isin(sources)).groupBy("scan_id").agg(F.count_distinct(F.struct(*(c for c in geometry.columns if c not in ("scan_id", "mask")))).alias("n"))
+            unlike = rows.filter("n > 1").orderBy("scan_id").limit(5).collect()
+            if unlike:
+                raise ValueError(f"operation {i} ({o['op']}): {o['inputs']} lie on unlike lattices in {', '.join(str(r['scan_id']) for r in unlike)}")
+        origin[o["output"]] = origin[o["inputs"][0]]
+    strange = masks.join(grid.select(X.VOXEL), X.VOXEL, "left_anti").select("scan_id", "mask").limit(1).collect()
+    if strange:
+        raise ValueError(f"{strange[0]['mask']} of {strange[0]['scan_id']} has voxels outside the grid")
     for o in operations:
         if o["op"] in ("union", "intersection", "xor", "difference", "not"):
             out = X.combine(masks, o["inputs"], o["op"], grid)

@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from stratiform.operators.distance import XYZ, signed_distances, squared_distances
 from stratiform.operators.ranks import percentiles, same
 from stratiform.shared import written
 
-XYZ = ["x", "y", "z"]
 VOXEL = ["scan_id", *XYZ]
 
 
@@ -29,32 +29,21 @@ def combine(masks: DataFrame, names: Sequence[str], how: str, grid: DataFrame |
     return rows.groupBy(*VOXEL).agg(keep.alias("_keep")).filter("_keep").drop("_keep")
 
 
-def offsets(radius: float, spacing: Sequence[float] = (1, 1, 1)) -> list[tuple[int, int, int]]:
-    """Steps within a radius in units of spacing; a radius under the spacing is the voxel itself."""
-    reach = [int(radius // s) for s in spacing]
-    return [(i, j, k) for i in range(-reach[0], reach[0] + 1) for j in range(-reach[1], reach[1] + 1) for k in range(-reach[2], reach[2] + 1) if (i * spacing[0]) ** 2 + (j * spacing[1]) ** 2 + (k * spacing[2]) ** 2 <= radius**2 + 1e-9]
+def dilate(mask: DataFrame, grid: DataFrame, radius: float, spacing: Sequence[float] = (1, 1, 1)) -> DataFrame:
+    """Voxels of the grid within a radius of the mask; a radius under the spacing is the mask itself."""
+    return squared_distances(mask, grid, spacing).filter(F.col("d2") <= radius**2 + 1e-9).select(VOXEL)
 
 
-def _moved(mask: DataFrame, steps: Sequence[tuple[int, int, int]]) -> DataFrame:
-    near = F.explode(F.array(*(F.struct((F.col("x") + i).alias("x"), (F.col("y") + j).alias("y"), (F.col("z") + k).alias("z")) for i, j, k in steps)))
-    return mask.select("scan_id", near.alias("_p")).select("scan_id", "_p.*")
-
-
-def dilate(mask: DataFrame, grid: DataFrame, steps: Sequence[tuple[int, int, int]]) -> DataFrame:
-    return _moved(mask, steps).distinct().join(grid.select(VOXEL), VOXEL, "left_semi")
-
-
-def erode(mask: DataFrame, grid: DataFrame, steps: Sequence[tuple[int, int, int]]) -> DataFrame:
-    """Voxels all of whose neighbours inside the grid are foreground: the grid's other voxels, dilated, are taken away."""
+def erode(mask: DataFrame, grid: DataFrame, radius: float, spacing: Sequence[float] = (1, 1, 1)) -> DataFrame:
+    """Voxels of the mask farther than a radius from all other voxels of the grid; what is beyond the grid doesn't count."""
     outside = grid.select(VOXEL).join(mask.select(VOXEL), VOXEL, "left_anti")
-    return mask.select(VOXEL).join(_moved(outside, steps).distinct(), VOXEL, "left_anti")
+    return mask.select(VOXEL).join(squared_distances(outside, grid, spacing).filter(F.col("d2") > radius**2 + 1e-9).select(VOXEL), VOXEL, "left_semi")
 
 
 def morphology(mask: DataFrame, grid: DataFrame, how: str, radius: float, spacing: Sequence[float] = (1, 1, 1), iterations: int = 1) -> DataFrame:
-    steps = offsets(radius, spacing)
     plan = {"dilate": [dilate] * iterations, "erode": [erode] * iterations, "open": [erode] * iterations + [dilate] * iterations, "close": [dilate] * iterations + [erode] * iterations}[how]
-    for f in plan:
-        mask = f(mask, grid, steps)
+    for f in plan if radius > 0 else ():
+        mask = f(mask, grid, radius, spacing)
     return mask
 
 
@@ -209,6 +198,21 @@ def upper_median(distances: DataFrame, value: str = "value") -> DataFrame:
     return distances.groupBy(*VOXEL).agg(F.element_at(d, F.floor(F.size(d) / 2).cast("int") + 1).alias("median"), F.count(value).alias("observed"))
 
 
+def fuse_organs(masks: DataFrame, coverage: DataFrame, spacing: Sequence[float] = (1, 1, 1), anchor: str | None = None) -> DataFrame:
+    """Organ surfaces of several raters, masks and coverage(scan_id, rater, x, y, z), fused by the upper median of their signed distances.
+
+    Per voxel that anyone saw: value (the median over those who saw it), observed, probability (share of them that marked it), fused (value not over 0).
+    With an anchor only that rater counts. A tie of votes is decided as a strict majority would; one rater of three, however far off, moves nothing beyond the other two.
+    """
+    by = ["scan_id", "rater"]
+    if anchor is not None:
+        masks, coverage = masks.filter(F.col("rater") == anchor), coverage.filter(F.col("rater") == anchor)
+    field = signed_distances(masks, coverage, spacing, by)
+    d = F.array_sort(F.collect_list("value"))  # as many as raters
+    out = field.groupBy(*VOXEL).agg(F.element_at(d, F.floor(F.size(d) / 2).cast("int") + 1).alias("value"), F.count("*").alias("observed"), (F.count_if(F.col("value") <= 0) / F.count("*")).alias("probability"))
+    return out.withColumn("fused", F.col("value") <= 0)
+
+
 def seams(coverage: DataFrame) -> DataFrame:
     """Per scan: pairs of adjacent voxels that different numbers of raters saw; each axis by a window along it."""
     n = coverage.groupBy(*VOXEL).agg(F.count("*").alias("n"))
@@ -248,11 +252,43 @@ def first_order(voxels: DataFrame, mask: DataFrame, bin_width: float = 25.0) ->
     return stats.join(quartiles, key, "left").join(entropy, key).select(*key, "n", "min", "max", "mean", "variance", "p25", "p75", "energy", "entropy")
 
 
-def mask_quality(mask: DataFrame, grid: DataFrame, voxel_volume: float = 1.0) -> DataFrame:
-    """Per scan: volume, bounding box, how many voxels touch each side of the grid, and a status."""
-    box = grid.groupBy("scan_id").agg(*(f(c).alias(f"g{c}{i}") for c in XYZ for i, f in ((0, F.min), (1, F.max))))
-    m = mask.select(VOXEL).join(box, "scan_id")
-    touch = [F.count_if(F.col(c) == F.col(f"g{c}{i}")).alias(f"touch_{c}{i}") for c in XYZ for i in (0, 1)]
-    out = m.groupBy("scan_id").agg((F.count("*") * voxel_volume).alias("volume"), *(f(c).alias(f"{c}{i}") for c in XYZ for i, f in ((0, F.min), (1, F.max))), *touch)
-    touched = reduce(lambda a, b: a + b, [(F.col(f"touch_{c}{i}") > 0).cast("int") for c in XYZ for i in (0, 1)])
-    return out.withColumn("status", F.when(touched > 0, "partial").otherwise("complete"))
+def straight_sides(mask: DataFrame) -> DataFrame:
+    """scan_id, straight: whether a mask ends in a broad, abrupt face on an axis, as one that the image cuts off does.
+
+    The first or last section along the axis has four voxels and a quarter of the largest section at least, and nine tenths of its inward neighbour. Under three sections say nothing.
+    """
+    places = F.explode(F.array(*(F.struct(F.lit(c).alias("axis"), F.col(c).alias("at")) for c in XYZ)))
+    areas = mask.select("scan_id", places.alias("p")).groupBy("scan_id", "p.axis", "p.at").agg(F.count("*").alias("area"))
+    along = W.partitionBy("scan_id", "axis").orderBy("at")
+    whole = along.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    beside = lambda f, step: F.when(f("at").over(along) == F.col("at") + step, f("area").over(along)).otherwise(0)
+    rows = areas.select("scan_id", "area", F.lag("at").over(along).isNull().alias("first"), F.lead("at").over(along).isNull().alias("last"), beside(F.lead, 1).alias("next"), beside(F.lag, -1).alias("former"), F.max("area").over(whole).alias("most"), F.count("*").over(whole).alias("n"))
+    broad = (F.col("n") >= 3) & (F.col("area") >= F.greatest(F.lit(4), 0.25 * F.col("most")))
+    cut = (F.col("first") & (F.col("area") >= 0.9 * F.col("next"))) | (F.col("last") & (F.col("area") >= 0.9 * F.col("former")))
+    return rows.groupBy("scan_id").agg(F.max(broad & cut).alias("straight"))
+
+
+def mask_quality(mask: DataFrame, grid: DataFrame, spacing: Sequence[float] = (1, 1, 1), margin: float = 1.0, least_share: float = 0.8, **more) -> DataFrame:
+    """Per scan of the grid: volume, bounding box, voxels near each side of the grid, share of the largest component, reasons and a status.
+
+    `invalid`: empty, under four voxels, a largest component below the least share, or the whole grid; `partial`: within the margin of a side (touch_* counts
+    the voxels there) or a straight side of the largest component; else `complete`.
+    """
+    m = mask.select(VOXEL).distinct()
+    box = grid.groupBy("scan_id").agg(F.count("*").alias("_all"), *(f(c).alias(f"g{c}{i}") for c in XYZ for i, f in ((0, F.min), (1, F.max))))
+    steps = dict(zip(XYZ, map(float, spacing)))
+    touch = [F.count_if(F.abs(F.col(c) - F.col(f"g{c}{i}")) * steps[c] <= margin).alias(f"touch_{c}{i}") for c in XYZ for i in (0, 1)]
+    found = box.join(m, "scan_id", "left").groupBy("scan_id", "_all").agg(F.count("x").alias("_n"), *(f(c).alias(f"{c}{i}") for c in XYZ for i, f in ((0, F.min), (1, F.max))), *touch)
+    parts = written(labelled(m, 1, **more), "quality")
+    sizes = parts.groupBy("scan_id", "label").agg(F.count("*").alias("_k"))
+    best = sizes.withColumn("_r", F.row_number().over(W.partitionBy("scan_id").orderBy(F.desc("_k"), "label"))).filter("_r = 1").drop("_r")
+    straight = straight_sides(parts.join(best.select("scan_id", "label"), ["scan_id", "label"], "left_semi"))
+    out = found.join(best.select("scan_id", "_k"), "scan_id", "left").join(straight, "scan_id", "left")
+    n, share = F.col("_n"), F.coalesce(F.col("_k") / F.col("_n"), F.lit(0.0))
+    why = {"empty": n == 0, "insufficient_foreground": (n > 0) & (n < 4), "fragmented": (n > 0) & (share < least_share), "fills_entire_fov": (n > 0) & (n == F.col("_all"))}
+    bad = reduce(lambda a, b: a | b, why.values())
+    cut = ~bad & F.coalesce("straight", F.lit(False))
+    touched = reduce(lambda a, b: a | b, [F.col(f"touch_{c}{i}") > 0 for c in XYZ for i in (0, 1)])
+    reasons = F.filter(F.array(*(F.when(c, name) for name, c in {**why, "straight_side": cut}.items())), lambda r: r.isNotNull())
+    volume = n * steps["x"] * steps["y"] * steps["z"]
+    return out.select("scan_id", volume.alias("volume"), *(f"{c}{i}" for c in XYZ for i in (0, 1)), *(f"touch_{c}{i}" for c in XYZ for i in (0, 1)), share.alias("largest_share"), reasons.alias("reasons"), F.when(bad, "invalid").when(touched | cut, "partial").otherwise("complete").alias("status"))

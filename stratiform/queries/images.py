@@ -84,10 +84,25 @@ def x08_overlap(spark, sf_dir):
     return o.withColumn("confidence", X.confidence(F.col("dice"), F.col("common_fraction"), F.col("n_a")))
 
 
-@query(f"WITH {_VOX} SELECT scan_id, count(*) * 2.0 AS volume, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1, min(z) AS z0, max(z) AS z1, " + ", ".join(f"count(*) FILTER (WHERE {c} = {3 * i}) AS touch_{c}{i}" for c in "xyz" for i in (0, 1)) + ", CASE WHEN " + " + ".join(f"count(*) FILTER (WHERE {c} IN (0, 3))" for c in "xyz") + " > 0 THEN 'partial' ELSE 'complete' END AS status FROM vox WHERE value > 0.2 GROUP BY 1")
+_TOUCH = ", ".join(f"count(*) FILTER (WHERE {c} = {3 * i}) AS touch_{c}{i}" for c in "xyz" for i in (0, 1))
+_AREAS = " UNION ALL ".join(f"SELECT scan_id, '{c}' AS axis, {c} AS pos, count(*) AS area FROM big GROUP BY ALL" for c in "xyz")
+
+
+@query(f"""WITH RECURSIVE {_VOX}, m AS (SELECT {_P} FROM vox WHERE value > 0.05), n6 AS (SELECT * FROM (VALUES (1,0,0),(-1,0,0),(0,1,0),(0,-1,0),(0,0,1),(0,0,-1)) t(i,j,k)),
+r AS (SELECT {_P}, x * 16 + y * 4 + z AS root FROM m UNION SELECT m.scan_id, m.x, m.y, m.z, r.root FROM r, n6, m WHERE m.scan_id = r.scan_id AND m.x = r.x + i AND m.y = r.y + j AND m.z = r.z + k),
+l AS MATERIALIZED (SELECT {_P}, min(root) AS root FROM r GROUP BY ALL), s AS (SELECT scan_id, root, count(*) AS k FROM l GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY scan_id ORDER BY count(*) DESC, root) = 1),
+big AS (SELECT l.* FROM l JOIN s USING (scan_id, root)), areas AS ({_AREAS}),
+sides AS (SELECT *, lag(pos) OVER w AS a0, lag(area) OVER w AS b0, lead(pos) OVER w AS a1, lead(area) OVER w AS b1, max(area) OVER (PARTITION BY scan_id, axis) AS most, count(*) OVER (PARTITION BY scan_id, axis) AS n FROM areas WINDOW w AS (PARTITION BY scan_id, axis ORDER BY pos)),
+cut AS (SELECT scan_id, bool_or(n >= 3 AND area >= greatest(4, 0.25 * most) AND (a0 IS NULL AND area >= 0.9 * (CASE WHEN a1 = pos + 1 THEN b1 ELSE 0 END) OR a1 IS NULL AND area >= 0.9 * (CASE WHEN a0 = pos - 1 THEN b0 ELSE 0 END))) AS straight FROM sides GROUP BY 1),
+o AS (SELECT g.scan_id, count(m.x) AS n, min(m.x) AS x0, max(m.x) AS x1, min(m.y) AS y0, max(m.y) AS y1, min(m.z) AS z0, max(m.z) AS z1, {_TOUCH.replace("WHERE ", "WHERE m.")} FROM (SELECT DISTINCT scan_id FROM vox) g LEFT JOIN m USING (scan_id) GROUP BY 1),
+q AS (SELECT o.*, coalesce(k / n, 0) AS share, straight FROM o LEFT JOIN s USING (scan_id) LEFT JOIN cut USING (scan_id)),
+w AS (SELECT *, list_filter([CASE WHEN n = 0 THEN 'empty' END, CASE WHEN n BETWEEN 1 AND 3 THEN 'insufficient_foreground' END, CASE WHEN n > 0 AND share < 0.8 THEN 'fragmented' END, CASE WHEN n = 64 THEN 'fills_entire_fov' END], lambda e: e IS NOT NULL) AS bad FROM q)
+SELECT scan_id, n * 2.0 AS volume, x0, x1, y0, y1, z0, z1, touch_x0, touch_x1, touch_y0, touch_y1, touch_z0, touch_z1, round(share, 6) AS largest_share,
+CASE WHEN len(bad) = 0 AND straight THEN ['straight_side'] ELSE bad END AS reasons, CASE WHEN len(bad) > 0 THEN 'invalid' WHEN touch_x0 + touch_x1 + touch_y0 + touch_y1 + touch_z0 + touch_z1 > 0 OR straight THEN 'partial' ELSE 'complete' END AS status FROM w""")
 def x10_mask_quality(spark, sf_dir):
+    """All statuses and reasons: components below four fifths, sides and straight faces of the largest component."""
     v = _voxels(spark, sf_dir)
-    return X.mask_quality(v.filter("value > 0.2"), v, 2.0)
+    return X.mask_quality(v.filter("value > 0.05"), v, (1, 1, 2), margin=0.0).withColumn("largest_share", r6(F.col("largest_share")))
 
 
 def _raters(spark, sf_dir):
@@ -118,6 +133,35 @@ def x14_upper_median(spark, sf_dir):
     return X.upper_median(_raters(spark, sf_dir)[0]).withColumn("median", r6(F.col("median")))
 
 
+_BALL = "(a.x - b.x) ** 2 * 1.0 + (a.y - b.y) ** 2 * 2.25 + (a.z - b.z) ** 2 * 6.25"
+
+
+@query(f"WITH {_VOX}, f AS (SELECT *, value > 0.1 AS fg FROM vox) SELECT {', '.join('a.' + c for c in _P.split(', '))}, a.fg, round(any_value(CASE WHEN a.fg THEN -1 ELSE 1 END) * sqrt(min({_BALL})), 6) AS value FROM f a JOIN f b ON a.scan_id = b.scan_id AND a.fg <> b.fg GROUP BY a.scan_id, a.x, a.y, a.z, a.fg")
+def x14_signed_distances(spark, sf_dir):
+    """Each voxel's distance to the nearest voxel of the other side, by the plain minimum over all of them in the SQL."""
+    v = _voxels(spark, sf_dir)
+    out = X.signed_distances(v.filter("value > 0.1"), v, (1, 1.5, 2.5)).filter("abs(value) < double('infinity')")
+    return out.select(*X.VOXEL, (F.col("value") < 0).alias("fg"), r6(F.col("value")).alias("value"))
+
+
+@query(f"""WITH {_RATED}, g AS (SELECT *, value > 0 AS fg FROM seen), d AS (SELECT a.scan_id, a.rater, a.x, a.y, a.z, a.fg, sqrt(min({_BALL}) FILTER (WHERE b.fg <> a.fg)) AS far FROM g a JOIN g b ON a.scan_id = b.scan_id AND a.rater = b.rater GROUP BY ALL),
+s AS (SELECT {_P}, list_sort(list(CASE WHEN fg THEN -1 ELSE 1 END * coalesce(far, 'infinity'::DOUBLE))) AS v FROM d GROUP BY ALL)
+SELECT {_P}, round(v[len(v) // 2 + 1], 6) AS value, CAST(len(v) AS BIGINT) AS observed, round(len(list_filter(v, lambda e: e <= 0)) / len(v), 6) AS probability, v[len(v) // 2 + 1] <= 0 AS fused FROM s""")
+def x14_fused_organs(spark, sf_dir):
+    seen, masks = _raters(spark, sf_dir)
+    out = X.fuse_organs(masks, seen, (1, 1.5, 2.5))
+    return out.withColumns({"value": r6(F.col("value")), "probability": r6(F.col("probability"))})
+
+
+@query(f"WITH {_VOX}, {_A}, e AS (SELECT a.* FROM a WHERE NOT EXISTS (SELECT 1 FROM vox b WHERE b.scan_id = a.scan_id AND NOT b.value > 0 AND {_BALL} <= 2.25)), o AS (SELECT DISTINCT a.scan_id, a.x, a.y, a.z FROM vox a JOIN e b ON a.scan_id = b.scan_id AND {_BALL} <= 2.25), d AS (SELECT DISTINCT a.scan_id, a.x, a.y, a.z FROM vox a JOIN a b ON a.scan_id = b.scan_id AND {_BALL} <= 6.25) SELECT 'dilate' AS how, * FROM (" + _COUNT.format("SELECT * FROM d") + ") UNION ALL SELECT 'open', * FROM (" + _COUNT.format("SELECT * FROM o") + ")")
+def x03_balls(spark, sf_dir):
+    """Radii in millimetres over voxels of 1 x 1.5 x 2.5."""
+    v, m = _masks(spark, sf_dir)
+    a = _only(m, "a")
+    parts = [X.morphology(a, v, how, radius, (1, 1.5, 2.5)).groupBy("scan_id").agg(F.count("*").alias("n")).select(F.lit(how).alias("how"), "scan_id", "n") for how, radius in (("dilate", 2.5), ("open", 1.5))]
+    return parts[0].union(parts[1])
+
+
 @query(f"WITH {_RATED}, n AS (SELECT {_P}, count(*) AS n FROM seen GROUP BY ALL), s AS (SELECT a.scan_id, a.n <> b.n AS seam FROM n a JOIN n b ON a.scan_id = b.scan_id AND ((b.x = a.x + 1 AND b.y = a.y AND b.z = a.z) OR (b.x = a.x AND b.y = a.y + 1 AND b.z = a.z) OR (b.x = a.x AND b.y = a.y AND b.z = a.z + 1))) SELECT scan_id, count(*) FILTER (WHERE seam) AS seams FROM s GROUP BY 1")
 def x15_seams(spark, sf_dir):
     return X.seams(_raters(spark, sf_dir)[0])
