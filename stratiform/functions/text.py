@@ -40,6 +40,8 @@ VOCABULARY = {
     "original": "original",
     "primary": "primary",
 }
+#: Fixed: a numbered phase; its first group is the number.
+ORDINAL = rf"ph(?:ase)?{SEP}([1-9]\d*)(?!\d)"
 VOCABULARY["derived"] = "|".join(VOCABULARY[n] for n in ("key_images", "subtraction", "mip_mpr", "quantitative"))
 
 
@@ -92,7 +94,7 @@ def series_text(columns: Sequence[Column]) -> Column:
 
 def ordinal(text: Column) -> Column:
     """The number of `Ph 2`, `phase_3`."""
-    return F.regexp_extract(text, token(rf"ph(?:ase)?{SEP}([1-9]\d*)(?!\d)"), 1).try_cast("int")
+    return F.regexp_extract(text, token(ORDINAL), 1).try_cast("int")
 
 
 def image_type_tokens(c: Column) -> Column:

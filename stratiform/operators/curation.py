@@ -32,6 +32,21 @@ SEQUENCES = {
     "T2": rf"t2(?:{SEP}weighted)?|{_T2_MULTI}|{_T2_SINGLE}|conventional{SEP}(?:se|spin{SEP}echo)|spir|spair|aspir|bhte",
 }
 _QUANT = rf"{T.VOCABULARY['quantitative']}|fat{SEP}fraction|fatfrac|pdff|ff|r2\*|r2{SEP}star|t2(?:\*|{SEP}star){SEP}map"
+#: Fixed: MR terms of phases, the hepatobiliary phase with its delays, and terms of T2 features.
+CT_TERMS = P.terms(arterial=rf"ct{SEP}a")
+MR_TERMS = P.terms(
+    native=rf"(?:pr[eé]|sans|non){SEP}(?:{_GADOLINIUM})|mas(?:k|que)",
+    post=_GADOLINIUM,
+    first=(P.Rule("HEPATOBILIARY", rf"bili|hepato{SEP}(?:biliary|biliaire)|hbp|bhp|voie{SEP}biliaire", ((1200, 1200), (7200, 10799))),),
+    by_delay="HEPATOBILIARY",
+)
+T2_FEATURES = {
+    "is_t2_fatsat": rf"fs|fat{SEP}sat(?:urated)?|spair|spir|stir|tirm",
+    "is_t2_motion_robust": rf"f?blade|propeller|prop|multivane|radial|{T.VOCABULARY['respiratory']}",
+    "is_t2_haste_ssfse": _T2_SINGLE,
+    "is_t2_tse_fse": rf"{_T2_FAST}|sense|te{SEP}\d+|fast{SEP}spin|turbo{SEP}spin",
+    "is_t2_mrcp_biliary": r"mrcp|cpre|bili(?:aire|ary)?|chol|cholangio?",
+}
 #: Fixed: MR phase priority adds one phase; planes' share of a score.
 MR_PRIORITY = {**P.PRIORITY, "HEPATOBILIARY": 90}
 PLANE_SCORE = {"AXIAL": 50, "CORONAL": 20, "SAGITTAL": 5}
@@ -64,10 +79,11 @@ def _scores(c: Column, table: Mapping[str, float], other: float) -> Column:
     return out
 
 
-def _with_evidence(df: DataFrame, texts: Sequence[str]) -> DataFrame:
-    """_evidence, the text that decides on the phase, and its durations: columns of their own, so that each is computed once."""
+def _with_evidence(df: DataFrame, texts: Sequence[str], of: P.Terms) -> DataFrame:
+    """_evidence, the text that decides on the phase, the column it is from, and its durations: columns of their own, so that each is computed once."""
     found = _texts(df, texts)
-    df = df.withColumn("_evidence", T.first_with(found, P.phase_evidence)["text"] if found else F.lit(None).cast("string"))
+    told = T.first_with(found, lambda c: P.phase_evidence(c, of)) if found else F.lit(None).cast("struct<column:string,text:string>")
+    df = df.withColumn("_told", told).withColumns({"_evidence": F.col("_told.text"), "_evidence_column": F.col("_told.column")}).drop("_told")
     return df.withColumn("_seconds", F.when(F.col("_evidence").rlike("[0-9]"), durations(F.col("_evidence"))).otherwise(F.array().cast("array<double>")))
 
 
@@ -78,8 +94,8 @@ def annotate_ct(df: DataFrame, texts: Sequence[str] = TEXT_COLUMNS) -> DataFrame
     rows, cols = number(_col(df, "Rows")), number(_col(df, "Columns"))
     slices = F.coalesce(number(_col(df, "n_rows_in_volume")), number(_col(df, "n_files")))
     image_type = F.lower(F.coalesce(_col(df, "ImageType").cast("string"), F.lit("")))
-    phase = P.phase_of(F.col("_evidence"), rf"ct{SEP}a", F.col("_seconds"))
-    df = _with_evidence(df, texts).withColumns({
+    phase = P.phase_of(F.col("_evidence"), CT_TERMS, F.col("_seconds"))
+    df = _with_evidence(df, texts, CT_TERMS).withColumns({
         "_kind": kind, "is_axial": F.coalesce((plane == "AXIAL") | (plane.isNull() & (rows == cols)), F.lit(False)), "is_original": T.has(image_type, "original") & T.has(image_type, "primary"),
         "is_derived_low_value": _any(df, texts, T.token(T.VOCABULARY["derived"])), "_rows": rows, "_cols": cols, "_slices": slices, "_thickness": number(_col(df, "SliceThickness")), "_phase": phase,
     })
@@ -88,7 +104,7 @@ def annotate_ct(df: DataFrame, texts: Sequence[str] = TEXT_COLUMNS) -> DataFrame
         "is_localizer": F.coalesce(F.col("_kind") == "LOCALIZER", F.lit(False)), "phase_applicability_reason": reason,
         "rule_phase": F.when(reason.isNotNull(), "OTHER").otherwise(F.coalesce("_phase", F.lit("OTHER"))),
         "rule_phase_confidence": F.when(reason.isNotNull(), "not_applicable").when(F.col("_phase").isNotNull(), "high").otherwise("low"),
-    }).drop("_kind", "_phase", "_evidence", "_seconds")
+    }).drop("_kind", "_phase", "_evidence", "_evidence_column", "_seconds")
 
 
 def score_ct(df: DataFrame, phase: str = "phase") -> Column:
@@ -118,20 +134,22 @@ def annotate_mr(df: DataFrame, texts: Sequence[str] = TEXT_COLUMNS) -> DataFrame
     by_time = F.when((tr < 800) & (te < 35), "T1").when((tr > 1500) & (te > 60), "T2")
     seq = F.coalesce(by_text, F.when(modality == "KO", "KEY_IMAGES"), by_time, F.lit("OTHER"))
     family = _first(df, texts, lambda c: F.when(c.rlike(T.token(_T2_SINGLE)), "single_shot").when(c.rlike(T.token(_T2_MULTI)), "multi_shot"))
-    df = _with_evidence(df, texts).withColumns({
+    df = _with_evidence(df, texts, MR_TERMS).withColumns({
         "mri_sequence": seq, "mri_sequence_confidence": F.when(by_text.isNotNull() | (modality == "KO"), "high").when(by_time.isNotNull(), "medium").otherwise("low"), "_family": family,
         "plane": _first(df, texts, T.plane), "is_3d_gre": _any(df, texts, T.token(_T1_GRE)), "is_dynamic_t1_text": _any(df, texts, T.token(T.VOCABULARY["dynamic"])),
         "is_breath_hold": _any(df, texts, T.token(T.VOCABULARY["breath_hold"])), "is_resp_triggered": _any(df, texts, T.token(T.VOCABULARY["respiratory"])),
         "is_subtraction": _any(df, texts, T.token(T.VOCABULARY["subtraction"])), "is_mip_mpr": _any(df, texts, T.token(T.VOCABULARY["mip_mpr"])), "is_quant_or_report": _any(df, texts, T.token(_QUANT)),
-        "is_t2_fatsat": _any(df, texts, T.token(rf"fs|fat{SEP}sat(?:urated)?|spair|spir|stir")), "is_t2_mrcp_biliary": _any(df, texts, T.token(r"mrcp|cpre|bili(?:aire|ary)?")),
-        "dixon_component": dixon(df, texts), "_phase": P.phase_of(F.col("_evidence"), seconds=F.col("_seconds")),
+        **{name: _any(df, texts, T.token(pattern)) for name, pattern in T2_FEATURES.items()},
+        "dixon_component": dixon(df, texts), "_phase": P.phase_of(F.col("_evidence"), MR_TERMS, F.col("_seconds")),
     })
     return df.withColumns({
         "mri_t2_acquisition_family": F.when(F.col("mri_sequence") == "T2", F.col("_family")),
         "phase_applicability_reason": F.when(F.col("mri_sequence") == "LOCALIZER", "LOCALIZER").when(F.col("mri_sequence") != "T1", "NON_T1"),
         "rule_phase": F.when(F.col("mri_sequence") == "T1", F.coalesce("_phase", F.lit("OTHER"))).otherwise("OTHER"),
         "mri_perfusion_source": F.when((F.col("mri_sequence") == "T1") & F.col("_phase").isNotNull(), "explicit_text").otherwise("none"),
-    }).drop("_family", "_phase", "_seconds")
+        "mri_perfusion_confidence": F.when((F.col("mri_sequence") == "T1") & F.col("_phase").isNotNull(), "high").otherwise("low"),
+        "mri_perfusion_reason": F.when((F.col("mri_sequence") == "T1") & F.col("_phase").isNotNull(), F.concat(F.lit("matched "), F.lower("_phase"), F.lit(" in "), F.col("_evidence_column"), F.lit("="), F.col("_evidence"))).otherwise("no phase evidence"),
+    }).drop("_family", "_phase", "_seconds", "_evidence_column")
 
 
 #: Fixed: image-type tokens of Dixon components.
@@ -217,13 +235,19 @@ def missing_native(df: DataFrame, group: Sequence[str], acquisition: str, phase:
     return df.withColumn(phase, F.when(~has & enough & first & F.coalesce(candidate, F.lit(False)), "NATIVE").otherwise(F.col(phase)))
 
 
+def pure_post(text: Column) -> Column:
+    """A text that says after contrast, and nothing of before. The name of an agent alone says neither."""
+    native = F.coalesce(text.rlike(T.token(MR_TERMS.native)), F.lit(False))
+    return P.post_contrast(text) & ~native & ~P.mixed(text, MR_TERMS)
+
+
 def pre_post_native(df: DataFrame, group: Sequence[str], text: str, phase: str, orders: Sequence[str]) -> DataFrame:
     """In groups with a text that says both before and after contrast, the first acquisition (ties are all first) becomes native.
 
     Not if a first one has another phase, or a purely post-contrast text. Explicit phases of other rows stay.
     """
     c = F.coalesce(F.col(text), F.lit(""))
-    df = df.withColumns({"_mixed": P.mixed(c).cast("int"), "_post": (P.post_contrast(c) & ~T.has(c, "native") & ~P.mixed(c)).cast("int")})
+    df = df.withColumns({"_mixed": P.mixed(c, MR_TERMS).cast("int"), "_post": pure_post(c).cast("int")})
     df = first_acquisition(df, group, orders)
     w = W.partitionBy(*group)
     label = T.label_or_other(F.col(phase))

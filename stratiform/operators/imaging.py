@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -70,21 +69,11 @@ def protocol_name(c: Column) -> Column:
     """A series name without phase, dynamic, ordinal and duration tokens."""
     patterns = [T.token(T.VOCABULARY[n]) for n in ("native", "portal", "arterial", "delayed", "post_contrast", "dynamic")]
     c = clock.without_durations(c)
-    for p in (T.token(rf"ph(?:ase)?{T.SEP}([1-9]\d*)(?!\d)"), *patterns):
+    for p in (T.token(T.ORDINAL), *patterns):
         c = F.regexp_replace(c, p, " ")
     return F.lower(F.trim(F.regexp_replace(c, r"[\s_]+", " ")))
 
 
-def phases_in_order(text: Column) -> Column:
-    """Named phases in the order of their first mention; a mention inside a longer one (late arterial) counts only as that."""
-    names = ("native", "arterial", "portal", "delayed")
-    labels = {"native": "NATIVE", "arterial": "ARTERIAL", "portal": "PORTAL_VENOUS", "delayed": "DELAYED"}
-    spans = [F.struct(F.regexp_instr(text, F.lit(T.token(T.VOCABULARY[n]))).alias("at"), F.length(F.regexp_substr(text, F.lit(T.token(T.VOCABULARY[n])))).alias("n"), F.lit(labels[n]).alias("label")) for n in names]
-    found = F.filter(F.array(*spans), lambda s: s["at"] > 0)
-    outer = F.filter(found, lambda s: ~F.exists(found, lambda o: (o["at"] <= s["at"]) & (o["at"] + o["n"] >= s["at"] + s["n"]) & (o["n"] > s["n"])))
-    return F.transform(F.array_sort(outer), lambda s: s["label"])
-
-
 def spacing(c: Column) -> Column:
     """(x, y, mean, area) of a pixel spacing text."""
     v = parsed(c, 2)
@@ -161,20 +150,6 @@ def quality_table(df: DataFrame, columns: Mapping[str, str], details: str, stage
     return df.join(messages, key, "left").select(key, *(F.col(c).alias(n) for c, n in columns.items()), *found, "errors")
 
 
-def clock_columns(df: DataFrame, rows: int = 30, share: float = 0.5) -> list[str]:
-    """Text columns that look like clocks: by name, or by the share of a small sample that can be read."""
-    names = [c for c, t in df.dtypes if t == "string"]
-    sample = df.select(*(clock.clock(F.col(f"`{c}`")).isNotNull().cast("int").alias(f"c{i}") for i, c in enumerate(names))).limit(rows)
-    got = sample.agg(*(F.avg(f"c{i}") for i in range(len(names)))).first() if names else []
-    return [c for i, c in enumerate(names) if c.lower().endswith("time") or (got[i] or 0) >= share]
-
-
-def day_first(df: DataFrame, column: str) -> bool:
-    """Whether more of a column's dates can be read with the day first (one pass)."""
-    row = df.agg(F.count(F.try_to_date(column, "dd/MM/yyyy")).alias("d"), F.count(F.try_to_date(column, "MM/dd/yyyy")).alias("m")).first()
-    return row["d"] > row["m"]
-
-
 # ---------------------------------------------------------------- orders and reports
 
 
@@ -210,12 +185,17 @@ def native_default(df: DataFrame, exam: Sequence[str], phase: str, text: str) ->
     return df.withColumn(phase, F.when(F.col(phase).isNull() & (some == 0), "NATIVE").otherwise(F.col(phase)))
 
 
-def numbered_context(df: DataFrame, group: Sequence[str], text: str) -> DataFrame:
-    """Whether a row's protocol has numbered volumes, and whether labels of it conflict."""
+def numbered_context(df: DataFrame, group: Sequence[str], text: str, label: str | None = None) -> DataFrame:
+    """Whether a row's protocol has numbered volumes, how many numbers there are, and, with the labels given, whether a numbered volume's label
+    conflicts: it says NATIVE where a volume of the protocol without a number is native."""
     number_ = T.ordinal(F.col(text))
     w = W.partitionBy(*group, "_protocol")
     df = df.withColumns({"_protocol": protocol_name(F.col(text)), "_n": number_})
-    return df.withColumns({"in_numbered_protocol": F.max(F.col("_n").isNotNull().cast("int")).over(w) == 1, "numbers": F.size(F.collect_set("_n").over(w))}).drop("_protocol", "_n")
+    out = {"in_numbered_protocol": F.max(F.col("_n").isNotNull().cast("int")).over(w) == 1, "numbers": F.size(F.collect_set("_n").over(w))}
+    if label is not None:
+        native = F.coalesce(F.col(label) == "NATIVE", F.lit(False))
+        out["numbered_conflict"] = F.col("_n").isNotNull() & native & (F.max((native & F.col("_n").isNull()).cast("int")).over(w) == 1)
+    return df.withColumns(out).drop("_protocol", "_n")
 
 
 def group_status(df: DataFrame, group: str, partial: str, ranked_by: Sequence, ok: Column, least: int = 2) -> DataFrame:
@@ -267,12 +247,3 @@ def fragments(mask: DataFrame, reference: DataFrame, **more) -> DataFrame:
     one = sizes.groupBy("scan_id").agg(F.count("*").alias("components"), F.max("n").alias("largest"), F.sum("n").alias("voxels"))
     ref = reference.groupBy("scan_id").agg(F.count("*").alias("_ref"))
     return one.join(ref, "scan_id", "left").select("scan_id", "components", "largest", (1 - F.col("largest") / F.col("voxels")).alias("fragments"), F.try_divide(F.col("voxels") - F.col("_ref"), F.col("_ref")).alias("change"))
-
-
-def hooked(df: DataFrame, function: Callable, inputs: Sequence[str], output: str, kind: str) -> DataFrame:
-    """A user's Python function of several values as a vectorised column; for what Columns cannot say."""
-    @F.pandas_udf(kind)
-    def call(rows: pd.DataFrame) -> pd.Series:
-        return pd.Series([function(*row) for row in rows.itertuples(index=False)])
-
-    return df.withColumn(output, call(F.struct(*inputs)))

@@ -88,12 +88,64 @@ def inventory_diff(before: DataFrame, after: DataFrame) -> DataFrame:
     return after.join(before, ["path", "length", "modified"], "left_anti")
 
 
-def outputs_present(expected: DataFrame, inventory: DataFrame, row: str, path: str) -> DataFrame:
-    """Per row whether all its expected outputs exist; expected has a row per output."""
-    found = expected.join(inventory.select(F.col("path").alias(path), F.lit(True).alias("_there")).distinct(), path, "left")
-    return found.groupBy(row).agg(F.bool_and(F.coalesce("_there", F.lit(False))).alias("complete"))
+def outputs_present(expected: DataFrame, inventory: DataFrame, row: str, path: str, compared: Sequence[str] = ()) -> DataFrame:
+    """Per row whether all its expected outputs exist; expected has a row per output. Of the columns `compared` (length, modified, sha256) recorded
+    in expected those that are filled must be the inventory's."""
+    found = inventory.groupBy(F.col("path").alias(path)).agg(F.lit(True).alias("_there"), *(F.first(c).alias(f"_now_{c}") for c in compared))
+    met = expected.join(found, path, "left")
+    ok = F.coalesce("_there", F.lit(False))
+    for c in compared:
+        ok = ok & (F.col(c).isNull() | F.col(c).eqNullSafe(F.col(f"_now_{c}")))
+    return met.groupBy(row).agg(F.bool_and(ok).alias("complete"))
+
+
+def cell_hashes(df: DataFrame, key: str, cells: str, inventory: DataFrame, strict: bool = False) -> DataFrame:
+    """key and artifact_sha256: of a cell, or list of cells, of paths a hash of its elements in order, each with its path, whether it is there, and length and time
+    (strict: its content's sha256, a column of the inventory, instead of the time). An empty or null cell has the hash of no elements."""
+    listed = df.select(key, cells).withColumn(cells, F.col(cells) if dict(df.dtypes)[cells].startswith("array") else F.array(cells))
+    flat = listed.select(key, F.posexplode_outer(cells).alias("_i", "path"))
+    state = ["length", "sha256"] if strict else ["length", "modified"]
+    one = inventory.groupBy("path").agg(*(F.first(c).alias(c) for c in state), F.lit(True).alias("_there"))
+    met = flat.join(one, "path", "left")
+    element = F.concat_ws("|", "path", F.coalesce("_there", F.lit(False)).cast("string"), *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in state))
+    listed_ = F.transform(F.array_sort(F.collect_list(F.when(F.col("path").isNotNull(), F.struct("_i", element.alias("e"))))), lambda x: x["e"])
+    return met.groupBy(key).agg(F.sha2(F.array_join(listed_, "\n"), 256).alias("artifact_sha256"))
+
+
+def bucket_hashes(df: DataFrame, keys: Sequence[str], columns: Sequence[str], buckets: int = 1024) -> DataFrame:
+    """bucket, n, sha256: the leaves of a tree over a table, whatever its order. A bucket's hash is that of four sums over its rows' hashes, so no rows meet in a task."""
+    row = F.sha2(F.concat_ws(":", row_hash(keys), row_hash(columns)), 256)
+    parts = [F.sum(F.conv(F.substring("_h", 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")) for i in range(4)]
+    rows = df.select(bucket_of(keys, buckets).alias("bucket"), row.alias("_h"))
+    return rows.groupBy("bucket").agg(F.count("*").alias("n"), F.sha2(F.concat_ws(":", F.count("*").cast("string"), *(x.cast("string") for x in parts)), 256).alias("sha256"))
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """A bucket by the hash of a row's key."""
+    return F.pmod(F.conv(F.substring(row_hash(keys), 1, 15), 16, 10).cast("long"), F.lit(buckets)).cast("int")
+
+
+def table_hash(leaves: DataFrame) -> DataFrame:
+    """One row with the root over bucket_hashes(): a bounded number of leaves, in order."""
+    return leaves.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "sha256"))), lambda x: F.concat_ws(":", x["bucket"].cast("string"), x["sha256"])), ","), 256).alias("table_sha256"))
+
+
+def changed_buckets(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Buckets whose hashes are new, gone or other than before."""
+    both = before.select("bucket", F.col("sha256").alias("_a")).join(after.select("bucket", F.col("sha256").alias("_b")), "bucket", "full")
+    return both.filter(~F.col("_a").eqNullSafe(F.col("_b"))).select("bucket")
+
+
+def changed_rows(before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Sequence[str], buckets: int = 1024) -> DataFrame:
+    """keys and change (new, gone, changed) between two tables of one row per key; only rows in buckets whose hashes differ are compared."""
+    some = changed_buckets(bucket_hashes(before, keys, columns, buckets), bucket_hashes(after, keys, columns, buckets))
+    near = lambda df, name: df.select(*keys, row_hash(columns).alias(name), bucket_of(keys, buckets).alias("bucket")).join(F.broadcast(some), "bucket", "left_semi").drop("bucket")  # noqa: E731  at most `buckets` rows
+    both = near(before, "_a").join(near(after, "_b"), list(keys), "full")
+    change = F.when(F.col("_a").isNull(), "new").when(F.col("_b").isNull(), "gone").when(F.col("_a") != F.col("_b"), "changed")
+    return both.select(*keys, change.alias("change")).filter("change is not null")
 
 
 def summary(state: DataFrame) -> DataFrame:
+    """How many rows have which status; resumed ones were completed by an earlier run."""
     s = F.col("status")
-    return state.agg(F.count("*").alias("total"), F.count_if(s == "completed").alias("succeeded"), F.count_if(s == "failed").alias("failed"), F.count_if(s == "skipped").alias("skipped"))
+    return state.agg(F.count("*").alias("total"), *(F.count_if(s.isin(*of)).alias(name) for name, of in (("succeeded", ("completed", "resumed")), ("resumed", ("resumed",)), ("failed", ("failed",)), ("skipped", ("skipped",)))))

@@ -140,6 +140,17 @@ def benjamini_hochberg(df: DataFrame, p: str, by: Sequence[str] = ()) -> DataFra
     return df.withColumn("q_value", F.least(F.lit(1.0), low)).drop("_r", "_n")
 
 
+def n_largest(df: DataFrame, column: str, n: int, smallest: bool = False) -> DataFrame:
+    """The rows whose value is among the n largest (or smallest), with all that tie with the last of them; nulls never are.
+
+    The n-th value is found by a top-n of each task, merged; then the table is filtered by it. No window, and no sort of the table.
+    """
+    value = F.col(f"`{column}`")
+    some = df.select(value.alias("_v")).filter("_v is not null").orderBy(F.asc("_v") if smallest else F.desc("_v")).limit(n)
+    last = some.agg(F.max("_v") if smallest else F.min("_v")).first()[0]
+    return df.filter(F.lit(False) if last is None else value <= last if smallest else value >= last)
+
+
 def final_order(df: DataFrame, patient: str, date: str, seconds: str, tie: str) -> DataFrame:
     """Rows by patient (blank last), date and clock, nulls last."""
     key = F.when(F.coalesce(F.trim(F.col(patient).cast("string")), F.lit("")) == "", "~").otherwise(F.col(patient).cast("string"))

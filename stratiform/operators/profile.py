@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 from stratiform.functions.rules import blank
 from stratiform.operators.ordering import benjamini_hochberg
-from stratiform.operators.ranks import cumulated, percentiles, percentiles_of, same
+from stratiform.operators.ranks import cumulated, percentiles_of, percentiles, same
 
 
 def unpivoted(df: DataFrame, names: Sequence[str], keys: Sequence[str] = (), name: str = "feature", value: str = "value") -> DataFrame:
@@ -107,20 +109,21 @@ def spearman(df: DataFrame, names: Sequence[str], row: str) -> DataFrame:
 
 
 def two_groups(df: DataFrame, names: Sequence[str], group: str, a, b, row: str) -> DataFrame:
-    """Per feature: n, mean and median of both groups, Cohen's d, Welch's t with its degrees of freedom, Mann-Whitney's U and z."""
+    """Per feature: n, mean and median of both groups, Cohen's d, Welch's t with its degrees of freedom, Mann-Whitney's U and z (without continuity correction), and the sum of k**3 - k over groups of k ties."""
     long = unpivoted(df.filter(F.col(group).isin(a, b)).select(group, row, *names), names, [group, row])
-    ranked = average_ranks(long.select("feature", "value", row), row)
     x, y = F.col(group) == a, F.col(group) == b
     of = lambda f, side: f(F.when(side, F.col("value")))
     m = long.groupBy("feature").agg(
         of(F.count, x).alias("n_a"), of(F.count, y).alias("n_b"), of(F.avg, x).alias("mean_a"), of(F.avg, y).alias("mean_b"),
         of(F.var_samp, x).alias("_va"), of(F.var_samp, y).alias("_vb"),
     )
-    middle = percentiles(long, ["feature", group], (0.5,)).groupBy("feature").agg(*(F.max(F.when(side, F.col("_p")[0])).alias(name) for side, name in ((x, "median_a"), (y, "median_b"))))
-    sides = df.select(row, group)
-    r = ranked.join(sides, row).groupBy("feature").agg(F.sum(F.when(x, F.col("rank"))).alias("_ra"))
-    ties = long.filter("value is not null").groupBy("feature", "value").agg(F.count("*").alias("_k")).groupBy("feature").agg(F.sum(F.col("_k") * F.col("_k") * F.col("_k") - F.col("_k")).cast("double").alias("_ties"))
-    m = m.join(middle, "feature").join(r, "feature").join(ties, "feature")
+    # ranks, medians and ties follow from how often each value occurs on either side; rows aren't ranked one by one
+    counts = cumulated(long, ["feature"], sides={"a": x, "b": y})
+    rank, k = F.col("_before") + (F.col("_k") + 1) / 2, F.col("_k")
+    r = counts.groupBy("feature").agg(F.sum(F.col("_k_a") * rank).alias("_ra"), F.sum(k * k * k - k).cast("double").alias("_ties"))
+    for side in ("a", "b"):
+        r = r.join(percentiles_of(counts.filter(F.col(f"_n_{side}") > 0), ["feature"], (0.5,), side=f"_{side}").select("feature", F.col("_p")[0].alias(f"median_{side}")), "feature", "left")
+    m = m.join(r, "feature")
     na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     n = na + nb
     pooled = F.sqrt(((na - 1) * F.col("_va") + (nb - 1) * F.col("_vb")) / (n - 2))
@@ -130,7 +133,7 @@ def two_groups(df: DataFrame, names: Sequence[str], group: str, a, b, row: str)
     diff = F.col("mean_a") - F.col("mean_b")
     return m.select(
         "feature", "n_a", "n_b", "mean_a", "mean_b", "median_a", "median_b", F.try_divide(diff, pooled).alias("cohens_d"), F.try_divide(diff, F.sqrt(se2)).alias("welch_t"),
-        F.try_divide(se2 * se2, F.pow(F.col("_va") / na, 2.0) / (na - 1) + F.pow(F.col("_vb") / nb, 2.0) / (nb - 1)).alias("df"), u.alias("u"), F.try_divide(u - na * nb / 2, sd).alias("z"),
+        F.try_divide(se2 * se2, F.pow(F.col("_va") / na, 2.0) / (na - 1) + F.pow(F.col("_vb") / nb, 2.0) / (nb - 1)).alias("df"), u.alias("u"), F.try_divide(u - na * nb / 2, sd).alias("z"), F.col("_ties").alias("ties"),
     )
 
 
@@ -163,8 +166,41 @@ def normal_p(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
 
 
+#: The smaller group up to which, and the products of both sizes up to which U is tested by its exact distribution.
+SMALL, EXACT = 8, 200_000
+
+
+@lru_cache(maxsize=256)
+def _ways(a: int, b: int) -> tuple[int, ...]:
+    """In how many ways a of a + b ranks give U = 0, 1, ..., a * b: the coefficients of a Gaussian binomial, in whole numbers.
+
+    Each further rank multiplies by (1 - q**(b + i)) / (1 - q**i).
+    """
+    a, b = min(a, b), max(a, b)
+    ways = np.zeros(a * b + 1, dtype=object)
+    ways[0] = 1
+    for i in range(1, a + 1):
+        ways[b + i :] = ways[b + i :] - ways[: max(len(ways) - b - i, 0)]
+        for k in range(i, len(ways)):
+            ways[k] += ways[k - i]
+    return tuple(ways)
+
+
+def mann_whitney_p(n_a: int, n_b: int, u: float, ties: float) -> float | None:
+    """Two-sided p-value of U: exact for a small group without ties, else normal with continuity correction; null where nothing can be told."""
+    if not n_a or not n_b:
+        return None
+    high = max(u, n_a * n_b - u)
+    if not ties and min(n_a, n_b) <= SMALL and n_a * n_b <= EXACT:
+        ways = _ways(*sorted((n_a, n_b)))
+        return min(1.0, 2 * (sum(ways[round(high) :]) / math.comb(n_a + n_b, n_a)))
+    n = n_a + n_b
+    sd = math.sqrt(max(n_a * n_b / 12 * (n + 1 - ties / (n * (n - 1))), 0.0)) if n > 1 else 0.0
+    return min(1.0, math.erfc((high - n_a * n_b / 2 - 0.5) / sd / math.sqrt(2))) if sd else None
+
+
 def tested(groups: DataFrame) -> DataFrame:
-    """The result of two_groups (a row per feature) with p-values of both tests and their Benjamini-Hochberg q-values.
+    """The result of two_groups (a row per feature) with p-values of both tests and their Benjamini-Hochberg q-values; a missing p-value counts as 1 for these.
 
     A Python function, as SQL has no distribution functions; it sees one row per feature.
     """
@@ -174,12 +210,12 @@ def tested(groups: DataFrame) -> DataFrame:
         ok = lambda *v: all(x is not None and math.isfinite(x) for x in v)
         return pd.DataFrame({
             "welch_p": [student_p(t, d) if ok(t, d) else None for t, d in zip(rows["welch_t"], rows["df"])],
-            "mann_whitney_p": [normal_p(z) if ok(z) else None for z in rows["z"]],
+            "mann_whitney_p": [mann_whitney_p(int(a), int(b), u, k) if ok(a, b, u, k) else None for a, b, u, k in zip(rows["n_a"], rows["n_b"], rows["u"], rows["ties"])],
         })
 
-    out = groups.withColumn("_p", p_values(F.struct("welch_t", "df", "z"))).select(*groups.columns, "_p.*")
+    out = groups.withColumn("_p", p_values(F.struct("welch_t", "df", "n_a", "n_b", "u", "ties"))).select(*groups.columns, "_p.*")
     for test in ("welch", "mann_whitney"):
-        out = benjamini_hochberg(out, f"{test}_p").withColumnRenamed("q_value", f"{test}_q")
+        out = benjamini_hochberg(out.withColumn("_known", F.coalesce(f"{test}_p", F.lit(1.0))), "_known").drop("_known").withColumnRenamed("q_value", f"{test}_q")
         out = out.withColumn(f"{test}_significant", F.col(f"{test}_q") < 0.05)
     return out
 

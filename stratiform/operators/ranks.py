@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Pieces of a group, and the accuracy of the sketch that cuts it. Neither changes a result.
-PIECES = 64
+from stratiform.shared import written
+
+#: Distinct values that one window goes through, and the accuracy of the sketch that cuts larger groups. Neither changes a result.
+PIECE = 200_000
 ACCURACY = 2_000
 
 
@@ -21,30 +23,43 @@ def same(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner
     return left.join(right, on, how).drop(*(f"_r_{c}" for c in by))
 
 
-def cumulated(rows: DataFrame, by: Sequence[str], value: str = "value") -> DataFrame:
-    """by, value, _k (rows of that value), _before (rows of lesser values) and _n (rows of the group) of non-null values.
+def cumulated(rows: DataFrame, by: Sequence[str], value: str = "value", sides: Mapping[str, Column] | None = None) -> DataFrame:
+    """by, value, _k (rows of that value), _before (rows of lesser values) and _n (rows of the group) of non-null values; for each of `sides`
+    (conditions by name) also _k_<name>, _before_<name>, _n_<name>, counting its rows only.
 
-    A hot value is one row after the partial count. A bounded sketch cuts each group into pieces of like size; sums run within a piece, and a piece
-    starts at the sum of those before it, so no window holds more than a piece.
+    A hot value is one row after the partial count; the counts are written, and how many values the largest group has is known before they are cut. Groups
+    over PIECE values are cut by a bounded sketch into pieces of like size, in proportion to their values; sums run within a piece, and a
+    piece starts at the sum of those before it, so no window holds much more than PIECE rows. The counts are written, so they go once to the shared folder.
     """
-    counts = rows.filter(F.col(value).isNotNull()).groupBy(F.struct(*by).alias("_g"), value).agg(F.count("*").alias("_k"))  # fields of a struct are equal where both are null
-    cuts = counts.groupBy("_g").agg(F.percentile_approx(value, F.array(*(F.lit(i / PIECES) for i in range(1, PIECES))), ACCURACY).alias("_cuts"))
-    piece = F.size(F.filter("_cuts", lambda c: c < F.col(value)))
-    counts = counts.join(cuts, "_g").select("_g", value, "_k", piece.alias("_piece"))
-    group = W.partitionBy("_g")
-    ahead = group.orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
-    starts = counts.groupBy("_g", "_piece").agg(F.sum("_k").alias("_sum"))
-    starts = starts.select("_g", "_piece", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_start"), F.sum("_sum").over(group).alias("_n"))
-    inside = W.partitionBy("_g", "_piece").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
-    counts = counts.withColumn("_in", F.coalesce(F.sum("_k").over(inside), F.lit(0))).join(starts, ["_g", "_piece"])
-    return counts.select(*(F.col(f"_g.{c}").alias(c) for c in by), value, "_k", (F.col("_start") + F.col("_in")).alias("_before"), "_n")
-
-
-def percentiles_of(counts: DataFrame, by: Sequence[str], points: Sequence[float], value: str = "value") -> DataFrame:
-    """by, _n and _p, an array of exact percentiles with linear interpolation, from cumulated()."""
+    weights = {"": F.count("*"), **{f"_{name}": F.count_if(c) for name, c in (sides or {}).items()}}
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(F.struct(*by).alias("_g"), value).agg(*(w.alias(f"_k{s}") for s, w in weights.items()))  # fields of a struct are equal where both are null
+    counts = written(counts, "counts")
+    most = counts.groupBy("_g").count().agg(F.max("count")).first()[0] or 0
+    group, sums = W.partitionBy("_g"), {s: F.col(f"_k{s}") for s in weights}
+    lesser = lambda w, c: F.coalesce(F.sum(c).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    if most <= PIECE:
+        ordered = group.orderBy(value)
+        whole = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+        found = counts.select("*", *(lesser(ordered, c).alias(f"_before{s}") for s, c in sums.items()), *(F.sum(c).over(whole).alias(f"_n{s}") for s, c in sums.items()))
+    else:
+        pieces = -(-most // PIECE)
+        cuts = counts.groupBy("_g").agg(F.percentile_approx(value, F.array(*(F.lit(i / pieces) for i in range(1, pieces))), max(ACCURACY, 10 * pieces)).alias("_cuts"))
+        counts = counts.join(cuts, "_g").withColumn("_piece", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
+        starts = counts.groupBy("_g", "_piece").agg(*(F.sum(c).alias(f"_sum{s}") for s, c in sums.items()))
+        ahead = group.orderBy("_piece")
+        starts = starts.select("_g", "_piece", *(lesser(ahead, F.col(f"_sum{s}")).alias(f"_start{s}") for s in sums), *(F.sum(f"_sum{s}").over(group).alias(f"_n{s}") for s in sums))
+        inside = W.partitionBy("_g", "_piece").orderBy(value)
+        found = counts.select("*", *(lesser(inside, c).alias(f"_in{s}") for s, c in sums.items())).join(starts, ["_g", "_piece"])
+        found = found.withColumns({f"_before{s}": F.col(f"_start{s}") + F.col(f"_in{s}") for s in sums})
+    return found.select(*(F.col(f"_g.{c}").alias(c) for c in by), value, *(f"_{x}{s}" for s in sums for x in ("k", "before", "n")))
+
+
+def percentiles_of(counts: DataFrame, by: Sequence[str], points: Sequence[float], value: str = "value", side: str = "") -> DataFrame:
+    """by, _n and _p, an array of exact percentiles with linear interpolation, from cumulated(), of all rows or (`side`: _<name>) of one of its sides."""
+    n, before, k = (F.col(f"_{x}{side}") for x in ("n", "before", "k"))
     at = [F.lit(float(p)) * (F.col("_n") - 1) for p in points]
-    holds = lambda i: F.max(F.when((F.col("_before") <= i) & (i < F.col("_before") + F.col("_k")), F.col(value).cast("double")))
-    found = counts.groupBy(*by, "_n").agg(*(holds(f(x)).alias(f"_{name}{i}") for i, x in enumerate(at) for name, f in (("low", F.floor), ("high", F.ceil))))
+    holds = lambda i: F.max(F.when((before <= i) & (i < before + k), F.col(value).cast("double")))
+    found = counts.groupBy(*by, n.alias("_n")).agg(*(holds(f(x)).alias(f"_{name}{i}") for i, x in enumerate([F.lit(float(p)) * (n - 1) for p in points]) for name, f in (("low", F.floor), ("high", F.ceil))))
     between = lambda i, x: F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * (x - F.floor(x))
     level = lambda i, x: F.when(F.col(f"_low{i}") == F.col(f"_high{i}"), F.col(f"_low{i}")).otherwise(between(i, x))
     return found.select(*by, "_n", F.array(*(level(i, x) for i, x in enumerate(at))).alias("_p"))

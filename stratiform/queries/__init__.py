@@ -6,7 +6,7 @@ from importlib import import_module
 
 from stratiform.queries.base import ORACLE_SQL, QUERIES
 
-for _name in ("filters", "orders", "rollups", "cohorts", "texts", "profiles", "images", "curations", "imaging", "series", "stages"):
+for _name in ("filters", "orders", "rollups", "cohorts", "texts", "profiles", "images", "curations", "imaging", "series", "stages", "states"):
     import_module(f"stratiform.queries.{_name}")
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from stratiform.operators import context as X
 from stratiform.operators import curation as C
+from stratiform.operators import phases as PH
 from stratiform.operators import tables as T
 from stratiform.plans import steps as L
 from stratiform.queries.base import query, r6, table
@@ -100,6 +101,34 @@ def c19_in_context(spark, sf_dir):
     return out.select("event_id", "rule_phase", F.col("mri_perfusion_source").alias("source"))
 
 
+#: Exams of several kinds: of each volume its text, seconds, acquisition, tag, ontology term, number within a series, and what the rules find, with the source.
+_EXAMS = [
+    [("T1 vibe", 0, "a", None, None, None, "NATIVE", "exam_context"), ("T1 vibe arterial", 10, "b", None, None, None, "ARTERIAL", "explicit_text"), ("T2 haste", 20, "c", None, None, None, "OTHER", "none")],
+    [("T1 vibe", 0, "a", None, None, None, "NATIVE", "native_no_perfusion_evidence"), ("T1 vibe hbp", 10, "b", None, None, None, "HEPATOBILIARY", "explicit_text"), ("T1 vibe 20 min", 20, "c", None, None, None, "HEPATOBILIARY", "explicit_text")],
+    [("T1 vibe ax", 0, "a", "PORTAL\\\\VENOUS", None, None, "PORTAL_VENOUS", "dicom_phase"), ("T1 vibe ax", 1, "a", None, None, None, "PORTAL_VENOUS", "acquisition_phase"), ("T1 vibe portal", 2, "b", "ARTERIAL\\\\DELAYED", None, None, "OTHER", "dicom_phase_conflict")],
+    [("T1 vibe art portal late", 0, "a", None, None, 1, "ARTERIAL", "container_order"), ("T1 vibe art portal late", 30, "a2", None, None, 2, "PORTAL_VENOUS", "container_order"), ("T1 vibe art portal late", 60, "a3", None, None, 3, "DELAYED", "container_order")],
+    [("T1 vibe native", 0, "a", None, None, None, "NATIVE", "explicit_text"), ("T1 vibe dyn", 30, "b", None, None, None, "ARTERIAL", "generic_dynamic"), ("T1 vibe dyn portal", 70, "c", None, None, None, "PORTAL_VENOUS", "explicit_text")],
+    [("T1 lava", 0, "a", None, None, None, "NATIVE", "group_pre_post_order"), ("T1 vibe pre and post", 10, "b", None, None, None, "OTHER", "none")],
+    [("T1 vibe native", 0, "a", None, None, None, "NATIVE", "explicit_text"), ("T1 vibe native ph 1", 10, "b", None, None, None, "OTHER", "ordinal_phase_conflict")],
+    [("T1 vibe", 0, "a", None, None, None, "NATIVE", "exam_context"), ("T1 vibe gd", 30, "b", None, "veine porte", None, "OTHER", "none")],
+    [("T1 vibe mask art", 0, "a", None, None, 1, "NATIVE", "container_order"), ("T1 vibe mask art", 30, "a2", None, None, 2, "ARTERIAL", "container_order")],
+]
+_AHEAD = {"strategies": [{"name": "terms", "type": "ontology", "columns": ["term"], "mapping": {"veine porte": "PORTAL_VENOUS"}, "confidence": "sure"}, {"name": "rules", "type": "rules"}]}
+_SURE = {"explicit_text": "high", "dicom_phase": "high", "dicom_phase_conflict": "low", "acquisition_phase": "high", "container_order": "medium", "exam_context": "fallback", "generic_dynamic": "inferred", "group_pre_post_order": "inferred", "ordinal_phase_conflict": "low", "native_no_perfusion_evidence": "fallback", "none": "low"}
+
+
+@query(f"""WITH v AS (SELECT * FROM (VALUES {", ".join(f"({e}, {k}, '{v[6]}', '{v[7]}', '{_SURE[v[7]]}', {v[4] is not None})" for e, exam in enumerate(_EXAMS) for k, v in enumerate(exam))}) t(kind, k, phase, source, confidence, named))
+SELECT c_custkey, k, phase AS rule_phase, source, confidence, CASE WHEN named THEN 'PORTAL_VENOUS' ELSE phase END AS resolved, CASE WHEN named THEN 'terms' WHEN phase = 'OTHER' THEN 'unresolved' ELSE 'rules' END AS resolved_by FROM customer JOIN v ON kind = c_custkey % {len(_EXAMS)}""")
+def c19_every_rule(spark, sf_dir):
+    """An exam for each customer; every source of a phase occurs, and an ontology ahead of the rules anchors one exam without being overwritten by them."""
+    kinds = spark.createDataFrame([(e, k, *v[:6]) for e, exam in enumerate(_EXAMS) for k, v in enumerate(exam)], "kind int, k int, SeriesDescription string, time_seconds int, acquisition_id string, ContrastBolusAgentPhase string, term string, volume_order_in_series int")
+    n = kinds.groupBy("kind").agg(F.count("volume_order_in_series").alias("n_volumes_in_series"))
+    c = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_custkey") % len(_EXAMS)).cast("int").alias("kind"))
+    rows = c.join(kinds.join(n, "kind"), "kind").withColumns({"volume": F.concat_ws("/", "c_custkey", "k"), "Modality": F.lit("MR"), "n_volumes_in_series": F.when(F.col("volume_order_in_series").isNotNull(), F.col("n_volumes_in_series"))})
+    done = PH.resolve(X.in_context(C.annotate_mr(rows), ["c_custkey"], "volume", chain=_AHEAD), _AHEAD)
+    return done.select("c_custkey", "k", "rule_phase", F.col("mri_perfusion_source").alias("source"), F.col("mri_perfusion_confidence").alias("confidence"), F.when(F.col("mri_sequence") == "T1", F.col("phase")).otherwise("OTHER").alias("resolved"), F.when(F.col("phase_status") == "NOT_APPLICABLE", "unresolved").otherwise(F.col("phase_source")).alias("resolved_by"))
+
+
 @query("""SELECT CAST(user_id AS VARCHAR) AS patient, CASE WHEN event_type IN ('view', 'click', 'purchase') THEN 'VIBE' ELSE 'UNSPECIFIED_T1' END AS family, CASE WHEN event_type IN ('view', 'click', 'purchase') THEN 'AXIAL' ELSE 'UNKNOWN' END AS plane, count(*) AS n FROM events GROUP BY ALL""")
 def c27_protocol_key(spark, sf_dir):
     p = X.with_protocol(_mr_exams(spark, sf_dir), ["patient_key", "date"])

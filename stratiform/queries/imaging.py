@@ -7,6 +7,7 @@ from stratiform.functions import text as T
 from stratiform.operators import imaging as M
 from stratiform.operators import voxels as X
 from stratiform.operators.compare import keys_of
+from stratiform.operators.errors import hooked
 from stratiform.operators.incremental import short_id, source_id
 from stratiform.operators.ordering import top
 from stratiform.operators.profile import path_columns
@@ -111,11 +112,6 @@ def u4_vanished_keys(spark, sf_dir):
     return keys_of(o, ["o_custkey"]).exceptAll(keys_of(o.filter("o_orderkey % 3 > 0"), ["o_custkey"]))
 
 
-@query("SELECT p_partkey, CASE p_partkey % 20 WHEN 0 THEN ['NATIVE'] WHEN 1 THEN ['PORTAL_VENOUS'] WHEN 2 THEN ['ARTERIAL'] WHEN 3 THEN ['DELAYED'] WHEN 4 THEN ['DELAYED'] WHEN 5 THEN ['NATIVE'] WHEN 8 THEN ['DELAYED'] WHEN 12 THEN ['NATIVE'] WHEN 14 THEN ['DELAYED'] WHEN 15 THEN ['NATIVE'] ELSE [] END AS phases FROM part")
-def t10_phases_in_order(spark, sf_dir):
-    return _texts(spark, sf_dir).select("p_partkey", M.phases_in_order(F.col("text")).alias("phases"))
-
-
 #: What the texts are without their phase, dynamic, ordinal and duration tokens.
 _PROTOCOL = {0: "ax", 1: "ax t1", 2: "cor 3mm", 3: "sag", 5: "and", 9: "scout", 11: "axial", 13: "sub mip", 15: "and", 17: "tra bh nav", 19: "liver"}
 _PROTOCOL_SQL = "CASE p_partkey % 20 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in _PROTOCOL.items()) + " ELSE '' END"
@@ -231,9 +227,16 @@ def x18_group_status(spark, sf_dir):
     return M.group_status(o, "o_custkey", "partial", ["o_totalprice", "o_orderkey"], F.col("o_totalprice") > 100000)
 
 
-@query("SELECT p_partkey, p_size * 2 + length(p_name) AS made FROM part")
+@query("SELECT p_partkey, CASE WHEN p_size % 7 > 0 THEN p_size * 2 + length(p_name) END AS made, CASE WHEN p_size % 7 > 0 THEN split_part(p_name, ' ', 1) END AS head, CASE WHEN p_size % 7 = 0 THEN 'ValueError: size ' || p_size END AS error_message FROM part")
 def ud2_row_hook(spark, sf_dir):
-    return M.hooked(table(spark, sf_dir, "part"), lambda size, name: size * 2 + len(name), ["p_size", "p_name"], "made", "long").select("p_partkey", "made")
+    """Two outputs of one call; rows whose call fails keep the message."""
+
+    def made(size, name):
+        if size % 7 == 0:
+            raise ValueError(f"size {size}")
+        return {"made": size * 2 + len(name), "head": name.split(" ")[0]}
+
+    return hooked(table(spark, sf_dir, "part"), made, ["p_size", "p_name"], {"made": "long", "head": "string"}, on_error="record").select("p_partkey", "made", "head", "error_message")
 
 
 @query("SELECT p_partkey, CASE WHEN max(CAST(p_partkey % 20 NOT IN (9, 13, 17, 18, 19) AS INT)) OVER (PARTITION BY p_partkey // 3) = 0 THEN 'NATIVE' END AS phase FROM part")

@@ -111,9 +111,15 @@ def j16_next_anchor(spark, sf_dir):
     return O.next_anchor(table(spark, sf_dir, "events"), ["user_id"], "event_id", F.col("event_type") == "purchase").select("event_id", "next_anchor")
 
 
-@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25")
-def w17_largest(spark, sf_dir):
-    return table(spark, sf_dir, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(25).select("o_orderkey", "o_totalprice")
+_TIED = "t AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem)"
+
+
+@query(f"WITH {_TIED} SELECT 'largest' AS side, * FROM t QUALIFY rank() OVER (ORDER BY l_quantity DESC) <= 25 UNION ALL SELECT 'smallest', * FROM t QUALIFY rank() OVER (ORDER BY l_quantity) <= 25")
+def w17_largest_with_ties(spark, sf_dir):
+    """Quantities repeat, so many rows tie with the 25th."""
+    l = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    sides = [O.n_largest(l, "l_quantity", 25, smallest).select(F.lit(name).alias("side"), "*") for name, smallest in (("largest", False), ("smallest", True))]
+    return sides[0].union(sides[1])
 
 
 @query(f"WITH {CANDIDATES} SELECT o_orderkey FROM candidates QUALIFY row_number() OVER (PARTITION BY patient, yr ORDER BY score DESC, o_orderkey) <= 2")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from stratiform.operators import incremental as I
 from stratiform.operators import profile as Q
+from stratiform.operators.columns import clocks_and_dates, with_clocks_and_dates
 from stratiform.operators.ordering import benjamini_hochberg
 from stratiform.queries.base import query, r6, table
 
@@ -76,13 +77,45 @@ round((ra - n_a * (n_a + 1) / 2 - n_a * n_b / 2) / sqrt(n_a * n_b / 12 * (n_a +
 def q10_two_groups(spark, sf_dir):
     p = table(spark, sf_dir, "part").select("p_partkey", "p_type", F.col("p_size").cast("double").alias("p_size"), "p_retailprice", (F.col("p_partkey") % 50 / 2).alias("half"))
     out = Q.two_groups(p, _PART, "p_type", "ECONOMY", "SMALL", "p_partkey")
-    return out.withColumns({**{c: r6(F.col(c)) for c in out.columns if c not in ("feature", "n_a", "n_b", "df")}, "df": F.round("df", 4)})
+    return out.withColumns({**{c: r6(F.col(c)) for c in out.columns if c not in ("feature", "n_a", "n_b", "df")}, "df": F.round("df", 4)}).drop("ties")
 
 
-@query()
+#: The two-sided tails by Simpson's rule: of the normal distribution from z on, of Student's from |t| on (by 1 - the inside).
+_TAIL = "2 * list_sum(list_transform(range(0, 4001), lambda i: (CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * exp(-1 * (({z}) + i * 0.01) ** 2 / 2))) * 0.01 / 3 / sqrt(2 * pi())"
+_STUDENT = "1 - 2 * exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(pi() * df) * list_sum(list_transform(range(0, 4001), lambda i: (CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * (1 + (abs(t) * i / 4000) ** 2 / df) ** (-(df + 1) / 2))) * abs(t) / 4000 / 3"
+_BH = "least(1.0, min({p} * n / k_{p}) OVER (ORDER BY k_{p} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))"
+_MOMENTS = """r AS (SELECT *, rank() OVER (PARTITION BY feature ORDER BY value) + (count(*) OVER (PARTITION BY feature, value) - 1) / 2 AS rk FROM u WHERE value IS NOT NULL), t AS (SELECT feature, sum(k * k * k - k) AS ties FROM (SELECT feature, value, count(*) AS k FROM u WHERE value IS NOT NULL GROUP BY 1, 2) GROUP BY 1),
+m AS (SELECT feature, count(*) FILTER (WHERE side = 'a') AS na, count(*) FILTER (WHERE side = 'b') AS nb, avg(value) FILTER (WHERE side = 'a') AS ma, avg(value) FILTER (WHERE side = 'b') AS mb, var_samp(value) FILTER (WHERE side = 'a') AS va, var_samp(value) FILTER (WHERE side = 'b') AS vb, sum(rk) FILTER (WHERE side = 'a') AS ra FROM r GROUP BY 1),
+s AS (SELECT *, (ma - mb) / sqrt(va / na + vb / nb) AS t, (va / na + vb / nb)**2 / ((va / na)**2 / (na - 1) + (vb / nb)**2 / (nb - 1)) AS df, ra - na * (na + 1) / 2 AS u FROM m JOIN t USING (feature))"""
+
+
+@query(f"""WITH {_PARTS}, g AS (SELECT p.*, CASE p_type WHEN 'ECONOMY' THEN 'a' ELSE 'b' END AS side FROM p JOIN part USING (p_partkey) WHERE p_type IN ('ECONOMY', 'SMALL')), u AS ({" UNION ALL ".join(f"SELECT p_partkey, side, '{c}' AS feature, g.{c} AS value FROM g" for c in _PART)}), {_MOMENTS},
+z AS (SELECT feature, t, df, (greatest(u, na * nb - u) - na * nb / 2 - 0.5) / sqrt(na * nb / 12 * (na + nb + 1 - ties / ((na + nb) * (na + nb - 1)))) AS z FROM s), pv AS (SELECT feature, {_STUDENT} AS w, least(1.0, {_TAIL.format(z="z")}) AS u FROM z),
+k AS (SELECT *, row_number() OVER (ORDER BY w) AS k_w, row_number() OVER (ORDER BY u) AS k_u, count(*) OVER () AS n FROM pv)
+SELECT feature, round(w, 6) AS welch_p, round(u, 6) AS mann_whitney_p, round({_BH.format(p="w")}, 6) AS welch_q, round({_BH.format(p="u")}, 6) AS mann_whitney_q FROM k""")
 def q10_p_values(spark, sf_dir):
+    """Large groups with ties: the normal distribution with continuity correction, which the SQL integrates."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_type", F.col("p_size").cast("double").alias("p_size"), "p_retailprice", (F.col("p_partkey") % 50 / 2).alias("half"))
-    return Q.tested(Q.two_groups(p, _PART, "p_type", "ECONOMY", "SMALL", "p_partkey"))
+    out = Q.tested(Q.two_groups(p, _PART, "p_type", "ECONOMY", "SMALL", "p_partkey"))
+    return out.select("feature", *(r6(F.col(c)).alias(c) for c in ("welch_p", "mann_whitney_p", "welch_q", "mann_whitney_q")))
+
+
+_NATIONS = ["customers", "balance", "suppliers", "code"]
+
+
+@query(f"""WITH n AS (SELECT n_nationkey, CASE n_regionkey WHEN 0 THEN 'a' ELSE 'b' END AS side, count(c_custkey) AS customers, round(avg(c_acctbal), 6) AS balance, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey) % 3 AS suppliers, n_nationkey * 7 % 25 AS code
+FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey WHERE n_regionkey IN (0, 1) GROUP BY ALL), u AS ({" UNION ALL ".join(f"SELECT n_nationkey, side, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM n" for c in _NATIONS)}), {_MOMENTS},
+places AS (SELECT feature, na, nb, u, ties, unnest(range(0, CAST(2 ** (na + nb) AS BIGINT))) AS mask FROM s), subsets AS (SELECT *, list_filter(range(0, na + nb), lambda i: (mask >> i) & 1 = 1) AS chosen FROM places),
+ways AS (SELECT feature, count(*) AS every, count(*) FILTER (WHERE list_sum(chosen) + na - na * (na + 1) / 2 >= greatest(u, na * nb - u)) AS far FROM subsets WHERE len(chosen) = na GROUP BY 1),
+p AS (SELECT feature, na, nb, u, ties, CASE WHEN ties = 0 THEN least(1.0, 2 * far / every) ELSE least(1.0, {_TAIL.format(z="(greatest(u, na * nb - u) - na * nb / 2 - 0.5) / sqrt(na * nb / 12 * (na + nb + 1 - ties / ((na + nb) * (na + nb - 1))))")}) END AS p FROM s JOIN ways USING (feature))
+SELECT feature, na AS n_a, nb AS n_b, u, round(p, 6) AS mann_whitney_p FROM p""")
+def q10_exact_u(spark, sf_dir):
+    """Five nations against five: without ties by the exact distribution of U, for which the SQL goes through all subsets of the ranks."""
+    n, c, s = (table(spark, sf_dir, t) for t in ("nation", "customer", "supplier"))
+    per = n.filter("n_regionkey < 2").join(c.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count("*").alias("customers"), F.round(F.avg("c_acctbal"), 6).alias("balance")), "n_nationkey", "left")
+    per = per.join(s.groupBy(F.col("s_nationkey").alias("n_nationkey")).agg((F.count("*") % 3).alias("suppliers")), "n_nationkey", "left")
+    rows = per.select("n_nationkey", F.when(F.col("n_regionkey") == 0, "a").otherwise("b").alias("side"), F.coalesce("customers", F.lit(0)).cast("double").alias("customers"), "balance", F.coalesce("suppliers", F.lit(0)).cast("double").alias("suppliers"), (F.col("n_nationkey") * 7 % 25).cast("double").alias("code"))
+    return Q.tested(Q.two_groups(rows, _NATIONS, "side", "a", "b", "n_nationkey")).select("feature", "n_a", "n_b", "u", r6(F.col("mann_whitney_p")).alias("mann_whitney_p"))
 
 
 @query("""SELECT o_custkey, year(o_orderdate) AS visit, round(avg(o_totalprice), 6) AS mean, round(stddev_samp(o_totalprice), 6) AS std, count(*) AS n FROM orders GROUP BY 1, 2""")
@@ -91,6 +124,33 @@ def q13_trajectory(spark, sf_dir):
     return Q.trajectory(visits, "o_custkey", "visit", "o_totalprice").withColumns({"mean": r6(F.col("mean")), "std": r6(F.col("std"))}).orderBy("o_custkey", "visit")
 
 
+_CLOCKS = ["HH:mm:ss", "HHmmss", "H 'o''clock'"]
+
+
+@query("""SELECT 'at_time' AS "column", 'clock' AS kind UNION ALL SELECT 'seen_datetime', 'clock' UNION ALL SELECT 'due_date', 'day first' UNION ALL SELECT 'us_date', 'month first' UNION ALL SELECT 'iso_date', 'day first'""")
+def d06_clocks_and_dates(spark, sf_dir):
+    """Columns of events by name and sampled values: two thirds of at_time are clocks, wait_time and other_time aren't; US dates have days over 12 in the second place."""
+    e = table(spark, sf_dir, "events")
+    at = F.lit(None).cast("string")
+    for i, form in enumerate(_CLOCKS):
+        at = F.when(F.col("event_id") % 3 == i, F.date_format("ts", form)).otherwise(at)
+    rows = e.select(
+        at.alias("at_time"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("seen_datetime"), F.date_format("ts", "HH:mm:ss").alias("delay_time"), F.concat(F.lit("about "), F.date_format("ts", "HH")).alias("other_time"),
+        F.date_format(F.date_add(F.to_date("ts"), (F.col("event_id") % 40).cast("int")), "dd/MM/yyyy").alias("due_date"), F.date_format(F.date_add(F.to_date("ts"), (F.col("event_id") % 40).cast("int")), "MM/dd/yyyy").alias("us_date"), F.date_format("ts", "yyyyMMdd").alias("iso_date"), F.lit("x").alias("date_source"),
+    )
+    found = clocks_and_dates(rows)
+    told = [(c, "clock") for c in found.clocks] + [(c, "day first" if first else "month first") for c, first in found.dates.items()]
+    return rows.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.lit(k).alias("kind")) for c, k in told))).alias("x")).select("x.*").distinct()
+
+
+@query("SELECT event_id, CAST(CAST(ts AS DATE) + CAST(event_id % 40 AS INT) AS VARCHAR) AS us_date, CAST(hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS DOUBLE) AS at_time FROM events")
+def d06_read_dates(spark, sf_dir):
+    day = F.date_add(F.to_date("ts"), (F.col("event_id") % 40).cast("int"))
+    rows = table(spark, sf_dir, "events").select("event_id", F.date_format(day, "M/d/yyyy").alias("us_date"), F.date_format("ts", "HHmmss").alias("at_time"))
+    out = with_clocks_and_dates(rows)
+    return out.select("event_id", F.col("us_date").cast("string").alias("us_date"), "at_time")
+
+
 _KINDS = {"l_orderkey": "bigint", "l_linenumber": "int", "l_extendedprice": "double", "l_returnflag": "string"}
 
 
@@ -166,9 +226,10 @@ def i05_reusable_groups(spark, sf_dir):
     return I.reusable_groups(table(spark, sf_dir, "orders"), "o_custkey", F.col("o_orderkey") % 10 > 0)
 
 
-@query("SELECT count(*) AS total, count(*) FILTER (WHERE o_orderstatus <> 'P') AS succeeded, count(*) FILTER (WHERE o_orderstatus = 'P') AS failed, 0::BIGINT AS skipped FROM orders")
+@query("SELECT count(*) AS total, count(*) FILTER (WHERE o_orderstatus <> 'P') AS succeeded, count(*) FILTER (WHERE o_orderstatus <> 'P' AND o_orderkey % 3 = 0) AS resumed, count(*) FILTER (WHERE o_orderstatus = 'P') AS failed, 0::BIGINT AS skipped FROM orders")
 def i08_summary(spark, sf_dir):
-    return I.summary(_versions(spark, sf_dir)[0])
+    state = _versions(spark, sf_dir)[0]
+    return I.summary(state.withColumn("status", F.when((F.col("status") == "completed") & (F.col("source_id") % 3 == 0), "resumed").otherwise(F.col("status"))))
 
 
 @query("SELECT l_orderkey, bool_and(l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 5)) AS complete FROM lineitem GROUP BY 1")

@@ -89,6 +89,42 @@ def t09_phase_of_series(spark, sf_dir):
     return series(spark, sf_dir).select("p_partkey", P.phase_of(F.col("t")).alias("phase"))
 
 
+#: Pieces of texts with the phase that each names, and its delay in seconds; four of them make a text, with `then` between.
+_PIECES = [
+    ("portal", "PORTAL_VENOUS", None), ("late arterial", "ARTERIAL", None), ("late", "DELAYED", None), ("x", None, None), ("arterial", "ARTERIAL", None), ("native", "NATIVE", None), ("70 s", None, 70), ("delayed 5 min", "DELAYED", 300),
+    ("delayed 20 min", None, 1200), ("porto venous", "PORTAL_VENOUS", None), ("early_arterial", "ARTERIAL", None), ("80 sec", None, 80), ("plate", None, None), ("équilibre", "DELAYED", None), ("25s", None, 25),
+]
+_STEPS = (1, 7, 49, 343)
+_PICKED = "(p_partkey // {0} + p_partkey) % 15"
+_NO_NAMES = """CASE WHEN len(list_filter(secs, lambda s: s IS NULL OR NOT (s BETWEEN 60 AND 90 OR s BETWEEN 20 AND 35 OR s BETWEEN 180 AND 900))) > 0 THEN [] ELSE list_distinct(list_transform(secs, lambda s: CASE WHEN s BETWEEN 60 AND 90 THEN 'PORTAL_VENOUS' WHEN s BETWEEN 20 AND 35 THEN 'ARTERIAL' ELSE 'DELAYED' END)) END"""
+
+
+@query(f"""WITH w AS (SELECT * FROM (VALUES {", ".join(f"({i}, {repr(l) if l else 'NULL'}, {s or 'NULL'})" for i, (_, l, s) in enumerate(_PIECES))}) t(i, label, sec)),
+p AS (SELECT p_partkey, k, label, sec FROM part, (VALUES {", ".join(f"({k}, {k})" for k in _STEPS)}) s(k, k2) JOIN w ON w.i = (p_partkey // k + p_partkey) % 15),
+g AS (SELECT p_partkey, list(label ORDER BY k) AS labels, list(sec ORDER BY k) FILTER (WHERE sec IS NOT NULL) AS secs FROM p GROUP BY 1),
+n AS (SELECT p_partkey, list_filter(labels, lambda l, i: l IS NOT NULL AND list_position(labels, l) = i) AS named, coalesce(secs, []) AS secs FROM g), t AS (SELECT p_partkey, named, {_NO_NAMES} AS timed FROM n)
+SELECT p_partkey, CASE WHEN len(named) > 0 THEN named WHEN len(timed) = 1 THEN timed ELSE [] END AS phases FROM t""")
+def t10_phases_in_order(spark, sf_dir):
+    """All mentions of phases: repeated ones, ones inside longer ones, delayed ones whose delay doesn't fit, texts with delays only."""
+    pieces = F.array(*(F.lit(t) for t, _, _ in _PIECES))
+    text = F.concat_ws(" then ", *(F.element_at(pieces, ((F.floor(F.col("p_partkey") / k) + F.col("p_partkey")) % 15 + 1).cast("int")) for k in _STEPS))
+    return table(spark, sf_dir, "part").select("p_partkey", P.phases_in_order(text).alias("phases"))
+
+
+_DELAYS = [("", []), ("20 min", [1200]), ("2h", [7200]), ("5 min", [300]), ("70 sec", [70]), ("25s", [25]), ("2h30", [9000]), ("40 min", [2400]), ("20 min 5 min", [1200, 300]), ("70 s 75 s", [70, 75]), ("3h", [10800])]
+_NAMED = [("", None), ("hbp", "HEPATOBILIARY"), ("hepato-biliary", "HEPATOBILIARY"), ("bili", "HEPATOBILIARY"), ("mask", "NATIVE"), ("pre gado", "NATIVE"), ("delayed", "DELAYED"), ("portal", "PORTAL_VENOUS"), ("late hepatobiliaire", "HEPATOBILIARY"), ("tardif", "DELAYED"), ("arterial", "ARTERIAL"), ("gd", None), ("sans injection", "NATIVE")]
+_MR_WINDOW = "CASE WHEN s BETWEEN 60 AND 90 THEN 'PORTAL_VENOUS' WHEN s BETWEEN 20 AND 35 THEN 'ARTERIAL' WHEN s BETWEEN 180 AND 900 THEN 'DELAYED' WHEN s = 1200 OR s BETWEEN 7200 AND 10799 THEN 'HEPATOBILIARY' ELSE '' END"
+
+
+@query(f"""WITH n AS (SELECT * FROM (VALUES {", ".join(f"({i}, {repr(l) if l else 'NULL'})" for i, (_, l) in enumerate(_NAMED))}) t(i, named)), d AS (SELECT * FROM (VALUES {", ".join(f"({i}, {s}::INT[])" for i, (_, s) in enumerate(_DELAYS))}) t(i, secs)),
+x AS (SELECT p_partkey, named, list_distinct(list_transform(secs, lambda s: {_MR_WINDOW})) AS fits FROM part JOIN n ON n.i = p_partkey % 13 JOIN d ON d.i = p_partkey % 11), t AS (SELECT p_partkey, named, CASE WHEN len(fits) = 1 THEN nullif(fits[1], '') END AS timed FROM x)
+SELECT p_partkey, CASE WHEN named = 'DELAYED' AND timed = 'HEPATOBILIARY' THEN timed ELSE coalesce(named, timed, 'OTHER') END AS phase FROM t""")
+def c12_hepatobiliary(spark, sf_dir):
+    """T1 volumes by name and delay: a delayed name with a hepatobiliary delay, delays that fit two phases, native by mask and agent."""
+    df = table(spark, sf_dir, "part").select("p_partkey", F.concat_ws(" ", F.lit("T1 vibe"), _item([t for t, _ in _NAMED], "p_partkey"), _item([t for t, _ in _DELAYS], "p_partkey")).alias("SeriesDescription"), F.lit("MR").alias("Modality"))
+    return C.annotate_mr(df).select("p_partkey", F.col("rule_phase").alias("phase"))
+
+
 @query(f"WITH {SERIES} SELECT p_partkey, {_post()} AS post FROM series")
 def t11_post_contrast(spark, sf_dir):
     return series(spark, sf_dir).select("p_partkey", P.post_contrast(F.col("t")).alias("post"))
@@ -258,9 +294,9 @@ def c21_product_flags(spark, sf_dir):
     return _mr(spark, sf_dir).select("p_partkey", "is_subtraction", "is_mip_mpr", "is_quant_or_report")
 
 
-@query(f"WITH {SERIES} SELECT p_partkey, {_PLANE} AS plane, {_term(C._T1_GRE)} AS is_3d_gre, {_has('dynamic')} AS is_dynamic_t1_text, {_has('breath_hold')} AS is_breath_hold, {_has('respiratory')} AS is_resp_triggered FROM series")
+@query(f"WITH {SERIES} SELECT p_partkey, {_PLANE} AS plane, {_term(C._T1_GRE)} AS is_3d_gre, {_has('dynamic')} AS is_dynamic_t1_text, {_has('breath_hold')} AS is_breath_hold, {_has('respiratory')} AS is_resp_triggered, {', '.join(f'{_term(p)} AS {n}' for n, p in C.T2_FEATURES.items())} FROM series")
 def c22_feature_flags(spark, sf_dir):
-    return _mr(spark, sf_dir).select("p_partkey", "plane", "is_3d_gre", "is_dynamic_t1_text", "is_breath_hold", "is_resp_triggered")
+    return _mr(spark, sf_dir).select("p_partkey", "plane", "is_3d_gre", "is_dynamic_t1_text", "is_breath_hold", "is_resp_triggered", *C.T2_FEATURES)
 
 
 @query("""SELECT p_partkey, p_size AS rows_in_volume, CAST(p_size % 5 AS DOUBLE) AS slice_thickness, CAST(p_size * (p_size % 5) AS DOUBLE) AS z_coverage, CASE WHEN p_size % 3 > 0 THEN CAST(p_size * (p_size % 5) * 0.5 * (p_size % 3) AS DOUBLE) END AS volume_mm3,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,16 +25,16 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written_at(df: DataFrame, name: str = "table") -> tuple[DataFrame, str]:
-    """df as a Parquet table in the shared folder, and its path."""
+def written_at(df: DataFrame, name: str = "table", by: Sequence[str] = ()) -> tuple[DataFrame, str]:
+    """df as a Parquet table in the shared folder (in a folder for each value of the columns `by`), and its path."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def written(df: DataFrame, name: str = "table") -> DataFrame:
+def written(df: DataFrame, name: str = "table", by: Sequence[str] = ()) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts the lineage, and lost executors don't matter to later reads."""
-    return written_at(df, name)[0]
+    return written_at(df, name, by)[0]
 
 
 def discard(spark: SparkSession, *paths: str) -> None:

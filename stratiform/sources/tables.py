@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import csv
+import hashlib
 import os
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratiform.operators.rollup import drop_all_null
+from stratiform.sources.publish import publish, publish_all, published, resolved
 
 
 def read_csv(spark: SparkSession, paths: Sequence[str] | str, columns: Sequence[str], wanted: Sequence[str] | None = None, sep: str = ",", by_position: bool = False) -> DataFrame:
@@ -34,7 +39,7 @@ def first_line(spark: SparkSession, path: str) -> str:
 def read_all(spark: SparkSession, paths: Sequence[str], protect: Sequence[str] = (), sep: str = ",") -> DataFrame:
     """Several files of different columns, united by name, without unnamed and all-null columns."""
     out = None
-    for path in paths:
+    for path in (resolved(spark, p) for p in paths):
         names = header_of(spark, path, sep)
         part = read_csv(spark, path, names, [c for c in names if not c.startswith("Unnamed")], sep, by_position=True)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
@@ -44,6 +49,7 @@ def read_all(spark: SparkSession, paths: Sequence[str], protect: Sequence[str] =
 def load(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """By extension: csv, tsv, tab, txt (tab or comma, by the header), json, parquet. Pickles are refused."""
     kind = os.path.splitext(path.rstrip("/"))[1].lower().lstrip(".")
+    path = resolved(spark, path)
     if kind == "parquet":
         return spark.read.parquet(path)
     if kind in ("json", "ndjson", "jsonl"):
@@ -55,11 +61,40 @@ def load(spark: SparkSession, path: str, schema: T.StructType | str | None = Non
 
 
 def inventory(spark: SparkSession, roots: Sequence[str] | str, pattern: str = "*") -> DataFrame:
-    """path, length, modified of all files below the roots, once each; contents are not read."""
+    """path, length, modified of all files below the roots, once each; contents are not read. Empty files are left out."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(roots)
     return files.select("path", "length", F.col("modificationTime").alias("modified")).dropDuplicates(["path"])
 
 
+def content_hashes(files: DataFrame, piece: int = 64 << 20) -> DataFrame:
+    """files (path, length) with sha256: of the SHA-256s (hex, joined) of the file's pieces of `piece` bytes, in order.
+
+    A piece is a row, so that a large file is many tasks; pieces are read by pyarrow's file systems, by the file's URI. A file that can't be read, or ends early, is null.
+    """
+    at = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(F.col("length") / piece) - 1, F.lit(0).cast("long"))))
+    pieces = files.select("path", "length", at.alias("_k"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for path, length, k in zip(*(c.to_pylist() for c in batch.columns)):
+                size = min(piece, length - k * piece)
+                try:
+                    fs, place = FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+                    with fs.open_input_file(place) as file:
+                        file.seek(k * piece)
+                        data = file.read(size)
+                    found.append(hashlib.sha256(data).hexdigest() if len(data) == size else None)
+                except OSError:
+                    found.append(None)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], names=["path", "length", "_k", "_h"])
+
+    n = max(1, pieces.count())
+    hashed = pieces.repartition(min(n, 10_000)).mapInArrow(run, "path string, length long, _k long, _h string")
+    whole = hashed.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_k", "_h"))), lambda x: x["_h"]), "").alias("_t"), F.count_if(F.col("_h").isNull()).alias("_lost"))
+    return files.join(whole.select("path", F.when(F.col("_lost") == 0, F.sha2("_t", 256)).alias("sha256")), "path", "left")
+
+
 def preferred(files: DataFrame, extension: str = ".dcm", never: str = "DICOMDIR") -> DataFrame:
     """Files with the extension in folders that have any, otherwise all but the excluded name."""
     files = files.filter(~F.upper(F.regexp_extract("path", "([^/]*)$", 1)).eqNullSafe(never))
@@ -97,18 +132,22 @@ def reference_rows(df: DataFrame, file: str, pattern: str, names: Sequence[str],
     return df.withColumns({**keys, date: F.coalesce(F.try_to_date(date, "yyyyMMdd"), F.try_to_date(date, "yyyy-MM-dd"))})
 
 
-def save(df: DataFrame, path: str, kind: str = "parquet") -> None:
-    """A whole table or none: Spark's commit protocol replaces the folder's contents at the end."""
-    writer = df.write.mode("overwrite")
-    writer.option("header", True).csv(path) if kind == "csv" else writer.format(kind).save(path)
+def save(df: DataFrame, path: str, kind: str = "parquet") -> int:
+    """Replaces the table at a path, or leaves the one that is there if the job fails; readers of this module find the current version. Gives its number."""
+    return publish(df, path, kind, **({"header": "true"} if kind == "csv" else {}))
 
 
-def save_selection(tables: Mapping[str, DataFrame], paths: Mapping[str, str]) -> None:
-    """The long, wide and unresolved tables; two that would go to one place are an error before anything is written."""
+def save_selection(tables: Mapping[str, DataFrame], paths: Mapping[str, str], kind: str = "parquet") -> None:
+    """The long, wide and unresolved tables: all are written before the first is replaced. Two that would go to one place are an error before anything is written."""
     if len(set(paths.values())) < len(paths):
         raise ValueError("two tables would be written to one path")
-    for name, path in paths.items():
-        save(tables[name], path)
+    publish_all({path: tables[name] for name, path in paths.items()}, kind, **({"header": "true"} if kind == "csv" else {}))
+
+
+def save_errors(errors: DataFrame, path: str) -> int:
+    """The table of failed rows of the last run: replaced by every run, and empty after one without failures. Gives how many rows it has."""
+    publish(errors, path)
+    return published(errors.sparkSession, path).count()
 
 
 def append(df: DataFrame, path: str) -> None:

@@ -111,6 +111,34 @@ def _phases(spark, rows):
     return {r["volume_id"]: (r["rule_phase"], r["mri_perfusion_source"]) for r in out.collect()}
 
 
+def test_hepatobiliary_and_strategies_ahead(spark):
+    got = _phases(spark, [
+        ("a", "a1", "T1 VIBE HBP", 0.0, None, None), ("a", "a2", "T1 vibe hepatobiliary", 1.0, None, None), ("a", "a3", "vibe hepatobiliary 20 min", 2.0, None, None), ("a", "a4", "T1 vibe delayed 20 min", 3.0, None, None),
+        ("a", "a5", "T1 vibe delayed 40 min", 4.0, None, None), ("a", "a6", "T1 vibe 2h30", 5.0, None, None), ("b", "b1", "ax t1 vibe", 0.0, None, "HBP"),
+        ("c", "c1", "ax t1 vibe dyn", 10.0, None, None), ("c", "c2", "ax t1 vibe dyn hbp", 20.0, None, None), ("c", "c3", "ax t1 vibe dyn portal", 70.0, None, None),
+    ])
+    assert all(got[f"a{i}"] == ("HEPATOBILIARY", "explicit_text") for i in (1, 2, 3, 4, 6)) and got["a5"] == ("DELAYED", "explicit_text") and got["b1"] == ("HEPATOBILIARY", "dicom_phase")
+    assert got["c2"] == ("HEPATOBILIARY", "explicit_text") and got["c1"][0] in ("NATIVE", "ARTERIAL") and got["c3"][0] == "PORTAL_VENOUS"  # long after the series: no step of it
+    rows = [("x", "x1", "ax t1 vibe", "arterial phase"), ("x", "x2", "ax t1 vibe", None), ("x", "x3", "ax t1 vibe portal", "delayed phase")]
+    df = curation.annotate_mr(spark.createDataFrame(rows, "exam string, volume_id string, SeriesDescription string, term string").withColumn("Modality", F.lit("MR")))
+    chain = {"strategies": [{"name": "terms", "type": "ontology", "columns": ["term"], "mapping": {"arterial phase": "ARTERIAL", "delayed phase": "DELAYED"}}, {"name": "rules", "type": "rules"}]}
+    out = {r["volume_id"]: r for r in phases.resolve(context.in_context(df, ["exam"], "volume_id", chain=chain), chain).collect()}
+    assert out["x1"]["rule_phase"] == "OTHER" and out["x1"]["phase"] == "ARTERIAL" and out["x1"]["phase_source"] == "terms"
+    assert (out["x2"]["phase"], out["x2"]["mri_perfusion_source"], out["x2"]["mri_perfusion_confidence"]) == ("NATIVE", "exam_context", "fallback")  # known phases ahead make it one
+    assert out["x3"]["rule_phase"] == "PORTAL_VENOUS" and out["x3"]["phase"] == "DELAYED" and "ax t1 vibe portal" in out["x3"]["mri_perfusion_reason"]
+    plain = {r["volume_id"]: r["mri_perfusion_source"] for r in context.in_context(df, ["exam"], "volume_id").collect()}
+    assert plain["x1"] == "exam_context"
+
+
+def test_phases_in_order(spark):
+    want = {
+        "portal then arterial then late arterial": ["PORTAL_VENOUS", "ARTERIAL"], "late arterial, late": ["ARTERIAL", "DELAYED"], "native arterial native": ["NATIVE", "ARTERIAL"], "delayed 20 min portal": ["PORTAL_VENOUS"],
+        "pre and post": [], "70 s": ["PORTAL_VENOUS"], "70 s 300 s": [], "": [], "delayed 5 min, portal, delayed": ["DELAYED", "PORTAL_VENOUS"], "porto venous": ["PORTAL_VENOUS"], "x" * 50_000 + " late": ["DELAYED"],
+    }
+    df = spark.createDataFrame([(t,) for t in [*want, None]], "t string")
+    assert {r["t"]: r["p"] for r in df.select("t", phases.phases_in_order(F.col("t")).alias("p")).collect()} == {**want, None: None}
+
+
 def test_context_of_an_exam(spark):
     got = _phases(spark, [
         ("a", "a1", "ax t1 vibe", 0.0, None, None), ("a", "a2", "ax t1 vibe dyn", 30.0, None, None), ("a", "a3", "ax t1 vibe dyn", 75.0, None, None), ("a", "a4", "ax t1 vibe dyn", 240.0, None, None), ("a", "a5", "t2 haste ax", 300.0, None, None),
@@ -188,7 +216,8 @@ def test_files(spark, tmp_path):
     both = sources.read_all(spark, [f"{tmp_path}/one.csv", f"{tmp_path}/two.csv"])
     assert sorted(both.columns) == ["a", "b", "c"] and both.count() == 2
     assert sources.load(spark, f"{tmp_path}/one.csv").first()["b"] == "x"
-    assert sources.inventory(spark, str(tmp_path), "*.csv").count() >= 2
+    both.write.csv(f"{tmp_path}/plain")
+    assert sources.inventory(spark, f"{tmp_path}/plain", "*.csv").count() >= 1
     with pytest.raises(ValueError):
         sources.load(spark, "x.pkl")
     with pytest.raises(ValueError):
