@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import text_slices
+from stratiform.llm.common import freed, text_slices
 
 #: Pieces a worker keeps, in each of two generations.
 REMEMBER = 250_000
@@ -324,7 +324,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids
                 found = [encoder.encode(t) if t else _EMPTY for t in part.column(part.schema.get_field_index(text)).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, int_lists(found)], names=[*part.schema.names, ids])
 
-    return df.select([f"`{c}`" for c in kept]).mapInArrow(run, schema)
+    return df.select([f"`{c}`" for c in kept]).mapInArrow(freed(run), schema)
 
 
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -349,7 +349,7 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "dec
                 lists = column.slice(a, 256)
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, 256).columns, joined(lists, size, start, flat)], names=[*batch.schema.names, decoded])
 
-    return df.select([f"`{c}`" for c in kept]).mapInArrow(run, schema)
+    return df.select([f"`{c}`" for c in kept]).mapInArrow(freed(run), schema)
 
 
 def joined(lists: pa.Array, size: np.ndarray, start: np.ndarray, flat: np.ndarray) -> pa.Array:

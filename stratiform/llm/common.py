@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 import secrets
 from collections.abc import Callable, Iterator, Sequence
@@ -48,6 +50,22 @@ def fold_bucket(column: Column, folds: int) -> Column:
     return F.pmod(F.crc32(column.cast("string").cast("binary")), F.lit(folds))
 
 
+def freed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, giving back to the system at a task's end the memory that it is done with: Spark keeps workers for later tasks, beside each other."""
+
+    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+            if trim:
+                trim(0)
+
+    return call
+
+
 # ---------------------------------------------------------------- Arrow text
 
 
@@ -261,4 +279,4 @@ def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
 def by_group(df: DataFrame, keys: Sequence[str], run: Callable[[Iterator[pa.Table]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """run() over the groups of df by `keys` (long), one at a time; the keys come first, the other columns in their order."""
     rest = [c for c in df.columns if c not in keys]
-    return df.select(*keys, *rest).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda batches: run(runs(batches, len(keys))), schema)
+    return df.select(*keys, *rest).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(freed(lambda batches: run(runs(batches, len(keys)))), schema)

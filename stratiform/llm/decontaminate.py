@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import LOWER, columns_of, offsets_of, range_keys, same_ranges, text_slices, words_of, written
+from stratiform.llm.common import LOWER, columns_of, freed, offsets_of, range_keys, same_ranges, text_slices, words_of, written
 
 WINDOW = 10
 #: Pairs of item and window in one automaton.
@@ -74,7 +74,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def windows(items: DataFrame) -> DataFrame:
     """item_id (string), window (its words, joined by spaces, binary), distinct."""
-    return columns_of(items, item_id="string", text="string").mapInArrow(_windows, "item_id string, window binary").distinct()
+    return columns_of(items, item_id="string", text="string").mapInArrow(freed(_windows), "item_id string, window binary").distinct()
 
 
 class Automaton:
@@ -251,7 +251,7 @@ def _block(docs: DataFrame, pairs: pa.Table, text: str) -> DataFrame:
                 spans = _ranges(starts[low] - offsets[doc], stops[high - 1] - offsets[doc], at)
                 yield pa.RecordBatch.from_arrays([*(get(c) for c in kept), pa.array(np.diff(first)), hits, pa.array(items, pa.list_(pa.string())), spans], names=[*kept, *_TYPES])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(freed(run), schema)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", block: int = BLOCK) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import LOWER, SPACED, U64, Key, by_group, columns_of, components, marked, mix64, offsets_of, secret_key, siphash, text_slices, types_of, words_of, written
+from stratiform.llm.common import LOWER, SPACED, U64, Key, by_group, columns_of, components, freed, marked, mix64, offsets_of, secret_key, siphash, text_slices, types_of, words_of, written
 
 SLOTS = 192
 ROWS = 6  # of a band
@@ -148,7 +148,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], key: Key) -> Iterator[pa.Reco
 def signatures(docs: DataFrame, key: Key, beside: Sequence[str] = ()) -> DataFrame:
     """row (its number), doc_id, n_shingles, fp1, fp2 (digest of the set), bands, sig, columns `beside`: one row for each row of docs."""
     schema = "row long, doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>, sig binary" + types_of(docs, beside)
-    return columns_of(docs, beside, doc_id="long", text="string").mapInArrow(lambda batches: _signatures(batches, key), schema)
+    return columns_of(docs, beside, doc_id="long", text="string").mapInArrow(freed(lambda batches: _signatures(batches, key)), schema)
 
 
 def _sets(batches: Iterator[pa.RecordBatch], key: Key) -> Iterator[pa.RecordBatch]:
@@ -167,7 +167,7 @@ def _sets(batches: Iterator[pa.RecordBatch], key: Key) -> Iterator[pa.RecordBatc
 def sets_of(docs: DataFrame, heads: DataFrame, key: Key) -> DataFrame:
     """node, shingles: the full sets of representatives (doc_id, fp1, fp2, node), from their texts; texts that are surely none of them aren't shuffled."""
     near = marked(docs, heads).filter("maybe")
-    return near.select("doc_id", "text").mapInArrow(lambda batches: _sets(batches, key), "doc_id long, fp1 long, fp2 long, shingles binary").join(heads, ["doc_id", "fp1", "fp2"]).select("node", "shingles")
+    return near.select("doc_id", "text").mapInArrow(freed(lambda batches: _sets(batches, key)), "doc_id long, fp1 long, fp2 long, shingles binary").join(heads, ["doc_id", "fp1", "fp2"]).select("node", "shingles")
 
 
 def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -191,7 +191,7 @@ def possible(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
                 ok = (_matrix(batch.column(4)) == _matrix(batch.column(5))).sum(axis=1) >= LEAST_AGREE
                 yield batch.select([0, 1, 2, 3]).filter(pa.array(ok))
 
-    return met.select("a", F.col("a_doc_id").alias("a_id"), "b", F.col("b_doc_id").alias("b_id"), "a_sig", "b_sig").mapInArrow(run, "a long, a_id long, b long, b_id long")
+    return met.select("a", F.col("a_doc_id").alias("a_id"), "b", F.col("b_doc_id").alias("b_id"), "a_sig", "b_sig").mapInArrow(freed(run), "a long, a_id long, b long, b_id long")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -203,7 +203,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             ok = [linked(np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64), percent) for x, y in zip(batch.column(2), batch.column(3))]
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
-    return met.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "x", "y").mapInArrow(run, "a long, b long")
+    return met.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "x", "y").mapInArrow(freed(run), "a long, b long")
 
 
 def in_blocks(rows: DataFrame, size: Column, block: int) -> DataFrame:

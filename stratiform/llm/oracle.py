@@ -1,13 +1,20 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express, on whole tables."""
 
-from stratiform.llm.url_lists import FILTERS
-
 _LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
 
-def _any(verdict: str) -> str:
-    return " OR ".join(f"regexp_matches(host || path, '{r.regex}')" for r in FILTERS if r.verdict == verdict)
+#: The lines of url_lists.FILTERS, written out by hand as regular expressions over host and path.
+_LABEL, _END = r"^([^/]*\.)?", r"([^A-Za-z0-9_.%-]|$)"
+_BLOCKED = [
+    _LABEL + r"(ads-track|adserver|doubleclick|tracker)\.", _LABEL + rf"pixel\.{_END}.*\.gif$", "/adserv/", "/banner-ads/", "/click-tracking/", "utm-redirect" + _END, _LABEL + "casino.*/(promo|bonus)/", r"casino\..*/(promo|bonus)/", r"free-bets\.",
+    _LABEL + r"poker-online\.", "/slot-machine/", r"cheap-pills\.", _LABEL + "(viagra|porn|xxx-)", _LABEL + r"pharmacy-discount\.", "payday-loan", "/adult-videos/", "/keygen/", r"\.exe$", "/crack-download" + _END,
+]
+_ALLOWED = [_LABEL + r"wikipedia\.org" + _END, _LABEL + r"gambling-help\.", "/responsible-gambling/"]
+
+
+def _any(regexes: list[str]) -> str:
+    return " OR ".join(f"regexp_matches(host || path, '{r}')" for r in regexes)
 
 
 OP5 = rf"""
@@ -26,7 +33,7 @@ WITH parts AS (
 )
 SELECT page_id, host, path, rule, CASE
   WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-  WHEN {_any("allow")} THEN 'allow' WHEN {_any("block")} THEN 'block'
+  WHEN {_any(_ALLOWED)} THEN 'allow' WHEN {_any(_BLOCKED)} THEN 'block'
   ELSE 'allow' END AS verdict FROM ruled
 """
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.llm.calibrate import calibrated, isotonic
-from stratiform.llm.common import LOWER, SPACED, columns_of, offsets_of, range_keys, text_slices, types_of, words_of, written
+from stratiform.llm.common import LOWER, SPACED, columns_of, freed, offsets_of, range_keys, text_slices, types_of, words_of, written
 
 FOURIER = 128
 WIDTH = 3.0
@@ -140,7 +140,7 @@ def fit(train: DataFrame) -> Model:
         values = np.concatenate([a[upper], c])
         yield pa.RecordBatch.from_arrays([np.arange(len(values)), values], names=["k", "v"])
 
-    parts = train.mapInArrow(equations, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
+    parts = train.mapInArrow(freed(equations), "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
     values = np.zeros(len(upper[0]) + size)
     for r in parts:
         values[r["k"]] = r["v"]
@@ -161,7 +161,7 @@ def fit(train: DataFrame) -> Model:
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([at, n[at], p[at]], names=["k", "n", "p"])
 
-    bins = sorted(train.mapInArrow(binned, "k long, n long, p long").groupBy("k").agg(F.sum("n"), F.sum("p")).collect())
+    bins = sorted(train.mapInArrow(freed(binned), "k long, n long, p long").groupBy("k").agg(F.sum("n"), F.sum("p")).collect())
     k, n, p = np.array(bins, float).T
     model.points = isotonic((k + 0.5) * 2 / BINS - 0.5, p, n)
     return model
@@ -169,7 +169,7 @@ def fit(train: DataFrame) -> Model:
 
 def score_quality(docs: DataFrame, labels: DataFrame, learn: Column | None = None, beside: Sequence[str] = ()) -> DataFrame:
     """doc_id, score for each row of docs, with its columns `beside` as _<name>. labels: doc_id, quality (0 or 1); `learn` says which of them to learn from, by doc_id."""
-    stats = written(columns_of(docs, beside, doc_id="long", text="string").mapInArrow(_statistics, "doc_id long, x array<float>" + types_of(docs, beside)), "statistics")
+    stats = written(columns_of(docs, beside, doc_id="long", text="string").mapInArrow(freed(_statistics), "doc_id long, x array<float>" + types_of(docs, beside)), "statistics")
     known = columns_of(labels, doc_id="long", quality="int").filter("quality in (0, 1)")
     known = known.filter(learn) if learn is not None else known
     train = written(stats.join(known, "doc_id").select("x", F.col("quality").alias("y")), "quality-train")
@@ -181,4 +181,4 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn: Column | None = Non
             score = pa.array(model.score(matrix(batch.column(1), len(NAMES))))
             yield pa.RecordBatch.from_arrays([batch.column(0), score, *batch.columns[2:]], names=["doc_id", "score", *batch.schema.names[2:]])
 
-    return stats.mapInArrow(run, "doc_id long, score double" + types_of(docs, beside))
+    return stats.mapInArrow(freed(run), "doc_id long, score double" + types_of(docs, beside))

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import U64, columns_of, mix64, offsets_of, scratch, written
+from stratiform.llm.common import U64, columns_of, freed, mix64, offsets_of, scratch, written
 
 LENGTH = 50
 GRAM = 20
@@ -364,7 +364,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     buckets = max(2 * parts, -(-total // BUCKET_BYTES))
     # bucketed by pack: the two joins below read it in place instead of shuffling the texts
     name = f"packs_{uuid.uuid4().hex}"
-    rows = docs.mapInArrow(_packed, "pack long, ids binary, sizes binary, body binary")
+    rows = docs.mapInArrow(freed(_packed), "pack long, ids binary, sizes binary, body binary")
     rows.write.bucketBy(min(MOST_STORED, max(parts, -(-total // STORED_BYTES))), "pack").option("path", scratch(spark, "packs")).saveAsTable(name)
     packs = spark.table(name)
     spark.sql(f"drop table {name}")  # the name alone: the files are outside the warehouse and stay
@@ -374,7 +374,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             for bucket, key, several in anchors_by_bucket(Pack(row["ids"], row["sizes"], row["body"]), buckets):
                 yield pa.RecordBatch.from_pylist([{"bucket": bucket, "pack": row["pack"], "keys": key.tobytes(), "several": several.tobytes()}], _ANCHORS)
 
-    anchors = packs.mapInArrow(send_anchors, "bucket int, pack long, keys binary, several binary")
+    anchors = packs.mapInArrow(freed(send_anchors), "bucket int, pack long, keys binary, several binary")
     replies = anchors.groupBy("bucket").applyInPandas(shared_anchors, "pack long, bucket int, keys binary")
     replies = replies.groupBy("pack").agg(F.collect_list(F.struct("bucket", "keys")).alias("replies"))
 
@@ -387,7 +387,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             for bucket, table, data in found:
                 yield pa.RecordBatch.from_pylist([{"bucket": bucket, "pack": row["pack"], "claims": zip_(table.tobytes()), "bytes": zip_(data.tobytes())}], _CLAIMS)
 
-    claimed = written(packs.join(replies, "pack").mapInArrow(send_claims, "bucket int, pack long, claims binary, bytes binary"), "claims")
+    claimed = written(packs.join(replies, "pack").mapInArrow(freed(send_claims), "bucket int, pack long, claims binary, bytes binary"), "claims")
     masks = claimed.filter("bucket >= 0").groupBy("bucket").applyInPandas(verdicts, "pack long, masks binary")
     lost = claimed.filter("bucket < 0").select("pack", F.col("bytes").alias("lost"), F.lit(None).cast("binary").alias("masks"))
     found = lost.unionByName(masks.select("pack", F.lit(None).cast("binary").alias("lost"), "masks")).groupBy("pack").agg(F.collect_list("lost").alias("lost"), F.collect_list("masks").alias("masks"))
@@ -399,7 +399,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             marks = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in row["masks"] or ()]
             yield cut_pack(Pack(row["ids"], row["sizes"], row["body"]), np.concatenate([np.zeros((0, 2), np.int64), *pairs]), marks)
 
-    return packs.join(found, "pack", "left").mapInArrow(cut, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    return packs.join(found, "pack", "left").mapInArrow(freed(cut), "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
 
 
 _ANCHORS = pa.schema([("bucket", pa.int32()), ("pack", pa.int64()), ("keys", pa.binary()), ("several", pa.binary())])

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import text_slices
+from stratiform.llm.common import freed, text_slices
 
 KINDS = ("assign", "access", "hex", "ident", "weak", "endpoint")
 SCOPE = 300
@@ -142,7 +142,7 @@ def find_secrets(df: DataFrame, text: str = "text", spans: str = "spans", redact
                     columns.append(pa.array([redact(t, f) if f else t for t, f in zip(texts, found)], pa.string()))
                 yield pa.RecordBatch.from_arrays([*(get(c) for c in kept), *columns], names=[*kept, *new])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(freed(run), schema)
 
 
 def base_only(spans: Column) -> Column:

@@ -4,7 +4,8 @@ Two kinds of rules: host/path rules (`example.com/en/`, allow or block; the long
 (filter lines, see `parse_rules`, or regular expressions with a literal part) that decide the other URLs; an exception beats a block. Every rule is indexed by one literal token, the one that
 is rarest among the URLs' tokens: a frequency of the rules' own tokens over the whole table is counted first (one partially
 aggregated row per token). A URL's distinct tokens look up their candidate rules, and only those run their regular expression. Tokens of host/path rules are
-whole runs of a-z and 0-9; a pattern's literal may lie inside a longer run, so its tokens are the tri-grams of the literal, and a URL's are those of its runs.
+whole runs of a-z and 0-9; so are runs of a pattern that literals or anchors enclose, however short (`||t.co^`, `/ad/`). Other literals of a pattern may lie inside a longer run, so their tokens are tri-grams,
+and a URL's are those of its runs. A pattern without either is tried on every URL.
 
 Up to INLINE rules the index is a literal map inside the projection, and judging is a map over rows with no shuffle. More rules
 go through `judge_joined`: tokens are exploded and joined with the index (Spark broadcasts it only below its own size
@@ -33,7 +34,7 @@ _PART = "*"
 
 @dataclass(frozen=True)
 class Rule:
-    """A rule's text, its verdict, its regular expression over `host + path` with the host lower-cased, its literal tokens."""
+    """A rule's text, its verdict, its regular expression over `host + path` with the host lower-cased, its literal tokens (none: it is tried on every URL)."""
 
     name: str
     verdict: str
@@ -53,32 +54,61 @@ def host_rule(name: str, verdict: str) -> Rule:
     return Rule(name, verdict, f"^([^/]*\\.)?{_quoted(host)}/{_quoted(path)}", tuple(whole), True)
 
 
-def pattern_rule(regex: str, tokens: tuple[str, ...], verdict: str = "block") -> Rule:
-    """A regular expression; every match contains all the tokens (a-z and 0-9, one of three at least), inside longer runs too."""
-    parts = tuple(sorted({_PART + t[i : i + 3] for t in tokens for i in range(len(t) - 2)}))
-    if not parts:
-        raise ValueError(f"no literal of three characters: {regex}")
-    return Rule(regex, verdict, regex, parts, False)
+def pattern_rule(regex: str, tokens: Iterable[str] = (), verdict: str = "block", whole: Iterable[str] = ()) -> Rule:
+    """A regular expression. Every match contains all the tokens (a-z and 0-9), inside longer runs too, and all of `whole` as whole runs of any length.
+
+    Without a whole run and a token of three characters it can't be indexed: then it is tried on every URL.
+    """
+    parts = {_PART + t[i : i + 3] for t in tokens for i in range(len(t) - 2)}
+    return Rule(regex, verdict, regex, tuple(sorted(parts | set(whole))), False)
+
+
+#: Options of a line that say nothing more for the URLs of pages.
+_NO_LIMIT = {"document", "doc", "all"}
+
+
+def _line_rule(line: str) -> Rule:
+    allow, body = line.startswith("@@"), line.removeprefix("@@")
+    start, body = ("^([^/]*[.])?", body[2:]) if body.startswith("||") else ("^", body[1:]) if body.startswith("|") else ("", body)
+    end, body = ("$", body[:-1]) if body.endswith("|") else ("", body)
+    regex = start + "".join(".*" if c == "*" else "([^A-Za-z0-9_.%-]|$)" if c == "^" else _quoted(c) for c in body) + end
+    whole, parts = [], []
+    for m in re.finditer(_TOKEN, body.lower()):
+        left = body[m.start() - 1] if m.start() else "^" if start else "*"
+        right = body[m.end()] if m.end() < len(body) else "^" if end else "*"
+        # a literal or an anchor on both sides ends a run; any characters, and letters that only lower-casing made plain, may go on
+        closed = all(c != "*" and c.isascii() for c in (left, right))
+        (whole if closed else parts).append(m[0])
+    return Rule(line, "allow" if allow else "block", regex, pattern_rule(regex, parts, whole=whole).tokens, False)
 
 
-def parse_rules(lines: str | Iterable[str]) -> list[Rule]:
+def parse_rules(lines: str | Iterable[str], skipped: dict[str, str] | None = None) -> list[Rule]:
     """Rules from filter lines, one in a line, that are looked for in the host and path of a URL:
 
     `||` at the beginning: where the host or one of its labels begins; `|` at the beginning or end: the beginning or end of host and path;
     `*`: any characters; `^`: one that is no letter, digit, `_`, `.`, `%` or `-`, or the end; `@@` before a rule: an exception.
-    Anything else stands for itself. Blank lines and those that begin with `!` or `#` are comments. A rule needs a literal run of three letters or digits.
+    Anything else stands for itself. Blank lines and those that begin with `!`, `#` or `[` are comments. Options ($...) that limit nothing here are
+    taken off. Rules about elements of a page (`##` and its kin) and lines whose options limit them to requests that a page's URL doesn't tell
+    (`$third-party`, `$script`) are no rules for URLs: they are left out, and told with the reason in `skipped`.
     """
     out = []
     for line in lines.splitlines() if isinstance(lines, str) else lines:
         line = line.strip()
-        if not line or line[0] in "!#":
+        if re.search(r"#[@?$%]*#", line):
+            why = "about elements of a page"
+        elif not line or line[0] in "!#[":
             continue
-        allow, body = line.startswith("@@"), line.removeprefix("@@")
-        start, body = ("^([^/]*[.])?", body[2:]) if body.startswith("||") else ("^", body[1:]) if body.startswith("|") else ("", body)
-        end, body = ("$", body[:-1]) if body.endswith("|") else ("", body)
-        regex = start + "".join(".*" if c == "*" else "([^A-Za-z0-9_.%-]|$)" if c == "^" else _quoted(c) for c in body) + end
-        rule = pattern_rule(regex, tuple(re.findall(_TOKEN, body.lower())), "allow" if allow else "block")
-        out.append(Rule(line, rule.verdict, rule.regex, rule.tokens, False))
+        else:
+            m = re.search(r"\$((?:~?[a-z0-9_-]+(?:=[^,$]*)?)(?:,~?[a-z0-9_-]+(?:=[^,$]*)?)*)$", line)
+            limits = [o for o in m[1].split(",") if o not in _NO_LIMIT] if m else []
+            why = f"limited by {', '.join(limits)}" if limits else ""
+            if m and not limits:
+                line = line[: m.start()]
+        if why:
+            if skipped is not None:
+                skipped[line] = why
+            continue
+        out.append(_line_rule(line))
     return out
 
 
@@ -124,9 +154,11 @@ def token_counts(urls: DataFrame, rules: list[Rule]) -> dict[str, int]:
 
 
 def index(rules: list[Rule], counts: dict[str, int]) -> dict[str, list[Rule]]:
-    """Rules by their rarest token; ties to the longer token, then by the alphabet."""
+    """Rules by their rarest token; ties to the longer token, then by the alphabet. Rules without a token are in none."""
     out: dict[str, list[Rule]] = {}
     for rule in rules:
+        if not rule.tokens:
+            continue
         token = min(rule.tokens, key=lambda t: (counts.get(t, 0), -len(t), t))
         out.setdefault(token, []).append(rule)
     return out
@@ -138,6 +170,7 @@ def _fields(rule: Rule) -> tuple[bool, int, str, str, str]:
 
 
 _NAMES = ("host_rule", "weight", "name", "verdict", "regex")
+_FIT = "struct<host_rule:boolean,weight:int,name:string,verdict:string,regex:string>"
 
 
 def _struct(rule: Rule) -> Column:
@@ -153,25 +186,35 @@ def prepared(pages: DataFrame, url: str, parts: bool = True) -> DataFrame:
 
 def judge(pages: DataFrame, rules: list[Rule], url: str = "url", inline: int = INLINE) -> DataFrame:
     """pages with host, path, rule (the winning host/path rule, else null) and verdict."""
-    df = prepared(pages, url, any(not r.host_rule for r in rules))
+    wanted = sorted({t for r in rules for t in r.tokens})
+    df = prepared(pages, url, any(t.startswith(_PART) for t in wanted))
+    if len(rules) <= inline and wanted:  # only tokens that some rule has are looked at
+        df = df.withColumn("tokens", F.array_intersect("tokens", F.array(*map(F.lit, wanted))))
     counts = token_counts(df, rules)
     by_token = index(rules, counts)
+    always = F.array(*(_struct(r) for r in rules if not r.tokens)) if any(not r.tokens for r in rules) else None
     if len(rules) > inline:
-        return judge_joined(df, by_token)
-    lookup = F.create_map(*[x for t, found in sorted(by_token.items()) for x in (F.lit(t), F.array(*map(_struct, found)))])
-    candidates = F.flatten(F.filter(F.transform("tokens", lambda t: F.try_element_at(lookup, t)), lambda c: c.isNotNull()))
-    fit = F.filter(candidates, lambda c: F.call_function("rlike", F.col("target"), c["regex"]))
-    return _verdict(df.withColumn("fit", F.array_max(fit)))
+        df = judge_joined(df, by_token)
+        candidates = F.array(F.col("fit")) if always is None else F.concat(F.array(F.col("fit")), _fitting(always))
+        return _verdict(df.withColumn("fit", F.array_max(candidates)))
+    lookup = F.create_map(*[x for t, found in sorted(by_token.items()) for x in (F.lit(t), F.array(*map(_struct, found)))]) if by_token else None
+    found = F.flatten(F.filter(F.transform("tokens", lambda t: F.try_element_at(lookup, t)), lambda c: c.isNotNull())) if by_token else always
+    candidates = F.concat(found, always) if by_token and always is not None else found
+    return _verdict(df.withColumn("fit", F.array_max(_fitting(candidates)) if rules else F.lit(None).cast(_FIT)))
+
+
+def _fitting(candidates: Column) -> Column:
+    return F.filter(candidates, lambda c: F.call_function("rlike", F.col("target"), c["regex"]))
 
 
 def judge_joined(df: DataFrame, by_token: dict[str, list[Rule]]) -> DataFrame:
-    """The same for many rules: an exploded equi-join of tokens with the index."""
+    """The best rule (`fit`) for many rules: an exploded equi-join of tokens with the index."""
     spark = df.sparkSession
     rows = [(t, *_fields(r)) for t, found in by_token.items() for r in found]
     rules = spark.createDataFrame(rows, "token string, host_rule boolean, weight int, name string, verdict string, regex string")
     keyed = df.select("target", F.explode("tokens").alias("token")).distinct()
     met = keyed.join(rules, "token").filter(F.call_function("rlike", F.col("target"), F.col("regex")))
-    return _verdict(df.join(met.groupBy("target").agg(F.max(F.struct(*_NAMES)).alias("fit")), "target", "left"))
+    return df.join(met.groupBy("target").agg(F.max(F.struct(*_NAMES)).alias("fit")), "target", "left")
 
 
 def _verdict(df: DataFrame) -> DataFrame:

@@ -124,6 +124,27 @@ def test_filter_lines(spark, inline):
     assert got[urls[-2]]["verdict"] == "block"
 
 
+@pytest.mark.parametrize("inline", [5_000, 0])
+def test_short_lines_and_options(spark, inline):
+    """Lines that no long literal indexes, real lists' other kinds of lines, and an empty list."""
+    skipped = {}
+    lines = ["[Adblock Plus 2.0]", "/ad/", "||t.co^", "@@||ok.io^$document", "||x.", "example.org##.banner", "~a.b#@#.x", "||cdn.net^$third-party,script", "-a-", "||q*z|", "a.cgi?$all", "! note", "||ü.de^"]
+    rules = parse_rules(lines, skipped)
+    assert sorted(skipped) == ["example.org##.banner", "||cdn.net^$third-party,script", "~a.b#@#.x"] and skipped["||cdn.net^$third-party,script"] == "limited by third-party, script"
+    assert [r.name for r in rules] == ["/ad/", "||t.co^", "@@||ok.io^", "||x.", "-a-", "||q*z|", "a.cgi?", "||ü.de^"]
+    assert [r.name for r in rules if not r.tokens] == ["||q*z|"]
+    urls = ["http://t.co/x", "http://at.co/", "http://x.t.co", "http://t.com/", "http://z.org/ad/1", "http://z.org/bad/1", "http://ok.io/ad/", "http://x.y/", "http://ax.y/", "http://b.org/p-a-q", "http://b.org/p-ab-q", "http://qq/z", "http://cdn.net/", "http://\u00fc.de/", "http://b.org/a.cgi", ""]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = {r["url"]: r for r in judge(df, rules, inline=inline).collect()}
+    for u in urls:
+        target = got[u]["host"] + got[u]["path"]
+        hits = [r for r in rules if filter_matches(r.name, target)]
+        assert got[u]["verdict"] == ("allow" if not hits or any(r.verdict == "allow" for r in hits) else "block"), u
+    assert {r["verdict"] for r in judge(df, parse_rules("*"), inline=inline).collect()} == {"block"}
+    assert {r["verdict"] for r in judge(df, parse_rules("*\n@@||t.co^\n/ad/"), inline=inline).filter("url like '%//t.co/%'").collect()} == {"allow"}
+    assert {r["verdict"] for r in judge(df, [], inline=inline).collect()} == {"allow"}
+
+
 def test_chat(spark):
     rows = [(1, 1, "assistant", "yes </s> \\ <s>"), (1, 0, "user", SPOOF), (1, 1, "assistant", "yes </s> \\ <s>"), (2, 0, "user", None), (2, None, None, "é"), (None, 0, "assistant", ""), (3, 0, "assis<s>tant", "x" * 5000)]
     df = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, ids int")
