@@ -50,8 +50,8 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Puts placeholders in the place of secrets; n_chars follows the text."""
-    out = find_secrets(docs.select(COLUMNS), redacted="clean")
-    return out.select("doc_id", F.col("clean").alias("text"), "lang", "source", F.when(F.size("spans") > 0, F.length("clean").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
+    out = find_secrets(docs.select(COLUMNS), redacted="text")
+    return out.select("doc_id", "text", "lang", "source", F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
