@@ -202,12 +202,16 @@ def in_context(df: DataFrame, exam: Sequence[str], volume: str, texts: Sequence[
     return df.withColumns(out).select(*names, *(c for c in ("protocol", "component", "numbered_postcontrast") if c not in names))
 
 
-def curate(df: DataFrame, exam: Sequence[str], volume: str, chain: Mapping, texts: Sequence[str] = C.TEXT_COLUMNS) -> dict[str, DataFrame]:
-    """CT and MR volumes through annotation, MR context, phase resolution, scoring and selection; the annotated table is written once."""
+def curate(df: DataFrame, exam: Sequence[str], volume: str, chain: Mapping, texts: Sequence[str] | Mapping[str, Sequence[str]] = C.TEXT_COLUMNS) -> dict[str, DataFrame]:
+    """CT and MR volumes through annotation, MR context, phase resolution, scoring and selection; the annotated table is written once.
+
+    `texts` are the text columns in order of precedence, or such lists by modality; a modality that isn't named has the usual ones.
+    """
+    of = lambda m: texts.get(m, C.TEXT_COLUMNS) if isinstance(texts, Mapping) else texts
     modality = T.modality(F.coalesce(C._col(df, "Modality"), F.lit("CT")))
-    ct = P.resolve(C.annotate_ct(df.filter(modality == "CT"), texts), chain)
+    ct = P.resolve(C.annotate_ct(df.filter(modality == "CT"), of("CT")), chain)
     ct = ct.withColumns({"selection_slot": F.col("phase"), "selection_score": C.score_ct(ct)})
-    mr = C.tie_breakers(C.score_mr(P.resolve(in_context(C.annotate_mr(df.filter(modality == "MR"), texts), exam, volume, texts, chain), chain)))
+    mr = C.tie_breakers(C.score_mr(P.resolve(in_context(C.annotate_mr(df.filter(modality == "MR"), of("MR")), exam, volume, of("MR"), chain), chain)))
     both = written(ct.unionByName(mr, allowMissingColumns=True), "curated")
     long, wide = C.select(both, exam, [*C.CT_SLOTS, *C.MR_SLOTS], volume, C.mr_order())  # CT volumes have no MR tie-breakers: their score decides
     slot = F.col("selection_slot")

@@ -123,8 +123,10 @@ def regions(df: DataFrame, key: str) -> DataFrame:
     return df.select(key, F.explode(cells).alias("r")).select(key, "r.*").filter(~blank(F.col("path")))
 
 
-def region_plan(found: DataFrame, key: str) -> DataFrame:
-    """Per organ whether its tumour is taken out: pairs of x and x_tumor."""
+def region_plan(found: DataFrame, key: str, sizes: DataFrame | None = None) -> DataFrame:
+    """Per organ whether its tumour is taken out: pairs of x and x_tumor. With the masks' voxel counts (key, roi, n) an empty tumour is as good as none, and an empty organ too."""
+    if sizes is not None:
+        found = found.join(sizes.filter("n > 0").select(key, "roi"), [key, "roi"], "left_semi")
     organ = F.regexp_replace("roi", "_tumor$", "")
     both = found.groupBy(key, organ.alias("organ")).agg(F.max((F.col("roi") == organ).cast("int")).alias("_o"), F.max((F.col("roi") != organ).cast("int")).alias("_t"))
     return both.select(key, "organ", F.when((F.col("_o") == 1) & (F.col("_t") == 1), "organ_minus_tumor").when(F.col("_o") == 1, "organ").otherwise("tumor").alias("plan"))
@@ -155,7 +157,7 @@ def quality_table(df: DataFrame, columns: Mapping[str, str], details: str, stage
 
 def viewer_order(df: DataFrame, phase: str, columns: Sequence[str], tie: str) -> DataFrame:
     """By phase (in order of injection), then texts without case, blanks last."""
-    place = F.array_position(F.array(*map(F.lit, ("NATIVE", "ARTERIAL", "PORTAL_VENOUS", "DELAYED"))), F.upper(phase))
+    place = F.array_position(F.array(*map(F.lit, ("NATIVE", "ARTERIAL", "PORTAL_VENOUS", "DELAYED", "HEPATOBILIARY"))), F.upper(phase))
     keys = [x for c in columns for x in (blank(F.col(c)), F.lower(c))]
     return df.orderBy(F.when(F.coalesce(place, F.lit(0)) == 0, 99).otherwise(place), *keys, tie)
 

@@ -159,4 +159,4 @@ def final_order(df: DataFrame, patient: str, date: str, seconds: str, tie: str)
 
 def hash_sample(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
     """n rows without replacement, the same ones for the same seed whatever the partitioning."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(n)

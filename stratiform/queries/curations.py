@@ -11,6 +11,7 @@ from stratiform.queries.base import query, r6, table
 from stratiform.queries.texts import _MEANT, _PLANES, _TEXTS, _case
 from stratiform.shared import scratch
 from stratiform.sources import tables as S
+from stratiform.sources.publish import published
 from stratiform.streaming.index import build_index
 
 _CT_PHASE = _case({k: v for k, v in _MEANT.items() if v}, "VARCHAR")
@@ -76,7 +77,13 @@ def c16_missing_native(spark, sf_dir):
     return C.missing_native(e, ["user_id", "d"], "event_type", "label", F.col("event_type") == "view", [F.desc("value"), F.col("event_id")]).select("event_id", "label")
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT event_id, user_id, CAST(ts AS DATE) AS d, CASE event_type WHEN 'click' THEN 1 WHEN 'purchase' THEN 3 END AS place, value * 10 AS s FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id, d ORDER BY event_id) AS k, coalesce(min(place) OVER (PARTITION BY user_id, d ORDER BY event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 5) AS bound,
+ CASE WHEN s BETWEEN 20 AND 35 THEN 2 WHEN s BETWEEN 60 AND 90 THEN 3 WHEN s BETWEEN 180 AND 900 THEN 4 END AS timed FROM e),
+f AS (SELECT user_id, d, 0::BIGINT AS k, 0 AS last, NULL::INT AS got, NULL::BIGINT AS event_id FROM (SELECT DISTINCT user_id, d FROM e)
+UNION ALL SELECT user_id, d, k, coalesce(got, last), got, event_id FROM (SELECT r.user_id, r.d, r.k, f.last, r.event_id, coalesce(r.place, CASE WHEN guess < r.bound AND guess <= 4 THEN guess END) AS got
+ FROM f JOIN (SELECT * FROM r) r ON r.user_id = f.user_id AND r.d = f.d AND r.k = f.k + 1, LATERAL (SELECT CASE WHEN r.timed >= f.last + 1 THEN r.timed WHEN r.s IS NULL OR f.last = 0 THEN f.last + 1 END AS guess)))
+SELECT event_id, ['NATIVE', 'ARTERIAL', 'PORTAL_VENOUS', 'DELAYED'][got] AS folded_phase FROM f WHERE event_id IS NOT NULL""")
 def w15_fold_phases(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_id", "user_id", F.to_date("ts").alias("d"), F.when(F.col("event_type") == "click", "NATIVE").when(F.col("event_type") == "purchase", "PORTAL_VENOUS").alias("known"), (F.col("value") * 10).alias("elapsed"))
     return C.fold_phases(e, ["user_id", "d"], "event_id", "known", "elapsed").select("event_id", "folded_phase")
@@ -235,9 +242,13 @@ def s05_tags_long(spark, sf_dir):
     return S.tags_long(table(spark, sf_dir, "events"), "props", "event_id")
 
 
-@query()
+@query("""WITH o AS (SELECT o_custkey, o_orderkey, o_orderpriority, md5(o_custkey || '|' || o_orderkey || '|' || o_orderpriority) AS h FROM orders)
+SELECT o_custkey, arg_min(o_orderkey, h) AS o_orderkey, arg_min(o_orderpriority, h) AS o_orderpriority FROM o GROUP BY 1 ORDER BY md5('3:' || o_custkey), 1 LIMIT 200""")
 def s06_snapshot(spark, sf_dir):
-    return S.snapshot(table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderpriority"), "o_custkey", 200, 3)
+    """One order of each of 200 customers, published as lines of JSON and read again."""
+    path = scratch(spark, "snapshot")
+    S.save_snapshot(table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderpriority"), path, "o_custkey", 200, 3)
+    return published(spark, path)
 
 
 @query("SELECT p_partkey, 'archive://a%20b/' || p_partkey || '!' || replace(p_name, ' ', '%20') AS uri, ['a b/' || p_partkey, p_name] AS parts FROM part")
@@ -285,6 +296,20 @@ def c25_select_mr(spark, sf_dir):
     return C.select(C.tie_breakers(v), ["o_custkey"], ["T1_DELAYED"], "o_orderkey", C.mr_order())[0].select("o_orderkey", "candidate_rank")
 
 
+@query("""WITH v AS (SELECT o_custkey, o_orderkey, o_orderkey % 2 = 0 AS mr, CASE o_orderkey % 5 WHEN 0 THEN 'NATIVE' WHEN 1 THEN 'PORTAL_VENOUS' WHEN 2 THEN 'ARTERIAL' WHEN 3 THEN 'HEPATOBILIARY' END AS named FROM orders)
+SELECT o_orderkey, CASE WHEN mr THEN coalesce(named, 'OTHER') ELSE coalesce(CASE WHEN named <> 'HEPATOBILIARY' THEN named END, 'OTHER') END AS phase,
+CASE WHEN named IS NULL OR (NOT mr AND named = 'HEPATOBILIARY') THEN 'UNRESOLVED' ELSE 'RESOLVED' END AS status FROM v""")
+def c26_curate(spark, sf_dir):
+    """CT and MR volumes together; the texts stand in another column for each modality, and what the other column says is not looked at."""
+    words = F.array(*map(F.lit, ("native", "portal", "arterial", "hbp", "post")))
+    said, mr = F.element_at(words, (F.col("o_orderkey") % 5 + 1).cast("int")), F.col("o_orderkey") % 2 == 0
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderkey").cast("string").alias("exam"), F.when(mr, "MR").otherwise("CT").alias("Modality"), F.when(mr, F.concat(F.lit("T1 vibe "), said)).otherwise("portal").alias("mr_text"), F.when(mr, F.lit("arterial")).otherwise(said).alias("ct_text"),
+    )
+    out = X.curate(rows, ["exam"], "o_orderkey", {"strategies": [{"name": "rules", "type": "rules"}]}, {"MR": ["mr_text"], "CT": ["ct_text"]})
+    return out["curated"].select("o_orderkey", "phase", F.col("phase_status").alias("status"))
+
+
 @query("SELECT p_partkey, p_size AS radiomics_p_size, p_retailprice AS radiomics_p_retailprice FROM part")
 def p15_feature_columns(spark, sf_dir):
     p = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice", F.col("p_name").alias("diagnostics_name"))

@@ -93,10 +93,12 @@ def j14_anchored_rows(spark, sf_dir):
     return d.withColumn("first", first).filter("doc_id > first").select("doc_id")
 
 
-@query("SELECT o_orderkey FROM orders")
+@query("""SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 4 ELSE 99 END, lower(o_orderpriority), o_orderkey) AS place FROM orders""")
 def o02_viewer_order(spark, sf_dir):
+    """The order of the whole table, as places within each customer."""
     o = table(spark, sf_dir, "orders").withColumn("phase", F.when(F.col("o_orderstatus") == "F", "NATIVE").when(F.col("o_orderstatus") == "O", "delayed"))
-    return M.viewer_order(o, "phase", ["o_orderpriority"], "o_orderkey").select("o_orderkey")
+    rows = M.viewer_order(o, "phase", ["o_orderpriority"], "o_orderkey").withColumn("_at", F.monotonically_increasing_id())
+    return rows.select("o_orderkey", F.row_number().over(W.partitionBy("o_custkey").orderBy("_at")).alias("place"))
 
 
 @query("SELECT 'CT' AS kind, count(*) AS n FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 'MR', count(*) FROM orders WHERE o_orderstatus = 'O' UNION ALL SELECT 'OTHER', count(*) FROM orders WHERE o_orderstatus = 'P'")
@@ -106,10 +108,12 @@ def u2_by_modality(spark, sf_dir):
     return M.stage_funnel(parts).withColumnRenamed("stage", "kind").withColumnRenamed("rows", "n")
 
 
-@query("SELECT o_custkey FROM orders GROUP BY 1 HAVING bool_and(o_orderkey % 3 = 0)")
+@query("SELECT o_custkey, o_orderpriority FROM orders GROUP BY 1, 2 HAVING bool_and(o_orderkey % 3 = 0)")
 def u4_vanished_keys(spark, sf_dir):
+    """Priorities that a customer has in one version of the orders only."""
     o = table(spark, sf_dir, "orders")
-    return keys_of(o, ["o_custkey"]).exceptAll(keys_of(o.filter("o_orderkey % 3 > 0"), ["o_custkey"]))
+    key = ["o_custkey", "o_orderpriority"]
+    return keys_of(o, key).exceptAll(keys_of(o.filter("o_orderkey % 3 > 0"), key))
 
 
 #: What the texts are without their phase, dynamic, ordinal and duration tokens.
@@ -169,6 +173,16 @@ def p16_region_plan(spark, sf_dir):
     return M.region_plan(M.regions(s.drop("mask__path"), "s_suppkey"), "s_suppkey")
 
 
+@query("SELECT s_suppkey, 'liver' AS organ, CASE WHEN s_suppkey % 3 = 2 THEN 'tumor' WHEN s_suppkey % 3 = 0 AND s_suppkey % 4 > 0 THEN 'organ_minus_tumor' ELSE 'organ' END AS plan FROM supplier WHERE NOT (s_suppkey % 3 = 2 AND s_suppkey % 4 = 0)")
+def q11_plan_of_filled_masks(spark, sf_dir):
+    """A tumour without voxels is not taken out: the plan falls back to the organ."""
+    k = F.col("s_suppkey") % 3
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", F.when(k != 2, "a.nii").alias("mask_liver_path"), F.when(k != 1, "b.nii").alias("mask_liver_tumor_path"))
+    found = M.regions(s, "s_suppkey")
+    sizes = found.select("s_suppkey", "roi", F.when((F.col("roi") == "liver_tumor") & (F.col("s_suppkey") % 4 == 0), 0).otherwise(10).alias("n"))
+    return M.region_plan(found, "s_suppkey", sizes)
+
+
 @query("SELECT s_suppkey, s_name, s_acctbal AS source_s_acctbal, s_acctbal + 1 AS s_acctbal FROM supplier")
 def p17_backup(spark, sf_dir):
     s = M.backed_up(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal"), ["s_acctbal"])
@@ -214,10 +228,13 @@ def x06_organ_minus_tumor(spark, sf_dir):
     return _only(m, "a").join(_only(m, "b"), X.VOXEL, "left_anti").groupBy("scan_id").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_VOX}, m AS (SELECT scan_id, x, y, z FROM vox WHERE value > 0.05 OR (x = 0 AND value > -0.1)), n6 AS (SELECT * FROM (VALUES (1,0,0),(-1,0,0),(0,1,0),(0,-1,0),(0,0,1),(0,0,-1)) t(i,j,k)),
+r AS (SELECT *, x * 16 + y * 4 + z AS root FROM m UNION SELECT m.scan_id, m.x, m.y, m.z, r.root FROM r, n6, m WHERE m.scan_id = r.scan_id AND m.x = r.x + i AND m.y = r.y + j AND m.z = r.z + k),
+s AS (SELECT scan_id, root, count(*) AS n FROM (SELECT scan_id, x, y, z, min(root) AS root FROM r GROUP BY ALL) GROUP BY 1, 2), o AS (SELECT scan_id, count(*) AS components, max(n) AS largest, sum(n) AS voxels FROM s GROUP BY 1), f AS (SELECT scan_id, count(*) AS ref FROM vox WHERE value > 0 GROUP BY 1)
+SELECT scan_id, components, largest, round(1 - largest / voxels, 6) AS fragments, round((voxels - ref) / ref, 6) AS change FROM o LEFT JOIN f USING (scan_id)""")
 def x11_fragments(spark, sf_dir):
     _, m = _masks(spark, sf_dir)
-    return M.fragments(_only(m, "b"), _only(m, "a"))
+    return M.fragments(_only(m, "b"), _only(m, "a")).withColumns({c: r6(F.col(c)) for c in ("fragments", "change")})
 
 
 @query("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderstatus = 'P' AS INT), o_totalprice, o_orderkey) AS k FROM orders), g AS (SELECT o_custkey, max(CASE WHEN k = 1 THEN o_orderkey END) AS reference, count(*) AS members, count(*) FILTER (WHERE o_totalprice > 100000) AS contributors FROM r GROUP BY 1)

@@ -148,6 +148,6 @@ def o03_first_and_last(spark, sf_dir):
     return first.join(last, "o_custkey")
 
 
-@query()
+@query("SELECT o_orderkey, o_custkey FROM orders ORDER BY md5('7:' || o_orderkey), o_orderkey LIMIT 100")
 def o04_hash_sample(spark, sf_dir):
     return O.hash_sample(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), 100, "o_orderkey", 7)

@@ -110,12 +110,18 @@ def tags_long(df: DataFrame, json: str, key: str) -> DataFrame:
 
 
 def snapshot(df: DataFrame, series: str, n: int, seed: int = 0) -> DataFrame:
-    """One row of each of n series, chosen by hash; blank texts are null."""
-    one = df.groupBy(series).agg(*(F.min_by(c, F.xxhash64(*df.columns)).alias(c) for c in df.columns if c != series))
-    picked = one.orderBy(F.xxhash64(series, F.lit(seed)), series).limit(n)
+    """One row of each of n series, that of the least hash, and the series of the least hashes under a seed; blank texts are null."""
+    row = F.md5(F.concat_ws("|", *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("-")) for c in df.columns)))
+    one = df.groupBy(series).agg(*(F.min_by(c, row).alias(c) for c in df.columns if c != series))
+    picked = one.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(series).cast("string"))), series).limit(n)
     return picked.select(*(F.nullif(F.trim(c), F.lit("")).alias(c) if t == "string" else F.col(c) for c, t in picked.dtypes))
 
 
+def save_snapshot(df: DataFrame, path: str, series: str, n: int, seed: int = 0) -> int:
+    """snapshot() as published lines of JSON, a row each; null cells leave no trace."""
+    return publish(snapshot(df, series, n, seed), path, "json")
+
+
 def archive_uri(outer: Column, members: Sequence[Column]) -> Column:
     return F.concat(F.lit("archive://"), F.concat_ws("!", *(F.regexp_replace(F.url_encode(p), r"\+", "%20") for p in (outer, *members))))
 
