@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform.llm.bpe import encode
-from stratiform.llm.common import marked, written
+from stratiform.llm.common import discard, marked, written, written_at
 from stratiform.llm.decontaminate import decontaminate
 from stratiform.llm.near_dedup import near_dedup
 from stratiform.llm.quality import score_quality
@@ -74,7 +74,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each result is a written table that the next stage reads."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs, path = written_at(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if last:
+            discard(spark, last)  # its successor is written
+        last = path
     return docs
