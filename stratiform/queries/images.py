@@ -119,13 +119,29 @@ def x12_vote_fusion(spark, sf_dir):
     return X.fuse(*_raters(spark, sf_dir)).withColumn("probability", r6(F.col("probability")))
 
 
-@query()
+def _given(one: str, other: str) -> str:
+    """SQL: the product over three raters, of `one` where the pattern has the rater's vote, else of `other`."""
+    return " * ".join(f"CASE WHEN (ps[i] >> {r}) & 1 = 1 THEN {one.format(r + 1)} ELSE {other.format(r + 1)} END" for r in range(3))
+
+
+_QUALITY = lambda sign, weight: "[" + ", ".join(f"list_sum(list_transform(range(1, len(ps) + 1), lambda i: CASE WHEN (ps[i] >> {r}) & 1 = {sign} THEN ks[i] * {weight} ELSE 0 END)) / greatest(list_sum(list_transform(range(1, len(ps) + 1), lambda i: ks[i] * {weight})), 1e-12)" for r in range(3)) + "]"
+
+
+@query(f"""WITH RECURSIVE {_VOX}, v AS (SELECT scan_id, x, y, z, CAST(value > 0 AS INT) + 2 * CAST(value > 0.05 AS INT) + 4 * CAST(value > -0.05 AS INT) AS pattern FROM vox),
+c AS (SELECT scan_id, pattern, count(*) AS k FROM v GROUP BY 1, 2), s AS (SELECT scan_id, list(pattern ORDER BY pattern) AS ps, list(k ORDER BY pattern) AS ks, sum(k * bit_count(pattern) / 3) / sum(k) AS prior FROM c GROUP BY 1),
+em AS (SELECT scan_id, ps, ks, prior, 0 AS step, [0.99::DOUBLE, 0.99, 0.99] AS se, [0.99::DOUBLE, 0.99, 0.99] AS sp, NULL::DOUBLE[] AS w, 1::DOUBLE AS change FROM s
+UNION ALL SELECT scan_id, ps, ks, prior, step + 1, se2, sp2, w2, list_max(list_transform(range(1, 4), lambda r: greatest(abs(se2[r] - se[r]), abs(sp2[r] - sp[r])))) FROM (
+ SELECT *, {_QUALITY(1, "w2[i]")} AS se2, {_QUALITY(0, "(1 - w2[i])")} AS sp2 FROM (
+ SELECT *, list_transform(range(1, len(ps) + 1), lambda i: CASE WHEN ones[i] + zeros[i] > 0 THEN ones[i] / (ones[i] + zeros[i]) ELSE 0 END) AS w2 FROM (
+ SELECT *, list_transform(range(1, len(ps) + 1), lambda i: prior * {_given("se[{}]", "(1 - se[{}])")}) AS ones, list_transform(range(1, len(ps) + 1), lambda i: (1 - prior) * {_given("(1 - sp[{}])", "sp[{}]")}) AS zeros FROM em WHERE step < 100 AND change >= 1e-6)))),
+f AS (SELECT scan_id, arg_max(ps, step) AS ps, arg_max(w, step) AS w FROM em GROUP BY 1)
+SELECT v.scan_id, x, y, z, pattern, round(w[list_position(ps, pattern)], 6) AS probability, w[list_position(ps, pattern)] >= 0.5 AS fused FROM v JOIN f USING (scan_id)""")
 def x13_staple(spark, sf_dir):
     """Three thresholds as raters of every scan; each scan has its own rater qualities."""
     v = _voxels(spark, sf_dir)
     rater = F.explode(F.array(*(F.struct(F.lit(n).alias("rater"), F.lit(t).alias("cut")) for n, t in (("r1", 0.0), ("r2", 0.05), ("r3", -0.05)))))
     seen = v.select("scan_id", *X.XYZ, "value", rater.alias("r")).select("scan_id", *X.XYZ, "value", "r.*")
-    return X.staple(seen, seen.filter("value > cut"), ["r1", "r2", "r3"])
+    return X.staple(seen, seen.filter("value > cut"), ["r1", "r2", "r3"]).withColumn("probability", r6(F.col("probability")))
 
 
 @query(f"WITH {_RATED}, s AS (SELECT {_P}, list_sort(list(value)) AS d FROM seen GROUP BY ALL) SELECT {_P}, round(d[len(d) // 2 + 1], 6) AS median, CAST(len(d) AS BIGINT) AS observed FROM s")
