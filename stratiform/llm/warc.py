@@ -44,6 +44,8 @@ from stratiform.llm.common import columns_of, marked, scratch, written
 
 PACKAGE, RECORDS = 256 << 20, 100_000  # bytes and records of a package
 RANGE, READ = 8 << 20, 1 << 20
+#: Tasks of one job; beyond it a task has several packages or ranges, one after the other.
+MOST_TASKS = 20_000
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 
 
@@ -340,9 +342,9 @@ def read_archives(packages: DataFrame) -> DataFrame:
                         yield _batch(rows)
 
     paths = packages.select("path")
-    n = max(1, paths.count())
+    n = max(1, min(MOST_TASKS, paths.count()))
     ranges = written(paths.repartition(n).mapInArrow(listed, "path string, archive string, start long, stop long"), "warc-ranges")
-    return ranges.repartition(max(1, math.ceil(ranges.count() / 2))).mapInArrow(records, _RECORD)
+    return ranges.repartition(max(1, min(MOST_TASKS, math.ceil(ranges.count() / 2)))).mapInArrow(records, _RECORD)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

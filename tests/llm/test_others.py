@@ -45,6 +45,25 @@ def test_nearest_neighbours(spark, monkeypatch):
         assert [tuple(r) for r in ann.search(df, F.col("vec_id") == 0, k=2).orderBy("rank").collect()] == [(0, 1, 1, 0.5), (0, 2, 2, 7.0)]
 
 
+def test_recall_of_the_registered_query(spark):
+    """op1 on the table `embeddings` as it is, against all distances; measured 1.0, at least 0.9 is asked for."""
+    from stratiform.llm.queries import op1_ann
+
+    rows = [r for r in spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select("vec_id", "embedding").collect() if r["embedding"] is not None]
+    ids, x = np.array([r["vec_id"] for r in rows]), np.array([r["embedding"] for r in rows], float)
+    ids, x = ids[(x != 0).any(axis=1)], x[(x != 0).any(axis=1)]
+    got = {}
+    for r in op1_ann(spark, "/root/testdata/sf0.01").collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    asked = [i for i in ids.tolist() if i % 100 == 0]
+    hits = 0
+    for q in asked:
+        d = np.sqrt(((x - x[ids == q][0]) ** 2).sum(axis=1))
+        best = [i for i in ids[np.lexsort((ids, d))].tolist() if i != q][:10]
+        hits += len(got[q] & set(best))
+    assert sorted(got) == sorted(asked) and hits >= 0.9 * 10 * len(asked)
+
+
 @pytest.mark.parametrize("inline", [500, 0])
 def test_urls(spark, inline):
     want = {
