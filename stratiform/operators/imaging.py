@@ -243,9 +243,9 @@ def mask_program(masks: DataFrame, grid: DataFrame, operations: Sequence[Mapping
     return masks
 
 
-def fragments(mask: DataFrame, reference: DataFrame, **more) -> DataFrame:
+def fragments(mask: DataFrame, reference: DataFrame) -> DataFrame:
     """Per scan: components, size of the largest, share of the rest, change of volume against a reference."""
-    sizes = X.labelled(mask, 1, **more).groupBy("scan_id", "label").agg(F.count("*").alias("n"))
+    sizes = X.labelled(mask, 1).groupBy("scan_id", "label").agg(F.count("*").alias("n"))
     one = sizes.groupBy("scan_id").agg(F.count("*").alias("components"), F.max("n").alias("largest"), F.sum("n").alias("voxels"))
     ref = reference.groupBy("scan_id").agg(F.count("*").alias("_ref"))
     return one.join(ref, "scan_id", "left").select("scan_id", "components", "largest", (1 - F.col("largest") / F.col("voxels")).alias("fragments"), F.try_divide(F.col("voxels") - F.col("_ref"), F.col("_ref")).alias("change"))

@@ -140,6 +140,15 @@ def benjamini_hochberg(df: DataFrame, p: str, by: Sequence[str] = ()) -> DataFra
     return df.withColumn("q_value", F.least(F.lit(1.0), low)).drop("_r", "_n")
 
 
+def after_anchor(df: DataFrame, by: Sequence[str], order: str, anchor: Column) -> DataFrame:
+    """The rows of a group that come after its first anchor: the anchors' minimum of each group, joined back, instead of a self join of the group's rows.
+
+    Groups may be large and few: the minimum is partially aggregated, and no group meets in one task. Groups with a null key have no anchor.
+    """
+    first = df.filter(anchor).groupBy(*by).agg(F.min(order).alias("_first"))
+    return df.join(first, list(by)).filter(F.col(order) > F.col("_first")).select(df.columns)
+
+
 def n_largest(df: DataFrame, column: str, n: int, smallest: bool = False) -> DataFrame:
     """The rows whose value is among the n largest (or smallest), with all that tie with the last of them; nulls never are.
 

@@ -62,6 +62,18 @@ def trajectory(df: DataFrame, patient: str, visit: str, feature: str) -> DataFra
     return df.groupBy(patient, visit).agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.count(value).alias("n"))
 
 
+def label_coverage(df: DataFrame, exam: Sequence[str], label: str) -> DataFrame:
+    """Per exam how many distinct labels it has, and which."""
+    return df.groupBy(*exam).agg(F.count_distinct(label).alias("n"), F.array_sort(F.collect_set(label)).alias("labels"))
+
+
+def group_statistics(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Per group count, mean, exact median, least and greatest value. Groups may be few and large (a modality): the median comes from counted values, not from a list of them."""
+    rows = df.select(*by, F.col(f"`{value}`").cast("double").alias("value"))
+    out = rows.groupBy(*by).agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.min("value").alias("low"), F.max("value").alias("high"))
+    return same(out, percentiles(rows, by, (0.5,)), by, "left").select(*by, "n", "mean", F.col("_p")[0].alias("median"), "low", "high")
+
+
 def top_values(df: DataFrame, names: Sequence[str], n: int = 20) -> DataFrame:
     counts = unpivoted(df, names, name="column").groupBy("column", "value").agg(F.count("*").alias("n"))
     rank = F.row_number().over(W.partitionBy("column").orderBy(F.desc("n"), "value"))

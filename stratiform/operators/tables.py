@@ -96,6 +96,24 @@ def require(df: DataFrame, columns: Sequence[str], allow_blank: bool = False) ->
     return df
 
 
+def interval_join(df: DataFrame, value: str, windows: DataFrame, name: str, low: str = "low", high: str = "high") -> DataFrame:
+    """df with the name of the one window (name, low, high; ends included) that its value lies in; null in none or in several.
+
+    The windows are a table of settings. Their ends cut the line into pieces, of which each has its one name or none; so a row finds its piece by equality with
+    the place of its value among the sorted ends, and no row meets more than one window.
+    """
+    ends = sorted({float(x) for r in windows.select(low, high).collect() for x in r})
+    rows = windows.select(name, low, high).collect()
+    at = lambda x: [r[name] for r in rows if float(r[low]) <= x <= float(r[high])]
+    # places: 2 * i is the i-th end itself, 2 * i + 1 what lies between it and the next
+    names = [at(x) for i, e in enumerate(ends) for x in (e, (e + ends[i + 1]) / 2 if i + 1 < len(ends) else float("inf"))]
+    one = F.array(*(F.lit(n[0] if len(n) == 1 else None).cast("string") for n in names)) if names else F.array().cast("array<string>")
+    v, bounds = F.col(f"`{value}`").cast("double"), F.array(*map(F.lit, ends)) if ends else F.array().cast("array<double>")
+    below = F.size(F.filter(bounds, lambda e: e <= v))
+    place = 2 * below - F.when(F.array_contains(bounds, v), 1).otherwise(0)  # from 1 on; 0 lies before all
+    return df.withColumn(name, F.when(v.isNotNull() & (place > 0), F.try_element_at(one, place.cast("int"))))
+
+
 def settings_for(df: DataFrame, column: str, settings: Mapping[str, Mapping[str, float]]) -> DataFrame:
     """Settings by modality as columns; a modality without settings is an error."""
     spark = df.sparkSession

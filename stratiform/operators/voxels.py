@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratiform.operators.distance import XYZ, signed_distances, squared_distances
 from stratiform.operators.ranks import percentiles, same
-from stratiform.shared import written
+from stratiform.shared import discard, written_at
 
 VOXEL = ["scan_id", *XYZ]
 
@@ -52,64 +52,88 @@ def neighbours(connectivity: int) -> list[tuple[int, int, int]]:
     return [(i, j, k) for i in r for j in r for k in r if 0 < abs(i) + abs(j) + abs(k) <= connectivity]
 
 
-def _components(edges: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+class _Rounds:
+    """Tables of a loop, written to the shared folder; each is deleted when its successors are written."""
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.name, self.paths = spark, name, {}
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        out, path = written_at(df, self.name)
+        self.paths[id(out)] = out, path  # with the table itself, so that its id stays taken
+        return out
+
+    def drop(self, *tables: DataFrame | None) -> None:
+        discard(self.spark, *(self.paths.pop(id(t))[1] for t in tables if t is not None))
+
+
+def _components(edges: DataFrame, rounds: _Rounds) -> DataFrame:
     """Connected components of edges (a, b): rows (node, component), the least node that each can reach; nodes without an edge are absent.
 
     Every node takes its least neighbour, of two that take each other the lesser is a root, and pointers are doubled until all name a root. Then roots are
     the nodes. A tree has two nodes at least, so a round leaves at most half of them, and a round's doublings are the logarithm of its deepest tree.
     """
-    live = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct())
+    live = rounds.keep(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct())
     found: DataFrame | None = None
     while found is None or live.limit(1).count():
-        pick = cut(live.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up")))
+        pick = rounds.keep(live.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up")))
         back = pick.select(F.col("node").alias("_n"), F.col("up").alias("_u"))
         mutual = (F.col("_u") == F.col("node")) & (F.col("node") < F.col("up"))
-        tree = cut(pick.join(back, F.col("up") == F.col("_n")).select("node", F.when(mutual, F.col("node")).otherwise(F.col("up")).alias("up")))
+        tree = rounds.keep(pick.join(back, F.col("up") == F.col("_n")).select("node", F.when(mutual, F.col("node")).otherwise(F.col("up")).alias("up")))
+        rounds.drop(pick)
         moved = True
         while moved:
             step = tree.join(tree.select(F.col("node").alias("_n"), F.col("up").alias("_u")), F.col("up") == F.col("_n"))
-            step = cut(step.select("node", F.col("_u").alias("up"), (F.col("_u") != F.col("up")).alias("moved")))
+            step = rounds.keep(step.select("node", F.col("_u").alias("up"), (F.col("_u") != F.col("up")).alias("moved")))
             moved = step.filter("moved").limit(1).count() > 0
-            tree = step.drop("moved")
+            rounds.drop(tree)
+            tree = step
         root = tree.select(F.col("node").alias("_n"), F.col("up").alias("_u"))
-        found = tree if found is None else cut(found.join(root, F.col("up") == F.col("_n"), "left").select("node", F.coalesce("_u", "up").alias("up")))
-        live = live.join(root, F.col("a") == F.col("_n")).select(F.col("_u").alias("a"), "b").join(root, F.col("b") == F.col("_n")).select("a", F.col("_u").alias("b"))
-        live = cut(live.filter("a <> b").distinct())
+        after = tree if found is None else rounds.keep(found.join(root, F.col("up") == F.col("_n"), "left").select("node", F.coalesce("_u", "up").alias("up")))
+        less = live.join(root, F.col("a") == F.col("_n")).select(F.col("_u").alias("a"), "b").join(root, F.col("b") == F.col("_n")).select("a", F.col("_u").alias("b"))
+        less = rounds.keep(less.filter("a <> b").distinct())
+        rounds.drop(live, *([] if found is None else [found, tree]))
+        live, found = less, after
+    rounds.drop(live)
     least = found.groupBy(F.col("up").alias("_n")).agg(F.min("node").alias("component"))
-    return found.join(least, F.col("up") == F.col("_n")).select("node", "component")
+    out = rounds.keep(found.join(least, F.col("up") == F.col("_n")).select("node", "component"))
+    rounds.drop(found)
+    return out
 
 
-def labelled(mask: DataFrame, connectivity: int = 1, write: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def labelled(mask: DataFrame, connectivity: int = 1) -> DataFrame:
     """Connected components: each voxel takes the least voxel of its component as label.
 
     Runs along z come from a window; neighbouring voxels tie runs, and components of runs are contracted, so rounds grow with the logarithm of the runs,
-    not with the way through a component. Every round is written to the shared folder, so lineage stays short and lost executors do no harm.
+    not with the way through a component. Every round is written to the shared folder, so lineage stays short and lost executors do no harm; rounds that are done with are deleted.
     """
-    cut = write or (lambda df: written(df, "labels"))
+    rounds = _Rounds(mask.sparkSession, "labels")
     along = W.partitionBy("scan_id", "x", "y").orderBy("z")
     starts = F.coalesce(F.col("z") - F.lag("z").over(along) > 1, F.lit(True))
     run = F.last(F.when(F.col("_s"), F.col("z")), True).over(along.rowsBetween(W.unboundedPreceding, 0))
     now = mask.select(VOXEL).withColumn("_s", starts).withColumn("_z", run)
-    now = cut(now.select(*VOXEL, F.struct("scan_id", "x", "y", F.col("_z").alias("z")).alias("run")))
+    now = rounds.keep(now.select(*VOXEL, F.struct("scan_id", "x", "y", F.col("_z").alias("z")).alias("run")))
     steps = [s for s in neighbours(connectivity) if s[:2] > (0, 0)]  # along z the runs have done it, and one of two directions is enough
     near = F.explode(F.array(*(F.struct((F.col("x") + i).alias("x"), (F.col("y") + j).alias("y"), (F.col("z") + k).alias("z")) for i, j, k in steps)))
     sent = now.select("scan_id", F.col("run").alias("a"), near.alias("_p")).select("scan_id", "a", "_p.*")
-    tied = _components(sent.join(now, VOXEL).select("a", F.col("run").alias("b")).distinct(), cut)
+    tied = _components(sent.join(now, VOXEL).select("a", F.col("run").alias("b")).distinct(), rounds)
     out = now.join(tied, F.col("run") == F.col("node"), "left").withColumn("_l", F.coalesce("component", "run"))
-    return cut(out.select(*VOXEL, F.struct(*(F.col(f"_l.{c}") for c in XYZ)).alias("label")))
+    done = rounds.keep(out.select(*VOXEL, F.struct(*(F.col(f"_l.{c}") for c in XYZ)).alias("label")))
+    rounds.drop(now, tied)
+    return done
 
 
-def largest_component(mask: DataFrame, connectivity: int = 1, **more) -> DataFrame:
-    found = labelled(mask, connectivity, **more)
+def largest_component(mask: DataFrame, connectivity: int = 1) -> DataFrame:
+    found = labelled(mask, connectivity)
     sizes = found.groupBy("scan_id", "label").agg(F.count("*").alias("n"))
     best = sizes.withColumn("_r", F.row_number().over(W.partitionBy("scan_id").orderBy(F.desc("n"), "label"))).filter("_r = 1")
     return found.join(best.select("scan_id", "label"), ["scan_id", "label"], "left_semi").select(VOXEL)
 
 
-def fill_holes(mask: DataFrame, grid: DataFrame, **more) -> DataFrame:
+def fill_holes(mask: DataFrame, grid: DataFrame) -> DataFrame:
     """The mask and the background components that do not touch the grid's border."""
     box = grid.groupBy("scan_id").agg(*(f(c).alias(f"{c}{i}") for c in XYZ for i, f in ((0, F.min), (1, F.max))))
-    back = labelled(grid.select(VOXEL).join(mask.select(VOXEL), VOXEL, "left_anti"), 1, **more).join(box, "scan_id")
+    back = labelled(grid.select(VOXEL).join(mask.select(VOXEL), VOXEL, "left_anti"), 1).join(box, "scan_id")
     edge = reduce(lambda a, b: a | b, [(F.col(c) == F.col(f"{c}0")) | (F.col(c) == F.col(f"{c}1")) for c in XYZ])
     open_ = back.filter(edge).select("scan_id", "label").distinct()
     return mask.select(VOXEL).union(back.join(open_, ["scan_id", "label"], "left_anti").select(VOXEL))
@@ -268,7 +292,7 @@ def straight_sides(mask: DataFrame) -> DataFrame:
     return rows.groupBy("scan_id").agg(F.max(broad & cut).alias("straight"))
 
 
-def mask_quality(mask: DataFrame, grid: DataFrame, spacing: Sequence[float] = (1, 1, 1), margin: float = 1.0, least_share: float = 0.8, **more) -> DataFrame:
+def mask_quality(mask: DataFrame, grid: DataFrame, spacing: Sequence[float] = (1, 1, 1), margin: float = 1.0, least_share: float = 0.8) -> DataFrame:
     """Per scan of the grid: volume, bounding box, voxels near each side of the grid, share of the largest component, reasons and a status.
 
     `invalid`: empty, under four voxels, a largest component below the least share, or the whole grid; `partial`: within the margin of a side (touch_* counts
@@ -279,7 +303,7 @@ def mask_quality(mask: DataFrame, grid: DataFrame, spacing: Sequence[float] = (1
     steps = dict(zip(XYZ, map(float, spacing)))
     touch = [F.count_if(F.abs(F.col(c) - F.col(f"g{c}{i}")) * steps[c] <= margin).alias(f"touch_{c}{i}") for c in XYZ for i in (0, 1)]
     found = box.join(m, "scan_id", "left").groupBy("scan_id", "_all").agg(F.count("x").alias("_n"), *(f(c).alias(f"{c}{i}") for c in XYZ for i, f in ((0, F.min), (1, F.max))), *touch)
-    parts = written(labelled(m, 1, **more), "quality")
+    parts = labelled(m, 1)
     sizes = parts.groupBy("scan_id", "label").agg(F.count("*").alias("_k"))
     best = sizes.withColumn("_r", F.row_number().over(W.partitionBy("scan_id").orderBy(F.desc("_k"), "label"))).filter("_r = 1").drop("_r")
     straight = straight_sides(parts.join(best.select("scan_id", "label"), ["scan_id", "label"], "left_semi"))

@@ -9,8 +9,8 @@ from stratiform.operators import voxels as X
 from stratiform.operators.compare import keys_of
 from stratiform.operators.errors import hooked
 from stratiform.operators.incremental import short_id, source_id
-from stratiform.operators.ordering import top
-from stratiform.operators.profile import path_columns
+from stratiform.operators.ordering import after_anchor, top
+from stratiform.operators.profile import group_statistics, label_coverage, path_columns
 from stratiform.queries.base import CANDIDATES, candidates, query, r6, table
 from stratiform.queries.images import _A, _VOX, _masks, _only
 from stratiform.queries.texts import _texts
@@ -59,7 +59,7 @@ def f18_identity(spark, sf_dir):
 
 @query(f"WITH {CANDIDATES} SELECT patient, yr, count(DISTINCT slot) AS n, list_sort(list(DISTINCT slot)) AS slots FROM candidates GROUP BY 1, 2")
 def a10_label_coverage(spark, sf_dir):
-    return candidates(spark, sf_dir).groupBy("patient", "yr").agg(F.count_distinct("slot").alias("n"), F.array_sort(F.collect_set("slot")).alias("slots"))
+    return label_coverage(candidates(spark, sf_dir), ["patient", "yr"], "slot").withColumnRenamed("labels", "slots")
 
 
 @query(f"WITH {CANDIDATES}, d AS (SELECT n, count(*) AS exams FROM (SELECT patient, yr, count(DISTINCT slot) AS n FROM candidates GROUP BY 1, 2) GROUP BY 1) SELECT range AS n, coalesce(exams, 0) AS exams FROM range(0, 5) LEFT JOIN d ON n = range")
@@ -69,7 +69,14 @@ def a11_coverage_distribution(spark, sf_dir):
 
 @query("SELECT o_custkey, year(o_orderdate) AS yr, round(avg(o_totalprice), 6) AS mean, round(median(o_totalprice), 6) AS median, min(o_totalprice) AS low, max(o_totalprice) AS high, count(*) AS n FROM orders GROUP BY 1, 2")
 def a13_group_statistics(spark, sf_dir):
-    return table(spark, sf_dir, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("yr")).agg(r6(F.avg("o_totalprice")).alias("mean"), r6(F.median("o_totalprice")).alias("median"), F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high"), F.count("*").alias("n"))
+    o = table(spark, sf_dir, "orders").withColumn("yr", F.year("o_orderdate"))
+    return group_statistics(o, ["o_custkey", "yr"], "o_totalprice").withColumns({c: r6(F.col(c)) for c in ("mean", "median")})
+
+
+@query("SELECT o_orderstatus, round(avg(o_totalprice), 6) AS mean, round(median(o_totalprice), 6) AS median, min(o_totalprice) AS low, max(o_totalprice) AS high, count(*) AS n FROM orders GROUP BY 1")
+def a13_statistics_of_large_groups(spark, sf_dir):
+    """A few groups of many rows, as modalities are."""
+    return group_statistics(table(spark, sf_dir, "orders"), ["o_orderstatus"], "o_totalprice").withColumns({c: r6(F.col(c)) for c in ("mean", "median")})
 
 
 @query("SELECT 'all' AS stage, count(*) AS rows FROM orders UNION ALL SELECT 'open', count(*) FROM orders WHERE o_orderstatus = 'O'")
@@ -87,10 +94,9 @@ def j05_right_join(spark, sf_dir):
 
 @query("SELECT DISTINCT a.doc_id FROM documents a JOIN documents b ON a.source = b.source AND a.lang = b.lang WHERE b.doc_id % 50 = 0 AND a.doc_id > b.doc_id")
 def j14_anchored_rows(spark, sf_dir):
-    """Rows after the first anchor of their protocol: a window minimum instead of a self join."""
+    """Rows after the first anchor of their protocol: a few large groups, and no self join."""
     d = table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
-    first = F.min(F.when(F.col("doc_id") % 50 == 0, F.col("doc_id"))).over(W.partitionBy("source", "lang"))
-    return d.withColumn("first", first).filter("doc_id > first").select("doc_id")
+    return after_anchor(d, ["source", "lang"], "doc_id", F.col("doc_id") % 50 == 0).select("doc_id")
 
 
 @query("""SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 4 ELSE 99 END, lower(o_orderpriority), o_orderkey) AS place FROM orders""")
@@ -225,7 +231,7 @@ def x02_mask_program(spark, sf_dir):
 @query(f"WITH {_VOX}, {_A} SELECT scan_id, count(*) AS n FROM (SELECT scan_id, x, y, z FROM a EXCEPT SELECT scan_id, x, y, z FROM vox WHERE value > 0.05 OR (x = 0 AND value > -0.1)) GROUP BY 1")
 def x06_organ_minus_tumor(spark, sf_dir):
     _, m = _masks(spark, sf_dir)
-    return _only(m, "a").join(_only(m, "b"), X.VOXEL, "left_anti").groupBy("scan_id").agg(F.count("*").alias("n"))
+    return X.combine(m, ["a", "b"], "difference").groupBy("scan_id").agg(F.count("*").alias("n"))
 
 
 @query(f"""WITH RECURSIVE {_VOX}, m AS (SELECT scan_id, x, y, z FROM vox WHERE value > 0.05 OR (x = 0 AND value > -0.1)), n6 AS (SELECT * FROM (VALUES (1,0,0),(-1,0,0),(0,1,0),(0,-1,0),(0,0,1),(0,0,-1)) t(i,j,k)),

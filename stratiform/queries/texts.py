@@ -6,6 +6,7 @@ from stratiform.functions import clock as D
 from stratiform.functions import text as T
 from stratiform.functions import vectors as V
 from stratiform.operators import phases as P
+from stratiform.operators.tables import interval_join
 from stratiform.queries.base import query, r6, table
 
 _ACC, _PLAIN = T.ACCENTED, T.PLAIN
@@ -227,10 +228,11 @@ def r06_needs_strategy(spark, sf_dir):
     return P.needs(_chain(spark, sf_dir), _CHAIN, "prediction").select("o_orderkey")
 
 
-@query("""SELECT o_orderkey, CASE WHEN s BETWEEN 60 AND 90 THEN 'PORTAL_VENOUS' WHEN s BETWEEN 20 AND 35 THEN 'ARTERIAL' WHEN s BETWEEN 180 AND 900 THEN 'DELAYED' END AS phase FROM (SELECT o_orderkey, o_totalprice / 500 AS s FROM orders)""")
+@query("""WITH w AS (SELECT * FROM (VALUES ('PORTAL_VENOUS', 60, 90), ('ARTERIAL', 20, 35), ('DELAYED', 180, 900), ('LATE', 600, 1200), ('EDGE', 90, 90)) t(phase, low, high)), o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN 90 WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_totalprice / 200 END AS s FROM orders)
+SELECT o_orderkey, CASE WHEN count(phase) = 1 THEN min(phase) END AS phase FROM o LEFT JOIN w ON s BETWEEN low AND high GROUP BY 1""")
 def j13_interval_join(spark, sf_dir):
-    """Windows as a table of fixed size, joined by range; a row in no or several windows has none."""
-    windows = spark.createDataFrame([(n, float(a), float(b)) for n, (a, b) in P.WINDOWS.items()], "phase string, low double, high double")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_totalprice") / 500).alias("s"))
-    met = o.join(F.broadcast(windows), F.col("s").between(F.col("low"), F.col("high")), "left")
-    return met.groupBy("o_orderkey").agg(F.when(F.count_distinct("phase") == 1, F.min("phase")).alias("phase"))
+    """A table of windows that overlap and touch; a row in no or several windows has none."""
+    windows = spark.createDataFrame([*((n, float(a), float(b)) for n, (a, b) in P.WINDOWS.items()), ("LATE", 600.0, 1200.0), ("EDGE", 90.0, 90.0)], "phase string, low double, high double")
+    k = F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.when(k % 9 == 0, 90.0).when(k % 11 == 0, None).otherwise(F.col("o_totalprice") / 200).alias("s"))
+    return interval_join(o, "s", windows, "phase").select("o_orderkey", "phase")

@@ -86,3 +86,17 @@ def test_ranks_by_pieces(spark, monkeypatch):
         counts = ranks.cumulated(df, ["g"], sides=side)
         results.append((sorted(map(str, counts.collect())), sorted(map(str, ranks.percentiles_of(counts, ["g"], (0, 0.3, 1)).collect())), sorted(map(str, ranks.percentiles_of(counts.filter("_n_odd > 0"), ["g"], (0.5,), side="_odd").collect()))))
     assert results[0] == results[1] and len(results[0][1]) == 4
+
+
+def test_intervals_and_anchors(spark):
+    from stratiform.operators import tables
+
+    windows = spark.createDataFrame([("a", 0.0, 10.0), ("b", 10.0, 20.0), ("c", 15.0, 16.0), ("d", 30.0, 30.0)], "name string, low double, high double")
+    want = {-1.0: None, 0.0: "a", 9.9: "a", 10.0: None, 10.1: "b", 15.0: None, 15.5: None, 16.0: None, 16.5: "b", 20.0: "b", 25.0: None, 30.0: "d", 30.1: None, None: None}
+    df = spark.createDataFrame([(v,) for v in want], "v double")
+    assert {r["v"]: r["name"] for r in tables.interval_join(df, "v", windows, "name").collect()} == want
+    assert {r["name"] for r in tables.interval_join(df, "v", windows.limit(0), "name").collect()} == {None}
+    rows = spark.createDataFrame([("g", 1, False), ("g", 2, True), ("g", 3, False), ("g", 4, True), ("h", 1, False), (None, 1, True), (None, 2, False)], "g string, at int, anchor boolean")
+    assert sorted((r["g"], r["at"]) for r in ordering.after_anchor(rows, ["g"], "at", F.col("anchor")).collect()) == [("g", 3), ("g", 4)]
+    stats = {r["g"]: (r["n"], r["mean"], r["median"], r["low"], r["high"]) for r in profile.group_statistics(rows, ["g"], "at").collect()}
+    assert stats == {"g": (4, 2.5, 2.5, 1.0, 4.0), "h": (1, 1.0, 1.0, 1.0, 1.0), None: (2, 1.5, 1.5, 1.0, 2.0)}
