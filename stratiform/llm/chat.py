@@ -10,7 +10,8 @@ assistant turns: +1 where such a segment begins, -1 where it ends, and a prefix
 
 Encoding is a map over rows, before any shuffle. `digests` reads the result back: rows are brought
 together by conversation and sorted by turn, and a task streams over them with running hashes, one conversation's state at a time; so a
-conversation of any length needs constant memory. Its hash is sequential by nature, all other work on it is spread.
+conversation of any length needs constant memory, but that distinct rows with one turn, one role and the same first 40 characters are held together until their texts
+are put in order. Its hash is sequential by nature, all other work on it is spread.
 
 Defined cases: null texts and roles are empty. Rows of a conversation go by turn (null first), ties by role, then text; repeated rows
 all count. A null conv_id is a conversation. An empty table has no conversations. Extra columns are ignored.

@@ -281,6 +281,7 @@ class WrittenModel:
     """The probabilities of Model for counts of any size, as tables in the shared folder: for each order the n-grams and the contexts,
 
     each with a list of (language, value) of the languages that have it. A list is bounded by the languages, a window by the 16-bit characters.
+    Texts meet them by n-gram: a hot n-gram is one row on the tables' side, and its many rows on the texts' side are left to the adaptive split of skewed joins.
     """
 
     def __init__(self, counts: DataFrame, langs: list[str]) -> None:

@@ -10,6 +10,9 @@ only if complementary parts are in its scope:
     ident     with a secret (assign, weak)
     endpoint  with a secret and an identifier
 
+A distance and not a block is the scope, as texts are of all kinds: parts of one configuration, log line or letter stand near each other whatever marks it has, and a
+block that brackets or blank lines would make is longer or shorter than that as it happens.
+
 The join is a sorted sweep per role: for each part the nearest part of the other role on either side decides, so a
 text with n parts costs n log n, and no pair list is made. Each row is scanned whole and on its own, with no shuffle.
 
