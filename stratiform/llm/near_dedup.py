@@ -130,7 +130,7 @@ _SIGNED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_shingles",
 def _signatures(batches: Iterator[pa.RecordBatch], key: Key) -> Iterator[pa.RecordBatch]:
     row = TaskContext.get().partitionId() << 33
     for batch in batches:
-        for a, b in text_slices(batch, "text", 700_000):
+        for a, b in text_slices(batch, "text", 400_000):
             part = batch.slice(a, b - a)
             offsets, data = offsets_of(part.column(1))
             sets = shingle_sets(data, offsets, key)
@@ -195,8 +195,12 @@ def possible(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b: ids of the pairs that are links by their full sets. A set goes to each of its pairs; a hot lead's pairs are split by the adaptive join."""
-    met = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+    """a, b: ids of the pairs that are links by their full sets. A set goes to each of its pairs; a hot lead's pairs are split by the adaptive join.
+
+    Both joins are merge joins whatever the size of `pairs`: so the work grows in proportion, and doesn't change its kind where pairs become too many to broadcast.
+    """
+    of = lambda end, name: sets.select(F.col("node").alias(end), F.col("shingles").alias(name)).hint("merge")
+    met = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
