@@ -273,7 +273,7 @@ def near_dedup(docs: DataFrame, percent: int = 85, beside: Sequence[str] = ()) -
 
     bands = heads.select("node", F.explode("bands").alias("band"))
     leads = bands.groupBy("band").agg(F.min("node").alias("lead"), F.count("*").alias("members")).filter("members > 1")
-    met = written(bands.join(leads, "band"), "near-bands")
+    met = written(bands.join(leads.hint("merge"), "band"), "near-bands")  # never broadcast: leads grow with the table
     heads = written(heads.drop("bands").join(met.select("node").distinct(), "node", "left_semi"), "near-shared")
     pairs = met.filter("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
     pairs = written(possible(pairs, heads, percent), "near-pairs")
