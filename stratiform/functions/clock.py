@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stratiform.functions.text import SEP
+from stratiform.functions.text import SEP, once
 
 
 def date(c: Column) -> Column:
@@ -84,7 +84,10 @@ def without_durations(text: Column) -> Column:
 
 def durations(text: Column) -> Column:
     """All durations of a text in seconds: m:ss, 2h05, 1 min 31 s, 45 sec, decimal comma or point."""
-    marked = with_marks(text)
-    hours, minutes, seconds = (F.regexp_extract_all(marked, F.lit(MARKED_DURATION), F.lit(i)) for i in (1, 2, 3))
     value = lambda c: F.coalesce(F.regexp_replace(c, ",", ".").try_cast("double"), F.lit(0.0))
-    return F.transform(F.arrays_zip(hours.alias("h"), minutes.alias("m"), seconds.alias("s")), lambda x: value(x["h"]) * 3600 + value(x["m"]) * 60 + value(x["s"]))
+
+    def told(marked: Column) -> Column:
+        hours, minutes, seconds = (F.regexp_extract_all(marked, F.lit(MARKED_DURATION), F.lit(i)) for i in (1, 2, 3))
+        return F.transform(F.arrays_zip(hours.alias("h"), minutes.alias("m"), seconds.alias("s")), lambda x: value(x["h"]) * 3600 + value(x["m"]) * 60 + value(x["s"]))
+
+    return once(with_marks(text), told)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -45,6 +45,11 @@ ORDINAL = rf"ph(?:ase)?{SEP}([1-9]\d*)(?!\d)"
 VOCABULARY["derived"] = "|".join(VOCABULARY[n] for n in ("key_images", "subtraction", "mip_mpr", "quantitative"))
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value evaluated once for a row, however often `use` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def token(*patterns: str) -> str:
     """A whole term in any case; letters and digits of any script are inside a term, underscores are not."""
     return rf"(?iu)(?<![\p{{L}}\p{{N}}])(?:{'|'.join(patterns)})(?![\p{{L}}\p{{N}}])"

@@ -1,6 +1,7 @@
 """Cases that the tables do not hold: odd values, validation, small grids."""
 
 import datetime
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -311,3 +312,8 @@ def test_ranks_and_percentiles(spark):
     before = {(r["g"], r["value"]): (r["_before"], r["_k"]) for r in ranks.cumulated(df, ["g"]).collect()}
     assert before == {(k, float(v)): (int((vs < v).sum()), int((vs == v).sum())) for k, vs in values.items() for v in set(vs)}
     assert ranks.cumulated(df.limit(0), ["g"]).count() == 0 == ranks.percentiles(df.limit(0), ["g"], (0.5,)).count()
+
+
+def test_texts_are_marked_once(spark):
+    """The marked text, the spans and the names are evaluated once for a text, not by every use; regular expressions per text stay few."""
+    assert str(phases.phases_in_order(F.col("t"))).count("regexp_") < 100
