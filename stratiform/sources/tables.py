@@ -19,7 +19,8 @@ from stratiform.sources.publish import publish, publish_all, published, resolved
 
 
 def read_csv(spark: SparkSession, paths: Sequence[str] | str, columns: Sequence[str], wanted: Sequence[str] | None = None, sep: str = ",", by_position: bool = False) -> DataFrame:
-    """Delimited text with the given header as strings; only the wanted columns. The files' own headers are checked, unless columns go by position."""
+    """Delimited text with the given header as strings; only the wanted columns. The files' own headers are checked, unless columns go by position. Of a published table the current version is read."""
+    paths = resolved(spark, paths) if isinstance(paths, str) else [resolved(spark, p) for p in paths]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     df = spark.read.schema(schema).option("header", True).option("sep", sep).option("enforceSchema", by_position).csv(paths)
     return df.select(*(f"`{c}`" for c in wanted if c in columns)) if wanted else df
@@ -32,7 +33,7 @@ def header_of(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
 
 
 def first_line(spark: SparkSession, path: str) -> str:
-    line = spark.read.text(path).limit(1).collect()
+    line = spark.read.text(resolved(spark, path)).limit(1).collect()
     return line[0][0].removeprefix("\ufeff") if line else ""
 
 

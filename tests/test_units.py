@@ -317,3 +317,14 @@ def test_ranks_and_percentiles(spark):
 def test_texts_are_marked_once(spark):
     """The marked text, the spans and the names are evaluated once for a text, not by every use; regular expressions per text stay few."""
     assert str(phases.phases_in_order(F.col("t"))).count("regexp_") < 100
+
+
+
+def test_published_csv_is_read(spark):
+    """header_of, first_line and read_csv find the current version of a saved table."""
+    path = tempfile.mkdtemp(prefix="spark-") + "/t.csv"
+    for k in (1, 2):
+        sources.save(spark.createDataFrame([(k, "a,b"), (k + 10, "c")], "n int, t string"), path, "csv")
+    assert sources.header_of(spark, path) == ["n", "t"]
+    for of in (path, [path]):
+        assert sorted(map(tuple, sources.read_csv(spark, of, ["n", "t"], ["n", "t"]).collect())) == [("12", "c"), ("2", "a,b")]
