@@ -175,7 +175,7 @@ def g01_standardised(spark, sf_dir):
 _NORMAL = f"{_VEC}, c AS (SELECT vec_id, p, o[2] * o[6] - o[3] * o[5] AS x, o[3] * o[4] - o[1] * o[6] AS y, o[1] * o[5] - o[2] * o[4] AS z FROM v), n AS (SELECT vec_id, p, x / sqrt(x*x + y*y + z*z) AS x, y / sqrt(x*x + y*y + z*z) AS y, z / sqrt(x*x + y*y + z*z) AS z FROM c)"
 
 
-@query(f"WITH {_NORMAL}, m AS (SELECT vec_id, greatest(abs(x), abs(y), abs(z)) AS top, abs(x) AS x, abs(y) AS y FROM n), a AS (SELECT vec_id, degrees(acos(least(1.0, top))) AS angle, CASE top WHEN x THEN 1 WHEN y THEN 2 ELSE 3 END AS k FROM m) SELECT vec_id, round(angle, 6) AS angle, ['X', 'Y', 'Z'][k] AS axis, CASE WHEN angle > 25 THEN 'OBL' ELSE ['SAG', 'COR', 'AX'][k] END AS plane FROM a")
+@query(f"WITH {_NORMAL}, m AS (SELECT vec_id, greatest(abs(x), abs(y), abs(z)) AS top, abs(x) AS x, abs(y) AS y FROM n), a AS (SELECT vec_id, degrees(acos(least(1.0, top))) AS angle, CASE top WHEN x THEN 1 WHEN y THEN 2 ELSE 3 END AS k FROM m) SELECT vec_id, round(angle, 6) AS angle, ['X', 'Y', 'Z'][k] AS axis, CASE WHEN angle > 25 AND abs(angle - 25) > 1e-6 + 1e-5 * 25 THEN 'OBL' ELSE ['SAG', 'COR', 'AX'][k] END AS plane FROM a")
 def g03_plane(spark, sf_dir):
     p = V.plane(F.col("o"), 25.0)
     return _vectors(spark, sf_dir).select("vec_id", r6(p["angle"]).alias("angle"), p["axis"].alias("axis"), p["plane"].alias("plane"))

@@ -319,6 +319,27 @@ def test_texts_are_marked_once(spark):
     assert str(phases.phases_in_order(F.col("t"))).count("regexp_") < 100
 
 
+def test_oblique_ties(spark):
+    """Angles at the threshold: the query and its SQL call the same ones oblique."""
+    import duckdb
+    import math
+    from stratiform.queries.base import ORACLE_SQL
+    from stratiform.queries.texts import g03_plane
+
+    def six(angle):
+        t = math.radians(angle)
+        return [math.cos(t), 0.0, -math.sin(t), 0.0, 1.0, 0.0, 0.0, 0.0, 0.0]
+
+    angles = [24.9, 25.0, 25.0001, 25.0002, 25.0003, 25.1, 40.0, -25.0001]
+    folder = tempfile.mkdtemp(prefix="spark-")
+    spark.createDataFrame([(i, six(a)) for i, a in enumerate(angles)], "vec_id long, embedding array<double>").coalesce(1).write.parquet(f"{folder}/embeddings.parquet")
+    got = sorted(map(tuple, g03_plane(spark, folder).select("vec_id", "plane").collect()))
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{folder}/embeddings.parquet/*.parquet'")
+    assert got == sorted(con.execute(f"select vec_id, plane from ({ORACLE_SQL['g03_plane']})").fetchall())
+    assert [p for _, p in got] == ["AX", "AX", "AX", "AX", "OBL", "OBL", "OBL", "AX"]
+
+
 
 def test_published_csv_is_read(spark):
     """header_of, first_line and read_csv find the current version of a saved table."""
