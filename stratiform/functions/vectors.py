@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from stratiform.functions.text import once
+
 
 def parsed(c: Column, size: int | None = None) -> Column:
     """Numbers of `[a, b]`, `(a, b)`, `a\\b`; null if one cannot be read or there are fewer than `size`."""
@@ -38,28 +40,32 @@ def standardised(v: Column, tolerance: float = 1e-6, decimals: int = 3) -> Colum
 
 def normal(v: Column) -> Column:
     """The unit normal of the plane that a 6-vector spans; null if it spans none."""
-    r, c = [part(v, i) for i in (1, 2, 3)], [part(v, i) for i in (4, 5, 6)]
-    n = F.array(r[1] * c[2] - r[2] * c[1], r[2] * c[0] - r[0] * c[2], r[0] * c[1] - r[1] * c[0])
-    size = norm(n, range(1, 4))
-    return F.when((F.size(v) == 6) & (size > 0), F.transform(n, lambda x: x / size))
+
+    def cross(v: Column) -> Column:
+        r, c = [part(v, i) for i in (1, 2, 3)], [part(v, i) for i in (4, 5, 6)]
+        return F.array(r[1] * c[2] - r[2] * c[1], r[2] * c[0] - r[0] * c[2], r[0] * c[1] - r[1] * c[0])
+
+    unit = lambda n: once(norm(n, range(1, 4)), lambda size: F.when(size > 0, F.transform(n, lambda x: x / size)))
+    return once(v, lambda v: F.when(F.size(v) == 6, once(cross(v), unit)))
 
 
 def plane(v: Column, threshold: float = 10.0) -> Column:
-    """(plane, angle, axis): the axis nearest to the normal; OBL if the angle is over the threshold (a tie is not)."""
-    n = F.transform(normal(v), F.abs)
-    top = F.array_max(n)
-    at = F.array_position(n, top)
-    angle = F.degrees(F.acos(F.least(F.lit(1.0), top)))
-    name = lambda *x: F.element_at(F.array(*map(F.lit, x)), at.cast("int"))
-    tie = F.abs(angle - threshold) <= 1e-6 + 1e-5 * abs(threshold)
-    kind = F.when((angle > threshold) & ~tie, "OBL").otherwise(name("SAG", "COR", "AX"))
-    return F.when(n.isNotNull(), F.struct(kind.alias("plane"), angle.alias("angle"), name("X", "Y", "Z").alias("axis")))
+    """(plane, angle, axis): the axis nearest to the normal; OBL if the angle is over the threshold (a tie, within 1e-6 + 1e-5 of the threshold, is not)."""
+
+    def named(n: Column, top: Column, angle: Column) -> Column:
+        name = lambda *x: F.element_at(F.array(*map(F.lit, x)), F.array_position(n, top).cast("int"))
+        tie = F.abs(angle - threshold) <= 1e-6 + 1e-5 * abs(threshold)
+        kind = F.when((angle > threshold) & ~tie, "OBL").otherwise(name("SAG", "COR", "AX"))
+        return F.struct(kind.alias("plane"), angle.alias("angle"), name("X", "Y", "Z").alias("axis"))
+
+    of = lambda n: once(F.array_max(n), lambda top: once(F.degrees(F.acos(F.least(F.lit(1.0), top))), lambda angle: named(n, top, angle)))
+    return once(F.transform(normal(v), F.abs), lambda n: F.when(n.isNotNull(), of(n)))
 
 
 def coordinate(position: Column, orientation: Column, location: Column) -> Column:
     """Position along the normal, else the given location."""
-    n = normal(orientation)
-    return F.coalesce(reduce(lambda a, b: a + b, [part(position, i) * part(n, i) for i in (1, 2, 3)]), location)
+    along = once(normal(orientation), lambda n: reduce(lambda a, b: a + b, [part(position, i) * part(n, i) for i in (1, 2, 3)]))
+    return F.coalesce(along, location)
 
 
 def slice_key(x: Column, tolerance: float) -> Column:

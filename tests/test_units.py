@@ -340,6 +340,9 @@ def test_oblique_ties(spark):
     assert [p for _, p in got] == ["AX", "AX", "AX", "AX", "OBL", "OBL", "OBL", "AX"]
 
 
+def test_normal_is_computed_once(spark):
+    assert str(vectors.normal(F.col("v"))).count("element_at") < 50
+
 
 def test_published_csv_is_read(spark):
     """header_of, first_line and read_csv find the current version of a saved table."""
