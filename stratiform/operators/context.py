@@ -16,7 +16,7 @@ from stratiform.functions.rules import number
 from stratiform.operators import curation as C
 from stratiform.operators import phases as P
 from stratiform.operators.ordering import chronology
-from stratiform.shared import written
+from stratiform.shared import spread, written
 
 #: Fixed: families of dynamic T1 protocols; the first that the text names counts.
 FAMILIES = {
@@ -182,7 +182,7 @@ def in_context(df: DataFrame, exam: Sequence[str], volume: str, texts: Sequence[
     free = (F.col("_source") != "dicom_phase_conflict") & ~F.col("_anchored")
     guards = ["mri_sequence", *(c for c in ("Rows", "Columns", "FrameOfReferenceUID") if c in names)]
     exam_of = F.struct(*(F.col(f"protocol.{c}") for c in exam))
-    df = df.withColumn("_exam", exam_of).repartition("_exam")
+    df = spread(df.withColumn("_exam", exam_of), "_exam")
     df = _ruled(df, "acquisition_phase", lambda d: C.share_labels(d, ["_exam", "_acquisition"], "_label", F.col("_source").isin("explicit_text", "dicom_phase", "strategy_context"), guards), free & F.col("_t1"))
     df = _ruled(df, "container_order", _contained, free & F.col("_t1"))
     df = _ruled(df, "exam_context", _native, free)
@@ -208,6 +208,7 @@ def curate(df: DataFrame, exam: Sequence[str], volume: str, chain: Mapping, text
     `texts` are the text columns in order of precedence, or such lists by modality; a modality that isn't named has the usual ones.
     """
     of = lambda m: texts.get(m, C.TEXT_COLUMNS) if isinstance(texts, Mapping) else texts
+    df = spread(df, *exam)  # before the texts are read: a small file has many rows
     modality = T.modality(F.coalesce(C._col(df, "Modality"), F.lit("CT")))
     ct = P.resolve(C.annotate_ct(df.filter(modality == "CT"), of("CT")), chain)
     ct = ct.withColumns({"selection_slot": F.col("phase"), "selection_score": C.score_ct(ct)})

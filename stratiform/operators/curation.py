@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -263,26 +264,32 @@ TEMPLATE = ("NATIVE", "ARTERIAL", "PORTAL_VENOUS", "DELAYED")
 def fold_phases(df: DataFrame, group: Sequence[str], order: str, known: str, elapsed: str) -> DataFrame:
     """Rows of a group in order: known phases are anchors; others take the next phase of the template that is later than the
 
-    one before, allowed by their elapsed time, and not beyond the next anchor. A group is one exam's dynamic series (a few volumes).
+    one before, allowed by their elapsed time, and not beyond the next anchor. A group is one exam's dynamic series (a few volumes): its rows are
+    listed, folded and dealt out again, without a join, so rows dealt by a part of the group's key stay where they are.
     """
     place = F.array_position(F.array(*map(F.lit, TEMPLATE)), F.col(known))
     w = W.partitionBy(*group).orderBy(order)
     bound = F.min(F.when(place > 0, place)).over(w.rowsBetween(1, W.unboundedFollowing))
-    rows = df.withColumns({"_place": F.nullif(place, F.lit(0)).cast("int"), "_bound": bound.cast("int")})
-    items = F.array_sort(F.collect_list(F.when(F.col(order).isNotNull(), F.struct(order, "_place", F.coalesce("_bound", F.lit(5)).alias("_bound"), elapsed))))  # a row without a place is no step
-    zero = F.struct(F.lit(0).alias("last"), F.array().cast(f"array<struct<{order}:{dict(df.dtypes)[order]},phase:int>>").alias("out"))
+    rows = df.withColumns({"_place": F.nullif(place, F.lit(0)).cast("int"), "_bound": F.coalesce(bound.cast("int"), F.lit(5))})
+    listed = rows.groupBy(*group).agg(F.collect_list(F.struct(*(F.col(f"`{c}`") for c in rows.columns if c not in group))).alias("_rows"))
+    given = F.transform("_rows", lambda x, i: F.struct(x[order].alias("at"), i.alias("i"), x["_place"].alias("place"), x["_bound"].alias("bound"), x[elapsed].alias("sec")))
+    items = F.array_sort(F.filter(given, lambda x: x["at"].isNotNull()))  # a row without a place is no step
+    without = F.transform(F.filter(given, lambda x: x["at"].isNull()), lambda x: F.struct(x["i"].alias("i"), F.lit(None).cast("int").alias("phase")))
+    zero = F.struct(F.lit(0).alias("last"), F.array().cast("array<struct<i:int,phase:int>>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         nxt = acc["last"] + 1
-        sec = x[elapsed]
+        sec = x["sec"]
         timed = F.lit(None).cast("int")
         for i, name in enumerate(TEMPLATE, 1):
             if name in P.WINDOWS:
                 timed = F.when(sec.between(*P.WINDOWS[name]), i).otherwise(timed)
         guess = F.when(timed >= nxt, timed).when(sec.isNull() | (acc["last"] == 0), nxt)
-        got = F.coalesce(x["_place"], F.when((guess < x["_bound"]) & (guess <= len(TEMPLATE)), guess))
-        return F.struct(F.coalesce(got, acc["last"]).cast("int").alias("last"), F.concat(acc["out"], F.array(F.struct(x[order].alias(order), got.cast("int").alias("phase")))).alias("out"))
-
-    folded = rows.groupBy(*group).agg(F.aggregate(items, zero, step, lambda acc: acc["out"]).alias("_o"))
-    flat = folded.select(*group, F.explode("_o").alias("_x")).select(*group, F.col(f"_x.{order}").alias(order), F.try_element_at(F.array(*map(F.lit, TEMPLATE)), F.col("_x.phase")).alias("folded_phase"))
-    return df.join(flat, [*group, order], "left")
+        got = F.coalesce(x["place"], F.when((guess < x["bound"]) & (guess <= len(TEMPLATE)), guess))
+        return F.struct(F.coalesce(got, acc["last"]).cast("int").alias("last"), F.concat(acc["out"], F.array(F.struct(x["i"].alias("i"), got.cast("int").alias("phase")))).alias("out"))
+
+    phases = F.array_sort(F.concat(F.aggregate(items, zero, step, lambda acc: acc["out"]), without))
+    flat = listed.select(*group, F.explode(F.arrays_zip(F.col("_rows").alias("row"), phases.alias("found"))).alias("_x"))
+    whole = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in group))  # null keys are equal to none
+    folded = F.when(whole, F.try_element_at(F.array(*map(F.lit, TEMPLATE)), F.col("_x.found.phase")))
+    return flat.select(*(c if c in group else F.col(f"_x.row.`{c}`").alias(c) for c in df.columns), folded.alias("folded_phase"))

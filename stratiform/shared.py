@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 _LOCAL: dict[str, str] = {}
@@ -25,6 +25,19 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Rows of a partition that spread() aims at: wide rows go through several sorts of a task at once.
+ROWS = 50_000
+
+
+def spread(df: DataFrame, *by: str | Column, rows: int = ROWS, count: int | None = None) -> DataFrame:
+    """df dealt by columns to partitions of some `rows` rows, counted first unless the count is given: as a table grows there are more tasks, not larger ones.
+
+    The number is given, so adaptive execution doesn't join partitions that are small on disk only; a session's parallelism is the least.
+    """
+    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-(df.count() if count is None else count) // rows))
+    return df.repartition(n, *by)
+
+
 def written_at(df: DataFrame, name: str = "table", by: Sequence[str] = ()) -> tuple[DataFrame, str]:
     """df as a Parquet table in the shared folder (in a folder for each value of the columns `by`), and its path."""
     path = scratch(df.sparkSession, name)

@@ -352,3 +352,24 @@ def test_published_csv_is_read(spark):
     assert sources.header_of(spark, path) == ["n", "t"]
     for of in (path, [path]):
         assert sorted(map(tuple, sources.read_csv(spark, of, ["n", "t"], ["n", "t"]).collect())) == [("12", "c"), ("2", "a,b")]
+
+
+def test_context_joins_nothing_and_is_dealt_by_rows(spark, monkeypatch):
+    """The rules of an exam run where its rows are dealt to, in as many partitions as their number needs."""
+    from stratiform import shared
+    from stratiform.operators import context
+
+    monkeypatch.setattr(shared.spread, "__kwdefaults__", {**shared.spread.__kwdefaults__, "rows": 5})
+    rows = spark.createDataFrame([(i // 3, f"v{i}", "T1 vibe dyn", "MR", i) for i in range(60)], "patient int, volume string, SeriesDescription string, Modality string, time_seconds int")
+    out = context.in_context(curation.annotate_mr(rows), ["patient"], "volume")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "RepartitionByExpression" in plan
+    assert out.rdd.getNumPartitions() == 12
+
+
+def test_fold_of_ties_and_rows_without_a_place(spark):
+    """Every row comes back once: ones without a place, ones that share a place, and ones whose key is null, which have no phase."""
+    rows = [(1, 1, "NATIVE", 0.0), (1, 2, None, 25.0), (1, 2, None, 70.0), (1, None, None, 200.0), (None, 1, None, 0.0)]
+    out = curation.fold_phases(spark.createDataFrame(rows, "g int, at int, known string, sec double"), ["g"], "at", "known", "sec")
+    got = sorted((tuple(r) for r in out.select("g", "sec", "folded_phase").collect()), key=str)
+    assert got == sorted([(1, 0.0, "NATIVE"), (1, 25.0, "ARTERIAL"), (1, 70.0, "PORTAL_VENOUS"), (1, 200.0, None), (None, 0.0, None)], key=str)
