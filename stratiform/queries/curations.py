@@ -9,7 +9,7 @@ from stratiform.operators import tables as T
 from stratiform.plans import steps as L
 from stratiform.queries.base import query, r6, table
 from stratiform.queries.texts import _MEANT, _PLANES, _TEXTS, _case
-from stratiform.shared import scratch
+from stratiform.shared import scratch, spread
 from stratiform.sources import tables as S
 from stratiform.sources.publish import published
 from stratiform.streaming.index import build_index
@@ -96,7 +96,8 @@ _SERIES = {"view": "AX T1 vibe", "click": "AX T1 vibe arterial", "purchase": "T1
 def _mr_exams(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     text = F.element_at(F.create_map(*[F.lit(x) for pair in _SERIES.items() for x in pair]), F.col("event_type"))
-    return C.annotate_mr(e.select("event_id", F.col("user_id").alias("patient_key"), F.to_date("ts").alias("date"), F.unix_timestamp("ts").alias("time_seconds"), text.alias("SeriesDescription"), F.lit("MR").alias("Modality")))
+    rows = e.select("event_id", F.col("user_id").alias("patient_key"), F.to_date("ts").alias("date"), F.unix_timestamp("ts").alias("time_seconds"), text.alias("SeriesDescription"), F.lit("MR").alias("Modality"))
+    return C.annotate_mr(spread(rows, "patient_key", "date"))
 
 
 @query("""WITH e AS (SELECT event_id, user_id, CAST(ts AS DATE) AS d, event_type AS t FROM events),
@@ -132,7 +133,7 @@ def c19_every_rule(spark, sf_dir):
     n = kinds.groupBy("kind").agg(F.count("volume_order_in_series").alias("n_volumes_in_series"))
     c = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_custkey") % len(_EXAMS)).cast("int").alias("kind"))
     rows = c.join(kinds.join(n, "kind"), "kind").withColumns({"volume": F.concat_ws("/", "c_custkey", "k"), "Modality": F.lit("MR"), "n_volumes_in_series": F.when(F.col("volume_order_in_series").isNotNull(), F.col("n_volumes_in_series"))})
-    done = PH.resolve(X.in_context(C.annotate_mr(rows), ["c_custkey"], "volume", chain=_AHEAD), _AHEAD)
+    done = PH.resolve(X.in_context(C.annotate_mr(spread(rows, "c_custkey")), ["c_custkey"], "volume", chain=_AHEAD), _AHEAD)
     return done.select("c_custkey", "k", "rule_phase", F.col("mri_perfusion_source").alias("source"), F.col("mri_perfusion_confidence").alias("confidence"), F.when(F.col("mri_sequence") == "T1", F.col("phase")).otherwise("OTHER").alias("resolved"), F.when(F.col("phase_status") == "NOT_APPLICABLE", "unresolved").otherwise(F.col("phase_source")).alias("resolved_by"))
 
 
