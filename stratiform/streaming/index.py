@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratiform.operators.ordering import top
-from stratiform.shared import discard, written_at
+from stratiform.shared import discard, spread, written_at
 from stratiform.sources.publish import current, settle
 
 BUCKETS = 64
+#: Rows of the index that one task sorts and writes.
+ROWS = 1_000_000
 
 
 def _followed(spark: SparkSession, source: str, schema: str, checkpoint: str, files_per_batch: int, write: Callable[[DataFrame, int], None]) -> int:
@@ -40,7 +42,7 @@ def build_index(spark: SparkSession, source: str, schema: str, target: str, chec
 def merge_batch(batch: DataFrame, target: str, keys: Sequence[str], latest: Sequence[str], number: int, buckets: int = BUCKETS) -> bool:
     """Merges a batch into the index at `target`, which has the last row of each key: that of the latest batch, within it that with the greatest `latest`.
 
-    Rows live in buckets by key. Only the buckets that a batch has keys of are read and written again, under new names; the manifest that is put in
+    Rows live in buckets by key. Only the buckets that a batch has keys of are read and written again, under new names, by as many tasks as their rows need; the manifest that is put in
     place last names the folder of every bucket and the batch, so a run that is lost changes nothing and a batch that is replayed is known and left out (false).
     Columns that a later batch brings are null in rows from before.
     """
@@ -49,20 +51,23 @@ def merge_batch(batch: DataFrame, target: str, keys: Sequence[str], latest: Sequ
     if number <= state["batch"]:
         return False
     bucket = F.pmod(F.xxhash64(*keys), F.lit(state["buckets"])).cast("int")
-    rows, path = written_at(top(batch, list(keys), [F.desc_nulls_last(c) for c in latest]).withColumns({"_bucket": bucket, "_new": F.lit(1)}), "batch", by=["_bucket"])
+    rows, path = written_at(top(spread(batch, *keys, rows=ROWS), list(keys), [F.desc_nulls_last(c) for c in latest]).withColumns({"_bucket": bucket, "_new": F.lit(1)}), "batch", by=["_bucket"])
     touched = [r["_bucket"] for r in rows.select("_bucket").distinct().collect()]
     folders = dict(state["folders"])
+    n = rows.count()
     old = [f"{target}/{f}" for b, f in folders.items() if int(b) in touched]
     if old:
         before = spark.read.schema(T.StructType.fromJson(state["schema"])).parquet(*old)
+        n += before.count()
         both = rows.unionByName(before.withColumns({"_bucket": bucket, "_new": F.lit(0)}), allowMissingColumns=True)
-        rows = top(both, list(keys), [F.desc("_new")])
+        rows = top(spread(both, *keys, rows=ROWS, count=n), list(keys), [F.desc("_new")])
     out = rows.drop("_new")
     schema = T.StructType([f for f in out.schema if f.name != "_bucket"])
     known = {f.name for f in schema}
     schema = T.StructType([*schema, *(f for f in T.StructType.fromJson(state["schema"]) if f.name not in known)])
     folder = f"_versions/{uuid.uuid4().hex}"
-    out.repartition("_bucket").write.partitionBy("_bucket").parquet(f"{target}/{folder}")
+    slices = -(-n // (ROWS * max(1, len(touched))))  # a bucket of more rows than a task's is several files
+    spread(out, "_bucket", F.pmod(F.hash(*keys), F.lit(max(1, slices))), rows=ROWS, count=n).write.partitionBy("_bucket").parquet(f"{target}/{folder}")
     discard(spark, path)
     folders |= {str(b): f"{folder}/_bucket={b}" for b in touched}
     settle(spark, target, {**state, "batch": number, "folders": folders, "schema": schema.jsonValue()}, None)

@@ -1,6 +1,7 @@
 """Published tables, the index of last rows, error tables and fingerprints."""
 
 import hashlib
+import tempfile
 import threading
 
 import pytest
@@ -130,3 +131,17 @@ def test_fingerprints_of_cells_and_tables(spark):
     now = df.filter("id <> 7").withColumn("v", F.when(F.col("id") == 9, 0).otherwise(F.col("v"))).union(spark.createDataFrame([(500, 1)], "id long, v long"))
     assert 1 <= incremental.changed_buckets(leaves, incremental.bucket_hashes(now, ["id"], ["v"], 16)).count() <= 3
     assert sorted(tuple(r) for r in incremental.changed_rows(df, now, ["id"], ["v"], 16).collect()) == [(7, "gone"), (9, "changed"), (500, "new")]
+
+
+def test_a_large_bucket_is_several_files(spark, monkeypatch):
+    """A bucket's rows are sorted and written by as many tasks as they need; the last row of each key stays."""
+    from stratiform.streaming import index
+
+    monkeypatch.setattr(index, "ROWS", 100)
+    target = tempfile.mkdtemp(prefix="spark-")
+    rows = spark.range(2_000).selectExpr("id as k", "id % 7 as v")
+    assert index.merge_batch(rows, target, ["k"], ["v"], 0, 2)
+    assert index.merge_batch(rows.filter("k % 2 = 0").selectExpr("k", "v + 10 as v"), target, ["k"], ["v"], 1, 2)
+    out = index.read_index(spark, target)
+    assert len(out.inputFiles()) > 4
+    assert out.count() == 2_000 and out.filter("v = k % 7 + if(k % 2 = 0, 10, 0)").count() == 2_000
