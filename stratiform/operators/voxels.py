@@ -67,6 +67,11 @@ class _Rounds:
         discard(self.spark, *(self.paths.pop(id(t))[1] for t in tables if t is not None))
 
 
+def _merged(df: DataFrame) -> DataFrame:
+    """df as the side of a join that is never sent whole to the driver and to every task: it has rows by voxel, run or scan."""
+    return df.hint("merge")
+
+
 def _components(edges: DataFrame, rounds: _Rounds) -> DataFrame:
     """Connected components of edges (a, b): rows (node, component), the least node that each can reach; nodes without an edge are absent.
 
@@ -79,16 +84,16 @@ def _components(edges: DataFrame, rounds: _Rounds) -> DataFrame:
         pick = rounds.keep(live.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up")))
         back = pick.select(F.col("node").alias("_n"), F.col("up").alias("_u"))
         mutual = (F.col("_u") == F.col("node")) & (F.col("node") < F.col("up"))
-        tree = rounds.keep(pick.join(back, F.col("up") == F.col("_n")).select("node", F.when(mutual, F.col("node")).otherwise(F.col("up")).alias("up")))
+        tree = rounds.keep(pick.join(_merged(back), F.col("up") == F.col("_n")).select("node", F.when(mutual, F.col("node")).otherwise(F.col("up")).alias("up")))
         rounds.drop(pick)
         moved = True
         while moved:
-            step = tree.join(tree.select(F.col("node").alias("_n"), F.col("up").alias("_u")), F.col("up") == F.col("_n"))
+            step = tree.join(_merged(tree.select(F.col("node").alias("_n"), F.col("up").alias("_u"))), F.col("up") == F.col("_n"))
             step = rounds.keep(step.select("node", F.col("_u").alias("up"), (F.col("_u") != F.col("up")).alias("moved")))
             moved = step.filter("moved").limit(1).count() > 0
             rounds.drop(tree)
             tree = step
-        root = tree.select(F.col("node").alias("_n"), F.col("up").alias("_u"))
+        root = _merged(tree.select(F.col("node").alias("_n"), F.col("up").alias("_u")))
         after = tree if found is None else rounds.keep(found.join(root, F.col("up") == F.col("_n"), "left").select("node", F.coalesce("_u", "up").alias("up")))
         less = live.join(root, F.col("a") == F.col("_n")).select(F.col("_u").alias("a"), "b").join(root, F.col("b") == F.col("_n")).select("a", F.col("_u").alias("b"))
         less = rounds.keep(less.filter("a <> b").distinct())
@@ -96,7 +101,7 @@ def _components(edges: DataFrame, rounds: _Rounds) -> DataFrame:
         live, found = less, after
     rounds.drop(live)
     least = found.groupBy(F.col("up").alias("_n")).agg(F.min("node").alias("component"))
-    out = rounds.keep(found.join(least, F.col("up") == F.col("_n")).select("node", "component"))
+    out = rounds.keep(found.join(_merged(least), F.col("up") == F.col("_n")).select("node", "component"))
     rounds.drop(found)
     return out
 
@@ -116,8 +121,8 @@ def labelled(mask: DataFrame, connectivity: int = 1) -> DataFrame:
     steps = [s for s in neighbours(connectivity) if s[:2] > (0, 0)]  # along z the runs have done it, and one of two directions is enough
     near = F.explode(F.array(*(F.struct((F.col("x") + i).alias("x"), (F.col("y") + j).alias("y"), (F.col("z") + k).alias("z")) for i, j, k in steps)))
     sent = now.select("scan_id", F.col("run").alias("a"), near.alias("_p")).select("scan_id", "a", "_p.*")
-    tied = _components(sent.join(now, VOXEL).select("a", F.col("run").alias("b")).distinct(), rounds)
-    out = now.join(tied, F.col("run") == F.col("node"), "left").withColumn("_l", F.coalesce("component", "run"))
+    tied = _components(sent.join(_merged(now), VOXEL).select("a", F.col("run").alias("b")).distinct(), rounds)
+    out = now.join(_merged(tied), F.col("run") == F.col("node"), "left").withColumn("_l", F.coalesce("component", "run"))
     done = rounds.keep(out.select(*VOXEL, F.struct(*(F.col(f"_l.{c}") for c in XYZ)).alias("label")))
     rounds.drop(now, tied)
     return done
@@ -127,16 +132,16 @@ def largest_component(mask: DataFrame, connectivity: int = 1) -> DataFrame:
     found = labelled(mask, connectivity)
     sizes = found.groupBy("scan_id", "label").agg(F.count("*").alias("n"))
     best = sizes.withColumn("_r", F.row_number().over(W.partitionBy("scan_id").orderBy(F.desc("n"), "label"))).filter("_r = 1")
-    return found.join(best.select("scan_id", "label"), ["scan_id", "label"], "left_semi").select(VOXEL)
+    return found.join(_merged(best.select("scan_id", "label")), ["scan_id", "label"], "left_semi").select(VOXEL)
 
 
 def fill_holes(mask: DataFrame, grid: DataFrame) -> DataFrame:
     """The mask and the background components that do not touch the grid's border."""
     box = grid.groupBy("scan_id").agg(*(f(c).alias(f"{c}{i}") for c in XYZ for i, f in ((0, F.min), (1, F.max))))
-    back = labelled(grid.select(VOXEL).join(mask.select(VOXEL), VOXEL, "left_anti"), 1).join(box, "scan_id")
+    back = labelled(grid.select(VOXEL).join(_merged(mask.select(VOXEL)), VOXEL, "left_anti"), 1).join(_merged(box), "scan_id")
     edge = reduce(lambda a, b: a | b, [(F.col(c) == F.col(f"{c}0")) | (F.col(c) == F.col(f"{c}1")) for c in XYZ])
     open_ = back.filter(edge).select("scan_id", "label").distinct()
-    return mask.select(VOXEL).union(back.join(open_, ["scan_id", "label"], "left_anti").select(VOXEL))
+    return mask.select(VOXEL).union(back.join(_merged(open_), ["scan_id", "label"], "left_anti").select(VOXEL))
 
 
 def crop(voxels: DataFrame, masks: DataFrame, margin: int = 0) -> DataFrame:

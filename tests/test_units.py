@@ -373,3 +373,11 @@ def test_fold_of_ties_and_rows_without_a_place(spark):
     out = curation.fold_phases(spark.createDataFrame(rows, "g int, at int, known string, sec double"), ["g"], "at", "known", "sec")
     got = sorted((tuple(r) for r in out.select("g", "sec", "folded_phase").collect()), key=str)
     assert got == sorted([(1, 0.0, "NATIVE"), (1, 25.0, "ARTERIAL"), (1, 70.0, "PORTAL_VENOUS"), (1, 200.0, None), (None, 0.0, None)], key=str)
+
+
+def test_holes_are_filled_without_broadcasts(spark):
+    """Tables with a row per scan or component aren't sent whole to the driver, however small."""
+    grid = spark.range(27).selectExpr("1 as scan_id", "cast(id % 3 as int) as x", "cast(id div 3 % 3 as int) as y", "cast(id div 9 as int) as z")
+    out = voxels.fill_holes(grid.filter("not (x = 1 and y = 1 and z = 1)"), grid)
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().sparkPlan().toString()
+    assert out.count() == 27
