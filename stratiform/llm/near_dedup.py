@@ -165,9 +165,24 @@ def _sets(batches: Iterator[pa.RecordBatch], key: Key) -> Iterator[pa.RecordBatc
 
 
 def sets_of(docs: DataFrame, heads: DataFrame, key: Key) -> DataFrame:
-    """node, shingles: the full sets of representatives (doc_id, fp1, fp2, node), from their texts; texts that are surely none of them aren't shuffled."""
+    """node, shingles: the full sets of representatives (doc_id, fp1, fp2, node), from their texts; texts that are surely none of them aren't shuffled.
+
+    A merge join at every size: where representatives are few enough to broadcast the sets would stay in place, and a larger table would shuffle them all of a sudden.
+    """
     near = marked(docs, heads).filter("maybe")
-    return near.select("doc_id", "text").mapInArrow(freed(lambda batches: _sets(batches, key)), "doc_id long, fp1 long, fp2 long, shingles binary").join(heads, ["doc_id", "fp1", "fp2"]).select("node", "shingles")
+    sets = near.select("doc_id", "text").mapInArrow(freed(lambda batches: _sets(batches, key)), "doc_id long, fp1 long, fp2 long, shingles binary")
+    return sets.join(heads.hint("merge"), ["doc_id", "fp1", "fp2"]).select("node", "shingles")
+
+
+def among(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The rows of df whose `column` is in ids (a column of that name, repeated or not); rows that surely aren't don't travel."""
+    return marked(df, ids, column).filter("maybe").drop("maybe").join(ids.select(column).distinct().hint("merge"), column, "left_semi")
+
+
+def without(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The rows of df whose `column` is not in ids; only rows that may be in it travel, so few ids cost little however wide the rows are."""
+    near = marked(df, ids, column)
+    return near.filter("not maybe").union(near.filter("maybe").join(ids.select(column).hint("merge"), column, "left_anti")).drop("maybe")
 
 
 def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -268,13 +283,15 @@ def near_dedup(docs: DataFrame, percent: int = 85, beside: Sequence[str] = ()) -
     key = ["n_shingles", "fp1", "fp2"]
     # written, so that both sides of the join are exchanged for it and a hot group of copies can be split between tasks
     reps = written(found.groupBy(key).agg(F.min(F.struct("doc_id", "row")).alias("head")).select(*key, F.col("head.doc_id").alias("rep"), F.col("head.row").alias("node")), "near-reps")
-    classes = written(found.select("doc_id", *key, *beside).join(reps.drop("node"), key).drop("fp1", "fp2"), "near-classes")
-    heads = written(found.join(reps.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "doc_id", F.col("n_shingles").alias("n"), "fp1", "fp2", "sig", "bands"), "near-heads")
+    classes = written(found.select("row", "doc_id", *key, *beside).join(reps.hint("merge"), key).withColumn("copy", F.col("row") != F.col("node")).drop("node", "fp1", "fp2"), "near-classes")
+    # signatures and bands are wide: those of the copies alone travel to be left out
+    heads = without(found, classes.filter("copy").select("row"), "row").select(F.col("row").alias("node"), "doc_id", F.col("n_shingles").alias("n"), "fp1", "fp2", "sig", "bands")
+    heads = written(heads, "near-heads")
 
     bands = heads.select("node", F.explode("bands").alias("band"))
     leads = bands.groupBy("band").agg(F.min("node").alias("lead"), F.count("*").alias("members")).filter("members > 1")
     met = written(bands.join(leads.hint("merge"), "band"), "near-bands")  # never broadcast: leads grow with the table
-    heads = written(heads.drop("bands").join(met.select("node").distinct(), "node", "left_semi"), "near-shared")
+    heads = written(among(heads.drop("bands"), met.select("node"), "node"), "near-shared")
     pairs = met.filter("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
     pairs = written(possible(pairs, heads, percent), "near-pairs")
     sets = written(sets_of(docs, heads.select("node", "doc_id", "fp1", "fp2"), secret), "near-sets")
@@ -289,7 +306,7 @@ def near_dedup(docs: DataFrame, percent: int = 85, beside: Sequence[str] = ()) -
     signs = in_blocks(rest, F.lit(1), BLOCK_ROWS).join(heads.select("node", "sig"), "node")
     some = by_group(signs.select("band", "x", "y", "node", "doc_id", "component", "n", "side", "sig"), ["band", "x", "y"], lambda t: partners(t, percent), "band long, node long, doc_id long, component long, n long, sig binary")
     some = written(some.dropDuplicates(["band", "node"]), "near-some")
-    full = in_blocks(some, F.col("n"), BLOCK_SHINGLES).join(sets, "node")
+    full = in_blocks(some, F.col("n"), BLOCK_SHINGLES).join(marked(sets, some, "node").filter("maybe").drop("maybe").hint("merge"), "node")
     more = written(by_group(full.select("band", "x", "y", "node", "doc_id", "component", "n", "side", "sig", "shingles"), ["band", "x", "y"], lambda t: forest(t, percent), "a long, b long"), "near-more")
     if more.limit(1).count():
         joined = components(links.union(more), "near-final")

@@ -559,3 +559,17 @@ def test_quality_against_plain_numpy(spark):
 def test_digest_of_ids(docs):
     row = encode(docs.filter("doc_id = 12"), RANKS, public_tokenizers.PATTERN).select(F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("h"), "ids").first()
     assert row["h"] == hashlib.sha256(" ".join(map(str, row["ids"])).encode()).hexdigest()
+
+
+def test_near_joins_keep_their_kind(spark):
+    """Sets of representatives are joined by a merge join on a small table too; only the bitmap is broadcast."""
+    from stratiform.llm.common import secret_key
+    from stratiform.llm.near_dedup import among, sets_of, without
+
+    texts = spark.createDataFrame([(i, f"a b c d e {i}") for i in range(20)], "doc_id long, text string")
+    heads = spark.createDataFrame([(i, 0, 0, i) for i in range(5)], "doc_id long, fp1 long, fp2 long, node long")
+    plan = sets_of(texts, heads, secret_key())._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin [doc_id" in plan and plan.count("BroadcastHashJoin") == 1
+    ids = spark.createDataFrame([(3,), (3,), (7,)], "doc_id long")
+    assert sorted(r["doc_id"] for r in among(texts, ids, "doc_id").collect()) == [3, 7]
+    assert sorted(r["doc_id"] for r in without(texts, ids, "doc_id").collect()) == [i for i in range(20) if i not in (3, 7)]
