@@ -72,36 +72,55 @@ def _merged(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
-def _components(edges: DataFrame, rounds: _Rounds) -> DataFrame:
-    """Connected components of edges (a, b): rows (node, component), the least node that each can reach; nodes without an edge are absent.
+#: Rows (of voxels, runs or edges) that a task of labelled() and its components takes, of either side of a join.
+TASK_ROWS = 100_000
+
+
+def _met(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], n: int, how: str = "inner") -> DataFrame:
+    """Merge join of left and right (columns in pairs), both dealt to n tasks: adaptive execution would join partitions that are small on disk only."""
+    dealt = left.repartition(n, *(a for a, _ in on)), _merged(right.repartition(n, *(b for _, b in on)))
+    return dealt[0].join(dealt[1], [a for a, _ in on] if all(a == b for a, b in on) else reduce(lambda x, y: x & y, (F.col(a) == F.col(b) for a, b in on)), how)
+
+
+def _tasks(df: DataFrame, rows: int) -> int:
+    """Tasks for a table of so many rows; a session's parallelism is the least."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+
+
+def _components(edges: DataFrame, rounds: _Rounds, n: int) -> DataFrame:
+    """Connected components of edges (a, b): rows (node, component), the least node that each can reach; nodes without an edge are absent. The first round has n tasks.
 
     Every node takes its least neighbour, of two that take each other the lesser is a root, and pointers are doubled until all name a root. Then roots are
     the nodes. A tree has two nodes at least, so a round leaves at most half of them, and a round's doublings are the logarithm of its deepest tree.
     """
-    live = rounds.keep(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct())
+    live = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b")
+    live = rounds.keep(live.repartition(n, "a", "b").distinct())
     found: DataFrame | None = None
-    while found is None or live.limit(1).count():
-        pick = rounds.keep(live.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up")))
+    most = 0
+    while (left := live.count()) or found is None:
+        n = _tasks(live, left)
+        most = max(most, n)  # of the first round, which has all nodes
+        pick = rounds.keep(live.repartition(n, "a").groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up")))
         back = pick.select(F.col("node").alias("_n"), F.col("up").alias("_u"))
         mutual = (F.col("_u") == F.col("node")) & (F.col("node") < F.col("up"))
-        tree = rounds.keep(pick.join(_merged(back), F.col("up") == F.col("_n")).select("node", F.when(mutual, F.col("node")).otherwise(F.col("up")).alias("up")))
+        tree = rounds.keep(_met(pick, back, [("up", "_n")], n).select("node", F.when(mutual, F.col("node")).otherwise(F.col("up")).alias("up")))
         rounds.drop(pick)
         moved = True
         while moved:
-            step = tree.join(_merged(tree.select(F.col("node").alias("_n"), F.col("up").alias("_u"))), F.col("up") == F.col("_n"))
+            step = _met(tree, tree.select(F.col("node").alias("_n"), F.col("up").alias("_u")), [("up", "_n")], n)
             step = rounds.keep(step.select("node", F.col("_u").alias("up"), (F.col("_u") != F.col("up")).alias("moved")))
             moved = step.filter("moved").limit(1).count() > 0
             rounds.drop(tree)
             tree = step
-        root = _merged(tree.select(F.col("node").alias("_n"), F.col("up").alias("_u")))
-        after = tree if found is None else rounds.keep(found.join(root, F.col("up") == F.col("_n"), "left").select("node", F.coalesce("_u", "up").alias("up")))
-        less = live.join(root, F.col("a") == F.col("_n")).select(F.col("_u").alias("a"), "b").join(root, F.col("b") == F.col("_n")).select("a", F.col("_u").alias("b"))
-        less = rounds.keep(less.filter("a <> b").distinct())
+        root = tree.select(F.col("node").alias("_n"), F.col("up").alias("_u"))
+        after = tree if found is None else rounds.keep(_met(found, root, [("up", "_n")], most, "left").select("node", F.coalesce("_u", "up").alias("up")))
+        less = _met(_met(live, root, [("a", "_n")], n).select(F.col("_u").alias("a"), "b"), root, [("b", "_n")], n).select("a", F.col("_u").alias("b"))
+        less = rounds.keep(less.filter("a <> b").repartition(n, "a", "b").distinct())
         rounds.drop(live, *([] if found is None else [found, tree]))
         live, found = less, after
     rounds.drop(live)
     least = found.groupBy(F.col("up").alias("_n")).agg(F.min("node").alias("component"))
-    out = rounds.keep(found.join(_merged(least), F.col("up") == F.col("_n")).select("node", "component"))
+    out = rounds.keep(_met(found, least, [("up", "_n")], most).select("node", "component"))
     rounds.drop(found)
     return out
 
@@ -111,18 +130,23 @@ def labelled(mask: DataFrame, connectivity: int = 1) -> DataFrame:
 
     Runs along z come from a window; neighbouring voxels tie runs, and components of runs are contracted, so rounds grow with the logarithm of the runs,
     not with the way through a component. Every round is written to the shared folder, so lineage stays short and lost executors do no harm; rounds that are done with are deleted.
+    Rows are counted, and each step has as many tasks as they need.
     """
     rounds = _Rounds(mask.sparkSession, "labels")
+    mask = rounds.keep(mask.select(VOXEL))
+    n = _tasks(mask, mask.count())
     along = W.partitionBy("scan_id", "x", "y").orderBy("z")
     starts = F.coalesce(F.col("z") - F.lag("z").over(along) > 1, F.lit(True))
     run = F.last(F.when(F.col("_s"), F.col("z")), True).over(along.rowsBetween(W.unboundedPreceding, 0))
-    now = mask.select(VOXEL).withColumn("_s", starts).withColumn("_z", run)
+    now = mask.repartition(n, "scan_id", "x", "y").withColumn("_s", starts).withColumn("_z", run)
     now = rounds.keep(now.select(*VOXEL, F.struct("scan_id", "x", "y", F.col("_z").alias("z")).alias("run")))
+    rounds.drop(mask)
     steps = [s for s in neighbours(connectivity) if s[:2] > (0, 0)]  # along z the runs have done it, and one of two directions is enough
     near = F.explode(F.array(*(F.struct((F.col("x") + i).alias("x"), (F.col("y") + j).alias("y"), (F.col("z") + k).alias("z")) for i, j, k in steps)))
     sent = now.select("scan_id", F.col("run").alias("a"), near.alias("_p")).select("scan_id", "a", "_p.*")
-    tied = _components(sent.join(_merged(now), VOXEL).select("a", F.col("run").alias("b")).distinct(), rounds)
-    out = now.join(_merged(tied), F.col("run") == F.col("node"), "left").withColumn("_l", F.coalesce("component", "run"))
+    tied = _met(sent, now, [(c, c) for c in VOXEL], n * len(steps)).select("a", F.col("run").alias("b")).distinct()
+    tied = _components(tied, rounds, n)
+    out = _met(now, tied, [("run", "node")], n, "left").withColumn("_l", F.coalesce("component", "run"))
     done = rounds.keep(out.select(*VOXEL, F.struct(*(F.col(f"_l.{c}") for c in XYZ)).alias("label")))
     rounds.drop(now, tied)
     return done

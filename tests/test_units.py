@@ -381,3 +381,13 @@ def test_holes_are_filled_without_broadcasts(spark):
     out = voxels.fill_holes(grid.filter("not (x = 1 and y = 1 and z = 1)"), grid)
     assert "BroadcastHashJoin" not in out._jdf.queryExecution().sparkPlan().toString()
     assert out.count() == 27
+
+
+def test_voxels_are_joined_by_as_many_tasks_as_their_rows_need(spark, monkeypatch):
+    """More tasks than the session's shuffle partitions (4), which adaptive execution doesn't join again."""
+    grid = spark.range(64).selectExpr("id div 64 as scan_id", "cast(id % 4 as int) as x", "cast(id div 4 % 4 as int) as y", "cast(id div 16 as int) as z")
+    out = voxels._met(grid, grid.withColumn("seen", F.lit(True)), [(c, c) for c in voxels.VOXEL], 12)
+    assert out.rdd.getNumPartitions() == 12 and out.count() == 64
+    monkeypatch.setattr(voxels, "TASK_ROWS", 5)
+    got = voxels.labelled(grid.filter("x <> 1")).groupBy("label").count().collect()
+    assert sorted((tuple(r["label"]), r["count"]) for r in got) == [((0, 0, 0), 16), ((2, 0, 0), 32)]
