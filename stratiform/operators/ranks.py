@@ -9,11 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stratiform.shared import written
+from stratiform.shared import discard, written, written_at
 
-#: Distinct values that one window goes through, and the accuracy of the sketch that cuts larger groups. Neither changes a result.
+#: Distinct values that one window goes through. No result depends on it.
 PIECE = 200_000
-ACCURACY = 2_000
 
 
 def same(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
@@ -23,33 +22,38 @@ def same(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner
     return left.join(right, on, how).drop(*(f"_r_{c}" for c in by))
 
 
-def cumulated(rows: DataFrame, by: Sequence[str], value: str = "value", sides: Mapping[str, Column] | None = None) -> DataFrame:
+def cumulated(rows: DataFrame, by: Sequence[str], value: str = "value", sides: Mapping[str, Column] | None = None, points: Sequence[float] | None = None) -> DataFrame:
     """by, value, _k (rows of that value), _before (rows of lesser values) and _n (rows of the group) of non-null values; for each of `sides`
     (conditions by name) also _k_<name>, _before_<name>, _n_<name>, counting its rows only.
 
-    A hot value is one row after the partial count; the counts are written, and how many values the largest group has is known before they are cut. Groups
-    over PIECE values are cut by a bounded sketch into pieces of like size, in proportion to their values; sums run within a piece, and a
-    piece starts at the sum of those before it, so no window holds much more than PIECE rows. The counts are written, so they go once to the shared folder.
+    A hot value is one row after the partial count; the counts are written, and how many values the largest group has is known before they are cut. If it
+    has over PIECE values, all are dealt by ranges of group and value to pieces of some PIECE values; sums run within a piece, and a piece starts
+    at the sum of those before it in its group, so no window holds much more than PIECE rows and each value is placed by its range alone, however many pieces
+    there are. With `points`, values of pieces that hold none of these percentiles may be left out.
     """
     weights = {"": F.count("*"), **{f"_{name}": F.count_if(c) for name, c in (sides or {}).items()}}
     counts = rows.filter(F.col(value).isNotNull()).groupBy(F.struct(*by).alias("_g"), value).agg(*(w.alias(f"_k{s}") for s, w in weights.items()))  # fields of a struct are equal where both are null
-    counts = written(counts, "counts")
-    most = counts.groupBy("_g").count().agg(F.max("count")).first()[0] or 0
+    counts, path = written_at(counts, "counts")
+    most, total = counts.groupBy("_g").count().agg(F.max("count"), F.sum("count")).first()
     group, sums = W.partitionBy("_g"), {s: F.col(f"_k{s}") for s in weights}
     lesser = lambda w, c: F.coalesce(F.sum(c).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    if most <= PIECE:
+    if (most or 0) <= PIECE:
         ordered = group.orderBy(value)
         whole = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
         found = counts.select("*", *(lesser(ordered, c).alias(f"_before{s}") for s, c in sums.items()), *(F.sum(c).over(whole).alias(f"_n{s}") for s, c in sums.items()))
     else:
-        pieces = -(-most // PIECE)
-        cuts = counts.groupBy("_g").agg(F.percentile_approx(value, F.array(*(F.lit(i / pieces) for i in range(1, pieces))), max(ACCURACY, 10 * pieces)).alias("_cuts"))
-        counts = counts.join(cuts, "_g").withColumn("_piece", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
+        # written, as a sample draws the ranges: all that follows sees the same pieces
+        counts = written(counts.repartitionByRange(-(-total // PIECE), "_g", value).withColumn("_piece", F.spark_partition_id()), "pieces")
+        discard(rows.sparkSession, path)
         starts = counts.groupBy("_g", "_piece").agg(*(F.sum(c).alias(f"_sum{s}") for s, c in sums.items()))
         ahead = group.orderBy("_piece")
-        starts = starts.select("_g", "_piece", *(lesser(ahead, F.col(f"_sum{s}")).alias(f"_start{s}") for s in sums), *(F.sum(f"_sum{s}").over(group).alias(f"_n{s}") for s in sums))
+        starts = starts.select("_g", "_piece", "_sum", *(lesser(ahead, F.col(f"_sum{s}")).alias(f"_start{s}") for s in sums), *(F.sum(f"_sum{s}").over(group).alias(f"_n{s}") for s in sums))
+        if points is not None:
+            at = [f(F.lit(float(p)) * (F.col("_n") - 1)) for p in points for f in (F.floor, F.ceil)]
+            starts = starts.filter(reduce(lambda a, b: a | b, ((F.col("_start") <= i) & (i < F.col("_start") + F.col("_sum")) for i in at), F.lit(False)))
+            counts = counts.join(F.broadcast(starts.select("_piece").distinct()), "_piece", "left_semi")  # at most a number per PIECE values
         inside = W.partitionBy("_g", "_piece").orderBy(value)
-        found = counts.select("*", *(lesser(inside, c).alias(f"_in{s}") for s, c in sums.items())).join(starts, ["_g", "_piece"])
+        found = counts.select("*", *(lesser(inside, c).alias(f"_in{s}") for s, c in sums.items())).join(starts.drop("_sum"), ["_g", "_piece"])
         found = found.withColumns({f"_before{s}": F.col(f"_start{s}") + F.col(f"_in{s}") for s in sums})
     return found.select(*(F.col(f"_g.{c}").alias(c) for c in by), value, *(f"_{x}{s}" for s in sums for x in ("k", "before", "n")))
 
@@ -67,4 +71,4 @@ def percentiles_of(counts: DataFrame, by: Sequence[str], points: Sequence[float]
 
 def percentiles(rows: DataFrame, by: Sequence[str], points: Sequence[float], value: str = "value") -> DataFrame:
     """by and _p, an array of exact percentiles; groups without a value are absent."""
-    return percentiles_of(cumulated(rows, by, value), by, points, value).drop("_n")
+    return percentiles_of(cumulated(rows, by, value, points=points), by, points, value).drop("_n")

@@ -88,6 +88,21 @@ def test_ranks_by_pieces(spark, monkeypatch):
     assert results[0] == results[1] and len(results[0][1]) == 4
 
 
+def test_values_are_placed_by_range(spark, monkeypatch):
+    """A value's piece needs no look at all cuts of its group, and percentiles need no window over the pieces between them."""
+    df = spark.createDataFrame([(None if i % 5 == 0 else i % 2, [float(i * 7919 % 10_007), -0.0, 0.0, float("nan")][i % 4 if i % 50 < 4 else 0]) for i in range(6_000)], "g int, value double")
+    points = (0.0, 0.31, 0.5, 1.0)
+    whole = sorted(map(str, ranks.cumulated(df, ["g"]).collect()))
+    want = sorted(map(str, ranks.percentiles(df, ["g"], points).collect()))
+    monkeypatch.setattr(ranks, "PIECE", 200)
+    cut = ranks.cumulated(df, ["g"])
+    assert sorted(map(str, cut.collect())) == whole and len(want) == 3
+    assert "lambda" not in cut._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(str, ranks.percentiles(df, ["g"], points).collect())) == want
+    some = ranks.cumulated(df, ["g"], points=points)
+    assert set(map(str, some.collect())) < set(whole) and some.count() < len(whole) * 3 / 4
+
+
 def test_intervals_and_anchors(spark):
     from stratiform.operators import tables
 
