@@ -98,11 +98,17 @@ def described(df: DataFrame, names: Sequence[str], points: Sequence[float], by:
 
 def outliers(df: DataFrame, names: Sequence[str], factor: float = 1.5) -> DataFrame:
     """Values outside the quartiles by more than `factor` ranges, of features with four values or more."""
-    counts = cumulated(unpivoted(df, names), ["feature"])
-    q = percentiles_of(counts, ["feature"], (0.25, 0.75)).filter("_n >= 4").select("feature", F.col("_n").alias("n"), F.col("_p")[0].alias("q1"), F.col("_p")[1].alias("q3"))
-    out = (F.col("value") < F.col("q1") - factor * (F.col("q3") - F.col("q1"))) | (F.col("value") > F.col("q3") + factor * (F.col("q3") - F.col("q1")))
-    hit = counts.select("feature", "value", "_k").join(q, "feature")  # a row per value, and per feature
-    return hit.groupBy("feature").agg(F.first("n").alias("n"), F.sum(F.when(out, F.col("_k")).otherwise(0)).alias("outliers"))
+    quartiles = (0.25, 0.75)
+    q = percentiles_of(cumulated(unpivoted(df, names), ["feature"], points=quartiles), ["feature"], quartiles).filter("_n >= 4")
+    reach = factor * (F.col("_p")[1] - F.col("_p")[0])
+    ends = {"n": F.col("_n"), "low": F.col("_p")[0] - reach, "high": F.col("_p")[1] + reach}
+    # the ends of all features are one row, sent to the rows of the table, which stay where they are
+    row = q.agg(*(F.max(F.when(F.col("feature") == c, e)).alias(f"_{name}{i}") for i, c in enumerate(names) for name, e in ends.items()))
+    cells = df.select(*(F.col(f"`{c}`").cast("double").alias(f"_c{i}") for i, c in enumerate(names))).crossJoin(F.broadcast(row))
+    out = lambda i: (F.col(f"_c{i}") < F.col(f"_low{i}")) | (F.col(f"_c{i}") > F.col(f"_high{i}"))
+    tally = cells.agg(*(x for i in range(len(names)) for x in (F.max(f"_n{i}").alias(f"n{i}"), F.count_if(out(i)).alias(f"o{i}"))))
+    rows = F.array(*(F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"), F.col(f"o{i}").alias("outliers")) for i, c in enumerate(names)))
+    return tally.select(F.explode(rows).alias("r")).select("r.*").filter("n IS NOT NULL")
 
 
 def average_ranks(long: DataFrame, row: str) -> DataFrame:

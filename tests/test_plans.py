@@ -103,6 +103,33 @@ def test_values_are_placed_by_range(spark, monkeypatch):
     assert set(map(str, some.collect())) < set(whole) and some.count() < len(whole) * 3 / 4
 
 
+def test_outliers_stay_where_they_are(spark, monkeypatch):
+    """Rows meet their feature's quartiles without being dealt by feature, at any size; what is counted is the same, cut or not."""
+    import numpy as np
+
+    g = np.random.default_rng(8)
+    a, b = np.append(g.normal(size=1990), np.linspace(-90, 90, 10)), np.append(np.full(1500, 5.0), np.round(g.normal(size=500), 1))
+    rows = [(float(x), float(y) if i % 9 else None, float(i) if i < 3 else None, None) for i, (x, y) in enumerate(zip(a, b))]
+    df = spark.createDataFrame(rows, "a double, b double, few double, none double")
+
+    def counted(values):
+        low, high = np.quantile(values, [0.25, 0.75])
+        return len(values), int(((values < low - 1.5 * (high - low)) | (values > high + 1.5 * (high - low))).sum())
+
+    want = {"a": counted(a), "b": counted(np.array([r[1] for r in rows if r[1] is not None]))}
+    assert min(n for _, n in want.values()) > 5
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if all were too large
+        for piece in (200_000, 300):
+            monkeypatch.setattr(ranks, "PIECE", piece)
+            out = profile.outliers(df, ["a", "b", "few", "none"])
+            assert {r["feature"]: (r["n"], r["outliers"]) for r in out.collect()} == want
+            assert "SortMergeJoin [feature" not in out._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_intervals_and_anchors(spark):
     from stratiform.operators import tables
 
